@@ -216,16 +216,22 @@ def apply_transfer(thr: list, ends: list, x_in: int, cd: int) -> int:
 # the three passes
 # --------------------------------------------------------------------------
 
-def _partition_id() -> int:
-    from pyspark import TaskContext
-    return TaskContext.get().partitionId()
+def _partitions(batches):
+    """(pid, rows) per staged partition in this task.
 
-
-def _concat(batches) -> pd.DataFrame | None:
+    The partition id is a column stamped before the checkpoint, not the
+    task's index, which changes when the frame is unioned or re-planned.
+    """
     frames = [b for b in batches if len(b)]
     if not frames:
-        return None
-    return frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        return
+    pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+    pids = pdf["_pid"].to_numpy()
+    if pids[0] == pids[-1]:
+        yield int(pids[0]), pdf
+        return
+    for pid in pd.unique(pids):
+        yield int(pid), pdf[pids == pid].reset_index(drop=True)
 
 
 _SUMMARY_A = T.StructType([
@@ -248,9 +254,10 @@ _SUMMARY_B = T.StructType([
 
 def _pass_a(n_rules: int):
     def run(batches):
-        pdf = _concat(batches)
-        if pdf is None:
-            return
+        for pid, pdf in _partitions(batches):
+            yield _summary_a(pid, pdf)
+
+    def _summary_a(pid, pdf):
         keys = pdf["_k"].to_numpy()
         t = pdf["t"].to_numpy(dtype=np.int64)
         b = _runs(keys)
@@ -268,7 +275,7 @@ def _pass_a(n_rules: int):
             fnz.append(int(lt[nz[0]]) if len(nz) else None)
             _, _, s_out = seen_starts(t[tail_start:], c[tail_start:].copy(), None)
             s_exit.append(s_out)
-        yield pd.DataFrame({"pid": [_partition_id()], "first_k": [keys[0]],
+        return pd.DataFrame({"pid": [pid], "first_k": [keys[0]],
                             "last_k": [keys[-1]], "t_first": [int(t[0])],
                             "has_false": [has_false], "fnz": [fnz], "s_exit": [s_exit]})
     return run
@@ -279,10 +286,10 @@ def _pass_b(rules, s_in_map):
     cds = [r.cooldown_ms for r in rules]
 
     def run(batches):
-        pdf = _concat(batches)
-        if pdf is None:
-            return
-        pid = _partition_id()
+        for pid, pdf in _partitions(batches):
+            yield _summary_b(pid, pdf)
+
+    def _summary_b(pid, pdf):
         keys = pdf["_k"].to_numpy()
         t = pdf["t"].to_numpy(dtype=np.int64)
         b = _runs(keys)
@@ -301,8 +308,8 @@ def _pass_b(rules, s_in_map):
             thr_all.append(thr)
             ends_all.append(ends)
             x_exit.append(int(x))
-        yield pd.DataFrame({"pid": [pid], "thr": [thr_all], "ends": [ends_all],
-                            "x_exit": [x_exit]})
+        return pd.DataFrame({"pid": [pid], "thr": [thr_all], "ends": [ends_all],
+                             "x_exit": [x_exit]})
     return run
 
 
@@ -315,10 +322,12 @@ def _pass_c(rules, entry_map):
     out_cols = _ALERT_ROWS.fieldNames()
 
     def run(batches):
-        pdf = _concat(batches)
-        if pdf is None:
-            return
-        pid = _partition_id()
+        for pid, pdf in _partitions(batches):
+            out = _emit(pid, pdf)
+            if out is not None:
+                yield out
+
+    def _emit(pid, pdf):
         keys = pdf["_k"].to_numpy()
         t = pdf["t"].to_numpy(dtype=np.int64)
         b = _runs(keys)
@@ -342,7 +351,7 @@ def _pass_c(rules, entry_map):
                 rows_rule.append(np.full(len(sel), i))
                 rows_start.append(start[sel])
         if not rows_idx:
-            return
+            return None
         ix = np.concatenate(rows_idx)
         ri = np.concatenate(rows_rule)
         st = np.concatenate(rows_start)
@@ -363,7 +372,7 @@ def _pass_c(rules, entry_map):
             "observed_value": obs, "threshold_value": thr,
             "window_start_ms": st.astype(np.int64), "window_end_ms": t[ix],
         })
-        yield out[out_cols]
+        return out[out_cols]
     return run
 
 
@@ -436,6 +445,7 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
     p = num_partitions or _estimate_partitions(wide, rows_per_partition)
     order = ["_k", "t", *ties]
     staged = (wide.repartitionByRange(p, *order).sortWithinPartitions(*order)
+                  .withColumn("_pid", F.spark_partition_id())
                   .checkpoint(eager=True))
 
     summ_a = [r.asDict() for r in staged.mapInPandas(_pass_a(len(rules)), _SUMMARY_A).collect()]
@@ -454,3 +464,16 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
     if return_plan:
         return alerts, DetectionPlan(p, len(s_in_map), bool(s_in_map))
     return alerts
+
+
+def rule_matches(joined: DataFrame, rule: RuleSpec, null_as_zero: bool = True) -> DataFrame:
+    """FLT-3..5: readings (joined with thresholds) on which one rule's condition
+    holds, with the observed and threshold values; a pure filter + projection."""
+    df = joined
+    if null_as_zero:
+        df = df.fillna(0, subset=[c for c in NULL_AS_ZERO if c in df.columns])
+    return (df.where(F.coalesce(F.expr(rule.condition), F.lit(False)))
+              .select("event_id", "user_id", "device_id", "t",
+                      F.lit(rule.name).alias("rule"), F.lit(rule.severity).alias("severity"),
+                      F.expr(rule.observed).cast("double").alias("observed_value"),
+                      F.expr(rule.threshold).cast("double").alias("threshold_value")))

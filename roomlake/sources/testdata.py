@@ -73,6 +73,7 @@ def config_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 READINGS_SQL = """
 SELECT event_id,
        'dev_' || CAST(user_id AS VARCHAR) AS device_id,
+       ts,
        ts AS event_ts,
        epoch_us(ts) // 1000 AS t,
        value AS temperature,

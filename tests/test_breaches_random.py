@@ -62,3 +62,15 @@ def test_cooldown_transfer_matches_replay():
         thr, ends = cooldown_transfer(__import__("numpy").array(ct), t_first, cd)
         for x in range(t_first - 2 * cd, t_first + 1, max(1, cd // 7)):
             assert apply_transfer(thr, ends, x, cd) == emit_chain(ct, x, cd)[1]
+
+
+def test_union_of_alerts_with_itself_is_stable(spark):
+    """Carries are keyed by a stamped partition column, not by task index,
+    so a plan that unions the alerts with themselves stays exact."""
+    rules = with_timing(DEFAULT_RULES, 300, 600)
+    configs, readings = random_case(11)
+    rd, cf = frames(spark, configs, readings)
+    alerts = detect_breaches(join_config(rd, latest_config(cf)), rules, num_partitions=13)
+    once = sorted(tuple(r) for r in alerts.collect())
+    twice = sorted(tuple(r) for r in alerts.unionByName(alerts).collect())
+    assert twice == sorted(once + once)
