@@ -114,6 +114,7 @@ def write_bronze(df: DataFrame, path: str, bucket_ts: Column | None = None,
     """SNK-2/3 in batch: NDJSON partitioned by UTC ``dt``/``hour`` of
     ``bucket_ts`` (processing time by default)."""
     ts = F.current_timestamp() if bucket_ts is None else bucket_ts
-    (df.withColumn("dt", F.date_format(ts, "yyyy-MM-dd"))
-       .withColumn("hour", F.date_format(ts, "HH"))
-       .write.mode(mode).partitionBy("dt", "hour").json(path))
+    out = (df.withColumn("dt", F.date_format(ts, "yyyy-MM-dd"))
+             .withColumn("hour", F.date_format(ts, "HH")))
+    # rebalance: AQE packs each hour folder into few files and splits a hot hour
+    out.hint("rebalance", "dt", "hour").write.mode(mode).partitionBy("dt", "hour").json(path)

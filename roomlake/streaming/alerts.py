@@ -64,17 +64,34 @@ def _state_schema(n_rules: int) -> T.StructType:
     ])
 
 
-_SQL_TO_PANDAS = [(re.compile(r"\bAND\b", re.I), "&"), (re.compile(r"\bOR\b", re.I), "|"),
-                  (re.compile(r"\bNOT\b", re.I), "~"), (re.compile(r"(?<![<>!=])=(?!=)"), "==")]
-
-
-def pandas_condition(sql: str) -> str:
-    """Translate a rule's simple SQL predicate (comparisons, AND/OR/NOT) for
-    ``DataFrame.eval``; ``&``/``|`` there bind like and/or."""
-    out = sql
-    for pat, rep in _SQL_TO_PANDAS:
-        out = pat.sub(rep, out)
-    return out
+_CMP = re.compile(r"(?<![<>!=])=(?!=)")
+
+
+def compile_condition(sql: str):
+    """Compile a rule's SQL predicate (comparisons joined by AND / OR) once into
+    a function of a dict of numpy column arrays.  Each comparison is
+    parenthesised, so Python's ``&`` / ``|`` keep SQL's AND-over-OR precedence.
+    Anything else (NOT, nested parentheses) falls back to ``DataFrame.eval``.
+    """
+    if re.search(r"\bNOT\b|[()]", sql, re.I):
+        expr = _CMP.sub("==", re.sub(r"\bAND\b", "&", re.sub(r"\bOR\b", "|", sql, flags=re.I),
+                                      flags=re.I))
+        expr = re.sub(r"\bNOT\b", "~", expr, flags=re.I)
+        return lambda cols, frame: pd.DataFrame(cols).eval(expr).to_numpy(dtype=bool)
+    ors = re.split(r"\s+OR\s+", sql.strip(), flags=re.I)
+    py = " | ".join("(" + " & ".join(f"({_CMP.sub('==', a)})" for a in
+                                      re.split(r"\s+AND\s+", part, flags=re.I)) + ")"
+                    for part in ors)
+    code = compile(py, "<rule>", "eval")
+    return lambda cols, frame: np.asarray(eval(code, {"__builtins__": {}}, cols), dtype=bool)
+
+
+def compile_value(sql: str):
+    """A rule's observed / threshold expression: a column name or an eval."""
+    name = sql.strip()
+    if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
+        return lambda cols, frame: np.asarray(cols[name], dtype=np.float64)
+    return lambda cols, frame: pd.DataFrame(cols).eval(name).to_numpy(dtype=np.float64)
 
 
 def union_inputs(readings: DataFrame, configs: DataFrame) -> DataFrame:
@@ -115,56 +132,68 @@ def _newer_or_equal(a, b) -> bool:
 
 def _fold(rules, alert_time_from: str):
     n = len(rules)
-    conds = [pandas_condition(r.condition) for r in rules]
-    obs = [r.observed for r in rules]
-    thr = [r.threshold for r in rules]
-    cols = [f.name for f in ALERT_MESSAGE.fields]
+    conds = [compile_condition(r.condition) for r in rules]
+    obs = [compile_value(r.observed) for r in rules]
+    thr = [compile_value(r.threshold) for r in rules]
+    out_cols = [f.name for f in ALERT_MESSAGE.fields]
+
+    fields = _state_schema(n).fieldNames()
+    fresh = {"has_cfg": False, "user_id": None, "updated_ms": None, "seq": None,
+             **{c: None for c in THRESHOLD_COLUMNS},
+             **{f"s{i}": None for i in range(n)}, **{f"x{i}": 0 for i in range(n)}}
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        st = dict(zip(_state_schema(n).fieldNames(), state.get)) if state.exists else \
-            {"has_cfg": False, "updated_ms": None,
-             **{f"s{i}": None for i in range(n)}, **{f"x{i}": 0 for i in range(n)}}
-        cfg = pdf[pdf["kind"] == "c"]
-        if len(cfg):
-            newest = cfg.sort_values(["updated_ms", "seq", "user_id"],
-                                     na_position="first", kind="stable").iloc[-1]
-            cand = (_num(newest["updated_ms"]), _num(newest["seq"]))
-            old = (st["updated_ms"], st.get("seq"))
-            if not st["has_cfg"] or _newer_or_equal(cand, old):
-                st.update({"has_cfg": True, "user_id": newest["user_id"],
+        frames = list(pdfs)
+        pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        st = dict(zip(fields, state.get)) if state.exists else dict(fresh)
+        kind = pdf["kind"].to_numpy()
+        is_cfg = kind == "c"
+        if is_cfg.any():
+            c = pdf[is_cfg]
+            upd = c["updated_ms"].to_numpy(dtype=np.float64)
+            seq = c["seq"].to_numpy(dtype=np.float64)
+            users = c["user_id"].astype(str).to_numpy()
+            # newest (updated, seq, user) wins; NULL sorts lowest
+            order = np.lexsort((users, np.nan_to_num(seq, nan=-np.inf),
+                                np.nan_to_num(upd, nan=-np.inf)))
+            j = int(order[-1])
+            cand = (_num(upd[j]), _num(seq[j]))
+            if not st["has_cfg"] or _newer_or_equal(cand, (st["updated_ms"], st["seq"])):
+                row = c.iloc[j]
+                st.update({"has_cfg": True, "user_id": row["user_id"],
                            "updated_ms": cand[0], "seq": cand[1],
-                           **{c: float(newest[c]) for c in THRESHOLD_COLUMNS}})
-        rd = pdf[pdf["kind"] == "r"]
+                           **{k: float(row[k]) for k in THRESHOLD_COLUMNS}})
         out = []
-        if len(rd) and st["has_cfg"]:
-            rd = rd.sort_values(["t", "tie"], kind="stable").reset_index(drop=True)
-            rd = rd.assign(**{c: st[c] for c in THRESHOLD_COLUMNS})
-            rd[MEASURE_COLUMNS] = rd[MEASURE_COLUMNS].fillna(0.0)
-            t = rd["t"].to_numpy(dtype=np.int64)
+        if st["has_cfg"] and not is_cfg.all():
+            rd = pdf[~is_cfg]
+            t_raw = rd["t"].to_numpy(dtype=np.int64)
+            order = np.lexsort((rd["tie"].to_numpy(dtype=np.int64), t_raw))
+            t = t_raw[order]
+            cols = {m: np.nan_to_num(rd[m].to_numpy(dtype=np.float64)[order], nan=0.0)
+                    for m in MEASURE_COLUMNS}
+            cols.update({k: np.full(len(t), st[k], dtype=np.float64) for k in THRESHOLD_COLUMNS})
+            batch_ms = rd["batch_ms"].to_numpy(dtype=np.int64)[order]
             for i, r in enumerate(rules):
-                cond = rd.eval(conds[i]).fillna(False).to_numpy(dtype=bool)
-                s_in = st[f"s{i}"]
-                idx, start, s_out = candidates(t, cond.copy(), s_in, r.duration_ms)
-                x_in = int(st[f"x{i}"] or 0)
-                em, x_out = emit_chain(t[idx].tolist(), x_in, r.cooldown_ms)
+                cond = conds[i](cols, None)
+                idx, start, s_out = candidates(t, cond.copy(), st[f"s{i}"], r.duration_ms)
+                em, x_out = emit_chain(t[idx].tolist(), int(st[f"x{i}"] or 0), r.cooldown_ms)
                 st[f"s{i}"] = s_out
                 st[f"x{i}"] = int(x_out)
                 if em:
                     sel = idx[np.asarray(em, dtype=np.int64)]
-                    when = t[sel] if alert_time_from == "event" else rd["batch_ms"].to_numpy()[sel]
+                    when = t[sel] if alert_time_from == "event" else batch_ms[sel]
                     out.append(pd.DataFrame({
                         "alert_time": pd.to_datetime(when, unit="ms", utc=True)
                         .strftime("%Y-%m-%dT%H:%M:%S.%f").str.slice(0, 23) + "Z",
                         "user_id": st["user_id"], "device_id": key[0], "rule": r.name,
                         "severity": r.severity, "metric": r.metric,
-                        "observed_value": rd.eval(obs[i]).to_numpy(dtype=np.float64)[sel],
-                        "threshold_value": rd.eval(thr[i]).to_numpy(dtype=np.float64)[sel],
+                        "observed_value": obs[i](cols, None)[sel],
+                        "threshold_value": thr[i](cols, None)[sel],
                         "window_start_ms": start[sel].astype(np.int64),
                         "window_end_ms": t[sel]}))
-        state.update(tuple(st.get(f) for f in _state_schema(n).fieldNames()))
+        state.update(tuple(st.get(f) for f in fields))
         if out:
-            yield pd.concat(out, ignore_index=True)[cols]
+            yield pd.concat(out, ignore_index=True)[out_cols]
     return fn
 
 
