@@ -448,12 +448,14 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
                   .withColumn("_pid", F.spark_partition_id())
                   .checkpoint(eager=True))
 
-    summ_a = [r.asDict() for r in staged.mapInPandas(_pass_a(len(rules)), _SUMMARY_A).collect()]
+    # the summary passes only need keys, times and conditions
+    narrow = staged.select("_pid", "_k", "t", *[f"c{i}" for i in range(len(rules))])
+    summ_a = [r.asDict() for r in narrow.mapInPandas(_pass_a(len(rules)), _SUMMARY_A).collect()]
     s_in_map = _fold_starts(summ_a, rules)
     entry_map = {}
     if s_in_map:
         summ_b = [r.asDict() for r in
-                  staged.mapInPandas(_pass_b(rules, s_in_map), _SUMMARY_B).collect()]
+                  narrow.mapInPandas(_pass_b(rules, s_in_map), _SUMMARY_B).collect()]
         x_in_map = _fold_cooldowns(summ_a, summ_b, rules)
         entry_map = {pid: (s_in_map[pid], x_in_map[pid]) for pid in s_in_map}
     raw = staged.mapInPandas(_pass_c(rules, entry_map), _ALERT_ROWS)

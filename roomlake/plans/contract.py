@@ -24,7 +24,7 @@ from roomlake.operators.breaches import detect_breaches, rule_matches
 from roomlake.operators.checks import run_checks
 from roomlake.operators.config import join_config, latest_config
 from roomlake.schemas import ALERT_MESSAGE, MEASURES
-from roomlake.session import scratch_path
+from roomlake.session import scratch_path, ship_package
 from roomlake.settings import DEFAULT_RULES, with_timing
 from roomlake.sources import testdata
 from roomlake.sources.files import (read_bronze_readings, read_sensor_csv, read_threshold_csv,
@@ -340,7 +340,18 @@ def stream_hourly_rollup_q(spark, sf):
     return t.select("device_id", _ts("hour_ts", HOUR_FMT), *cols)
 
 
-QUERIES = {
+def _in_utc(fn):
+    """Contract outputs are defined in UTC whatever the caller's session zone."""
+    def run(spark, sf):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
+        return fn(spark, sf)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_QUERIES = {
     "readings_projection": readings_projection,
     "reading_json_roundtrip": reading_json_roundtrip,
     "config_json_parse": config_json_parse,
@@ -366,3 +377,5 @@ QUERIES = {
     "stream_alerts": stream_alerts_q,
     "stream_hourly_rollup": stream_hourly_rollup_q,
 }
+
+QUERIES = {name: _in_utc(fn) for name, fn in _QUERIES.items()}

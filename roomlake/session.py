@@ -34,12 +34,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting one only for local masters."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -61,3 +65,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``roomlake`` importable in executor Python workers (``--py-files``).
+
+    Zips the package once per SparkContext and registers it with
+    ``addPyFile``; Spark distributes it to every executor.  A no-op when the
+    session is remote (Spark Connect) or the package is already shipped.
+    """
+    import os
+    import zipfile
+
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return
+    if getattr(sc, "_roomlake_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="roomlake-pyfiles-"), "roomlake.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    sc._roomlake_shipped = True
