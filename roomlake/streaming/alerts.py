@@ -14,9 +14,10 @@ used before the fold, so no reading is ever dropped as late (STR-1).
 
 State lives in the query's checkpoint (``checkpointLocation``), so a
 restart resumes episodes and cooldowns (STR-9).  ``alert_time`` is the
-micro-batch timestamp (``current_timestamp()``), which Spark replays
-unchanged when a batch is retried, so a repeated delivery carries the same
-silver key.
+micro-batch timestamp (``current_timestamp()``, which Spark replays unchanged
+when a batch is retried) plus the alert's rank within its rule in
+microseconds, so a repeated delivery carries the same silver key while two
+alerts of one batch never share one.
 """
 
 from __future__ import annotations
@@ -130,6 +131,18 @@ def _newer_or_equal(a, b) -> bool:
     return key(a) >= key(b)
 
 
+def _alert_times(end_ms: np.ndarray, batch_ms: np.ndarray, mode: str):
+    """ISO alert times.  ``event``: the trigger reading's time (ms).  ``batch``:
+    the micro-batch timestamp plus the alert's rank in microseconds, so the
+    alerts of one rule in one batch keep distinct silver keys, and a replayed
+    batch reproduces them exactly."""
+    if mode == "event":
+        return (pd.to_datetime(end_ms, unit="ms", utc=True)
+                .strftime("%Y-%m-%dT%H:%M:%S.%f").str.slice(0, 23) + "Z")
+    us = batch_ms.astype(np.int64) * 1000 + np.arange(len(batch_ms), dtype=np.int64)
+    return pd.to_datetime(us, unit="us", utc=True).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+
+
 def _fold(rules, alert_time_from: str):
     n = len(rules)
     conds = [compile_condition(r.condition) for r in rules]
@@ -181,10 +194,8 @@ def _fold(rules, alert_time_from: str):
                 st[f"x{i}"] = int(x_out)
                 if em:
                     sel = idx[np.asarray(em, dtype=np.int64)]
-                    when = t[sel] if alert_time_from == "event" else batch_ms[sel]
                     out.append(pd.DataFrame({
-                        "alert_time": pd.to_datetime(when, unit="ms", utc=True)
-                        .strftime("%Y-%m-%dT%H:%M:%S.%f").str.slice(0, 23) + "Z",
+                        "alert_time": _alert_times(t[sel], batch_ms[sel], alert_time_from),
                         "user_id": st["user_id"], "device_id": key[0], "rule": r.name,
                         "severity": r.severity, "metric": r.metric,
                         "observed_value": obs[i](cols, None)[sel],
