@@ -28,18 +28,22 @@ BREACH_COLUMNS = ["pk_alert_hour_id", "device_id", "hour_ts", "severity", "rule"
                   "breach_count"]
 
 
-def _since(df: DataFrame, ts_col: str, now, lookback_hours: int, incremental: bool):
+def _since(df: DataFrame, ts_col: str, now, lookback_hours: int, incremental: bool,
+           cutoff: _dt.datetime | None = None):
     if not incremental:
         return df
-    if now is None:
-        raise ValueError("incremental runs need 'now'")
-    return df.where(F.col(ts_col) >= ts_literal(lookback_cutoff(now, lookback_hours)))
+    if cutoff is None:
+        if now is None:
+            raise ValueError("incremental runs need 'now' or an explicit cutoff")
+        cutoff = lookback_cutoff(now, lookback_hours)
+    return df.where(F.col(ts_col) >= ts_literal(cutoff))
 
 
 def hourly_device_rollup(silver: DataFrame, now: _dt.datetime | None = None,
-                         lookback_hours: int = 2, incremental: bool = False) -> DataFrame:
+                         lookback_hours: int = 2, incremental: bool = False,
+                         cutoff: _dt.datetime | None = None) -> DataFrame:
     """One aggregation feeding both gold_sensor_hourly_metrics and occupancy rate."""
-    base = _since(silver, "event_ts", now, lookback_hours, incremental)
+    base = _since(silver, "event_ts", now, lookback_hours, incremental, cutoff)
     aggs = []
     for m in METRIC_MEASURES:
         aggs += [F.avg(m).alias(f"avg_{m}"), F.min(m).alias(f"min_{m}"),
@@ -62,9 +66,10 @@ def hourly_occupancy_rate(silver: DataFrame, **kw) -> DataFrame:
 
 
 def hourly_breach_counts(silver_alerts: DataFrame, now: _dt.datetime | None = None,
-                         lookback_hours: int = 2, incremental: bool = False) -> DataFrame:
+                         lookback_hours: int = 2, incremental: bool = False,
+                         cutoff: _dt.datetime | None = None) -> DataFrame:
     """AGG-3: alerts per device, hour, severity and rule."""
-    base = _since(silver_alerts, "alert_ts", now, lookback_hours, incremental)
+    base = _since(silver_alerts, "alert_ts", now, lookback_hours, incremental, cutoff)
     agg = (base.groupBy("device_id", hour_ts("alert_ts").alias("hour_ts"), "severity", "rule")
                .agg(F.count(F.lit(1)).alias("breach_count")))
     return (agg.withColumn("pk_alert_hour_id",

@@ -34,6 +34,14 @@ SILVER_ALERT_COLUMNS = ["pk_alert_event_id", "alert_ts", "alert_date", "alert_ho
                         "window_end_ms", "rnk"]
 
 
+def _cutoff(now, lookback_hours, cutoff):
+    if cutoff is not None:
+        return cutoff
+    if now is None:
+        raise ValueError("incremental runs need 'now' or an explicit cutoff")
+    return lookback_cutoff(now, lookback_hours)
+
+
 def _keep_first(df: DataFrame, key: list[str], order_cols: list[str]) -> DataFrame:
     w = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_last() for c in order_cols])
     return (df.withColumn("rnk", F.row_number().over(w).cast("bigint"))
@@ -41,7 +49,8 @@ def _keep_first(df: DataFrame, key: list[str], order_cols: list[str]) -> DataFra
 
 
 def silver_readings(bronze: DataFrame, now: _dt.datetime | None = None,
-                    lookback_hours: int = 2, incremental: bool = False) -> DataFrame:
+                    lookback_hours: int = 2, incremental: bool = False,
+                    cutoff: _dt.datetime | None = None) -> DataFrame:
     """Bronze readings (event_time string, or event_ts timestamp) -> silver rows.
 
     ``incremental`` applies the look-back filter ``event_ts >= date_trunc('hour',
@@ -58,9 +67,7 @@ def silver_readings(bronze: DataFrame, now: _dt.datetime | None = None,
                           *[F.col(m).cast("double").alias(m) for m in MEASURES],
                           F.col("occupancy").cast("int").alias("occupancy")))
     if incremental:
-        if now is None:
-            raise ValueError("incremental runs need 'now'")
-        base = base.where(F.col("event_ts") >= ts_literal(lookback_cutoff(now, lookback_hours)))
+        base = base.where(F.col("event_ts") >= ts_literal(_cutoff(now, lookback_hours, cutoff)))
     keyed = base.select(
         surrogate_key(base, READING_KEY).alias("pk_sensor_event_id"),
         "event_ts",
@@ -71,7 +78,8 @@ def silver_readings(bronze: DataFrame, now: _dt.datetime | None = None,
 
 
 def silver_alerts(bronze: DataFrame, now: _dt.datetime | None = None,
-                  lookback_hours: int = 2, incremental: bool = False) -> DataFrame:
+                  lookback_hours: int = 2, incremental: bool = False,
+                  cutoff: _dt.datetime | None = None) -> DataFrame:
     """Bronze alerts (alert_time string) -> silver alert rows."""
     if "alert_ts" in bronze.columns:
         ts = F.col("alert_ts").cast("timestamp")
@@ -87,9 +95,7 @@ def silver_alerts(bronze: DataFrame, now: _dt.datetime | None = None,
                           F.col("window_start_ms").cast("bigint").alias("window_start_ms"),
                           F.col("window_end_ms").cast("bigint").alias("window_end_ms")))
     if incremental:
-        if now is None:
-            raise ValueError("incremental runs need 'now'")
-        base = base.where(F.col("alert_ts") >= ts_literal(lookback_cutoff(now, lookback_hours)))
+        base = base.where(F.col("alert_ts") >= ts_literal(_cutoff(now, lookback_hours, cutoff)))
     keyed = base.select(
         surrogate_key(base, ALERT_KEY).alias("pk_alert_event_id"),
         "alert_ts",

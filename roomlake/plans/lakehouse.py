@@ -45,9 +45,21 @@ class RunReport:
 
 def run_lakehouse(spark: SparkSession, paths: LakePaths, now: _dt.datetime,
                   full_refresh: bool = False, run_checks_after: bool = True,
-                  lookback_hours: int = 2, bronze_slack_days: int = 1) -> RunReport:
+                  lookback_hours: int = 2, bronze_slack_days: int = 1,
+                  cutoff_from: str = "clock") -> RunReport:
+    """``cutoff_from="clock"``: re-process from ``date_trunc('hour', now - lookback)``
+    (the source's rule).  ``"high_water_mark"``: from the silver readings'
+    ``max(event_ts) - lookback`` (AGG-5), so a late replay of old readings
+    up to that mark is still picked up."""
     report = RunReport()
     cutoff = lookback_cutoff(now, lookback_hours)
+    sr_path0 = paths.table("silver_iot_sensor_readings")
+    if cutoff_from == "high_water_mark" and not full_refresh and tables.table_exists(spark, sr_path0):
+        mark = tables.high_water_mark(tables.read_table(spark, sr_path0), "event_ts",
+                                      lookback=f"{int(lookback_hours)} hours")
+        us = mark.select(F.unix_micros("hwm")).first()[0]      # zone-free transfer
+        hwm = _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=us)
+        cutoff = min(cutoff, hwm.replace(minute=0, second=0, microsecond=0))
     since = (cutoff - _dt.timedelta(days=bronze_slack_days)).date()
 
     # --- silver readings -------------------------------------------------
@@ -56,7 +68,7 @@ def run_lakehouse(spark: SparkSession, paths: LakePaths, now: _dt.datetime,
     bronze_r = read_bronze_readings(spark, paths.bronze_readings,
                                     since_date=since if inc else None)
     sr = silver.silver_readings(bronze_r, now=now, lookback_hours=lookback_hours,
-                                incremental=inc)
+                                incremental=inc, cutoff=cutoff)
     report.actions["silver_iot_sensor_readings"] = tables.upsert(
         spark, sr_path, sr, "pk_sensor_event_id", "event_date", full_refresh=not inc)
 
@@ -66,7 +78,7 @@ def run_lakehouse(spark: SparkSession, paths: LakePaths, now: _dt.datetime,
     bronze_a = read_bronze_alerts(spark, paths.bronze_alerts,
                                   since_date=since if inc_a else None)
     sa = silver.silver_alerts(bronze_a, now=now, lookback_hours=lookback_hours,
-                              incremental=inc_a)
+                              incremental=inc_a, cutoff=cutoff)
     report.actions["silver_threshold_breached_alerts"] = tables.upsert(
         spark, sa_path, sa, "pk_alert_event_id", "alert_date", full_refresh=not inc_a)
 
@@ -81,7 +93,7 @@ def run_lakehouse(spark: SparkSession, paths: LakePaths, now: _dt.datetime,
     if inc_g:
         silver_r = silver_r.where(F.col("event_date") >= F.lit(cutoff.date().isoformat()).cast("date"))
     rollup = (gold.hourly_device_rollup(silver_r, now=now, lookback_hours=lookback_hours,
-                                        incremental=inc_g)
+                                        incremental=inc_g, cutoff=cutoff)
               .withColumn("hour_date", F.to_date("hour_ts"))
               .persist())
     try:
@@ -98,7 +110,7 @@ def run_lakehouse(spark: SparkSession, paths: LakePaths, now: _dt.datetime,
     if inc_b:
         silver_a = silver_a.where(F.col("alert_date") >= F.lit(cutoff.date().isoformat()).cast("date"))
     breaches = (gold.hourly_breach_counts(silver_a, now=now, lookback_hours=lookback_hours,
-                                          incremental=inc_b)
+                                          incremental=inc_b, cutoff=cutoff)
                 .withColumn("hour_date", F.to_date("hour_ts")))
     report.actions["gold_hourly_breach_counts"] = tables.replace_slice(
         spark, gb_path, breaches, "hour_ts", cutoff, full_refresh=not inc_b)

@@ -106,3 +106,24 @@ def test_incremental_runs_equal_full_build(spark, tmp_path):
         else:
             assert ra == rb, name
     assert_checks(lake_checks(spark, pi))
+
+
+def test_high_water_mark_cutoff_picks_up_late_replays(spark, tmp_path):
+    """A replay of old readings after the clock look-back is missed by the
+    clock cutoff (as the source) but merged with the high-water-mark cutoff."""
+    sf = SF001
+    root = str(tmp_path / uuid.uuid4().hex)
+    late = dt.datetime(2024, 1, 25)
+    _bronze(spark, root, sf, upto=late)
+    paths = LakePaths(f"{root}/bronze_r", f"{root}/bronze_a", f"{root}/lake")
+    run_lakehouse(spark, paths, now=late, full_refresh=True)
+    n0 = tables.read_table(spark, paths.table("silver_iot_sensor_readings")).count()
+    _bronze(spark, root, sf, since=late)           # arrives later, old event times
+    run_lakehouse(spark, paths, now=dt.datetime(2024, 3, 1))
+    n_clock = tables.read_table(spark, paths.table("silver_iot_sensor_readings")).count()
+    run_lakehouse(spark, paths, now=dt.datetime(2024, 3, 1), cutoff_from="high_water_mark",
+                  lookback_hours=2)
+    n_hwm = tables.read_table(spark, paths.table("silver_iot_sensor_readings")).count()
+    total = testdata.readings(spark, sf).count()
+    assert n_clock == n0 < total
+    assert n_hwm == total
