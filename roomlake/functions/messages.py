@@ -52,7 +52,8 @@ def config_messages(configs: DataFrame) -> DataFrame:
     return to_messages(configs, key, CONFIG_MESSAGE, CONFIG_EVENT_TYPE, CONFIG_PRODUCER)
 
 
-def alert_message_key(df=None) -> Column:
+def alert_message_key() -> Column:
+    """Alerts are keyed user_id:device_id:rule (ordering per user, device and rule)."""
     return F.concat_ws(":", F.col("user_id"), F.col("device_id"), F.col("rule"))
 
 

@@ -39,20 +39,6 @@ from roomlake.settings import DEFAULT_RULES
 
 MEASURE_COLUMNS = ["temperature", "humidity", "light", "co2", "humidity_ratio", "occupancy"]
 
-UNION_SCHEMA = T.StructType([
-    T.StructField("device_id", T.StringType()),
-    T.StructField("kind", T.StringType()),          # 'c' config, 'r' reading
-    T.StructField("t", T.LongType()),               # reading event time, ms
-    T.StructField("tie", T.LongType()),
-    T.StructField("updated_ms", T.LongType()),
-    T.StructField("seq", T.LongType()),
-    T.StructField("user_id", T.StringType()),
-    *[T.StructField(c, T.DoubleType()) for c in THRESHOLD_COLUMNS],
-    *[T.StructField(c, T.DoubleType()) for c in MEASURE_COLUMNS],
-    T.StructField("batch_ms", T.LongType()),
-])
-
-
 def _state_schema(n_rules: int) -> T.StructType:
     return T.StructType([
         T.StructField("has_cfg", T.BooleanType()),

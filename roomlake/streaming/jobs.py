@@ -14,13 +14,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from roomlake.functions.columns import iso_instant
 from roomlake.functions.messages import alert_messages, parse_configs, parse_readings
 from roomlake.operators import gold
-from roomlake.schemas import MEASURES
 from roomlake.streaming.alerts import stream_alerts, union_inputs
 
 
@@ -47,12 +45,21 @@ def file_values(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 def reading_stream(values: DataFrame) -> DataFrame:
     """Parsed readings with ``event_ts``; malformed lines are dropped here and
-    kept by ``bronze_quarantine_query``."""
+    kept by ``corrupt_readings`` (see ``start_alert_job(quarantine_path=...)``)."""
     parsed = parse_readings(values)
     return (parsed.where(~F.col("_corrupt")).drop("_corrupt")
                   .withColumn("event_ts", iso_instant("event_time")))
 
 
+def corrupt_readings(values: DataFrame) -> DataFrame:
+    """The raw lines ``reading_stream`` rejects, with the receive time."""
+    parsed = parse_readings(values.withColumn("raw", F.col("value")))
+    return (parsed.where(F.col("_corrupt"))
+                  .select(F.col("raw").alias("value"),
+                          F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+                          .alias("received_at")))
+
+
 def config_stream(values: DataFrame) -> DataFrame:
     return parse_configs(values).where(~F.col("_corrupt")).drop("_corrupt")
 
@@ -98,11 +105,13 @@ def console_query(df: DataFrame, trigger: dict | None = None) -> StreamingQuery:
 def start_alert_job(spark: SparkSession, readings_values: DataFrame, config_values: DataFrame,
                     bronze_readings: str, bronze_alerts: str, checkpoint_root: str,
                     rules=None, trigger: dict | None = None, alert_sink=None,
-                    alert_time_from: str = "batch") -> list[StreamingQuery]:
+                    alert_time_from: str = "batch",
+                    quarantine_path: str | None = None) -> list[StreamingQuery]:
     """Start the bronze-readings copy and the alerting query.
 
     ``alert_sink(alerts) -> StreamingQuery`` adds a message sink (Kafka in
-    production); alerts always go to the bronze alerts table.
+    production); alerts always go to the bronze alerts table.  With
+    ``quarantine_path`` a third query keeps the malformed reading lines.
     """
     from roomlake.settings import DEFAULT_RULES
 
@@ -115,6 +124,9 @@ def start_alert_job(spark: SparkSession, readings_values: DataFrame, config_valu
                            alert_time_from)
     q2 = bronze_query(alerts, bronze_alerts, f"{root}/alerts", trigger)
     queries = [q1, q2]
+    if quarantine_path:
+        queries.append(bronze_query(corrupt_readings(readings_values), quarantine_path,
+                                    f"{root}/quarantine", trigger))
     if alert_sink is not None:
         queries.append(alert_sink(alerts))
     return queries
@@ -139,14 +151,3 @@ def stream_hourly_rollup(readings: DataFrame, delay: str = "30 seconds") -> Data
                          *[a for a in [f"{x}_{m}" for m in gold.METRIC_MEASURES
                                        for x in ("avg", "min", "max")]],
                          "avg_humidity_ratio", "occupancy_rate", "readings"))
-
-
-READING_FILE_SCHEMA = T.StructType([
-    T.StructField("event_time", T.StringType()), T.StructField("device_id", T.StringType()),
-    *[T.StructField(m, T.DoubleType()) for m in MEASURES],
-    T.StructField("occupancy", T.IntegerType()),
-])
-
-
-def parse_event_ts(df: DataFrame) -> DataFrame:
-    return df.withColumn("event_ts", iso_instant("event_time"))

@@ -57,3 +57,16 @@ def test_brute_force_agrees_with_traces(num):
     got = sorted((a[2], a[4], a[3]) for a in brute_alerts(events, DEFAULT_RULES))
     want = sorted((r, base + e * 1000, base + s * 1000) for r, e, s in expected)
     assert got == want
+
+
+def test_user_device_config_key_fans_out(spark):
+    """config_key=user_device: each user keeps a config and gets own alerts."""
+    from traces import CFG, every
+    u2 = {**CFG, "user_id": "user_002", "temperature_warning_threshold": 26.0,
+          "temperature_violation_threshold": 28.0, "no_occupancy_light_threshold": 30.0}
+    rd, cf = frames(spark, [CFG, u2], every(0, 1200, temp=29))
+    cfg = latest_config(cf, key=("user_id", "device_id"))
+    out = detect_breaches(join_config(rd, cfg), DEFAULT_RULES)
+    got = sorted((r.user_id, r.rule, (r.window_end_ms - T0) // 1000) for r in out.collect())
+    assert got == [("user_001", "TEMP_WARNING", 1200), ("user_002", "TEMP_VIOLATION", 600),
+                   ("user_002", "TEMP_VIOLATION", 1200), ("user_002", "TEMP_WARNING", 1200)]

@@ -25,7 +25,7 @@ def test_live_job_feeds_the_lakehouse(spark, tmp_path):
     rules = with_timing(DEFAULT_RULES)
     qs = start_alert_job(spark, file_values(spark, f"{root}/in_r"), file_values(spark, f"{root}/in_c"),
                          f"{root}/bronze_r", f"{root}/bronze_a", f"{root}/ck", rules,
-                         trigger={"availableNow": True})
+                         trigger={"availableNow": True}, quarantine_path=f"{root}/quarantine")
     for q in qs:
         q.awaitTermination()
     paths = LakePaths(f"{root}/bronze_r", f"{root}/bronze_a", f"{root}/lake")
@@ -43,3 +43,5 @@ def test_live_job_feeds_the_lakehouse(spark, tmp_path):
                    ("TEMP_WARNING", 1800, 0)]
     bc = tables.read_table(spark, paths.table("gold_hourly_breach_counts"))
     assert bc.agg(F.sum("breach_count")).first()[0] == len(got)
+    bad = spark.read.json(f"{root}/quarantine").collect()
+    assert [r.value for r in bad] == ["not json"]
