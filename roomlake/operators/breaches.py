@@ -105,17 +105,6 @@ def _estimate_partitions(df: DataFrame, rows_per_partition: int) -> int:
 # numpy kernels (one run = one key's rows inside one partition, sorted)
 # --------------------------------------------------------------------------
 
-def _runs(keys: np.ndarray) -> np.ndarray:
-    """Start offsets of runs of equal keys, plus the end sentinel."""
-    n = len(keys)
-    if n == 0:
-        return np.array([0], dtype=np.int64)
-    change = np.empty(n, dtype=bool)
-    change[0] = True
-    change[1:] = keys[1:] != keys[:-1]
-    return np.append(np.flatnonzero(change), n)
-
-
 def seen_starts(t: np.ndarray, cond: np.ndarray, s_in):
     """Episode start each row sees before it is processed (-1 = none) and
     the start left behind after the run (None = no episode).
@@ -177,32 +166,64 @@ def emit_chain(ct: list, x_in: int, cd: int):
     return out, x
 
 
-def cooldown_transfer(ct: np.ndarray, t_first: int, cd: int):
-    """Step function x_in -> x_out of a run entered with any x_in <= t_first.
+class ChainTransfer:
+    """Incremental cooldown transfer of one run entered with any x_in <= t_first.
 
-    Returns (thresholds, ends): x_out is ends[j] for the first j with
-    thresholds[j] >= x_in + cd, else x_in unchanged.
+    Candidate times are fed in order, in chunks.  Every candidate in the first
+    cooldown window after ``t_first`` (and the first one beyond it) can be the
+    first alert, depending on x_in; each such entry starts a chain.  Chains
+    that alert on the same candidate merge for good, so after the first
+    window the few distinct chains are advanced by jumps, chunk by chunk.
+    ``result()`` gives (thresholds, ends): x_out = ends[j] for the first j
+    with thresholds[j] >= x_in + cooldown, else x_in.
     """
-    m = len(ct)
-    if m == 0:
-        return [], []
-    if cd <= 0:
-        return [int(INT64_MAX)], [int(ct[-1])]
-    nxt = np.searchsorted(ct, ct + cd, side="left")
-    g = np.where(nxt < m, nxt, np.arange(m))
-    for _ in range(max(1, int(m).bit_length())):
-        g2 = g[g]
-        if np.array_equal(g2, g):
-            break
-        g = g2
-    ends = ct[g]
-    jstar = int(np.searchsorted(ct, t_first + cd, side="left"))
-    last = min(jstar, m - 1)
-    thr = ct[:last + 1]
-    en = ends[:last + 1]
-    keep = np.ones(len(en), dtype=bool)
-    keep[:-1] = en[1:] != en[:-1]
-    return [int(v) for v in thr[keep]], [int(v) for v in en[keep]]
+
+    def __init__(self, t_first: int, cd: int):
+        self.t_first, self.cd = int(t_first), int(cd)
+        self.chains: dict[int, list[int]] = {}   # last alert -> entry thresholds
+        self.collecting = True
+        self.last_seen = None
+
+    def feed(self, ct: list) -> None:
+        if not ct:
+            return
+        self.last_seen = ct[-1]
+        if self.cd <= 0:
+            return
+        cd, i = self.cd, 0
+        while self.collecting and i < len(ct):
+            c = ct[i]
+            fire = [last for last in self.chains if last <= c - cd]
+            if fire:
+                merged = self.chains.setdefault(c, [])
+                for last in fire:
+                    if last != c:
+                        merged.extend(self.chains.pop(last))
+            self.chains.setdefault(c, []).append(c)       # entry starting here
+            if c >= self.t_first + cd:
+                self.collecting = False
+            i += 1
+        rest = ct[i:]
+        if rest and self.chains:
+            moved: dict[int, list[int]] = {}
+            for last, entries in self.chains.items():
+                _, x = emit_chain(rest, last, cd)
+                moved.setdefault(x, []).extend(entries)
+            self.chains = moved
+
+    def result(self):
+        if self.last_seen is None:
+            return [], []
+        if self.cd <= 0:
+            return [int(INT64_MAX)], [int(self.last_seen)]
+        pairs = sorted((thr, end) for end, entries in self.chains.items() for thr in entries)
+        thr, ends = [], []
+        for k, (a, e) in enumerate(pairs):
+            if k + 1 < len(pairs) and pairs[k + 1][1] == e:
+                continue                      # keep the last threshold of a block
+            thr.append(int(a))
+            ends.append(int(e))
+        return thr, ends
 
 
 def apply_transfer(thr: list, ends: list, x_in: int, cd: int) -> int:
@@ -213,25 +234,37 @@ def apply_transfer(thr: list, ends: list, x_in: int, cd: int) -> int:
 
 
 # --------------------------------------------------------------------------
-# the three passes
+# the three passes: each streams its partition's Arrow batches in order and
+# carries the state of the run in progress across batch boundaries, so a
+# task holds one batch, never a whole partition or key
 # --------------------------------------------------------------------------
 
-def _partitions(batches):
-    """(pid, rows) per staged partition in this task.
+def _segments(batches, n_rules: int):
+    """(pid, key, new_partition, new_run, t, conds, frame, lo, hi) per run segment.
 
     The partition id is a column stamped before the checkpoint, not the
     task's index, which changes when the frame is unioned or re-planned.
     """
-    frames = [b for b in batches if len(b)]
-    if not frames:
-        return
-    pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-    pids = pdf["_pid"].to_numpy()
-    if pids[0] == pids[-1]:
-        yield int(pids[0]), pdf
-        return
-    for pid in pd.unique(pids):
-        yield int(pid), pdf[pids == pid].reset_index(drop=True)
+    prev_pid, prev_key = None, None
+    for pdf in batches:
+        n = len(pdf)
+        if not n:
+            continue
+        pids = pdf["_pid"].to_numpy()
+        keys = pdf["_k"].to_numpy()
+        t = pdf["t"].to_numpy(dtype=np.int64)
+        conds = [pdf[f"c{i}"].to_numpy(dtype=bool) for i in range(n_rules)]
+        change = np.empty(n, dtype=bool)
+        change[0] = True
+        change[1:] = (keys[1:] != keys[:-1]) | (pids[1:] != pids[:-1])
+        starts = np.flatnonzero(change)
+        ends = np.append(starts[1:], n)
+        for lo, hi in zip(starts.tolist(), ends.tolist()):
+            pid, key = int(pids[lo]), keys[lo]
+            new_part = pid != prev_pid
+            new_run = new_part or key != prev_key
+            yield pid, key, new_part, new_run, t, conds, pdf, lo, hi
+            prev_pid, prev_key = pid, key
 
 
 _SUMMARY_A = T.StructType([
@@ -253,63 +286,90 @@ _SUMMARY_B = T.StructType([
 
 
 def _pass_a(n_rules: int):
-    def run(batches):
-        for pid, pdf in _partitions(batches):
-            yield _summary_a(pid, pdf)
+    """Per partition: first / last key, and how the episode start leaves it:
+    lead-run has_false and first non-zero true time before its first false
+    (fnz), and the start after the last run entered fresh (s_exit)."""
+    def summary(st):
+        return {"pid": st["pid"], "first_k": st["first_k"], "last_k": st["last_k"],
+                "t_first": st["t_first"], "has_false": list(st["has_false"]),
+                "fnz": list(st["fnz"]), "s_exit": list(st["s"])}
 
-    def _summary_a(pid, pdf):
-        keys = pdf["_k"].to_numpy()
-        t = pdf["t"].to_numpy(dtype=np.int64)
-        b = _runs(keys)
-        lead_end = b[1]
-        tail_start = b[-2]
-        has_false, fnz, s_exit = [], [], []
-        for i in range(n_rules):
-            c = pdf[f"c{i}"].to_numpy(dtype=bool)
-            lc = c[:lead_end]
-            lt = t[:lead_end]
-            hf = bool((~lc).any())
-            prefix = lc if not hf else lc[:int(np.argmin(lc))]
-            nz = np.flatnonzero(prefix & (lt[:len(prefix)] != 0))
-            has_false.append(hf)
-            fnz.append(int(lt[nz[0]]) if len(nz) else None)
-            _, _, s_out = seen_starts(t[tail_start:], c[tail_start:].copy(), None)
-            s_exit.append(s_out)
-        return pd.DataFrame({"pid": [pid], "first_k": [keys[0]],
-                            "last_k": [keys[-1]], "t_first": [int(t[0])],
-                            "has_false": [has_false], "fnz": [fnz], "s_exit": [s_exit]})
+    def run(batches):
+        out, st = [], None
+        for pid, key, new_part, new_run, t, conds, _pdf, lo, hi in _segments(batches, n_rules):
+            if new_part:
+                if st is not None:
+                    out.append(summary(st))
+                st = {"pid": pid, "first_k": key, "t_first": int(t[lo]), "lead": True,
+                      "has_false": [False] * n_rules, "open": [True] * n_rules,
+                      "fnz": [None] * n_rules, "s": [None] * n_rules}
+            elif new_run:
+                st["lead"] = False
+                st["s"] = [None] * n_rules
+            st["last_k"] = key
+            tt = t[lo:hi]
+            for i in range(n_rules):
+                c = conds[i][lo:hi]
+                if st["lead"] and st["open"][i]:
+                    f = int(np.argmin(c)) if not c.all() else len(c)
+                    if st["fnz"][i] is None:
+                        nz = np.flatnonzero(tt[:f] != 0)
+                        if len(nz):
+                            st["fnz"][i] = int(tt[nz[0]])
+                    if f < len(c):
+                        st["open"][i] = False
+                        st["has_false"][i] = True
+                _, _, st["s"][i] = seen_starts(tt, c.copy(), st["s"][i])
+        if st is not None:
+            out.append(summary(st))
+        if out:
+            yield pd.DataFrame(out)
     return run
 
 
-def _pass_b(rules, s_in_map):
+def _pass_b(rules, single_cont):
+    """Per partition: the exit last-alert time of its last run entered fresh,
+    and for single-key partitions that continue a key the cooldown transfer
+    (entered with the known episode start ``single_cont[pid]``)."""
     durs = [r.duration_ms for r in rules]
     cds = [r.cooldown_ms for r in rules]
+    n = len(rules)
 
-    def run(batches):
-        for pid, pdf in _partitions(batches):
-            yield _summary_b(pid, pdf)
+    def summary(st):
+        thr, ends = [], []
+        for i in range(n):
+            a, b = st["xfer"][i].result() if st["xfer"] else ([], [])
+            thr.append(a)
+            ends.append(b)
+        return {"pid": st["pid"], "thr": thr, "ends": ends, "x_exit": [int(v) for v in st["x"]]}
 
-    def _summary_b(pid, pdf):
-        keys = pdf["_k"].to_numpy()
-        t = pdf["t"].to_numpy(dtype=np.int64)
-        b = _runs(keys)
-        s_in = s_in_map.get(pid)
-        thr_all, ends_all, x_exit = [], [], []
-        for i in range(len(rules)):
-            c = pdf[f"c{i}"].to_numpy(dtype=bool)
-            thr, ends = [], []
-            if len(b) == 2 and s_in is not None:
-                idx, _, _ = candidates(t, c.copy(), s_in[i], durs[i])
-                thr, ends = cooldown_transfer(t[idx], int(t[0]), cds[i])
-            # tail run entered fresh (only used when it is not the lead run)
-            lo = b[-2]
-            idx, _, _ = candidates(t[lo:], c[lo:].copy(), None, durs[i])
-            _, x = emit_chain(t[lo:][idx].tolist(), 0, cds[i])
-            thr_all.append(thr)
-            ends_all.append(ends)
-            x_exit.append(int(x))
-        return pd.DataFrame({"pid": [pid], "thr": [thr_all], "ends": [ends_all],
-                             "x_exit": [x_exit]})
+    def run(batches):
+        out, st = [], None
+        for pid, _key, new_part, new_run, t, conds, _pdf, lo, hi in _segments(batches, n):
+            if new_part:
+                if st is not None:
+                    out.append(summary(st))
+                s_in = single_cont.get(pid)
+                st = {"pid": pid, "s": [None] * n, "x": [0] * n, "xs": None,
+                      "xfer": [ChainTransfer(int(t[lo]), cds[i]) for i in range(n)]
+                      if s_in is not None else None}
+                if s_in is not None:
+                    st["xs"] = list(s_in)          # start state along the single run
+            elif new_run:
+                st["s"] = [None] * n
+                st["x"] = [0] * n
+            tt = t[lo:hi]
+            for i in range(n):
+                c = conds[i][lo:hi]
+                idx, _, st["s"][i] = candidates(tt, c.copy(), st["s"][i], durs[i])
+                _, st["x"][i] = emit_chain(tt[idx].tolist(), st["x"][i], cds[i])
+                if st["xfer"] is not None:
+                    idx2, _, st["xs"][i] = candidates(tt, c.copy(), st["xs"][i], durs[i])
+                    st["xfer"][i].feed(tt[idx2].tolist())
+        if st is not None:
+            out.append(summary(st))
+        if out:
+            yield pd.DataFrame(out)
     return run
 
 
@@ -317,62 +377,63 @@ _ALERT_ROWS = T.StructType([f for f in ALERT_MESSAGE.fields if f.name != "alert_
 
 
 def _pass_c(rules, entry_map):
+    """Replay every run with its exact entry state and emit the alerts."""
     durs = [r.duration_ms for r in rules]
     cds = [r.cooldown_ms for r in rules]
+    n = len(rules)
+    names = np.array([r.name for r in rules], dtype=object)
+    sev = np.array([r.severity for r in rules], dtype=object)
+    met = np.array([r.metric for r in rules], dtype=object)
     out_cols = _ALERT_ROWS.fieldNames()
 
-    def run(batches):
-        for pid, pdf in _partitions(batches):
-            out = _emit(pid, pdf)
-            if out is not None:
-                yield out
-
-    def _emit(pid, pdf):
-        keys = pdf["_k"].to_numpy()
-        t = pdf["t"].to_numpy(dtype=np.int64)
-        b = _runs(keys)
-        entry = entry_map.get(pid)
-        rows_idx, rows_rule, rows_start = [], [], []
-        for i in range(len(rules)):
-            c = pdf[f"c{i}"].to_numpy(dtype=bool)
-            for r in range(len(b) - 1):
-                lo, hi = int(b[r]), int(b[r + 1])
-                s0, x0 = (None, 0)
-                if r == 0 and entry is not None:
-                    s0, x0 = entry[0][i], entry[1][i]
-                idx, start, _ = candidates(t[lo:hi], c[lo:hi].copy(), s0, durs[i])
-                if len(idx) == 0:
-                    continue
-                em, _ = emit_chain(t[lo:hi][idx].tolist(), x0, cds[i])
-                if not em:
-                    continue
-                sel = idx[np.asarray(em, dtype=np.int64)]
-                rows_idx.append(sel + lo)
-                rows_rule.append(np.full(len(sel), i))
-                rows_start.append(start[sel])
-        if not rows_idx:
+    def flush(pdf, t, parts):
+        if not parts:
             return None
-        ix = np.concatenate(rows_idx)
-        ri = np.concatenate(rows_rule)
-        st = np.concatenate(rows_start)
+        ix = np.concatenate([p[0] for p in parts])
+        ri = np.concatenate([p[1] for p in parts])
+        st = np.concatenate([p[2] for p in parts])
         obs = np.empty(len(ix), dtype=np.float64)
         thr = np.empty(len(ix), dtype=np.float64)
-        for i in range(len(rules)):
+        for i in range(n):
             m = ri == i
             if m.any():
                 obs[m] = pdf[f"o{i}"].to_numpy(dtype=np.float64)[ix[m]]
                 thr[m] = pdf[f"h{i}"].to_numpy(dtype=np.float64)[ix[m]]
-        names = np.array([r.name for r in rules], dtype=object)
-        sev = np.array([r.severity for r in rules], dtype=object)
-        met = np.array([r.metric for r in rules], dtype=object)
-        out = pd.DataFrame({
+        frame = pd.DataFrame({
             "user_id": pdf["user_id"].to_numpy()[ix],
             "device_id": pdf["device_id"].to_numpy()[ix],
             "rule": names[ri], "severity": sev[ri], "metric": met[ri],
             "observed_value": obs, "threshold_value": thr,
             "window_start_ms": st.astype(np.int64), "window_end_ms": t[ix],
         })
-        return out[out_cols]
+        return frame[out_cols]
+
+    def run(batches):
+        s, x = [None] * n, [0] * n
+        cur_pdf, cur_t, parts = None, None, []
+        for pid, _key, new_part, new_run, t, conds, pdf, lo, hi in _segments(batches, n):
+            if pdf is not cur_pdf:
+                res = flush(cur_pdf, cur_t, parts)
+                if res is not None:
+                    yield res
+                cur_pdf, cur_t, parts = pdf, t, []
+            if new_run:
+                entry = entry_map.get(pid) if new_part else None
+                s = list(entry[0]) if entry else [None] * n
+                x = list(entry[1]) if entry else [0] * n
+            tt = t[lo:hi]
+            for i in range(n):
+                c = conds[i][lo:hi]
+                idx, start, s[i] = candidates(tt, c.copy(), s[i], durs[i])
+                if not len(idx):
+                    continue
+                em, x[i] = emit_chain(tt[idx].tolist(), x[i], cds[i])
+                if em:
+                    sel = idx[np.asarray(em, dtype=np.int64)]
+                    parts.append((sel + lo, np.full(len(sel), i), start[sel]))
+        res = flush(cur_pdf, cur_t, parts)
+        if res is not None:
+            yield res
     return run
 
 
@@ -454,8 +515,10 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
     s_in_map = _fold_starts(summ_a, rules)
     entry_map = {}
     if s_in_map:
+        single = {r["pid"] for r in summ_a if r["first_k"] == r["last_k"]}
+        single_cont = {pid: v for pid, v in s_in_map.items() if pid in single}
         summ_b = [r.asDict() for r in
-                  narrow.mapInPandas(_pass_b(rules, s_in_map), _SUMMARY_B).collect()]
+                  narrow.mapInPandas(_pass_b(rules, single_cont), _SUMMARY_B).collect()]
         x_in_map = _fold_cooldowns(summ_a, summ_b, rules)
         entry_map = {pid: (s_in_map[pid], x_in_map[pid]) for pid in s_in_map}
     raw = staged.mapInPandas(_pass_c(rules, entry_map), _ALERT_ROWS)

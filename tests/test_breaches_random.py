@@ -5,7 +5,7 @@ import random
 import pytest
 
 from brute import brute_alerts
-from roomlake.operators.breaches import (apply_transfer, cooldown_transfer, detect_breaches,
+from roomlake.operators.breaches import (ChainTransfer, apply_transfer, detect_breaches,
                                          emit_chain)
 from roomlake.operators.config import join_config, latest_config
 from roomlake.settings import DEFAULT_RULES, with_timing
@@ -53,17 +53,38 @@ def test_engine_equals_sequential_rule(spark, seed, parts, dur, cd):
 
 def test_cooldown_transfer_matches_replay():
     rnd = random.Random(7)
-    for _ in range(300):
-        ct = sorted(rnd.randrange(0, 5000) for _ in range(rnd.randrange(0, 40)))
-        cd = rnd.choice([1, 50, 300, 1000])
-        if not ct:
-            continue
+    for _ in range(400):
+        ct = sorted(rnd.randrange(0, 5000) for _ in range(rnd.randrange(1, 40)))
+        cd = rnd.choice([0, 1, 50, 300, 1000])
         t_first = ct[0] - rnd.randrange(0, 100)
-        thr, ends = cooldown_transfer(__import__("numpy").array(ct), t_first, cd)
-        for x in range(t_first - 2 * cd, t_first + 1, max(1, cd // 7)):
+        xf = ChainTransfer(t_first, cd)
+        i = 0
+        while i < len(ct):                      # random chunking, as Arrow batches
+            k = rnd.randrange(1, 6)
+            xf.feed(ct[i:i + k])
+            i += k
+        thr, ends = xf.result()
+        for x in range(t_first - 2 * max(cd, 1), t_first + 1, max(1, cd // 7)):
             assert apply_transfer(thr, ends, x, cd) == emit_chain(ct, x, cd)[1]
 
 
+def test_tiny_arrow_batches(spark):
+    """Runs spanning many Arrow batches carry their state across batches."""
+    rules = with_timing(DEFAULT_RULES, 300, 600)
+    configs, readings = random_case(5)
+    rd, cf = frames(spark, configs, readings)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        alerts = detect_breaches(join_config(rd, latest_config(cf)), rules, num_partitions=6)
+        got = sorted((a.user_id, a.device_id, a.rule, a.window_start_ms, a.window_end_ms,
+                      a.observed_value, a.threshold_value) for a in alerts.collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    ordered = sorted(enumerate(readings), key=lambda p: (p[1]["device_id"], p[1]["t"], p[0]))
+    events = [("config", c) for c in configs] + [("reading", r) for _, r in ordered]
+    assert got == brute_alerts(events, rules)
+
+
 def test_union_of_alerts_with_itself_is_stable(spark):
     """Carries are keyed by a stamped partition column, not by task index,
     so a plan that unions the alerts with themselves stays exact."""
