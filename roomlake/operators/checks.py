@@ -1,10 +1,10 @@
 """Data-quality checks (CHK-1 unique, CHK-2 not null, CHK-3 required columns).
 
-All checks of one run are evaluated as one Spark job: each contributes a
-one-row aggregate and the rows are unioned, so the driver receives
-(table, column, check, failures) records, never data.  ``unique`` counts
-keys seen more than once with a partial aggregation, so duplicated hot keys
-are combined before the shuffle.
+All checks of one run are evaluated as one Spark job: each table contributes
+one grouped pass (both checks) and the rows are unioned, so the driver
+receives (table, column, check, failures) records, never data.  Keys are
+counted with a partial aggregation, so duplicated hot keys are combined
+before the shuffle.
 """
 
 from __future__ import annotations
@@ -32,15 +32,20 @@ def not_null_violations(df: DataFrame, col: str) -> DataFrame:
 
 
 def check_frame(name: str, df: DataFrame, col: str) -> DataFrame:
-    """Two rows: unique and not_null failure counts for one key column."""
-    dup = (unique_violations(df, col).agg(F.count(F.lit(1)).alias("failures"))
-           .select(F.lit(name).alias("table_name"), F.lit(col).alias("column_name"),
-                   F.lit("unique").alias("check_name"), "failures"))
-    nul = (df.agg(F.sum(F.col(col).isNull().cast("long")).alias("failures"))
-             .select(F.lit(name).alias("table_name"), F.lit(col).alias("column_name"),
-                     F.lit("not_null").alias("check_name"),
-                     F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures")))
-    return dup.unionByName(nul)
+    """Two rows (unique, not_null failure counts) from one grouped pass.
+
+    Rows are counted per key with a partial aggregate; NULL keys form their
+    own group, so both checks come out of the same shuffle.
+    """
+    per_key = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    totals = per_key.agg(
+        F.coalesce(F.sum(F.when(F.col(col).isNotNull() & (F.col("n") > 1), 1)), F.lit(0))
+         .cast("long").alias("unique"),
+        F.coalesce(F.sum(F.when(F.col(col).isNull(), F.col("n"))), F.lit(0))
+         .cast("long").alias("not_null"))
+    return totals.select(F.lit(name).alias("table_name"), F.lit(col).alias("column_name"),
+                         F.expr("stack(2, 'unique', `unique`, 'not_null', `not_null`)")
+                          .alias("check_name", "failures"))
 
 
 def run_checks(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
