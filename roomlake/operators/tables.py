@@ -67,12 +67,17 @@ def upsert(spark: SparkSession, path: str, updates: DataFrame, key: str,
     if full_refresh or not table_exists(spark, path):
         _write(updates, path, [partition_col], dynamic=False)
         return "created"
-    # touched partitions: one value per day, so a tiny list on the driver
-    touched = [r[0] for r in updates.select(partition_col).distinct().collect()]
-    target = read_table(spark, path).where(_partition_filter(touched, partition_col))
-    kept = target.join(updates.select(key), on=key, how="left_anti")
-    merged = kept.unionByName(updates.select(*target.columns))
-    _write(merged, path, [partition_col], dynamic=True)
+    # the update batch feeds three steps; keep it (recomputable from bronze)
+    updates = updates.persist()
+    try:
+        # touched partitions: one value per day, so a tiny list on the driver
+        touched = [r[0] for r in updates.select(partition_col).distinct().collect()]
+        target = read_table(spark, path).where(_partition_filter(touched, partition_col))
+        kept = target.join(updates.select(key), on=key, how="left_anti")
+        merged = kept.unionByName(updates.select(*target.columns))
+        _write(merged, path, [partition_col], dynamic=True)
+    finally:
+        updates.unpersist()
     return "merged"
 
 
@@ -110,13 +115,16 @@ def replace_slice(spark: SparkSession, path: str, new_rows: DataFrame, ts_col: s
     target = read_table(spark, path)
     survivors = target.where((F.col(partition_col) == F.lit(cut_date).cast("date"))
                              & (F.col(ts_col) < cut))
-    fresh = new_rows.where(F.col(ts_col) >= cut).select(*target.columns)
-    merged = survivors.unionByName(fresh)
-    written = {str(r[0]) for r in merged.select(partition_col).distinct().collect()}
-    existing = [v for v in _partition_values(spark, path, partition_col) if v >= cut_date]
-    if written:
-        _write(merged, path, [partition_col], dynamic=True)
-    _delete_partitions(spark, path, partition_col, [v for v in existing if v not in written])
+    fresh = new_rows.where(F.col(ts_col) >= cut).select(*target.columns).persist()
+    try:
+        merged = survivors.unionByName(fresh)
+        written = {str(r[0]) for r in merged.select(partition_col).distinct().collect()}
+        existing = [v for v in _partition_values(spark, path, partition_col) if v >= cut_date]
+        if written:
+            _write(merged, path, [partition_col], dynamic=True)
+        _delete_partitions(spark, path, partition_col, [v for v in existing if v not in written])
+    finally:
+        fresh.unpersist()
     return "replaced"
 
 
