@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roomlake.functions.columns import iso_instant
+
 THRESHOLD_COLUMNS = ["temperature_warning_threshold", "temperature_violation_threshold",
                      "no_occupancy_light_threshold"]
 
@@ -24,12 +26,19 @@ DEFAULT_BROADCAST_MAX_ROWS = 10_000_000
 
 
 def latest_config(updates: DataFrame, key: tuple[str, ...] = ("device_id",),
-                  order: tuple[str, ...] = ("updated_ts", "seq")) -> DataFrame:
+                  order: tuple[str, ...] = ("updated_ts", "updatedAtMillis", "seq",
+                                            "user_id")) -> DataFrame:
     """One row per ``key``: the update with the greatest ``order`` tuple.
 
     ``key=("device_id",)`` reproduces the source (last writer wins per device);
     ``key=("user_id", "device_id")`` keeps one config per user and device.
+    Order columns that are absent are skipped; configs that only carry the
+    ISO ``updated_at`` string are ordered by its parsed instant.  ``user_id``
+    last makes ties deterministic.
     """
+    if not any(c in updates.columns for c in ("updated_ts", "updatedAtMillis")) \
+            and "updated_at" in updates.columns:
+        updates = updates.withColumn("updated_ts", iso_instant("updated_at"))
     order = tuple(c for c in order if c in updates.columns)
     if not order:
         raise ValueError("need at least one ordering column")

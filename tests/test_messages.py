@@ -70,3 +70,18 @@ def test_message_shapes(spark):
 def test_required_columns():
     with pytest.raises(RuntimeError, match="missing columns"):
         require_columns(["date", "Temperature"], ["date", "Temperature", "CO2"], "iot csv")
+
+
+def test_latest_config_from_parsed_messages(spark):
+    from roomlake.functions.messages import config_messages, parse_configs
+    from roomlake.operators.config import latest_config
+    rows = [("2024-01-01T00:00:00Z", "user_001", "dev_123", 28.0, 30.0, 40.0),
+            ("2024-01-02T00:00:00+01:00", "user_002", "dev_123", 26.0, 28.0, 30.0),
+            ("2023-12-31T00:00:00Z", "user_003", "dev_123", 20.0, 22.0, 10.0)]
+    cfg = spark.createDataFrame(rows, "updated_at string, user_id string, device_id string, "
+                                "temperature_warning_threshold double, "
+                                "temperature_violation_threshold double, "
+                                "no_occupancy_light_threshold double")
+    parsed = parse_configs(config_messages(cfg))
+    assert latest_config(parsed).first().user_id == "user_002"
+    assert latest_config(cfg).first().user_id == "user_002"     # ISO string only
