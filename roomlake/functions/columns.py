@@ -36,6 +36,14 @@ def iso_instant(c) -> Column:
     return F.when(s.rlike(ISO_INSTANT_RE), F.try_to_timestamp(s))
 
 
+def naive_as_utc(c) -> Column:
+    """Timestamp string -> TIMESTAMP, reading strings without an offset as UTC
+    (not the session zone); strings with an offset or 'Z' keep theirs."""
+    s = F.trim(_c(c))
+    has_zone = s.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    return F.try_to_timestamp(F.when(has_zone, s).otherwise(F.concat(s, F.lit("Z"))))
+
+
 def epoch_millis(ts) -> Column:
     return F.unix_millis(_c(ts))
 

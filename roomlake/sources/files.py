@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomlake.functions.columns import iso_utc_string
+from roomlake.functions.columns import iso_utc_string, naive_as_utc
 from roomlake.operators.checks import require_columns
 from roomlake.schemas import (ALERT_MESSAGE, BRONZE_READING, SENSOR_CSV_COLUMNS,
                               THRESHOLD_CSV_COLUMNS)
@@ -49,7 +49,7 @@ def read_threshold_csv(spark: SparkSession, path: str) -> DataFrame:
 def sensor_csv_to_readings(csv: DataFrame, device_id: str | Column = DEFAULT_DEVICE_ID) -> DataFrame:
     """PRJ-5: CSV row -> reading message columns; date normalised to UTC '...Z'."""
     dev = device_id if isinstance(device_id, Column) else F.lit(device_id)
-    ts = F.to_timestamp(F.col("date"))
+    ts = naive_as_utc("date")
     return csv.select(
         iso_utc_string(ts).alias("event_time"),
         dev.alias("device_id"),
