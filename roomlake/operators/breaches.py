@@ -56,8 +56,9 @@ KEY_SEP = "\x1f"
 INT64_MAX = np.iinfo(np.int64).max
 NULL_AS_ZERO = ["temperature", "humidity", "light", "co2", "humidity_ratio", "occupancy"]
 
-# Default rows per partition of the range shuffle: a partition is replayed in
-# one pandas frame of ~(24 + 17 x rules) bytes a row.
+# Target rows per range partition when the planner knows the row count;
+# otherwise spark.sql.shuffle.partitions (or num_partitions) decides.  Memory
+# does not depend on it: partitions are streamed batch by batch.
 DEFAULT_ROWS_PER_PARTITION = 2_000_000
 
 
@@ -74,7 +75,8 @@ def rule_columns(joined: DataFrame, rules=DEFAULT_RULES, null_as_zero: bool = Tr
     Absent numeric fields count as 0 by default, as in the source's typed
     messages, so a missing occupancy reads as "unoccupied".
     """
-    df = joined
+    # a reading without event time or device cannot be placed in a sequence
+    df = joined.where(F.col(t_col).isNotNull() & F.col("device_id").isNotNull())
     if null_as_zero:
         df = df.fillna(0, subset=[c for c in NULL_AS_ZERO if c in df.columns])
     ties = [c for c in tie_cols if c in df.columns]
@@ -155,7 +157,10 @@ def emit_chain(ct: list, x_in: int, cd: int):
     if m == 0:
         return [], x_in
     if cd <= 0:
-        return list(range(m)), ct[-1]
+        # after the first alert every later candidate passes; the first one
+        # must still clear x_in (a late, older reading may not)
+        j = bisect.bisect_left(ct, x_in + cd)
+        return list(range(j, m)), (ct[-1] if j < m else x_in)
     out = []
     x = x_in
     j = bisect.bisect_left(ct, x + cd)

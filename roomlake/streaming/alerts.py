@@ -188,7 +188,8 @@ def _fold(rules, alert_time_from: str):
                         "threshold_value": thr[i](cols, None)[sel],
                         "window_start_ms": start[sel].astype(np.int64),
                         "window_end_ms": t[sel]}))
-        state.update(tuple(st.get(f) for f in fields))
+        if st["has_cfg"]:           # readings of unknown devices leave no state behind
+            state.update(tuple(st.get(f) for f in fields))
         if out:
             yield pd.concat(out, ignore_index=True)[out_cols]
     return fn

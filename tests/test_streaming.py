@@ -98,3 +98,15 @@ def test_traces_split_over_restarts(spark, tmp_path, num):
                 [reading_msg(r) for r in p]) for j, p in enumerate(parts)]
     want = sorted(("user_001", r, ms(e), ms(s)) for r, e, s in expected)
     assert run_batches(spark, tmp_path, batches) == want
+
+
+def test_late_older_reading_with_zero_cooldown(spark, tmp_path):
+    """cooldown 0: a late reading older than the last alert fails t - last >= 0."""
+    from roomlake.settings import with_timing
+    rules = with_timing(DEFAULT_RULES, 60, 0)
+    b1 = [reading_msg(r) for r in every(0, 600, temp=31)]          # alerts 60..600
+    b2 = [reading_msg(reading(300, temp=31)), reading_msg(reading(660, temp=31))]
+    got = run_batches(spark, tmp_path, [([config_msg(CFG, 0)], b1), ([], b2)], rules)
+    late = [g for g in got if g[2] == ms(300) and g[1] == "TEMP_VIOLATION"]
+    assert len(late) == 1                     # only the in-order one from batch 1
+    assert ("user_001", "TEMP_VIOLATION", ms(660), ms(0)) in got
