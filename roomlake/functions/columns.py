@@ -31,8 +31,14 @@ def _c(c) -> Column:
 
 
 def iso_instant(c) -> Column:
-    """Parse an ISO-8601 instant with offset; NULL when absent or malformed."""
-    s = F.trim(_c(c))
+    """Parse an ISO-8601 instant with offset; NULL when absent or malformed.
+
+    As ISO parsers do, letters are case-insensitive and seconds optional
+    ('...T17:51Z'); Spark's cast needs upper case and seconds, so both are
+    normalised first.
+    """
+    s = F.upper(F.trim(_c(c)))
+    s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(Z|[+-])", "$1:00$2")
     return F.when(s.rlike(ISO_INSTANT_RE), F.try_to_timestamp(s))
 
 
