@@ -129,7 +129,7 @@ def _alert_times(end_ms: np.ndarray, batch_ms: np.ndarray, mode: str):
     return pd.to_datetime(us, unit="us", utc=True).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
 
 
-def _fold(rules, alert_time_from: str):
+def _fold(rules, alert_time_from: str, null_as_zero: bool = True):
     n = len(rules)
     conds = [compile_condition(r.condition) for r in rules]
     obs = [compile_value(r.observed) for r in rules]
@@ -168,8 +168,9 @@ def _fold(rules, alert_time_from: str):
             t_raw = rd["t"].to_numpy(dtype=np.int64)
             order = np.lexsort((rd["tie"].to_numpy(dtype=np.int64), t_raw))
             t = t_raw[order]
-            cols = {m: np.nan_to_num(rd[m].to_numpy(dtype=np.float64)[order], nan=0.0)
-                    for m in MEASURE_COLUMNS}
+            cols = {m: rd[m].to_numpy(dtype=np.float64)[order] for m in MEASURE_COLUMNS}
+            if null_as_zero:       # absent numeric fields read as 0, as typed messages do
+                cols = {m: np.nan_to_num(v, nan=0.0) for m, v in cols.items()}
             cols.update({k: np.full(len(t), st[k], dtype=np.float64) for k in THRESHOLD_COLUMNS})
             batch_ms = rd["batch_ms"].to_numpy(dtype=np.int64)[order]
             for i, r in enumerate(rules):
@@ -195,9 +196,14 @@ def _fold(rules, alert_time_from: str):
     return fn
 
 
-def stream_alerts(union: DataFrame, rules=DEFAULT_RULES, alert_time_from: str = "batch") -> DataFrame:
-    """Streaming alerts (ALERT_MESSAGE schema) from ``union_inputs`` rows."""
+def stream_alerts(union: DataFrame, rules=DEFAULT_RULES, alert_time_from: str = "batch",
+                  null_as_zero: bool = True) -> DataFrame:
+    """Streaming alerts (ALERT_MESSAGE schema) from ``union_inputs`` rows.
+
+    ``null_as_zero=False`` lets a missing measure make its conditions false
+    (NULL comparisons) instead of reading it as 0.
+    """
     rules = tuple(rules)
     return (union.groupBy("device_id")
-                 .applyInPandasWithState(_fold(rules, alert_time_from), ALERT_MESSAGE,
+                 .applyInPandasWithState(_fold(rules, alert_time_from, null_as_zero), ALERT_MESSAGE,
                                          _state_schema(len(rules)), "append", "NoTimeout"))
