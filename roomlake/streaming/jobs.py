@@ -24,13 +24,21 @@ from roomlake.streaming.alerts import stream_alerts, union_inputs
 
 # --- sources -------------------------------------------------------------
 
-def kafka_values(spark: SparkSession, servers: str, topic: str, starting: str) -> DataFrame:
+# Upper bound of records per micro-batch: a device's rows of one micro-batch
+# are folded in one Python call, so this bounds that call's memory.
+DEFAULT_MAX_OFFSETS_PER_TRIGGER = 2_000_000
+
+
+def kafka_values(spark: SparkSession, servers: str, topic: str, starting: str,
+                 max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
     """SRC-1/2: topic -> (key, value) strings."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", starting)
-            .load()
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic)
+         .option("startingOffsets", starting))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return (r.load()
             .select(F.col("key").cast("string").alias("key"),
                     F.col("value").cast("string").alias("value")))
 
