@@ -23,10 +23,49 @@ from pyspark.sql import functions as F
 from roomlake.functions.columns import ts_literal
 
 
+class _LocalFS:
+    """Local-path stand-in for the Hadoop FileSystem when the session has no
+    JVM handle (Spark Connect clients); cluster paths need the JVM route."""
+
+    class _Status:
+        def __init__(self, path):
+            self._p = path
+
+        def getPath(self):
+            return self
+
+        def getName(self):
+            import os
+            return os.path.basename(self._p)
+
+        def isDirectory(self):
+            import os
+            return os.path.isdir(self._p)
+
+    def exists(self, p):
+        import os
+        return os.path.exists(p)
+
+    def delete(self, p, recursive):
+        import shutil
+        shutil.rmtree(p, ignore_errors=True)
+
+    def listStatus(self, p):
+        import os
+        return [self._Status(os.path.join(p, n)) for n in sorted(os.listdir(p))]
+
+
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
+    try:
+        sc = spark.sparkContext
+        jvm = sc._jvm
+    except Exception:
+        local = path[len("file:"):] if path.startswith("file:") else path
+        if "://" in local:
+            raise
+        return _LocalFS(), local
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
