@@ -107,14 +107,29 @@ def _estimate_partitions(df: DataFrame, rows_per_partition: int) -> int:
 # numpy kernels (one run = one key's rows inside one partition, sorted)
 # --------------------------------------------------------------------------
 
-def seen_starts(t: np.ndarray, cond: np.ndarray, s_in):
+def gaps(t: np.ndarray, t_prev, max_gap) -> np.ndarray | None:
+    """Rows that follow more than ``max_gap`` ms of silence (None: feature off)."""
+    if max_gap is None:
+        return None
+    g = np.empty(len(t), dtype=bool)
+    g[0] = t_prev is not None and int(t[0]) - int(t_prev) > max_gap
+    g[1:] = (t[1:] - t[:-1]) > max_gap
+    return g
+
+
+def seen_starts(t: np.ndarray, cond: np.ndarray, s_in, t_prev=None, max_gap=None):
     """Episode start each row sees before it is processed (-1 = none) and
     the start left behind after the run (None = no episode).
 
-    ``s_in`` is the start entering the run (None or 0 = no episode).
+    ``s_in`` is the start entering the run (None or 0 = no episode).  With
+    ``max_gap`` (ms), a row after a longer silence since the previous reading
+    (``t_prev`` for the first row) closes the episode as a false row would.
     """
     n = len(t)
     head = ~cond
+    g = gaps(t, t_prev, max_gap)
+    if g is not None:
+        head = head | g
     head[0] = True
     island = np.cumsum(head) - 1
     marker = cond & (t != 0)
@@ -129,7 +144,7 @@ def seen_starts(t: np.ndarray, cond: np.ndarray, s_in):
     fm = first[island]
     valid = fm < idx
     start = np.where(valid, t[np.minimum(fm, n - 1)], -1)
-    inherit = s_in is not None and s_in != 0 and bool(cond[0])
+    inherit = s_in is not None and s_in != 0 and bool(cond[0]) and not (g is not None and g[0])
     if inherit:
         in0 = island == 0
         start = np.where(in0, s_in, start)
@@ -145,8 +160,8 @@ def seen_starts(t: np.ndarray, cond: np.ndarray, s_in):
     return start, valid, s_out
 
 
-def candidates(t, cond, s_in, dur):
-    start, valid, s_out = seen_starts(t, cond, s_in)
+def candidates(t, cond, s_in, dur, t_prev=None, max_gap=None):
+    start, valid, s_out = seen_starts(t, cond, s_in, t_prev, max_gap)
     cand = cond & valid & ((t - start) >= dur)
     return np.flatnonzero(cand), start, s_out
 
@@ -277,6 +292,7 @@ _SUMMARY_A = T.StructType([
     T.StructField("first_k", T.StringType()),
     T.StructField("last_k", T.StringType()),
     T.StructField("t_first", T.LongType()),
+    T.StructField("t_last", T.LongType()),
     T.StructField("has_false", T.ArrayType(T.BooleanType())),
     T.StructField("fnz", T.ArrayType(T.LongType())),
     T.StructField("s_exit", T.ArrayType(T.LongType())),
@@ -290,14 +306,16 @@ _SUMMARY_B = T.StructType([
 ])
 
 
-def _pass_a(n_rules: int):
-    """Per partition: first / last key, and how the episode start leaves it:
-    lead-run has_false and first non-zero true time before its first false
-    (fnz), and the start after the last run entered fresh (s_exit)."""
+def _pass_a(n_rules: int, max_gap=None):
+    """Per partition: first / last key and time, and how the episode start
+    leaves it: lead-run has_false (a false row or a silence gap) and first
+    non-zero true time before it (fnz), and the start after the last run
+    entered fresh (s_exit)."""
     def summary(st):
         return {"pid": st["pid"], "first_k": st["first_k"], "last_k": st["last_k"],
-                "t_first": st["t_first"], "has_false": list(st["has_false"]),
-                "fnz": list(st["fnz"]), "s_exit": list(st["s"])}
+                "t_first": st["t_first"], "t_last": st["t_last"],
+                "has_false": list(st["has_false"]), "fnz": list(st["fnz"]),
+                "s_exit": list(st["s"])}
 
     def run(batches):
         out, st = [], None
@@ -307,16 +325,19 @@ def _pass_a(n_rules: int):
                     out.append(summary(st))
                 st = {"pid": pid, "first_k": key, "t_first": int(t[lo]), "lead": True,
                       "has_false": [False] * n_rules, "open": [True] * n_rules,
-                      "fnz": [None] * n_rules, "s": [None] * n_rules}
+                      "fnz": [None] * n_rules, "s": [None] * n_rules, "t_last": None}
             elif new_run:
                 st["lead"] = False
                 st["s"] = [None] * n_rules
+                st["t_last"] = None
             st["last_k"] = key
             tt = t[lo:hi]
+            g = gaps(tt, st["t_last"], max_gap)
             for i in range(n_rules):
                 c = conds[i][lo:hi]
                 if st["lead"] and st["open"][i]:
-                    f = int(np.argmin(c)) if not c.all() else len(c)
+                    reset = ~c if g is None else (~c | g)
+                    f = int(np.argmax(reset)) if reset.any() else len(c)
                     if st["fnz"][i] is None:
                         nz = np.flatnonzero(tt[:f] != 0)
                         if len(nz):
@@ -324,7 +345,8 @@ def _pass_a(n_rules: int):
                     if f < len(c):
                         st["open"][i] = False
                         st["has_false"][i] = True
-                _, _, st["s"][i] = seen_starts(tt, c.copy(), st["s"][i])
+                _, _, st["s"][i] = seen_starts(tt, c.copy(), st["s"][i], st["t_last"], max_gap)
+            st["t_last"] = int(tt[-1])
         if st is not None:
             out.append(summary(st))
         if out:
@@ -332,10 +354,11 @@ def _pass_a(n_rules: int):
     return run
 
 
-def _pass_b(rules, single_cont):
+def _pass_b(rules, single_cont, max_gap=None):
     """Per partition: the exit last-alert time of its last run entered fresh,
     and for single-key partitions that continue a key the cooldown transfer
-    (entered with the known episode start ``single_cont[pid]``)."""
+    (entered with the known episode start and previous reading time
+    ``single_cont[pid]``)."""
     durs = [r.duration_ms for r in rules]
     cds = [r.cooldown_ms for r in rules]
     n = len(rules)
@@ -354,23 +377,29 @@ def _pass_b(rules, single_cont):
             if new_part:
                 if st is not None:
                     out.append(summary(st))
-                s_in = single_cont.get(pid)
-                st = {"pid": pid, "s": [None] * n, "x": [0] * n, "xs": None,
+                entry = single_cont.get(pid)
+                st = {"pid": pid, "s": [None] * n, "x": [0] * n, "xs": None, "t_last": None,
+                      "xt": None,
                       "xfer": [ChainTransfer(int(t[lo]), cds[i]) for i in range(n)]
-                      if s_in is not None else None}
-                if s_in is not None:
-                    st["xs"] = list(s_in)          # start state along the single run
+                      if entry is not None else None}
+                if entry is not None:
+                    st["xs"] = list(entry[0])      # start state along the single run
+                    st["xt"] = entry[1]            # previous reading time along it
             elif new_run:
                 st["s"] = [None] * n
                 st["x"] = [0] * n
+                st["t_last"] = None
             tt = t[lo:hi]
             for i in range(n):
                 c = conds[i][lo:hi]
-                idx, _, st["s"][i] = candidates(tt, c.copy(), st["s"][i], durs[i])
+                idx, _, st["s"][i] = candidates(tt, c.copy(), st["s"][i], durs[i],
+                                                st["t_last"], max_gap)
                 _, st["x"][i] = emit_chain(tt[idx].tolist(), st["x"][i], cds[i])
                 if st["xfer"] is not None:
-                    idx2, _, st["xs"][i] = candidates(tt, c.copy(), st["xs"][i], durs[i])
+                    idx2, _, st["xs"][i] = candidates(tt, c.copy(), st["xs"][i], durs[i],
+                                                      st["xt"], max_gap)
                     st["xfer"][i].feed(tt[idx2].tolist())
+            st["t_last"] = st["xt"] = int(tt[-1])
         if st is not None:
             out.append(summary(st))
         if out:
@@ -381,7 +410,7 @@ def _pass_b(rules, single_cont):
 _ALERT_ROWS = T.StructType([f for f in ALERT_MESSAGE.fields if f.name != "alert_time"])
 
 
-def _pass_c(rules, entry_map):
+def _pass_c(rules, entry_map, max_gap=None):
     """Replay every run with its exact entry state and emit the alerts."""
     durs = [r.duration_ms for r in rules]
     cds = [r.cooldown_ms for r in rules]
@@ -414,7 +443,7 @@ def _pass_c(rules, entry_map):
         return frame[out_cols]
 
     def run(batches):
-        s, x = [None] * n, [0] * n
+        s, x, t_last = [None] * n, [0] * n, None
         cur_pdf, cur_t, parts = None, None, []
         for pid, _key, new_part, new_run, t, conds, pdf, lo, hi in _segments(batches, n):
             if pdf is not cur_pdf:
@@ -426,10 +455,12 @@ def _pass_c(rules, entry_map):
                 entry = entry_map.get(pid) if new_part else None
                 s = list(entry[0]) if entry else [None] * n
                 x = list(entry[1]) if entry else [0] * n
+                t_last = entry[2] if entry else None
             tt = t[lo:hi]
+            t_prev, t_last = t_last, int(tt[-1])
             for i in range(n):
                 c = conds[i][lo:hi]
-                idx, start, s[i] = candidates(tt, c.copy(), s[i], durs[i])
+                idx, start, s[i] = candidates(tt, c.copy(), s[i], durs[i], t_prev, max_gap)
                 if not len(idx):
                     continue
                 em, x[i] = emit_chain(tt[idx].tolist(), x[i], cds[i])
@@ -450,18 +481,19 @@ class DetectionPlan:
     pass_b: bool
 
 
-def _fold_starts(summ_a, rules):
-    """Entry episode start per partition (only for partitions whose first key
-    continues the previous partition's last key)."""
+def _fold_starts(summ_a, rules, max_gap=None):
+    """Entry episode start and previous reading time per partition (only for
+    partitions whose first key continues the previous partition's last key)."""
     s_in_map, prev, prev_exit = {}, None, None
     for row in sorted(summ_a, key=lambda r: r["pid"]):
         cont = prev is not None and row["first_k"] == prev["last_k"]
         s_in = prev_exit if cont else None
         single = row["first_k"] == row["last_k"]
+        gap0 = cont and max_gap is not None and row["t_first"] - prev["t_last"] > max_gap
         if cont:
-            s_in_map[row["pid"]] = s_in
+            s_in_map[row["pid"]] = (s_in, prev["t_last"])
         if single:
-            base = s_in if s_in is not None else [None] * len(rules)
+            base = s_in if s_in is not None and not gap0 else [None] * len(rules)
             exit_ = [row["s_exit"][i] if row["has_false"][i]
                      else (base[i] if base[i] not in (None, 0) else row["fnz"][i])
                      for i in range(len(rules))]
@@ -494,12 +526,14 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
                     tie_cols=("event_id",), num_partitions: int | None = None,
                     rows_per_partition: int = DEFAULT_ROWS_PER_PARTITION,
                     alert_time_ms: int | None = None, null_as_zero: bool = True,
-                    return_plan: bool = False):
+                    max_gap_s: int | None = None, return_plan: bool = False):
     """Alerts (ALERT_MESSAGE schema) for readings already joined with thresholds.
 
     ``joined`` needs ``key_cols``, ``device_id``, ``user_id``, ``t`` (epoch
     ms) and the columns the rules reference.  ``alert_time`` is the trigger
-    reading's event time unless ``alert_time_ms`` fixes it.
+    reading's event time unless ``alert_time_ms`` fixes it.  ``max_gap_s``
+    (off by default, as in the source) lets a silence longer than that end
+    an episode.
     """
     rules = tuple(rules)
     key_cols = tuple(key_cols)
@@ -516,17 +550,19 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
 
     # the summary passes only need keys, times and conditions
     narrow = staged.select("_pid", "_k", "t", *[f"c{i}" for i in range(len(rules))])
-    summ_a = [r.asDict() for r in narrow.mapInPandas(_pass_a(len(rules)), _SUMMARY_A).collect()]
-    s_in_map = _fold_starts(summ_a, rules)
+    gap = None if max_gap_s is None else int(max_gap_s) * 1000
+    summ_a = [r.asDict() for r in
+              narrow.mapInPandas(_pass_a(len(rules), gap), _SUMMARY_A).collect()]
+    s_in_map = _fold_starts(summ_a, rules, gap)
     entry_map = {}
     if s_in_map:
         single = {r["pid"] for r in summ_a if r["first_k"] == r["last_k"]}
         single_cont = {pid: v for pid, v in s_in_map.items() if pid in single}
         summ_b = [r.asDict() for r in
-                  narrow.mapInPandas(_pass_b(rules, single_cont), _SUMMARY_B).collect()]
+                  narrow.mapInPandas(_pass_b(rules, single_cont, gap), _SUMMARY_B).collect()]
         x_in_map = _fold_cooldowns(summ_a, summ_b, rules)
-        entry_map = {pid: (s_in_map[pid], x_in_map[pid]) for pid in s_in_map}
-    raw = staged.mapInPandas(_pass_c(rules, entry_map), _ALERT_ROWS)
+        entry_map = {pid: (v[0], x_in_map[pid], v[1]) for pid, v in s_in_map.items()}
+    raw = staged.mapInPandas(_pass_c(rules, entry_map, gap), _ALERT_ROWS)
     when = F.lit(alert_time_ms) if alert_time_ms is not None else F.col("window_end_ms")
     alerts = raw.select(
         F.date_format(F.timestamp_millis(when), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")

@@ -45,6 +45,7 @@ def _state_schema(n_rules: int) -> T.StructType:
         T.StructField("user_id", T.StringType()),
         T.StructField("updated_ms", T.LongType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("t_last", T.LongType()),
         *[T.StructField(c, T.DoubleType()) for c in THRESHOLD_COLUMNS],
         *[T.StructField(f"s{i}", T.LongType()) for i in range(n_rules)],
         *[T.StructField(f"x{i}", T.LongType()) for i in range(n_rules)],
@@ -129,7 +130,7 @@ def _alert_times(end_ms: np.ndarray, batch_ms: np.ndarray, mode: str):
     return pd.to_datetime(us, unit="us", utc=True).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
 
 
-def _fold(rules, alert_time_from: str, null_as_zero: bool = True):
+def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
     n = len(rules)
     conds = [compile_condition(r.condition) for r in rules]
     obs = [compile_value(r.observed) for r in rules]
@@ -137,7 +138,7 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True):
     out_cols = [f.name for f in ALERT_MESSAGE.fields]
 
     fields = _state_schema(n).fieldNames()
-    fresh = {"has_cfg": False, "user_id": None, "updated_ms": None, "seq": None,
+    fresh = {"has_cfg": False, "user_id": None, "updated_ms": None, "seq": None, "t_last": None,
              **{c: None for c in THRESHOLD_COLUMNS},
              **{f"s{i}": None for i in range(n)}, **{f"x{i}": 0 for i in range(n)}}
 
@@ -175,7 +176,8 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True):
             batch_ms = rd["batch_ms"].to_numpy(dtype=np.int64)[order]
             for i, r in enumerate(rules):
                 cond = conds[i](cols, None)
-                idx, start, s_out = candidates(t, cond.copy(), st[f"s{i}"], r.duration_ms)
+                idx, start, s_out = candidates(t, cond.copy(), st[f"s{i}"], r.duration_ms,
+                                               st["t_last"], max_gap)
                 em, x_out = emit_chain(t[idx].tolist(), int(st[f"x{i}"] or 0), r.cooldown_ms)
                 st[f"s{i}"] = s_out
                 st[f"x{i}"] = int(x_out)
@@ -189,6 +191,8 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True):
                         "threshold_value": thr[i](cols, None)[sel],
                         "window_start_ms": start[sel].astype(np.int64),
                         "window_end_ms": t[sel]}))
+        if st["has_cfg"] and not is_cfg.all():
+            st["t_last"] = int(t[-1])
         if st["has_cfg"]:           # readings of unknown devices leave no state behind
             state.update(tuple(st.get(f) for f in fields))
         if out:
@@ -197,13 +201,17 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True):
 
 
 def stream_alerts(union: DataFrame, rules=DEFAULT_RULES, alert_time_from: str = "batch",
-                  null_as_zero: bool = True) -> DataFrame:
+                  null_as_zero: bool = True, max_gap_s: int | None = None) -> DataFrame:
     """Streaming alerts (ALERT_MESSAGE schema) from ``union_inputs`` rows.
 
     ``null_as_zero=False`` lets a missing measure make its conditions false
-    (NULL comparisons) instead of reading it as 0.
+    (NULL comparisons) instead of reading it as 0.  ``max_gap_s`` (off by
+    default) ends an episode after a longer silence between two readings
+    (in processing order).
     """
     rules = tuple(rules)
+    gap = None if max_gap_s is None else int(max_gap_s) * 1000
     return (union.groupBy("device_id")
-                 .applyInPandasWithState(_fold(rules, alert_time_from, null_as_zero), ALERT_MESSAGE,
+                 .applyInPandasWithState(_fold(rules, alert_time_from, null_as_zero, gap),
+                                         ALERT_MESSAGE,
                                          _state_schema(len(rules)), "append", "NoTimeout"))

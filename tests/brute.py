@@ -14,7 +14,7 @@ OBS = {"NO_OCC_LIGHT": ("light", "no_occupancy_light_threshold"),
        "TEMP_VIOLATION": ("temperature", "temperature_violation_threshold")}
 
 
-def brute_alerts(events, rules):
+def brute_alerts(events, rules, max_gap_ms=None):
     """events: ordered list of ("config", cfg) / ("reading", r) items.
 
     Configs are kept per device, last one wins.  Returns alert tuples
@@ -22,6 +22,7 @@ def brute_alerts(events, rules):
     """
     cfg_by_dev = {}
     state = {}
+    last_t = {}
     out = []
     for kind, item in events:
         if kind == "config":
@@ -32,9 +33,14 @@ def brute_alerts(events, rules):
         if cfg is None:
             continue
         t = r["t"]
+        prev = last_t.get(r["device_id"])
+        last_t[r["device_id"]] = t
+        silence = max_gap_ms is not None and prev is not None and t - prev > max_gap_ms
         for rule in rules:
             cond = DEFAULT_CONDS[rule.name](r, cfg)
             st = state.setdefault((r["device_id"], rule.name), {"start": None, "last": 0})
+            if silence:
+                st["start"] = None
             if cond:
                 if st["start"] is None or st["start"] == 0:
                     st["start"] = t

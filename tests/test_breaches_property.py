@@ -27,13 +27,15 @@ reading = st.fixed_dictionaries({
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
 @given(readings=st.lists(reading, min_size=1, max_size=60),
        parts=st.integers(1, 9),
-       dur=st.sampled_from([0, 60, 300]), cd=st.sampled_from([0, 30, 120, 600]))
-def test_detector_equals_sequential_rule(spark, readings, parts, dur, cd):
+       dur=st.sampled_from([0, 60, 300]), cd=st.sampled_from([0, 30, 120, 600]),
+       gap=st.sampled_from([None, None, 45, 90]))
+def test_detector_equals_sequential_rule(spark, readings, parts, dur, cd, gap):
     rules = with_timing(DEFAULT_RULES, dur, cd)
     rd, cf = frames(spark, CFGS, readings)
-    out = detect_breaches(join_config(rd, latest_config(cf)), rules, num_partitions=parts)
+    out = detect_breaches(join_config(rd, latest_config(cf)), rules, num_partitions=parts,
+                          max_gap_s=gap)
     got = sorted((a.user_id, a.device_id, a.rule, a.window_start_ms, a.window_end_ms,
                   a.observed_value, a.threshold_value) for a in out.collect())
     ordered = sorted(enumerate(readings), key=lambda p: (p[1]["device_id"], p[1]["t"], p[0]))
     events = [("config", c) for c in CFGS] + [("reading", r) for _, r in ordered]
-    assert got == brute_alerts(events, rules)
+    assert got == brute_alerts(events, rules, None if gap is None else gap * 1000)

@@ -34,21 +34,22 @@ def random_case(seed, n_hot=400, n_cold=30):
     return configs, readings
 
 
-@pytest.mark.parametrize("seed,parts,dur,cd", [(1, 9, 300, 600), (2, 17, 120, 900),
-                                               (3, 5, 0, 0), (4, 23, 600, 60)])
-def test_engine_equals_sequential_rule(spark, seed, parts, dur, cd):
+@pytest.mark.parametrize("seed,parts,dur,cd,gap", [(1, 9, 300, 600, None), (2, 17, 120, 900, None),
+                                                   (3, 5, 0, 0, None), (4, 23, 600, 60, None),
+                                                   (6, 11, 300, 600, 150), (7, 19, 120, 300, 90)])
+def test_engine_equals_sequential_rule(spark, seed, parts, dur, cd, gap):
     rules = with_timing(DEFAULT_RULES, dur, cd)
     configs, readings = random_case(seed)
     rd, cf = frames(spark, configs, readings)
     alerts, plan = detect_breaches(join_config(rd, latest_config(cf)), rules,
-                                   num_partitions=parts, return_plan=True)
+                                   num_partitions=parts, return_plan=True, max_gap_s=gap)
     got = sorted((a.user_id, a.device_id, a.rule, a.window_start_ms, a.window_end_ms,
                   a.observed_value, a.threshold_value) for a in alerts.collect())
     # event_id is the tie-break: same order as the list
     ordered = sorted(enumerate(readings), key=lambda p: (p[1]["device_id"], p[1]["t"], p[0]))
     events = [("config", c) for c in configs] + [("reading", r) for _, r in ordered]
     assert plan.crossing_partitions >= 2     # the hot device really was split
-    assert got == brute_alerts(events, rules)
+    assert got == brute_alerts(events, rules, None if gap is None else gap * 1000)
 
 
 def test_cooldown_transfer_matches_replay():

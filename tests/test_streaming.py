@@ -31,7 +31,7 @@ def config_msg(c, updated_ms, seq=None):
     return json.dumps(m)
 
 
-def run_batches(spark, tmp_path, batches, rules=DEFAULT_RULES):
+def run_batches(spark, tmp_path, batches, rules=DEFAULT_RULES, max_gap_s=None):
     """batches: list of (config lines, reading lines); returns alert rows."""
     root = str(tmp_path / uuid.uuid4().hex)
     os.makedirs(f"{root}/r")
@@ -43,7 +43,7 @@ def run_batches(spark, tmp_path, batches, rules=DEFAULT_RULES):
                     f.write("\n".join(lines) + "\n")
         alerts = stream_alerts(union_inputs(reading_stream(file_values(spark, f"{root}/r")),
                                             config_stream(file_values(spark, f"{root}/c"))),
-                               rules, alert_time_from="event")
+                               rules, alert_time_from="event", max_gap_s=max_gap_s)
         q = (alerts.writeStream.format("parquet").option("path", f"{root}/out")
                    .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
         q.awaitTermination()
@@ -110,3 +110,13 @@ def test_late_older_reading_with_zero_cooldown(spark, tmp_path):
     late = [g for g in got if g[2] == ms(300) and g[1] == "TEMP_VIOLATION"]
     assert len(late) == 1                     # only the in-order one from batch 1
     assert ("user_001", "TEMP_VIOLATION", ms(660), ms(0)) in got
+
+
+def test_max_gap_ends_episode_across_batches(spark, tmp_path):
+    """Trace 13 with max_gap 30 min: the hour of silence ends the episode."""
+    batches = [([config_msg(CFG, 0)], [reading_msg(reading(0, temp=31))]),
+               ([], [reading_msg(reading(3600, temp=31))]),
+               ([], [reading_msg(reading(3660 + 600, temp=31))])]
+    assert run_batches(spark, tmp_path, batches, max_gap_s=1800) == \
+        [("user_001", "TEMP_VIOLATION", ms(4260), ms(3600))]
+    assert len(run_batches(spark, tmp_path, batches)) == 4     # off: silence keeps it open
