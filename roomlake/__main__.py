@@ -73,7 +73,8 @@ def cmd_alerts(a) -> int:
     trigger = {"availableNow": True} if a.once else None
     queries = start_alert_job(spark, readings, configs, a.bronze_readings, a.bronze_alerts,
                               a.checkpoint_root, rules_from_env(), trigger=trigger,
-                              alert_sink=sink, quarantine_path=a.quarantine)
+                              alert_sink=sink, quarantine_path=a.quarantine,
+                              max_gap_s=a.max_gap_s)
     if a.console:
         from roomlake.streaming.alerts import stream_alerts, union_inputs
         from roomlake.streaming.jobs import config_stream, reading_stream
@@ -137,6 +138,7 @@ def main(argv=None) -> int:
     al.add_argument("--checkpoint-root", required=True)
     al.add_argument("--quarantine")
     al.add_argument("--console", action="store_true")
+    al.add_argument("--max-gap-s", type=int, help="silence that ends an episode (off)")
     al.add_argument("--once", action="store_true",
                     help="process what is available, then stop (catch-up / tests)")
     al.set_defaults(fn=cmd_alerts)

@@ -114,7 +114,8 @@ def start_alert_job(spark: SparkSession, readings_values: DataFrame, config_valu
                     bronze_readings: str, bronze_alerts: str, checkpoint_root: str,
                     rules=None, trigger: dict | None = None, alert_sink=None,
                     alert_time_from: str = "batch",
-                    quarantine_path: str | None = None) -> list[StreamingQuery]:
+                    quarantine_path: str | None = None,
+                    max_gap_s: int | None = None) -> list[StreamingQuery]:
     """Start the bronze-readings copy and the alerting query.
 
     ``alert_sink(alerts) -> StreamingQuery`` adds a message sink (Kafka in
@@ -129,7 +130,7 @@ def start_alert_job(spark: SparkSession, readings_values: DataFrame, config_valu
     bronze = readings.drop("event_ts")
     q1 = bronze_query(bronze, bronze_readings, f"{root}/bronze_readings", trigger)
     alerts = stream_alerts(union_inputs(readings, config_stream(config_values)), rules,
-                           alert_time_from)
+                           alert_time_from, max_gap_s=max_gap_s)
     q2 = bronze_query(alerts, bronze_alerts, f"{root}/alerts", trigger)
     queries = [q1, q2]
     if quarantine_path:
