@@ -53,3 +53,31 @@ def test_detector_stages_with_one_range_exchange(spark):
     # the only other exchange is the latest-config aggregation on the small side
     hashed = [ln for ln in p.splitlines() if "Exchange hashpartitioning" in ln]
     assert len(hashed) == 1 and "BroadcastExchange" in p
+
+
+def test_incremental_reads_prune_partitions(spark, tmp_path):
+    import datetime as dt
+
+    from roomlake.operators import tables
+    from roomlake.sources.files import read_bronze_readings, write_bronze
+
+    rows = C.bronze_readings_rows(spark, SF001)
+    write_bronze(rows, str(tmp_path / "b"), bucket_ts=F.to_timestamp("event_time"))
+    b = read_bronze_readings(spark, str(tmp_path / "b"), since_date=dt.date(2024, 1, 20))
+    assert "PartitionFilters: [isnotnull(dt" in plan(b) and "2024-01-20" in plan(b)
+    tables.upsert(spark, str(tmp_path / "s"), silver.silver_readings(rows), "pk_sensor_event_id",
+                  "event_date")
+    s = tables.read_table(spark, str(tmp_path / "s")).where(F.col("event_date") >= F.lit("2024-01-20").cast("date"))
+    assert "PartitionFilters: [isnotnull(event_date" in plan(s)
+
+
+def test_console_sink_runs(spark, tmp_path):
+    from roomlake.streaming.jobs import console_query, file_values, reading_stream
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(
+        '{"event_time":"2024-01-01T00:00:00Z","device_id":"d","temperature":1.0}\n')
+    q = console_query(reading_stream(file_values(spark, str(tmp_path / "in"))),
+                      trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.lastProgress["numInputRows"] == 1
