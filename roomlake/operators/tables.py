@@ -16,6 +16,7 @@ rewrites the same partitions.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,9 +75,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a table written here, with its recorded schema, so a table that
+    is still empty (a partitioned write of no rows leaves no files) reads as
+    an empty frame instead of failing schema inference."""
+    from pyspark.sql.types import StructType
+
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_schema")
+    if fs.exists(p):
+        text = "".join(r[0] for r in spark.read.text(f"{path.rstrip('/')}/_schema").collect())
+        return spark.read.schema(StructType.fromJson(json.loads(text))).parquet(path)
     return spark.read.parquet(path)
 
 
+def _write_schema(df: DataFrame, path: str) -> None:
+    spark = df.sparkSession
+    (spark.createDataFrame([(df.schema.json(),)], "s string").coalesce(1)
+          .write.mode("overwrite").text(f"{path.rstrip('/')}/_schema"))
+
+
 def _write(df: DataFrame, path: str, partition_cols: list[str], dynamic: bool) -> None:
     # Full builds span every date: rebalance on the partition columns so AQE
     # packs each date into few files (not one per task and date) and splits an
@@ -88,6 +104,8 @@ def _write(df: DataFrame, path: str, partition_cols: list[str], dynamic: bool) -
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
+    if not dynamic:            # (re)created: record the schema beside the data
+        _write_schema(df, path)
 
 
 def _partition_filter(values: list, col: str) -> Column:

@@ -94,7 +94,12 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType,
         spark.sql(f"MSCK REPAIR TABLE {repair_table}")
         df = spark.table(repair_table)
     else:
+        from roomlake.operators.tables import _fs
+
         full = T.StructType(schema.fields + PARTITION_FIELDS)
+        fs, p = _fs(spark, path)
+        if not fs.exists(p):          # nothing landed yet (e.g. no alert so far)
+            return spark.createDataFrame([], full)
         df = spark.read.schema(full).option("mode", "PERMISSIVE").json(path)
     if since_date is not None:
         df = df.where(F.col("dt") >= F.lit(since_date.isoformat()))

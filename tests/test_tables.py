@@ -127,3 +127,18 @@ def test_high_water_mark_cutoff_picks_up_late_replays(spark, tmp_path):
     total = testdata.readings(spark, sf).count()
     assert n_clock == n0 < total
     assert n_hwm == total
+
+
+def test_first_run_without_any_alert(spark, tmp_path):
+    """No bronze alerts yet: silver alerts and breach counts start empty, and
+    the next run fills them."""
+    root = str(tmp_path / uuid.uuid4().hex)
+    rows = bronze_readings_rows(spark, SF001)
+    write_bronze(rows, f"{root}/bronze_r", bucket_ts=F.to_timestamp("event_time"))
+    paths = LakePaths(f"{root}/bronze_r", f"{root}/bronze_a", f"{root}/lake")
+    rep = run_lakehouse(spark, paths, now=dt.datetime(2024, 2, 1))
+    assert all(r.failures == 0 for r in rep.checks)
+    assert tables.read_table(spark, paths.table("gold_hourly_breach_counts")).count() == 0
+    _bronze(spark, root, SF001, since=dt.datetime(2024, 1, 25))      # alerts arrive later
+    run_lakehouse(spark, paths, now=dt.datetime(2024, 2, 1), lookback_hours=8 * 24)
+    assert tables.read_table(spark, paths.table("silver_threshold_breached_alerts")).count() > 0
