@@ -60,6 +60,8 @@ NULL_AS_ZERO = ["temperature", "humidity", "light", "co2", "humidity_ratio", "oc
 # otherwise spark.sql.shuffle.partitions (or num_partitions) decides.  Memory
 # does not depend on it: partitions are streamed batch by batch.
 DEFAULT_ROWS_PER_PARTITION = 2_000_000
+DEFAULT_SOURCE_BYTES_PER_PARTITION = 128 * 1024 * 1024
+MAX_PARTITIONS = 200_000
 
 
 # --------------------------------------------------------------------------
@@ -90,17 +92,33 @@ def rule_columns(joined: DataFrame, rules=DEFAULT_RULES, null_as_zero: bool = Tr
     return df.select(*cols), ties
 
 
-def _estimate_partitions(df: DataFrame, rows_per_partition: int) -> int:
+def _big(v) -> int:
+    """A Scala BigInt from py4j (already an int, or an object with toString)."""
+    return v if isinstance(v, int) else int(v.toString())
+
+
+def _estimate_partitions(df: DataFrame, rows_per_partition: int,
+                         source_bytes_per_partition: int = DEFAULT_SOURCE_BYTES_PER_PARTITION) -> int:
+    """Range partitions for the staging shuffle: enough that each holds about
+    ``source_bytes_per_partition`` of the largest input relation (the
+    readings), never fewer than ``spark.sql.shuffle.partitions``.  The join's
+    own size estimate is useless here (without CBO Spark multiplies child
+    sizes), so the leaves are used; a known row count refines it."""
     spark = df.sparkSession
     base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    want = base
     try:
-        rows = df._jdf.queryExecution().optimizedPlan().stats().rowCount()
+        plan = df._jdf.queryExecution().optimizedPlan()
+        leaves = plan.collectLeaves()
+        biggest = max(_big(leaves.apply(i).stats().sizeInBytes())
+                      for i in range(leaves.size()))
+        want = max(want, math.ceil(biggest / source_bytes_per_partition))
+        rows = plan.stats().rowCount()
         if rows.isDefined():
-            n = int(rows.get().toString())
-            return min(max(base, math.ceil(n / rows_per_partition)), 1_000_000)
-    except Exception:  # statistics are best effort
+            want = max(want, math.ceil(_big(rows.get()) / rows_per_partition))
+    except Exception:  # statistics are best effort (e.g. remote sessions)
         pass
-    return base
+    return min(want, MAX_PARTITIONS)
 
 
 # --------------------------------------------------------------------------
