@@ -7,7 +7,9 @@ order (t, then tie-break):
   as "no episode"), and never alerts itself;
 * a later true row alerts when ``t - start >= duration`` and
   ``t - last_alert >= cooldown`` (``last_alert`` starts at 0, the epoch);
-* a false (or NULL) row closes the episode; ``last_alert`` survives.
+* a false (or NULL) row closes the episode; ``last_alert`` survives;
+* optionally (``max_gap_s``, off by default) a silence longer than that
+  between two readings closes it too.
 
 Plan
 ----
@@ -29,11 +31,15 @@ rows, so the work is never grouped by key.  Instead:
 4. pass C: every partition replays its rows with the exact incoming state
    and emits the alerts.
 
-Between passes the carries are folded in partition order on the driver.
-They are O(#partitions) small records, never data rows -- the pattern Spark
-uses itself for ``zipWithIndex`` offsets and range-partition bounds.  All row
-work is vectorised numpy inside Arrow batches; the only Python loops run
-once per run (key) and once per emitted alert.
+Every pass streams its partition's Arrow batches in order and carries the
+run in progress across batch boundaries, so a task holds one batch and
+O(rules) state, never a whole key or partition.  Between passes the carries
+are folded in partition order on the driver: O(#partitions) small records,
+never data rows -- the pattern Spark uses itself for ``zipWithIndex``
+offsets and range-partition bounds.  Row work is vectorised numpy; Python
+loops run once per run segment (a key's rows in one batch) and rule, once
+per emitted alert, and -- only for a partition that continues a key -- once
+per candidate of its first cooldown window.
 """
 
 from __future__ import annotations
