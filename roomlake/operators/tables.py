@@ -9,8 +9,10 @@ never rewritten; the touched partition list is derived from the (small)
 update batch and reaches the scan as a partition filter.  A first run (the
 target does not exist) or ``full_refresh`` writes the whole table.  Writers
 assume one writer per table at a time (as an hourly job with one active run
-gives); a crash between commit steps is repaired by the next run, which
-rewrites the same partitions.
+gives).  Task and executor failures are retried inside the job and nothing
+is visible before the job commits; the commit itself replaces partitions one
+by one, so a driver crash during it can leave a touched partition missing or
+old -- an open table format with atomic commits removes that window.
 """
 
 from __future__ import annotations
