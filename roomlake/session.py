@@ -68,11 +68,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``roomlake`` importable in executor Python workers (``--py-files``).
+    """Make ``roomlake`` importable in local-mode Python workers.
 
     Zips the package once per SparkContext and registers it with
-    ``addPyFile``; Spark distributes it to every executor.  A no-op when the
-    session is remote (Spark Connect) or the package is already shipped.
+    ``addPyFile`` -- for local masters only (tests, the bench, the driver's
+    checks), whose workers may start in another directory.  On a cluster the
+    package is deployed like any PySpark code (``--py-files roomlake.zip`` or
+    installed on the executors); nothing is written to machine-local folders.
     """
     import os
     import zipfile
@@ -81,7 +83,7 @@ def ship_package(spark: SparkSession) -> None:
         sc = spark.sparkContext
     except Exception:
         return
-    if getattr(sc, "_roomlake_shipped", False):
+    if getattr(sc, "_roomlake_shipped", False) or not sc.master.startswith("local"):
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     out = os.path.join(tempfile.mkdtemp(prefix="roomlake-pyfiles-"), "roomlake.zip")
