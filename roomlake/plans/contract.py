@@ -213,6 +213,18 @@ def threshold_alerts(spark, sf):
     return contract_alerts(spark, sf)
 
 
+def threshold_alerts_per_user(spark, sf):
+    """config_key=user_device: one config per (user, device), alerts fan out per user."""
+    cfg = latest_config(testdata.config_updates(spark, sf), key=("user_id", "device_id"))
+    j = join_config(testdata.readings(spark, sf), cfg)
+    return detect_breaches(j, CONTRACT_RULES, tie_cols=TIE)
+
+
+def threshold_alerts_max_gap(spark, sf):
+    """Optional max_gap: a silence over 18 h between readings ends an episode."""
+    return detect_breaches(joined(spark, sf), CONTRACT_RULES, tie_cols=TIE, max_gap_s=18 * HOUR_S)
+
+
 def alert_messages_q(spark, sf):
     """PRJ-7: key, parsed-back value, headers."""
     m = alert_messages(contract_alerts(spark, sf))
@@ -367,6 +379,8 @@ _QUERIES = {
     "rule_temp_violation": _rule_q(2),
     "sustained_episodes": sustained_episodes,
     "threshold_alerts": threshold_alerts,
+    "threshold_alerts_per_user": threshold_alerts_per_user,
+    "threshold_alerts_max_gap": threshold_alerts_max_gap,
     "alert_messages": alert_messages_q,
     "incremental_lookback": incremental_lookback,
     "high_water_mark": high_water_mark_q,

@@ -31,16 +31,20 @@ def key(*parts: str) -> str:
     return "md5(" + " || '-' || ".join(f"coalesce({p}, '{KEY_NULL}')" for p in parts) + ")"
 
 
-BASE = f"""
+def base(config_key: str = "device_id") -> str:
+    return f"""
 r AS ({READINGS_SQL}),
 c AS ({CONFIG_SQL}),
 latest AS (SELECT * FROM c QUALIFY row_number() OVER (
-           PARTITION BY device_id ORDER BY updated_ts DESC, seq DESC) = 1),
+           PARTITION BY {config_key} ORDER BY updated_ts DESC, seq DESC) = 1),
 j AS (SELECT r.*, l.user_id, l.temperature_warning_threshold,
              l.temperature_violation_threshold, l.no_occupancy_light_threshold
       FROM r JOIN latest l USING (device_id))
 """
 
+
+BASE = base()
+
 RULES = [
     ("NO_OCC_LIGHT", "VIOLATION", "light",
      "occupancy = 0 AND light > no_occupancy_light_threshold", "light",
@@ -63,11 +67,15 @@ def _rules_union() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _candidates(dur_ms: int) -> str:
+def _candidates(dur_ms: int, gap_ms: int | None = None) -> str:
+    silence = "false" if gap_ms is None else f"t - prev_t > {gap_ms}"
     return f"""
-ru AS ({_rules_union()}),
+ru0 AS ({_rules_union()}),
+ru AS (SELECT *, lag(t) OVER (PARTITION BY user_id, device_id, rule ORDER BY ts, event_id)
+                 AS prev_t FROM ru0),
 isl AS (SELECT *,
-          sum(CASE WHEN cond THEN 0 ELSE 1 END) OVER w AS island,
+          sum(CASE WHEN cond AND NOT coalesce({silence}, false) THEN 0 ELSE 1 END)
+            OVER w AS island,
           row_number() OVER w AS ord
         FROM ru
         WINDOW w AS (PARTITION BY user_id, device_id, rule ORDER BY ts, event_id
@@ -83,9 +91,10 @@ cand AS (SELECT * FROM st
 """
 
 
-def _alerts_ctes(dur_ms: int = DUR_MS, cd_ms: int = CD_MS) -> str:
-    return f"""WITH RECURSIVE {BASE},
-{_candidates(dur_ms)},
+def _alerts_ctes(dur_ms: int = DUR_MS, cd_ms: int = CD_MS, config_key: str = "device_id",
+                 gap_ms: int | None = None) -> str:
+    return f"""WITH RECURSIVE {base(config_key)},
+{_candidates(dur_ms, gap_ms)},
 cn AS (SELECT *, row_number() OVER (PARTITION BY user_id, device_id, rule
                                     ORDER BY ts, event_id) AS k FROM cand),
 rec AS (
@@ -232,6 +241,10 @@ SELECT user_id, device_id, rule, severity, metric, observed_value, threshold_val
        s_t AS window_start_ms, t AS window_end_ms
 FROM cand"""
     q["threshold_alerts"] = _alerts_ctes() + f"\nSELECT {ALERT_COLS} FROM alerts"
+    q["threshold_alerts_per_user"] = (_alerts_ctes(config_key="device_id, user_id")
+                                      + f"\nSELECT {ALERT_COLS} FROM alerts")
+    q["threshold_alerts_max_gap"] = (_alerts_ctes(gap_ms=18 * 3600 * 1000)
+                                     + f"\nSELECT {ALERT_COLS} FROM alerts")
     q["alert_messages"] = _alerts_ctes() + f"""
 SELECT user_id || ':' || device_id || ':' || rule AS key, {ALERT_COLS},
        '1' AS h_schema_version, 'threshold_breached_alert' AS h_event_type,
