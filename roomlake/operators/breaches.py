@@ -378,6 +378,21 @@ def _pass_a(n_rules: int, max_gap=None):
     return run
 
 
+def _share(spark, carries: dict):
+    """Carries go to executors as a broadcast variable (once per executor,
+    not inside every task's closure); remote sessions fall back to the
+    closure."""
+    try:
+        return spark.sparkContext.broadcast(carries)
+    except Exception:
+        return carries
+
+
+def _lookup(carries, pid: int):
+    table = carries.value if hasattr(carries, "value") else carries
+    return table.get(pid)
+
+
 def _pass_b(rules, single_cont, max_gap=None):
     """Per partition: the exit last-alert time of its last run entered fresh,
     and for single-key partitions that continue a key the cooldown transfer
@@ -401,7 +416,7 @@ def _pass_b(rules, single_cont, max_gap=None):
             if new_part:
                 if st is not None:
                     out.append(summary(st))
-                entry = single_cont.get(pid)
+                entry = _lookup(single_cont, pid)
                 st = {"pid": pid, "s": [None] * n, "x": [0] * n, "xs": None, "t_last": None,
                       "xt": None,
                       "xfer": [ChainTransfer(int(t[lo]), cds[i]) for i in range(n)]
@@ -476,7 +491,7 @@ def _pass_c(rules, entry_map, max_gap=None):
                     yield res
                 cur_pdf, cur_t, parts = pdf, t, []
             if new_run:
-                entry = entry_map.get(pid) if new_part else None
+                entry = _lookup(entry_map, pid) if new_part else None
                 s = list(entry[0]) if entry else [None] * n
                 x = list(entry[1]) if entry else [0] * n
                 t_last = entry[2] if entry else None
@@ -578,14 +593,15 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
     summ_a = [r.asDict() for r in
               narrow.mapInPandas(_pass_a(len(rules), gap), _SUMMARY_A).collect()]
     s_in_map = _fold_starts(summ_a, rules, gap)
-    entry_map = {}
+    entry_map = _share(spark, {})
     if s_in_map:
         single = {r["pid"] for r in summ_a if r["first_k"] == r["last_k"]}
-        single_cont = {pid: v for pid, v in s_in_map.items() if pid in single}
+        single_cont = _share(spark, {pid: v for pid, v in s_in_map.items() if pid in single})
         summ_b = [r.asDict() for r in
                   narrow.mapInPandas(_pass_b(rules, single_cont, gap), _SUMMARY_B).collect()]
         x_in_map = _fold_cooldowns(summ_a, summ_b, rules)
-        entry_map = {pid: (v[0], x_in_map[pid], v[1]) for pid, v in s_in_map.items()}
+        entry_map = _share(spark, {pid: (v[0], x_in_map[pid], v[1])
+                                   for pid, v in s_in_map.items()})
     raw = staged.mapInPandas(_pass_c(rules, entry_map, gap), _ALERT_ROWS)
     when = F.lit(alert_time_ms) if alert_time_ms is not None else F.col("window_end_ms")
     alerts = raw.select(
