@@ -85,3 +85,15 @@ def test_latest_config_from_parsed_messages(spark):
     parsed = parse_configs(config_messages(cfg))
     assert latest_config(parsed).first().user_id == "user_002"
     assert latest_config(cfg).first().user_id == "user_002"     # ISO string only
+
+
+def test_csv_missing_required_column_raises(spark, tmp_path):
+    from roomlake.sources.files import read_sensor_csv, read_threshold_csv
+    (tmp_path / "s.csv").write_text("date,Temperature,Humidity,Light,CO2,Occupancy\n"
+                                    "2015-02-04 17:51:00,23.1,27.2,426.0,721.2,1\n")
+    with pytest.raises(RuntimeError, match=r"missing columns: \['HumidityRatio'\]"):
+        read_sensor_csv(spark, str(tmp_path / "s.csv"))
+    (tmp_path / "t.csv").write_text("user_id,device_id,temperature_warning_threshold,"
+                                    "temperature_violation_threshold,light_threshold,extra\n"
+                                    "u,d,28,30,40,x\n")
+    assert read_threshold_csv(spark, str(tmp_path / "t.csv")).count() == 1   # extras allowed
