@@ -50,6 +50,21 @@ def naive_as_utc(c) -> Column:
     return F.try_to_timestamp(F.when(has_zone, s).otherwise(F.concat(s, F.lit("Z"))))
 
 
+ISO_LENIENT_RE = (r"^\d{4}-\d{2}-\d{2}(T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?"
+                  r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)?$")
+
+
+def iso_timestamp(c) -> Column:
+    """Lenient ISO-8601 for batch tables (PRJ-4): an offset is optional (none
+    means UTC, not the session zone) and the time may be omitted; NULL when
+    the string is not ISO-8601."""
+    s = F.upper(F.trim(_c(c)))
+    s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(Z|[+-]|$)", "$1:00$2")
+    s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00")
+    zoned = F.when(s.rlike(r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"), s).otherwise(F.concat(s, F.lit("Z")))
+    return F.when(s.rlike(ISO_LENIENT_RE), F.try_to_timestamp(zoned))
+
+
 def epoch_millis(ts) -> Column:
     return F.unix_millis(_c(ts))
 

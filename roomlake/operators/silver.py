@@ -3,6 +3,11 @@
 FLT-1 required fields, FLT-2 look-back, PRJ-4 ISO parse, PRJ-9 date/hour,
 PRJ-10 casts, PRJ-11 surrogate key, WIN-1/WIN-2 keep-first, FLT-6 rnk = 1.
 
+Times parse leniently (offset optional, none means UTC), as the batch SQL
+of the source does; a row whose time is not ISO-8601 at all gets no silver
+row (the source's query would fail on it; the live job quarantines such
+lines before bronze).
+
 De-duplication is ``row_number() = 1`` over the natural key.  Spark turns it
 into a WindowGroupLimit that keeps one row per key *before* the shuffle
 as well as after it, so exact copies cost no network.  The key includes the
@@ -19,7 +24,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roomlake.functions.columns import (iso_instant, lookback_cutoff, surrogate_key,
+from roomlake.functions.columns import (iso_timestamp, lookback_cutoff, surrogate_key,
                                         ts_literal)
 from roomlake.schemas import MEASURES
 
@@ -60,12 +65,13 @@ def silver_readings(bronze: DataFrame, now: _dt.datetime | None = None,
         ts = F.col("event_ts").cast("timestamp")
         has_time = F.col("event_ts").isNotNull()
     else:
-        ts = iso_instant("event_time")
+        ts = iso_timestamp("event_time")
         has_time = F.col("event_time").isNotNull()
     base = (bronze.where(F.col("device_id").isNotNull() & has_time)
                   .select(ts.alias("event_ts"), "device_id",
                           *[F.col(m).cast("double").alias(m) for m in MEASURES],
-                          F.col("occupancy").cast("int").alias("occupancy")))
+                          F.col("occupancy").cast("int").alias("occupancy"))
+                  .where(F.col("event_ts").isNotNull()))   # unparseable time: no silver row
     if incremental:
         base = base.where(F.col("event_ts") >= ts_literal(_cutoff(now, lookback_hours, cutoff)))
     keyed = base.select(
@@ -85,9 +91,9 @@ def silver_alerts(bronze: DataFrame, now: _dt.datetime | None = None,
         ts = F.col("alert_ts").cast("timestamp")
         has_time = F.col("alert_ts").isNotNull()
     else:
-        ts = iso_instant("alert_time")
+        ts = iso_timestamp("alert_time")
         has_time = F.col("alert_time").isNotNull()
-    base = (bronze.where(has_time & F.col("device_id").isNotNull())
+    base = (bronze.where(has_time & F.col("device_id").isNotNull() & ts.isNotNull())
                   .select(ts.alias("alert_ts"), "user_id", "device_id", "rule", "severity",
                           "metric",
                           F.col("observed_value").cast("double").alias("observed_value"),

@@ -97,3 +97,14 @@ def test_csv_missing_required_column_raises(spark, tmp_path):
                                     "temperature_violation_threshold,light_threshold,extra\n"
                                     "u,d,28,30,40,x\n")
     assert read_threshold_csv(spark, str(tmp_path / "t.csv")).count() == 1   # extras allowed
+
+
+def test_silver_parses_leniently_and_skips_unparseable(spark):
+    rows = [("2015-02-04T17:51:00", "d", 1.0), ("2015-02-04T18:51:00+01:00", "d", 2.0),
+            ("not a time", "d", 3.0), ("2015-02-04T17:52:00Z", "d", 4.0)]
+    b = spark.createDataFrame(rows, "event_time string, device_id string, temperature double") \
+        .select("*", *[F.lit(0.0).alias(c) for c in ["humidity", "light", "co2", "humidity_ratio"]],
+                F.lit(1).alias("occupancy"))
+    got = sorted((r.event_ts.isoformat(), r.temperature) for r in silver_readings(b).collect())
+    # offset-less reads as UTC and equals the +01:00 reading: one key, greatest measures kept
+    assert got == [("2015-02-04T17:51:00", 2.0), ("2015-02-04T17:52:00", 4.0)]
