@@ -315,6 +315,7 @@ _SUMMARY_A = T.StructType([
     T.StructField("pid", T.IntegerType()),
     T.StructField("first_k", T.StringType()),
     T.StructField("last_k", T.StringType()),
+    T.StructField("rows", T.LongType()),
     T.StructField("t_first", T.LongType()),
     T.StructField("t_last", T.LongType()),
     T.StructField("has_false", T.ArrayType(T.BooleanType())),
@@ -337,7 +338,7 @@ def _pass_a(n_rules: int, max_gap=None):
     entered fresh (s_exit)."""
     def summary(st):
         return {"pid": st["pid"], "first_k": st["first_k"], "last_k": st["last_k"],
-                "t_first": st["t_first"], "t_last": st["t_last"],
+                "rows": st["rows"], "t_first": st["t_first"], "t_last": st["t_last"],
                 "has_false": list(st["has_false"]), "fnz": list(st["fnz"]),
                 "s_exit": list(st["s"])}
 
@@ -347,7 +348,7 @@ def _pass_a(n_rules: int, max_gap=None):
             if new_part:
                 if st is not None:
                     out.append(summary(st))
-                st = {"pid": pid, "first_k": key, "t_first": int(t[lo]), "lead": True,
+                st = {"pid": pid, "first_k": key, "t_first": int(t[lo]), "lead": True, "rows": 0,
                       "has_false": [False] * n_rules, "open": [True] * n_rules,
                       "fnz": [None] * n_rules, "s": [None] * n_rules, "t_last": None}
             elif new_run:
@@ -355,6 +356,7 @@ def _pass_a(n_rules: int, max_gap=None):
                 st["s"] = [None] * n_rules
                 st["t_last"] = None
             st["last_k"] = key
+            st["rows"] += hi - lo
             tt = t[lo:hi]
             g = gaps(tt, st["t_last"], max_gap)
             for i in range(n_rules):
@@ -518,6 +520,7 @@ class DetectionPlan:
     partitions: int
     crossing_partitions: int
     pass_b: bool
+    rows_per_partition: list
 
 
 def _fold_starts(summ_a, rules, max_gap=None):
@@ -608,7 +611,8 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
         F.date_format(F.timestamp_millis(when), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
          .alias("alert_time"), *_ALERT_ROWS.fieldNames())
     if return_plan:
-        return alerts, DetectionPlan(p, len(s_in_map), bool(s_in_map))
+        rows = [r["rows"] for r in sorted(summ_a, key=lambda r: r["pid"])]
+        return alerts, DetectionPlan(p, len(s_in_map), bool(s_in_map), rows)
     return alerts
 
 
