@@ -82,17 +82,43 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     an empty frame instead of failing schema inference."""
     from pyspark.sql.types import StructType
 
-    fs, p = _fs(spark, f"{path.rstrip('/')}/_schema")
-    if fs.exists(p):
-        text = "".join(r[0] for r in spark.read.text(f"{path.rstrip('/')}/_schema").collect())
+    text = _read_small(spark, f"{path.rstrip('/')}/_schema.json")
+    if text is not None:
         return spark.read.schema(StructType.fromJson(json.loads(text))).parquet(path)
     return spark.read.parquet(path)
 
 
+def _read_small(spark: SparkSession, path: str) -> str | None:
+    """A small metadata file's text (no Spark job), None when absent."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    if isinstance(fs, _LocalFS):
+        with open(p, encoding="utf-8") as f:
+            return f.read()
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_small(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    if isinstance(fs, _LocalFS):
+        with open(p, "w", encoding="utf-8") as f:
+            f.write(text)
+        return
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def _write_schema(df: DataFrame, path: str) -> None:
-    spark = df.sparkSession
-    (spark.createDataFrame([(df.schema.json(),)], "s string").coalesce(1)
-          .write.mode("overwrite").text(f"{path.rstrip('/')}/_schema"))
+    _write_small(df.sparkSession, f"{path.rstrip('/')}/_schema.json", df.schema.json())
 
 
 def _write(df: DataFrame, path: str, partition_cols: list[str], dynamic: bool) -> None:
