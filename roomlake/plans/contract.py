@@ -16,7 +16,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomlake.functions.columns import iso_utc_string, lookback_cutoff, ts_literal
+from roomlake.functions.columns import iso_utc_string, lookback_cutoff
 from roomlake.functions.messages import (alert_messages, config_messages, header_value,
                                          parse_configs, parse_readings, reading_messages)
 from roomlake.operators import gold, silver, tables

@@ -4,7 +4,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from roomlake.functions.columns import ts_literal
-from roomlake.operators import gold, silver, tables
+from roomlake.operators import silver, tables
 from roomlake.operators.breaches import detect_breaches
 from roomlake.operators.checks import assert_checks, run_checks, unique_violations
 from roomlake.operators.config import join_config, latest_config
