@@ -56,7 +56,11 @@ def join_config(readings: DataFrame, config: DataFrame,
     cfg = config.select("device_id", "user_id", *THRESHOLD_COLUMNS)
     if "user_id" in readings.columns:
         readings = readings.drop("user_id")
-    n = cfg.count() if broadcast_max_rows > 0 else broadcast_max_rows + 1
-    if n <= broadcast_max_rows:
-        cfg = F.broadcast(cfg)
+    if broadcast_max_rows > 0:
+        # count the config side once; keep it cached so the broadcast does not
+        # aggregate the changelog again, and release it if it is too big to ship
+        cached = cfg.persist()
+        if cached.count() <= broadcast_max_rows:
+            return readings.join(F.broadcast(cached), on="device_id", how="inner")
+        cached.unpersist()
     return readings.join(cfg, on="device_id", how="inner")
