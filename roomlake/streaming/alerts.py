@@ -118,16 +118,15 @@ def _newer_or_equal(a, b) -> bool:
     return key(a) >= key(b)
 
 
-def _alert_times(end_ms: np.ndarray, batch_ms: np.ndarray, mode: str):
+def _alert_times(end_ms: np.ndarray, batch_ms: np.ndarray, rank: np.ndarray, mode: str):
     """ISO alert times.  ``event``: the trigger reading's time (ms).  ``batch``:
-    the micro-batch timestamp plus the alert's rank in microseconds, so the
-    alerts of one rule in one batch keep distinct silver keys, and a replayed
-    batch reproduces them exactly."""
+    the micro-batch timestamp plus the alert's rank within its rule in
+    microseconds, so the alerts of one rule in one batch keep distinct silver
+    keys, and a replayed batch reproduces them exactly."""
     if mode == "event":
-        return (pd.to_datetime(end_ms, unit="ms", utc=True)
-                .strftime("%Y-%m-%dT%H:%M:%S.%f").str.slice(0, 23) + "Z")
-    us = batch_ms.astype(np.int64) * 1000 + np.arange(len(batch_ms), dtype=np.int64)
-    return pd.to_datetime(us, unit="us", utc=True).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+        return np.char.add(np.datetime_as_string(end_ms.astype("datetime64[ms]"), unit="ms"), "Z")
+    us = batch_ms.astype(np.int64) * 1000 + rank
+    return np.char.add(np.datetime_as_string(us.astype("datetime64[us]"), unit="us"), "Z")
 
 
 def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
@@ -136,6 +135,9 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
     obs = [compile_value(r.observed) for r in rules]
     thr = [compile_value(r.threshold) for r in rules]
     out_cols = [f.name for f in ALERT_MESSAGE.fields]
+    names = np.array([r.name for r in rules], dtype=object)
+    sevs = np.array([r.severity for r in rules], dtype=object)
+    mets = np.array([r.metric for r in rules], dtype=object)
 
     fields = _state_schema(n).fieldNames()
     fresh = {"has_cfg": False, "user_id": None, "updated_ms": None, "seq": None, "t_last": None,
@@ -146,26 +148,26 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
         frames = list(pdfs)
         pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         st = dict(zip(fields, state.get)) if state.exists else dict(fresh)
-        kind = pdf["kind"].to_numpy()
-        is_cfg = kind == "c"
-        if is_cfg.any():
-            c = pdf[is_cfg]
+        is_cfg = pdf["kind"].to_numpy() == "c"
+        n_cfg = int(is_cfg.sum())
+        if n_cfg:
+            c = pdf if n_cfg == len(pdf) else pdf[is_cfg]
             upd = c["updated_ms"].to_numpy(dtype=np.float64)
             seq = c["seq"].to_numpy(dtype=np.float64)
-            users = c["user_id"].astype(str).to_numpy()
-            # newest (updated, seq, user) wins; NULL sorts lowest
-            order = np.lexsort((users, np.nan_to_num(seq, nan=-np.inf),
-                                np.nan_to_num(upd, nan=-np.inf)))
-            j = int(order[-1])
+            if n_cfg == 1:
+                j = 0
+            else:   # newest (updated, seq, user) wins; NULL sorts lowest
+                j = int(np.lexsort((c["user_id"].astype(str).to_numpy(),
+                                    np.nan_to_num(seq, nan=-np.inf),
+                                    np.nan_to_num(upd, nan=-np.inf)))[-1])
             cand = (_num(upd[j]), _num(seq[j]))
             if not st["has_cfg"] or _newer_or_equal(cand, (st["updated_ms"], st["seq"])):
-                row = c.iloc[j]
-                st.update({"has_cfg": True, "user_id": row["user_id"],
+                st.update({"has_cfg": True, "user_id": c["user_id"].iat[j],
                            "updated_ms": cand[0], "seq": cand[1],
-                           **{k: float(row[k]) for k in THRESHOLD_COLUMNS}})
-        out = []
-        if st["has_cfg"] and not is_cfg.all():
-            rd = pdf[~is_cfg]
+                           **{k: float(c[k].iat[j]) for k in THRESHOLD_COLUMNS}})
+        result = None
+        if st["has_cfg"] and n_cfg < len(pdf):
+            rd = pdf if n_cfg == 0 else pdf[~is_cfg]
             t_raw = rd["t"].to_numpy(dtype=np.int64)
             order = np.lexsort((rd["tie"].to_numpy(dtype=np.int64), t_raw))
             t = t_raw[order]
@@ -173,7 +175,7 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
             if null_as_zero:       # absent numeric fields read as 0, as typed messages do
                 cols = {m: np.nan_to_num(v, nan=0.0) for m, v in cols.items()}
             cols.update({k: np.full(len(t), st[k], dtype=np.float64) for k in THRESHOLD_COLUMNS})
-            batch_ms = rd["batch_ms"].to_numpy(dtype=np.int64)[order]
+            sel_all, rule_all, rank_all, start_all, obs_all, thr_all = [], [], [], [], [], []
             for i, r in enumerate(rules):
                 cond = conds[i](cols, None)
                 idx, start, s_out = candidates(t, cond.copy(), st[f"s{i}"], r.duration_ms,
@@ -183,20 +185,30 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
                 st[f"x{i}"] = int(x_out)
                 if em:
                     sel = idx[np.asarray(em, dtype=np.int64)]
-                    out.append(pd.DataFrame({
-                        "alert_time": _alert_times(t[sel], batch_ms[sel], alert_time_from),
-                        "user_id": st["user_id"], "device_id": key[0], "rule": r.name,
-                        "severity": r.severity, "metric": r.metric,
-                        "observed_value": obs[i](cols, None)[sel],
-                        "threshold_value": thr[i](cols, None)[sel],
-                        "window_start_ms": start[sel].astype(np.int64),
-                        "window_end_ms": t[sel]}))
-        if st["has_cfg"] and not is_cfg.all():
+                    sel_all.append(sel)
+                    rule_all.append(np.full(len(sel), i))
+                    rank_all.append(np.arange(len(sel), dtype=np.int64))
+                    start_all.append(start[sel])
+                    obs_all.append(obs[i](cols, None)[sel])
+                    thr_all.append(thr[i](cols, None)[sel])
             st["t_last"] = int(t[-1])
+            if sel_all:
+                sel = np.concatenate(sel_all)
+                ri = np.concatenate(rule_all)
+                batch_ms = rd["batch_ms"].to_numpy(dtype=np.int64)[order][sel]
+                result = pd.DataFrame({
+                    "alert_time": _alert_times(t[sel], batch_ms, np.concatenate(rank_all),
+                                               alert_time_from),
+                    "user_id": st["user_id"], "device_id": key[0],
+                    "rule": names[ri], "severity": sevs[ri], "metric": mets[ri],
+                    "observed_value": np.concatenate(obs_all),
+                    "threshold_value": np.concatenate(thr_all),
+                    "window_start_ms": np.concatenate(start_all).astype(np.int64),
+                    "window_end_ms": t[sel]})[out_cols]
         if st["has_cfg"]:           # readings of unknown devices leave no state behind
             state.update(tuple(st.get(f) for f in fields))
-        if out:
-            yield pd.concat(out, ignore_index=True)[out_cols]
+        if result is not None:
+            yield result
     return fn
 
 
