@@ -82,29 +82,34 @@ def compile_value(sql: str):
     return lambda cols, frame: pd.DataFrame(cols).eval(name).to_numpy(dtype=np.float64)
 
 
+# Layout of the packed numeric column fed to the fold.  One array column
+# instead of fourteen scalar ones halves PySpark's per-group Arrow -> pandas
+# cost; every integer here stays below 2**53, so doubles hold it exactly.
+PACKED = ["t", "tie", "updated_ms", "seq", "batch_ms", *MEASURE_COLUMNS, *THRESHOLD_COLUMNS]
+_P = {name: i for i, name in enumerate(PACKED)}
+
+
+def _pack(values: dict) -> "F.Column":
+    return F.array(*[values.get(name, F.lit(None)).cast("double") for name in PACKED])
+
+
 def union_inputs(readings: DataFrame, configs: DataFrame) -> DataFrame:
-    """Typed reading rows (event_time string or t) and config rows -> one stream."""
+    """Typed reading rows (event_time string or t) and config rows -> one
+    stream of (device_id, user_id, nums); a NULL event time marks a config."""
     ts = F.col("event_ts") if "event_ts" in readings.columns else iso_instant("event_time")
     t = F.col("t") if "t" in readings.columns else epoch_millis(ts)
-    tie = F.unix_micros(ts)   # equal milliseconds: finer event time first
     batch = epoch_millis(F.current_timestamp())
-    r = readings.select(
-        F.col("device_id"), F.lit("r").alias("kind"), t.cast("long").alias("t"),
-        tie.cast("long").alias("tie"), F.lit(None).cast("long").alias("updated_ms"),
-        F.lit(None).cast("long").alias("seq"), F.lit(None).cast("string").alias("user_id"),
-        *[F.lit(None).cast("double").alias(c) for c in THRESHOLD_COLUMNS],
-        *[F.col(c).cast("double").alias(c) for c in MEASURE_COLUMNS],
-        batch.alias("batch_ms"))
+    r = readings.where(t.isNotNull()).select(
+        F.col("device_id"), F.lit(None).cast("string").alias("user_id"),
+        _pack({"t": t, "tie": F.unix_micros(ts),      # equal ms: finer event time first
+               "batch_ms": batch, **{c: F.col(c) for c in MEASURE_COLUMNS}}).alias("nums"))
     upd = (F.col("updated_ms") if "updated_ms" in configs.columns
            else epoch_millis(iso_instant("updated_at")))
     c = configs.select(
-        F.col("device_id"), F.lit("c").alias("kind"), F.lit(None).cast("long").alias("t"),
-        F.lit(None).cast("long").alias("tie"), upd.cast("long").alias("updated_ms"),
-        (F.col("seq") if "seq" in configs.columns else F.lit(None)).cast("long").alias("seq"),
-        F.col("user_id").cast("string").alias("user_id"),
-        *[F.col(c).cast("double").alias(c) for c in THRESHOLD_COLUMNS],
-        *[F.lit(None).cast("double").alias(c) for c in MEASURE_COLUMNS],
-        batch.alias("batch_ms"))
+        F.col("device_id"), F.col("user_id").cast("string").alias("user_id"),
+        _pack({"updated_ms": upd, "batch_ms": batch,
+               **({"seq": F.col("seq")} if "seq" in configs.columns else {}),
+               **{k: F.col(k) for k in THRESHOLD_COLUMNS}}).alias("nums"))
     return r.unionByName(c).where(F.col("device_id").isNotNull())
 
 
@@ -148,32 +153,33 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
         frames = list(pdfs)
         pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         st = dict(zip(fields, state.get)) if state.exists else dict(fresh)
-        is_cfg = pdf["kind"].to_numpy() == "c"
+        m = np.vstack(pdf["nums"].to_numpy()).astype(np.float64)
+        is_cfg = np.isnan(m[:, _P["t"]])
         n_cfg = int(is_cfg.sum())
         if n_cfg:
-            c = pdf if n_cfg == len(pdf) else pdf[is_cfg]
-            upd = c["updated_ms"].to_numpy(dtype=np.float64)
-            seq = c["seq"].to_numpy(dtype=np.float64)
+            rows = np.flatnonzero(is_cfg)
+            upd, seq = m[rows, _P["updated_ms"]], m[rows, _P["seq"]]
+            users = pdf["user_id"].to_numpy()[rows]
             if n_cfg == 1:
                 j = 0
             else:   # newest (updated, seq, user) wins; NULL sorts lowest
-                j = int(np.lexsort((c["user_id"].astype(str).to_numpy(),
-                                    np.nan_to_num(seq, nan=-np.inf),
+                j = int(np.lexsort((users.astype(str), np.nan_to_num(seq, nan=-np.inf),
                                     np.nan_to_num(upd, nan=-np.inf)))[-1])
             cand = (_num(upd[j]), _num(seq[j]))
             if not st["has_cfg"] or _newer_or_equal(cand, (st["updated_ms"], st["seq"])):
-                st.update({"has_cfg": True, "user_id": c["user_id"].iat[j],
+                st.update({"has_cfg": True, "user_id": users[j],
                            "updated_ms": cand[0], "seq": cand[1],
-                           **{k: float(c[k].iat[j]) for k in THRESHOLD_COLUMNS}})
+                           **{k: float(m[rows[j], _P[k]]) for k in THRESHOLD_COLUMNS}})
         result = None
         if st["has_cfg"] and n_cfg < len(pdf):
-            rd = pdf if n_cfg == 0 else pdf[~is_cfg]
-            t_raw = rd["t"].to_numpy(dtype=np.int64)
-            order = np.lexsort((rd["tie"].to_numpy(dtype=np.int64), t_raw))
+            rd = m[~is_cfg]
+            t_raw = rd[:, _P["t"]].astype(np.int64)
+            order = np.lexsort((rd[:, _P["tie"]], t_raw))
+            rd = rd[order]
             t = t_raw[order]
-            cols = {m: rd[m].to_numpy(dtype=np.float64)[order] for m in MEASURE_COLUMNS}
+            cols = {c: rd[:, _P[c]] for c in MEASURE_COLUMNS}
             if null_as_zero:       # absent numeric fields read as 0, as typed messages do
-                cols = {m: np.nan_to_num(v, nan=0.0) for m, v in cols.items()}
+                cols = {c: np.nan_to_num(v, nan=0.0) for c, v in cols.items()}
             cols.update({k: np.full(len(t), st[k], dtype=np.float64) for k in THRESHOLD_COLUMNS})
             sel_all, rule_all, rank_all, start_all, obs_all, thr_all = [], [], [], [], [], []
             for i, r in enumerate(rules):
@@ -195,7 +201,7 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
             if sel_all:
                 sel = np.concatenate(sel_all)
                 ri = np.concatenate(rule_all)
-                batch_ms = rd["batch_ms"].to_numpy(dtype=np.int64)[order][sel]
+                batch_ms = rd[sel, _P["batch_ms"]].astype(np.int64)
                 result = pd.DataFrame({
                     "alert_time": _alert_times(t[sel], batch_ms, np.concatenate(rank_all),
                                                alert_time_from),
