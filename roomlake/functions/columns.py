@@ -30,6 +30,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _canonical_utc(s: Column) -> Column:
+    """Cheap test (no regex) for the common 'YYYY-MM-DDTHH:MM:SS[.f]Z' form;
+    Spark's cast then validates the digits (NULL when they are not)."""
+    return ((F.length(s) >= 20) & (F.substring(s, 11, 1) == F.lit("T"))
+            & (F.substring(s, 17, 1) == F.lit(":")) & s.endswith("Z"))
+
+
 def iso_instant(c) -> Column:
     """Parse an ISO-8601 instant with offset; NULL when absent or malformed.
 
@@ -37,9 +44,11 @@ def iso_instant(c) -> Column:
     ('...T17:51Z'); Spark's cast needs upper case and seconds, so both are
     normalised first.
     """
-    s = F.upper(F.trim(_c(c)))
+    raw = F.trim(_c(c))
+    s = F.upper(raw)
     s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(Z|[+-])", "$1:00$2")
-    return F.when(s.rlike(ISO_INSTANT_RE), F.try_to_timestamp(s))
+    return (F.when(_canonical_utc(raw), F.try_to_timestamp(raw))
+             .when(s.rlike(ISO_INSTANT_RE), F.try_to_timestamp(s)))
 
 
 def naive_as_utc(c) -> Column:
@@ -58,11 +67,13 @@ def iso_timestamp(c) -> Column:
     """Lenient ISO-8601 for batch tables (PRJ-4): an offset is optional (none
     means UTC, not the session zone) and the time may be omitted; NULL when
     the string is not ISO-8601."""
-    s = F.upper(F.trim(_c(c)))
+    raw = F.trim(_c(c))
+    s = F.upper(raw)
     s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(Z|[+-]|$)", "$1:00$2")
     s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00")
     zoned = F.when(s.rlike(r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"), s).otherwise(F.concat(s, F.lit("Z")))
-    return F.when(s.rlike(ISO_LENIENT_RE), F.try_to_timestamp(zoned))
+    return (F.when(_canonical_utc(raw), F.try_to_timestamp(raw))
+             .when(s.rlike(ISO_LENIENT_RE), F.try_to_timestamp(zoned)))
 
 
 def epoch_millis(ts) -> Column:
