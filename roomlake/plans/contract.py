@@ -167,22 +167,26 @@ def _metrics_out(df: DataFrame) -> DataFrame:
 
 
 def gold_sensor_hourly_metrics_q(spark, sf):
+    """AGG-1/4 + PRJ-11/12: hourly avg/min/max per device over silver readings."""
     return _metrics_out(gold.sensor_hourly_metrics(_silver(spark, sf)))
 
 
 def gold_hourly_occupancy_rate_q(spark, sf):
+    """AGG-2: hourly occupancy rate per device over silver readings."""
     g = gold.hourly_occupancy_rate(_silver(spark, sf))
     return g.select("pk_sensor_device_hour_id", "device_id", _ts("hour_ts", HOUR_FMT),
                     _r4("occupancy_rate"))
 
 
 def gold_hourly_breach_counts_q(spark, sf):
+    """AGG-3: alerts per device, hour, severity and rule over silver alerts."""
     g = gold.hourly_breach_counts(_silver_alerts(spark, sf))
     return g.select("pk_alert_hour_id", "device_id", _ts("hour_ts", HOUR_FMT), "severity",
                     "rule", "breach_count")
 
 
 def latest_config_by_device(spark, sf):
+    """JOIN-1 (config side): the newest config per device from the changelog."""
     c = latest_config(testdata.config_updates(spark, sf))
     return c.select("device_id", "user_id", _ts("updated_ts", HOUR_FMT), "seq",
                     "temperature_warning_threshold", "temperature_violation_threshold",
@@ -190,6 +194,7 @@ def latest_config_by_device(spark, sf):
 
 
 def reading_config_join(spark, sf):
+    """JOIN-1 + FLT-7: readings joined with their device's latest config."""
     j = joined(spark, sf)
     return j.select("event_id", "device_id", "user_id", _ts("event_ts"), "t", *MEASURES,
                     "occupancy", "temperature_warning_threshold",
@@ -198,6 +203,7 @@ def reading_config_join(spark, sf):
 
 def _rule_q(i: int):
     def q(spark, sf):
+        """FLT-3/4/5: readings on which one rule's condition holds."""
         return rule_matches(joined(spark, sf), DEFAULT_RULES[i])
     return q
 
