@@ -87,7 +87,7 @@ def test_old_config_arriving_late_does_not_override(spark, tmp_path):
     assert run_batches(spark, tmp_path, batches) == [("user_001", "TEMP_WARNING", ms(1200), ms(0))]
 
 
-@pytest.mark.parametrize("num", [2, 3, 5, 6, 8, 13])
+@pytest.mark.parametrize("num", [2, 3, 5, 6, 7, 8, 11, 13])
 def test_traces_split_over_restarts(spark, tmp_path, num):
     """Event-ordered readings cut into three micro-batches equal the batch trace."""
     configs, readings, expected = TRACES[num]
@@ -96,7 +96,8 @@ def test_traces_split_over_restarts(spark, tmp_path, num):
     parts = [rs[:k], rs[k:2 * k], rs[2 * k:]]
     batches = [([config_msg(c, 0, seq=i) for i, c in enumerate(configs)] if j == 0 else [],
                 [reading_msg(r) for r in p]) for j, p in enumerate(parts)]
-    want = sorted(("user_001", r, ms(e), ms(s)) for r, e, s in expected)
+    base = 0 if num == 11 else T0          # trace 11 starts at the epoch
+    want = sorted(("user_001", r, base + e * 1000, base + s * 1000) for r, e, s in expected)
     assert run_batches(spark, tmp_path, batches) == want
 
 
