@@ -101,7 +101,7 @@ class RecursiveBPE:
         self._table("merges", ab=[p[0] * 65536 + p[1] for p in pairs], merged=[p[2] for p in pairs])
         self._table("vocabulary", id=list(vocab.values()), hex=[t.hex() for t in vocab])
         self.cache = Memo(CACHE_WORDS)         # word -> (ids as text, decoded bytes)
-        self.pieces: dict[str, bytes] = Memo(CACHE_WORDS)    # space-cut piece -> ids as text
+        self.pieces = Memo(CACHE_WORDS)    # space-cut piece -> ids as text
         self.decoded: dict[str, bytes] = {}
 
     def _table(self, name: str, **columns: list) -> None:
@@ -145,35 +145,29 @@ class RecursiveBPE:
     def learn(self, pieces: set[str]) -> dict[str, tuple[bytes, bytes]]:
         """Encode the pieces not met yet; the result also holds those too long to keep."""
         matched = {p: self.words.findall(p) for p in pieces}
-        new = list({w for ws in matched.values() for w in ws if w not in self.cache})
-        self.cache.room(len(new))
+        new = self.cache.missing(set().union(*matched.values()))
         got = self.encode_words(new)
-        extra = {}
         for w, v in got.items():
             if len(w) <= self.cache.longest:
                 self.cache[w] = v
-        if len(self.pieces) + len(pieces) > CACHE_WORDS:
-            self.pieces.clear()
-            self.decoded.clear()
+        extra = {}
         for p, ws in matched.items():
-            vs = [got.get(w) or self.cache.get(w) or self.encode_words([w])[w] for w in ws]
-            ids, back = b",".join([v[0] for v in vs]), b"".join([v[1] for v in vs])
+            vs = [got[w] if w in got else self.cache[w] for w in ws]
+            both = b",".join([v[0] for v in vs]), b"".join([v[1] for v in vs])
             if len(p) <= self.pieces.longest:
-                self.pieces[p], self.decoded[p] = ids, back
+                self.pieces[p], self.decoded[p] = both
             else:
-                extra[p] = (ids, back)
+                extra[p] = both
         return extra
 
     def texts(self, rows: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Ids (decimal, joined by commas) and decoded bytes of whole texts."""
         for a in range(0, len(rows), 500):
             split = [self.split(t) if t else [] for t in rows[a:a + 500]]
-            new = set().union(*split).difference(self.pieces) if split else set()
-            if new and len(self.pieces) + len(new) > CACHE_WORDS:
-                self.pieces.clear()
+            new = self.pieces.missing(set().union(*split))
+            if not self.pieces:
                 self.decoded.clear()
-                new = set().union(*split)
-            extra = self.learn(new) if new else {}
+            extra = self.learn(set(new)) if new else {}
             for parts in split:
                 if extra:
                     both = [extra.get(p) or (self.pieces[p], self.decoded[p]) for p in parts]

@@ -61,9 +61,13 @@ class Memo(dict):
         super().__init__()
         self.limit, self.longest = limit, longest
 
-    def room(self, n: int) -> None:
-        if len(self) + n > self.limit:
+    def missing(self, keys: set) -> list:
+        """The keys not cached, in a cache that has room for them (emptied first if need be)."""
+        new = [k for k in keys if k not in self]
+        if len(self) + len(new) > self.limit and len(self):
             self.clear()
+            new = list(keys)
+        return new
 
 
 _IS_SEP = np.zeros(256, dtype=bool)

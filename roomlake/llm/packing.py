@@ -54,10 +54,7 @@ class WordEncoder:
         for a in range(0, len(rows), 500):
             split = [_SPACES.split(t.strip(" \t\n\r\f\v")) if _NOT_UNICODE_SPACE.search(t) else t.split()
                      for t in rows[a:a + 500]]
-            new = list(set().union(*split).difference(cache))
-            if len(cache) + len(new) > cache.limit:
-                cache.clear()
-                new = list(set().union(*split))
+            new = cache.missing(set().union(*split))
             extra = {}
             for w, ids in zip(new, self._encode(new)):
                 if len(w) <= cache.longest:

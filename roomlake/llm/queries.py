@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomlake.llm.bpe import bpe_round_trip
+from roomlake.llm.language import language_predictions
 from roomlake.llm.packing import pack_documents
+from roomlake.llm.simhash import simhash_groups
 from roomlake.llm.tokens import token_counts
+from roomlake.llm.toxicity import toxicity_predictions
 from roomlake.llm.urls import url_verdicts
 
 #: (host, path, action) of the contract
@@ -30,6 +33,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), "fit_chars")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash classes: 3-word shingles, links at 2 or fewer differing bits."""
+    out = simhash_groups(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned outside fold 0 of 5."""
+    return language_predictions(_table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of whole texts and the bytes decoded from them, as digests."""
     return bpe_round_trip(_table(spark, sf_dir, "documents"))
@@ -42,9 +56,17 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text, learned outside fold 1 of 3."""
+    return toxicity_predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_token_counts": op3_token_counts,
+    "op4_simhash": op4_simhash,
+    "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_url_filters": op8_url_filters,
+    "op10_toxicity": op10_toxicity,
 }

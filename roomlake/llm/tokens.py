@@ -170,7 +170,8 @@ class PrefixCounter:
             return b"".join([cache[w] for w in words])
         except KeyError:
             pass
-        cache.room(len(words))
+        if len(cache) > cache.limit:
+            cache.clear()
         out = []
         for w in words:
             d = cache.get(w)
