@@ -9,6 +9,7 @@ from roomlake.llm.bpe import bpe_round_trip
 from roomlake.llm.language import language_predictions
 from roomlake.llm.packing import pack_documents
 from roomlake.llm.simhash import simhash_groups
+from roomlake.llm.substrings import substring_dedup
 from roomlake.llm.tokens import token_counts
 from roomlake.llm.toxicity import toxicity_predictions
 from roomlake.llm.urls import url_verdicts
@@ -27,6 +28,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words outside repeated 35-word windows of every document."""
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of whole texts; ``fit_chars``: code points that fit 4096 tokens."""
     counts = token_counts(_table(spark, sf_dir, "documents"))
@@ -63,6 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_simhash": op4_simhash,
     "op6_language_id": op6_language_id,
