@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomlake.llm.bpe import bpe_round_trip
+from roomlake.llm.embeddings import embedding_duplicates
 from roomlake.llm.language import language_predictions
+from roomlake.llm.lzprint import neighbour_likeness
 from roomlake.llm.packing import pack_documents
 from roomlake.llm.simhash import simhash_groups
 from roomlake.llm.substrings import substring_dedup
@@ -45,6 +47,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and classes of all embeddings at cosine 0.95."""
+    return embedding_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned outside fold 0 of 5."""
     return language_predictions(_table(spark, sf_dir, "documents"))
@@ -62,6 +69,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_lz_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lempel-Ziv fingerprints of whole texts, compared with the edited text and the next document."""
+    return neighbour_likeness(_table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text, learned outside fold 1 of 3."""
     return toxicity_predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -72,8 +84,10 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_simhash": op4_simhash,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op6_language_id": op6_language_id,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_url_filters": op8_url_filters,
+    "op9_lz_fingerprints": op9_lz_fingerprints,
     "op10_toxicity": op10_toxicity,
 }
