@@ -53,15 +53,16 @@ def fingerprint(text: str, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, *, shingle: int = 3, seed: int = 42, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """Per row: the id and ``fp`` (long, the 64 bits signed).  Null or wordless text: zero."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    schema = T.StructType([T.StructField(id_col, src.schema["id"].dataType), T.StructField("fp", T.LongType())])
+    """Per row: the id, ``text_hash`` and ``fp`` (long, the 64 bits signed).  Null or wordless text: zero."""
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("h"))
+    schema = T.StructType([T.StructField(id_col, src.schema["id"].dataType), T.StructField("text_hash", T.LongType()),
+                           T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t, shingle, seed) for t in texts(b.column(1))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64())],
-                                             names=[id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64), pa.int64())],
+                                             names=schema.names)
 
     return src.mapInArrow(run, schema)
 
@@ -313,7 +314,7 @@ def hamming_links(fps: DataFrame, distance: int = 2, parts: tuple[int, ...] = (2
 
 def simhash_groups(docs: DataFrame, *, shingle: int = 3, seed: int = 42, distance: int = 2,
                    parts: tuple[int, ...] = (2, 3, 4), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: the id, ``fp`` and ``component_id`` (smallest id reachable by links).
+    """Per row: the id, ``text_hash``, ``fp``, ``root`` (its class) and ``component_id`` (smallest id reachable).
 
     Null and wordless texts have fingerprint zero and link like any other.
     Equal fingerprints are one node, so copies of any number cost one.  Null ids count
@@ -325,5 +326,20 @@ def simhash_groups(docs: DataFrame, *, shingle: int = 3, seed: int = 42, distanc
     named = (nodes.join(comp, nodes.fp == comp.node, "left")
              .select(nodes.fp, "least", F.coalesce("component", nodes.fp).alias("root")))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.join(least, "root").select("fp", "component_id")
-    return fps.join(classes, "fp").select(id_col, "fp", "component_id")
+    classes = named.join(least, "root").select("fp", "root", "component_id")
+    return fps.join(classes, "fp").select(id_col, "text_hash", "fp", "root", "component_id")
+
+
+def keep_one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each SimHash class, all columns: the smallest id (nulls last), then text hash.
+
+    Of fully repeated rows one stays.
+    """
+    groups = simhash_groups(docs, id_col=id_col, text_col=text_col, **options)
+    chosen = groups.groupBy("root").agg(
+        F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                       F.col("text_hash").alias("h"))).alias("m")).select(F.col("m.id").alias("_id"), F.col("m.h").alias("_h"))
+    rows = docs.withColumn("_text_hash", F.xxhash64(text_col))
+    kept = rows.join(chosen.distinct(), rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_h")),
+                     "left_semi")
+    return kept.dropDuplicates([id_col, "_text_hash"]).select(*docs.columns)

@@ -312,7 +312,7 @@ def substring_dedup(docs: DataFrame, *, window: int = 35, mer: int = 8, id_col:
 
     Removes every word that lies in a window whose words also start
     anywhere else, the same text included.  ``keep_text`` adds ``kept_text``: the kept words
-    of the texts that lost any, else null (the text stands).  A null text has no words.
+    of the texts that lost any, else null (the text stands), and ``text_hash``.  A null text has no words.
     Texts shorter than a window lose nothing.  Repeated rows are texts of their
     own, so from ``window`` words on they repeat each other.  Other input columns are left out.
 
@@ -368,4 +368,23 @@ def substring_dedup(docs: DataFrame, *, window: int = 35, mer: int = 8, id_col:
     out = rows.join(cleaned.withColumnRenamed("sha", "new_sha"), "rid", "left")
     return out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
                       F.coalesce("new_sha", "sha").alias("kept_sha256"),
-                      *(["kept_text"] if keep_text else []))
+                      *(["kept_text", F.col("k").alias("text_hash")] if keep_text else []))
+
+
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str = "n_chars",
+                   **options) -> DataFrame:
+    """``docs`` without the words that ``substring_dedup`` removes; all rows and columns stay.
+
+    Changed texts are their kept words joined by one space, with ``n_chars`` set anew (where there
+    is such a column); other texts stay as they are.  A text that loses all its words is empty.
+    """
+    done = substring_dedup(docs, id_col=id_col, text_col=text_col, keep_text=True, **options)
+    changed = (done.where("n_removed > 0").dropDuplicates([id_col, "text_hash"])
+               .select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_k"), F.col("kept_text").alias("_kept")))
+    rows = docs.withColumn("_text_hash", F.xxhash64(text_col))
+    joined = rows.join(changed, rows[id_col].eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_k")), "left")
+    new = {text_col: F.coalesce("_kept", F.col(text_col))}
+    if n_chars_col in docs.columns:
+        new[n_chars_col] = (F.when(F.col("_kept").isNotNull(), F.length("_kept")).otherwise(F.col(n_chars_col))
+                            .cast(docs.schema[n_chars_col].dataType))
+    return joined.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
