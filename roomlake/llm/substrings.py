@@ -326,9 +326,10 @@ def substring_dedup(docs: DataFrame, *, window: int = 35, mer: int = 8, id_col:
     kmers = scanned.where("mini IS NOT NULL").select("rid", "mini", "digest", "at", "n")
 
     # a minimiser met once repeats nothing; one digest for all its super-k-mers: every window repeats
-    repeated = (kmers.groupBy("mini")
-                .agg(F.count("*").alias("c"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
-                .where("c > 1").select("mini", (F.col("lo") == F.col("hi")).alias("same")))
+    # (written, so that the join's sides are plain shuffles and a hot minimiser can be split)
+    repeated = cut(kmers.groupBy("mini")
+                   .agg(F.count("*").alias("c"), F.min("digest").alias("lo"), F.max("digest").alias("hi"))
+                   .where("c > 1").select("mini", (F.col("lo") == F.col("hi")).alias("same")), "repeated")
     candidates = cut(kmers.select("rid", "mini", "at", "n").join(repeated, "mini"), "candidates")
 
     # the texts that hold any of them, by (id, text hash): one representative row a pair is enough
