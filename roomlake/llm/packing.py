@@ -12,13 +12,16 @@ dealt anew, so that each new group mixes bins of many old ones, and packed again
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,22 +34,68 @@ _SPACES = re.compile("[ \t\n\r\f\v]+")
 _NOT_UNICODE_SPACE = re.compile("[\x1c-\x1f]")     # str.split() cuts there, the tokenizer does not
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level tokenizers write for each byte: itself where printable, else from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    out = {b: chr(b) for b in plain}
+    for k, b in enumerate(b for b in range(256) if b not in out):
+        out[b] = chr(256 + k)
+    return out
+
+
 class WordEncoder:
     """Token ids of texts by a tokenizer that drops white space: word by word, with a bounded cache.
 
     White space is removed before any merge, so the ids of a text are the ids
-    of its space-separated words laid end to end.
+    of its space-separated words laid end to end.  Where the file is of the usual kind (NFC, lower case,
+    one split pattern, byte-level letters), a printable Latin-1 word is split by that pattern here and
+    the tokenizer's merge model is called on its parts; any other word takes the whole tokenizer.
     """
 
     def __init__(self, name: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
-        self.cache = Memo(CACHE_WORDS)
+        path = tokenizer_path(name)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.cache, self.parts = Memo(CACHE_WORDS), Memo(CACHE_WORDS // 2)
+        self.pattern = self._split_pattern(path)
+        self.letters = _byte_letters()
+
+    @staticmethod
+    def _split_pattern(path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        try:
+            split, letters = spec["pre_tokenizer"]["pretokenizers"]
+            names = [n["type"] for n in spec["normalizer"]["normalizers"]]
+            usual = (names == ["NFC", "Replace", "Lowercase"] and split["type"] == "Split" and split["invert"]
+                     and split["behavior"] == "Removed" and letters["type"] == "ByteLevel"
+                     and not letters["add_prefix_space"] and not letters["use_regex"]
+                     and all(t["content"].startswith("<|") for t in spec["added_tokens"]))
+            return regex.compile(split["pattern"]["Regex"]) if usual else None
+        except (KeyError, TypeError, ValueError):
+            return None
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if len(self.parts) >= self.parts.limit:
+                self.parts.clear()
+            if len(part) <= self.parts.longest:
+                self.parts[part] = ids
+        return ids
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        out, pattern = [], self.pattern
+        for w in words:
+            if pattern and w.isprintable() and (w.isascii() or max(w) <= "\xff") and "<|" not in w:
+                out.append(b"".join(map(self._part, pattern.findall(w.lower()))))
+            else:
+                out.append(array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes())
+        return out
 
     def texts(self, rows: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
