@@ -53,16 +53,17 @@ def cmd_lakehouse(a) -> int:
 
 def cmd_alerts(a) -> int:
     from roomlake.settings import rules_from_env, setting
-    from roomlake.streaming.jobs import (console_query, file_values, kafka_alert_query,
+    from roomlake.streaming.jobs import (DEFAULT_MAX_OFFSETS_PER_TRIGGER, console_query, file_values, kafka_alert_query,
                                          kafka_values, start_alert_job)
 
     spark = _session("roomlake-alerts")
     if a.source == "kafka":
         servers = a.kafka_servers or setting("KAFKA_BOOTSTRAP_SERVERS")
-        readings = kafka_values(spark, servers, a.readings or setting("TOPIC_SENSOR", "iot-sensor-readings"), "latest")
+        readings = kafka_values(spark, servers, a.readings or setting("TOPIC_SENSOR", "iot-sensor-readings"), "latest",
+                                DEFAULT_MAX_OFFSETS_PER_TRIGGER)
         configs = kafka_values(spark, servers, a.configs or setting("TOPIC_CONFIG", "user-threshold-config"), "earliest")
     else:
-        readings = file_values(spark, a.readings)
+        readings = file_values(spark, a.readings, a.max_files)
         configs = file_values(spark, a.configs)
     sink = None
     if a.alerts_topic or a.source == "kafka":
@@ -80,7 +81,7 @@ def cmd_alerts(a) -> int:
         from roomlake.streaming.jobs import config_stream, reading_stream
         queries.append(console_query(stream_alerts(union_inputs(reading_stream(readings),
                                                                 config_stream(configs)),
-                                                   rules_from_env()), trigger))
+                                                   rules_from_env(), max_gap_s=a.max_gap_s), trigger))
     if a.once:
         for q in queries:
             q.awaitTermination()
@@ -139,6 +140,7 @@ def main(argv=None) -> int:
     al.add_argument("--quarantine")
     al.add_argument("--console", action="store_true")
     al.add_argument("--max-gap-s", type=int, help="silence that ends an episode (off)")
+    al.add_argument("--max-files", type=int, help="reading files per micro-batch (files source)")
     al.add_argument("--once", action="store_true",
                     help="process what is available, then stop (catch-up / tests)")
     al.set_defaults(fn=cmd_alerts)

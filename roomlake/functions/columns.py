@@ -23,7 +23,6 @@ ISO_INSTANT_RE = (r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
 # the writer and the readers of a table use the same one.
 KEY_NULL = "_roomlake_null_"
 KEY_SEP = "-"
-TS_KEY_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def _c(c) -> Column:
@@ -84,20 +83,47 @@ def millis_to_ts(ms) -> Column:
     return F.timestamp_millis(_c(ms))
 
 
+def utc_date(ts) -> Column:
+    """The UTC date of a TIMESTAMP, whatever the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(_c(ts)) / F.lit(86400)).cast("int"))
+
+
+def utc_hour(ts) -> Column:
+    """The UTC hour of day (int), whatever the session zone."""
+    return F.floor(F.pmod(F.unix_seconds(_c(ts)), F.lit(86400)) / F.lit(3600)).cast("int")
+
+
+def _two(n: Column) -> Column:
+    return F.lpad(n.cast("string"), 2, "0")
+
+
+def utc_string(ts, sep: str = " ", digits: int = 0) -> Column:
+    """'yyyy-MM-dd<sep>HH:mm:ss[.f..]' in UTC, whatever the session zone."""
+    ts = _c(ts)
+    of_day = F.pmod(F.unix_seconds(ts), F.lit(86400))
+    part = lambda unit, mod: _two(F.pmod(F.floor(of_day / F.lit(unit)), F.lit(mod)))
+    parts = [utc_date(ts).cast("string"), F.lit(sep), part(3600, 24), F.lit(":"), part(60, 60), F.lit(":"),
+             part(1, 60)]
+    if digits:
+        micros = F.lpad(F.pmod(F.unix_micros(ts), F.lit(1_000_000)).cast("string"), 6, "0")
+        parts += [F.lit("."), F.substring(micros, 1, digits)]
+    return F.concat(*parts)
+
+
 def iso_utc_string(ts, fractional: bool = False) -> Column:
-    """Timestamp -> 'yyyy-MM-ddTHH:mm:ssZ' (session time zone must be UTC)."""
-    fmt = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'" if fractional else "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    return F.date_format(_c(ts), fmt)
+    """Timestamp -> 'yyyy-MM-ddTHH:mm:ss[.SSS]Z' in UTC."""
+    return F.concat(utc_string(ts, "T", 3 if fractional else 0), F.lit("Z"))
 
 
 def hour_ts(ts) -> Column:
-    return F.date_trunc("hour", _c(ts))
+    """The start of the UTC hour."""
+    return F.timestamp_seconds(F.floor(F.unix_seconds(_c(ts)) / F.lit(3600)) * F.lit(3600))
 
 
 def key_part(c, dtype: str | None = None) -> Column:
     col = _c(c)
     if dtype in ("timestamp", "timestamp_ntz"):
-        s = F.date_format(col, TS_KEY_FORMAT)
+        s = utc_string(col, " ", 6)
     else:
         s = col.cast("string")
     return F.coalesce(s, F.lit(KEY_NULL))
@@ -106,7 +132,7 @@ def key_part(c, dtype: str | None = None) -> Column:
 def surrogate_key(df, cols: list[str]) -> Column:
     """md5 over '-'-joined, null-safe string forms of ``cols``.
 
-    Timestamps are formatted explicitly (microseconds) so a key does not
+    Timestamps are formatted in UTC (microseconds) so a key does not
     depend on session settings.
     """
     types = dict(df.dtypes)
@@ -114,9 +140,14 @@ def surrogate_key(df, cols: list[str]) -> Column:
     return F.md5(F.concat_ws(KEY_SEP, *parts))
 
 
+def naive_utc(value: _dt.datetime) -> _dt.datetime:
+    """An aware datetime as naive UTC; a naive one is taken as UTC."""
+    return value.astimezone(_dt.timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+
+
 def lookback_cutoff(now: _dt.datetime, hours: int = 2) -> _dt.datetime:
-    """date_trunc('hour', now - hours): the incremental re-processing horizon."""
-    t = now - _dt.timedelta(hours=hours)
+    """date_trunc('hour', now - hours), naive UTC: the incremental re-processing horizon."""
+    t = naive_utc(now) - _dt.timedelta(hours=hours)
     return t.replace(minute=0, second=0, microsecond=0)
 
 

@@ -33,7 +33,7 @@ def _headers(pairs: list[tuple[str, Column]]) -> Column:
 def to_messages(df: DataFrame, key: Column, schema: T.StructType, event_type: str,
                 producer: str) -> DataFrame:
     """PRJ-8: rows -> (key, value, headers) for a Kafka sink."""
-    value = F.to_json(F.struct(*[F.col(f.name) for f in schema.fields]))
+    value = F.to_json(F.struct(*[F.col(f.name) for f in schema.fields]), {"ignoreNullFields": "false"})
     headers = _headers([("schema_version", F.lit(SCHEMA_VERSION)),
                         ("content_type", F.lit(CONTENT_TYPE)),
                         ("event_type", F.lit(event_type)),
@@ -42,24 +42,29 @@ def to_messages(df: DataFrame, key: Column, schema: T.StructType, event_type: st
                      headers.alias("headers"))
 
 
+def message_key(*cols: str) -> Column:
+    """Parts joined by ':'; a null part keeps its place as ``null``."""
+    return F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols])
+
+
 def reading_messages(readings: DataFrame) -> DataFrame:
     return to_messages(readings, F.col("device_id"), READING_MESSAGE,
                        READING_EVENT_TYPE, READING_PRODUCER)
 
 
 def config_messages(configs: DataFrame) -> DataFrame:
-    key = F.concat_ws(":", F.col("user_id"), F.col("device_id"))
+    key = message_key("user_id", "device_id")
     return to_messages(configs, key, CONFIG_MESSAGE, CONFIG_EVENT_TYPE, CONFIG_PRODUCER)
 
 
 def alert_message_key() -> Column:
-    """Alerts are keyed user_id:device_id:rule (ordering per user, device and rule)."""
-    return F.concat_ws(":", F.col("user_id"), F.col("device_id"), F.col("rule"))
+    """Alerts with one key stay in order: the same user, device and rule."""
+    return message_key("user_id", "device_id", "rule")
 
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
     """PRJ-7: key user:device:rule, JSON value, five headers."""
-    value = F.to_json(F.struct(*[F.col(f.name) for f in ALERT_MESSAGE.fields]))
+    value = F.to_json(F.struct(*[F.col(f.name) for f in ALERT_MESSAGE.fields]), {"ignoreNullFields": "false"})
     headers = _headers([("schema_version", F.lit(SCHEMA_VERSION)),
                         ("event_type", F.lit(ALERT_EVENT_TYPE)),
                         ("producer", F.lit(ALERT_PRODUCER)),
@@ -102,7 +107,7 @@ def parse_configs(messages: DataFrame, value_col: str = "value") -> DataFrame:
         *[c for c in messages.columns if c != value_col], "_m.*")
     ts = iso_instant("updated_at")
     return (df.withColumn("updatedAtMillis", epoch_millis(ts))
-              .withColumn("userDeviceKey", F.concat_ws(":", "user_id", "device_id"))
+              .withColumn("userDeviceKey", message_key("user_id", "device_id"))
               .withColumn("_corrupt", ts.isNull()))
 
 

@@ -27,15 +27,16 @@ rows, so the work is never grouped by key.  Instead:
    episode starts known, the cooldown transfer of each single-key
    partition -- the last alert time as a step function of the incoming one
    (exact: one step per distinct chain end reachable from the first
-   cooldown window);
+   cooldown window); the transfers of consecutive partitions of a key are shuffled
+   together and composed on the executors, one partition at a time;
 4. pass C: every partition replays its rows with the exact incoming state
    and emits the alerts.
 
 Every pass streams its partition's Arrow batches in order and carries the
 run in progress across batch boundaries, so a task holds one batch and
 O(rules) state, never a whole key or partition.  Between passes the carries
-are folded in partition order on the driver: O(#partitions) small records,
-never data rows -- the pattern Spark uses itself for ``zipWithIndex``
+are folded in partition order on the driver: O(rules) numbers per partition,
+never data rows or transfers -- the pattern Spark uses itself for ``zipWithIndex``
 offsets and range-partition bounds.  Row work is vectorised numpy; Python
 loops run once per run segment (a key's rows in one batch) and rule, once
 per emitted alert, and -- only for a partition that continues a key -- once
@@ -45,6 +46,7 @@ per candidate of its first cooldown window.
 from __future__ import annotations
 
 import bisect
+import logging
 import math
 from dataclasses import dataclass
 
@@ -54,6 +56,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from roomlake.functions.columns import iso_utc_string
 from roomlake.schemas import ALERT_MESSAGE
 from roomlake.session import ensure_checkpoint_dir
 from roomlake.settings import DEFAULT_RULES, RuleSpec
@@ -67,7 +70,6 @@ NULL_AS_ZERO = ["temperature", "humidity", "light", "co2", "humidity_ratio", "oc
 # does not depend on it: partitions are streamed batch by batch.
 DEFAULT_ROWS_PER_PARTITION = 2_000_000
 DEFAULT_SOURCE_BYTES_PER_PARTITION = 128 * 1024 * 1024
-MAX_PARTITIONS = 200_000
 
 
 # --------------------------------------------------------------------------
@@ -103,6 +105,11 @@ def _big(v) -> int:
     return v if isinstance(v, int) else int(v.toString())
 
 
+def spark_default_size(spark) -> int:
+    """The size Spark assumes of a relation it knows nothing about."""
+    return int(spark.conf.get("spark.sql.defaultSizeInBytes", str(INT64_MAX)).rstrip("bB"))
+
+
 def _estimate_partitions(df: DataFrame, rows_per_partition: int,
                          source_bytes_per_partition: int = DEFAULT_SOURCE_BYTES_PER_PARTITION) -> int:
     """Range partitions for the staging shuffle: enough that each holds about
@@ -116,15 +123,17 @@ def _estimate_partitions(df: DataFrame, rows_per_partition: int,
     try:
         plan = df._jdf.queryExecution().optimizedPlan()
         leaves = plan.collectLeaves()
-        biggest = max(_big(leaves.apply(i).stats().sizeInBytes())
-                      for i in range(leaves.size()))
-        want = max(want, math.ceil(biggest / source_bytes_per_partition))
+        sizes = [_big(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+        known = [x for x in sizes if x < spark_default_size(spark)]     # a leaf without statistics counts as that
+        if known:
+            want = max(want, math.ceil(max(known) / source_bytes_per_partition))
         rows = plan.stats().rowCount()
         if rows.isDefined():
             want = max(want, math.ceil(_big(rows.get()) / rows_per_partition))
-    except Exception:  # statistics are best effort (e.g. remote sessions)
-        pass
-    return min(want, MAX_PARTITIONS)
+    except Exception as e:  # a remote session has no plan handle: the caller's num_partitions decides there
+        logging.getLogger(__name__).warning(
+            "no plan statistics (%s): staging into %d partitions; pass num_partitions for large inputs", e, want)
+    return want
 
 
 # --------------------------------------------------------------------------
@@ -215,63 +224,62 @@ class ChainTransfer:
 
     Candidate times are fed in order, in chunks.  Every candidate in the first
     cooldown window after ``t_first`` (and the first one beyond it) can be the
-    first alert, depending on x_in; each such entry starts a chain.  Chains
-    that alert on the same candidate merge for good, so after the first
-    window the few distinct chains are advanced by jumps, chunk by chunk.
-    ``result()`` gives (thresholds, ends): x_out = ends[j] for the first j
-    with thresholds[j] >= x_in + cooldown, else x_in.
+    first alert, depending on x_in; each such entry starts a chain.  No chain
+    can alert again inside that window, so its candidates are only appended; from the first one
+    beyond it on, all chains advance together by sorted jumps, and chains that alert on the
+    same candidate merge for good.  ``result()`` gives (thresholds, ends): x_out = ends[j]
+    for the first j with thresholds[j] >= x_in + cooldown, else x_in.
     """
 
     def __init__(self, t_first: int, cd: int):
         self.t_first, self.cd = int(t_first), int(cd)
-        self.chains: dict[int, list[int]] = {}   # last alert -> entry thresholds
-        self.collecting = True
+        self.entries = [np.zeros(0, np.int64)]   # entry candidates, in order
+        self.last = None                         # each entry's last alert, once the window is over
         self.last_seen = None
 
-    def feed(self, ct: list) -> None:
-        if not ct:
+    def feed(self, ct) -> None:
+        ct = np.asarray(ct, dtype=np.int64)
+        if not len(ct):
             return
-        self.last_seen = ct[-1]
+        self.last_seen = int(ct[-1])
         if self.cd <= 0:
             return
-        cd, i = self.cd, 0
-        while self.collecting and i < len(ct):
-            c = ct[i]
-            fire = [last for last in self.chains if last <= c - cd]
-            if fire:
-                merged = self.chains.setdefault(c, [])
-                for last in fire:
-                    if last != c:
-                        merged.extend(self.chains.pop(last))
-            self.chains.setdefault(c, []).append(c)       # entry starting here
-            if c >= self.t_first + cd:
-                self.collecting = False
-            i += 1
-        rest = ct[i:]
-        if rest and self.chains:
-            moved: dict[int, list[int]] = {}
-            for last, entries in self.chains.items():
-                _, x = emit_chain(rest, last, cd)
-                moved.setdefault(x, []).extend(entries)
-            self.chains = moved
+        if self.last is None:
+            beyond = int(np.searchsorted(ct, self.t_first + self.cd))
+            self.entries.append(ct[:beyond + 1])
+            if beyond == len(ct):
+                return
+            self.entries = [np.concatenate(self.entries)]
+            self.last = self.entries[0].copy()
+            # the candidate beyond the window is an entry and may be a chain's next alert too
+            self.last[self.last <= ct[beyond] - self.cd] = ct[beyond]
+            ct = ct[beyond + 1:]
+        chains, of = np.unique(self.last, return_inverse=True)
+        while len(ct):
+            nxt = np.searchsorted(ct, chains + self.cd)
+            fires = nxt < len(ct)
+            if not fires.any():
+                break
+            chains = np.where(fires, ct[np.minimum(nxt, len(ct) - 1)], chains)
+            chains, merged = np.unique(chains, return_inverse=True)
+            of = merged[of]
+        self.last = chains[of]
 
     def result(self):
         if self.last_seen is None:
             return [], []
         if self.cd <= 0:
             return [int(INT64_MAX)], [int(self.last_seen)]
-        pairs = sorted((thr, end) for end, entries in self.chains.items() for thr in entries)
-        thr, ends = [], []
-        for k, (a, e) in enumerate(pairs):
-            if k + 1 < len(pairs) and pairs[k + 1][1] == e:
-                continue                      # keep the last threshold of a block
-            thr.append(int(a))
-            ends.append(int(e))
-        return thr, ends
+        thr = np.concatenate(self.entries)
+        ends = thr if self.last is None else self.last
+        order = np.lexsort((ends, thr))
+        thr, ends = thr[order], ends[order]
+        keep = np.append(ends[1:] != ends[:-1], True)     # the last threshold of each block
+        return thr[keep].tolist(), ends[keep].tolist()
 
 
 def apply_transfer(thr: list, ends: list, x_in: int, cd: int) -> int:
-    if not thr:
+    if not len(thr):
         return x_in
     j = bisect.bisect_left(thr, x_in + cd) if cd > 0 else 0
     return ends[j] if j < len(thr) else x_in
@@ -328,6 +336,7 @@ _SUMMARY_B = T.StructType([
     T.StructField("thr", T.ArrayType(T.ArrayType(T.LongType()))),
     T.StructField("ends", T.ArrayType(T.ArrayType(T.LongType()))),
     T.StructField("x_exit", T.ArrayType(T.LongType())),
+    T.StructField("chain", T.IntegerType()),
 ])
 
 
@@ -395,7 +404,7 @@ def _lookup(carries, pid: int):
     return table.get(pid)
 
 
-def _pass_b(rules, single_cont, max_gap=None):
+def _pass_b(rules, single_cont, chains, max_gap=None):
     """Per partition: the exit last-alert time of its last run entered fresh,
     and for single-key partitions that continue a key the cooldown transfer
     (entered with the known episode start and previous reading time
@@ -410,7 +419,8 @@ def _pass_b(rules, single_cont, max_gap=None):
             a, b = st["xfer"][i].result() if st["xfer"] else ([], [])
             thr.append(a)
             ends.append(b)
-        return {"pid": st["pid"], "thr": thr, "ends": ends, "x_exit": [int(v) for v in st["x"]]}
+        return {"pid": st["pid"], "thr": thr, "ends": ends, "x_exit": [int(v) for v in st["x"]],
+                "chain": _lookup(chains, st["pid"])[0]}
 
     def run(batches):
         out, st = [], None
@@ -439,7 +449,7 @@ def _pass_b(rules, single_cont, max_gap=None):
                 if st["xfer"] is not None:
                     idx2, _, st["xs"][i] = candidates(tt, c.copy(), st["xs"][i], durs[i],
                                                       st["xt"], max_gap)
-                    st["xfer"][i].feed(tt[idx2].tolist())
+                    st["xfer"][i].feed(tt[idx2])
             st["t_last"] = st["xt"] = int(tt[-1])
         if st is not None:
             out.append(summary(st))
@@ -545,22 +555,56 @@ def _fold_starts(summ_a, rules, max_gap=None):
     return s_in_map
 
 
-def _fold_cooldowns(summ_a, summ_b, rules):
-    by_pid = {r["pid"]: r for r in summ_b}
-    x_in_map, prev, prev_exit = {}, None, None
-    for row in sorted(summ_a, key=lambda r: r["pid"]):
-        b = by_pid[row["pid"]]
+def _chains(summ_a) -> dict[int, tuple[int, int]]:
+    """(chain, next partition) of every partition; -1 after the last.
+
+    A chain starts at a partition whose exit does not depend on its entry and
+    goes on through the single-key partitions that continue the key.
+    """
+    rows, out, chain, prev = sorted(summ_a, key=lambda r: r["pid"]), {}, None, None
+    for k, row in enumerate(rows):
         cont = prev is not None and row["first_k"] == prev["last_k"]
-        x_in = prev_exit if cont else [0] * len(rules)
-        if cont:
-            x_in_map[row["pid"]] = x_in
-        if row["first_k"] == row["last_k"] and cont:
-            exit_ = [apply_transfer(b["thr"][i], b["ends"][i], x_in[i], rules[i].cooldown_ms)
-                     for i in range(len(rules))]
-        else:
-            exit_ = list(b["x_exit"])
-        prev, prev_exit = row, exit_
-    return x_in_map
+        if not (cont and row["first_k"] == row["last_k"]):
+            chain = row["pid"]
+        out[row["pid"]] = (chain, rows[k + 1]["pid"] if k + 1 < len(rows) else -1)
+        prev = row
+    return out
+
+
+_ENTRY = T.StructType([T.StructField("pid", T.IntegerType()),
+                       T.StructField("x_in", T.ArrayType(T.LongType()))])
+
+
+def _compose(rules, chains):
+    """Carry the last alert time along each chain: (partition, its entry value per rule).
+
+    Rows come sorted by (chain, pid) and are taken one at a time, so a task
+    holds one partition's transfer, however long the chain.
+    """
+    cds = [r.cooldown_ms for r in rules]
+
+    def run(batches):
+        chain, x = None, None
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                own, nxt = _lookup(chains, row.pid)
+                if own != chain:
+                    chain, x = own, [int(v) for v in row.x_exit]
+                else:
+                    x = [apply_transfer(row.thr[i], row.ends[i], x[i], cds[i]) for i in range(len(cds))]
+                if nxt >= 0:
+                    out.append((nxt, [int(v) for v in x]))
+            if out:
+                yield pd.DataFrame(out, columns=["pid", "x_in"])
+    return run
+
+
+def _entry_cooldowns(summ_b: DataFrame, rules, chains) -> dict[int, list[int]]:
+    """Entry last-alert time per partition and rule; transfers are composed on the executors."""
+    rows = (summ_b.repartition("chain").sortWithinPartitions("chain", "pid")
+            .select("pid", "thr", "ends", "x_exit"))
+    return {r["pid"]: list(r["x_in"]) for r in rows.mapInPandas(_compose(rules, chains), _ENTRY).collect()}
 
 
 def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
@@ -600,16 +644,15 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
     if s_in_map:
         single = {r["pid"] for r in summ_a if r["first_k"] == r["last_k"]}
         single_cont = _share(spark, {pid: v for pid, v in s_in_map.items() if pid in single})
-        summ_b = [r.asDict() for r in
-                  narrow.mapInPandas(_pass_b(rules, single_cont, gap), _SUMMARY_B).collect()]
-        x_in_map = _fold_cooldowns(summ_a, summ_b, rules)
+        chains = _share(spark, _chains(summ_a))
+        summ_b = narrow.mapInPandas(_pass_b(rules, single_cont, chains, gap), _SUMMARY_B)
+        x_in_map = _entry_cooldowns(summ_b, rules, chains)
         entry_map = _share(spark, {pid: (v[0], x_in_map[pid], v[1])
                                    for pid, v in s_in_map.items()})
     raw = staged.mapInPandas(_pass_c(rules, entry_map, gap), _ALERT_ROWS)
     when = F.lit(alert_time_ms) if alert_time_ms is not None else F.col("window_end_ms")
     alerts = raw.select(
-        F.date_format(F.timestamp_millis(when), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-         .alias("alert_time"), *_ALERT_ROWS.fieldNames())
+        iso_utc_string(F.timestamp_millis(when), fractional=True).alias("alert_time"), *_ALERT_ROWS.fieldNames())
     if return_plan:
         rows = [r["rows"] for r in sorted(summ_a, key=lambda r: r["pid"])]
         return alerts, DetectionPlan(p, len(s_in_map), bool(s_in_map), rows)

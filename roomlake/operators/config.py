@@ -6,9 +6,10 @@ where sequence is the changelog order (topic offset, or any tie-break).
 ``max_by`` runs as a partial aggregate on every task, so a device with
 millions of updates is reduced before the shuffle.
 
-The join broadcasts the config side only after counting it: below
-``broadcast_max_rows`` it is a broadcast hash join (no shuffle of the
-readings); above it, a shuffled join whose skewed partitions AQE splits.
+The join carries no hint and caches nothing: the config side is an aggregate, so
+adaptive execution knows its bytes before it joins, broadcasts it below
+``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise shuffles, splitting
+skewed partitions.  Every call reads the configs as they are then.
 """
 
 from __future__ import annotations
@@ -21,9 +22,6 @@ from roomlake.functions.columns import iso_instant
 THRESHOLD_COLUMNS = ["temperature_warning_threshold", "temperature_violation_threshold",
                      "no_occupancy_light_threshold"]
 
-# ~80 bytes a row: 10M devices stay well below executor memory.
-DEFAULT_BROADCAST_MAX_ROWS = 10_000_000
-
 
 def latest_config(updates: DataFrame, key: tuple[str, ...] = ("device_id",),
                   order: tuple[str, ...] = ("updated_ts", "updatedAtMillis", "seq",
@@ -47,20 +45,10 @@ def latest_config(updates: DataFrame, key: tuple[str, ...] = ("device_id",),
     return updates.groupBy(*key).agg(best).select(*key, "cfg.*")
 
 
-def join_config(readings: DataFrame, config: DataFrame,
-                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+def join_config(readings: DataFrame, config: DataFrame) -> DataFrame:
     """Inner join readings with their device's config; readings without one drop.
 
     With a per-(user, device) config the join fans a reading out to each user.
     """
     cfg = config.select("device_id", "user_id", *THRESHOLD_COLUMNS)
-    if "user_id" in readings.columns:
-        readings = readings.drop("user_id")
-    if broadcast_max_rows > 0:
-        # count the config side once; keep it cached so the broadcast does not
-        # aggregate the changelog again, and release it if it is too big to ship
-        cached = cfg.persist()
-        if cached.count() <= broadcast_max_rows:
-            return readings.join(F.broadcast(cached), on="device_id", how="inner")
-        cached.unpersist()
-    return readings.join(cfg, on="device_id", how="inner")
+    return readings.drop("user_id").join(cfg, on="device_id", how="inner")

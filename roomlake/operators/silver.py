@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roomlake.functions.columns import (iso_timestamp, lookback_cutoff, surrogate_key,
-                                        ts_literal)
+                                        ts_literal, utc_date, utc_hour)
 from roomlake.schemas import MEASURES
 
 READING_KEY = ["device_id", "event_ts"]
@@ -77,8 +77,8 @@ def silver_readings(bronze: DataFrame, now: _dt.datetime | None = None,
     keyed = base.select(
         surrogate_key(base, READING_KEY).alias("pk_sensor_event_id"),
         "event_ts",
-        F.to_date("event_ts").alias("event_date"),
-        F.hour("event_ts").alias("event_hour"),
+        utc_date("event_ts").alias("event_date"),
+        utc_hour("event_ts").alias("event_hour"),
         "device_id", *MEASURES, "occupancy")
     return _keep_first(keyed, READING_KEY, [*MEASURES, "occupancy"]).select(*SILVER_READING_COLUMNS)
 
@@ -105,8 +105,8 @@ def silver_alerts(bronze: DataFrame, now: _dt.datetime | None = None,
     keyed = base.select(
         surrogate_key(base, ALERT_KEY).alias("pk_alert_event_id"),
         "alert_ts",
-        F.to_date("alert_ts").alias("alert_date"),
-        F.hour("alert_ts").alias("alert_hour"),
+        utc_date("alert_ts").alias("alert_date"),
+        utc_hour("alert_ts").alias("alert_hour"),
         "user_id", "device_id", "rule", "severity", "metric", "observed_value",
         "threshold_value", "window_start_ms", "window_end_ms")
     order = ["window_end_ms", "window_start_ms", "observed_value", "threshold_value", "metric"]

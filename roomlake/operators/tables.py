@@ -23,57 +23,21 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomlake.functions.columns import ts_literal
-
-
-class _LocalFS:
-    """Local-path stand-in for the Hadoop FileSystem when the session has no
-    JVM handle (Spark Connect clients); cluster paths need the JVM route."""
-
-    class _Status:
-        def __init__(self, path):
-            self._p = path
-
-        def getPath(self):
-            return self
-
-        def getName(self):
-            import os
-            return os.path.basename(self._p)
-
-        def isDirectory(self):
-            import os
-            return os.path.isdir(self._p)
-
-    def exists(self, p):
-        import os
-        return os.path.exists(p)
-
-    def delete(self, p, recursive):
-        import shutil
-        shutil.rmtree(p, ignore_errors=True)
-
-    def listStatus(self, p):
-        import os
-        return [self._Status(os.path.join(p, n)) for n in sorted(os.listdir(p))]
+from roomlake.functions.columns import naive_utc, ts_literal
 
 
 def _fs(spark: SparkSession, path: str):
-    try:
-        sc = spark.sparkContext
-        jvm = sc._jvm
-    except Exception:
-        local = path[len("file:"):] if path.startswith("file:") else path
-        if "://" in local:
-            raise
-        return _LocalFS(), local
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    """The Hadoop file system of ``path``: whatever store the session's readers and writers use."""
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p) and fs.exists(_fs(spark, f"{path.rstrip('/')}/_SUCCESS")[1])
+    """A table is there once its schema sidecar is: it is written after the first full build commits,
+    whether or not the committer leaves success markers."""
+    fs, _ = _fs(spark, path)
+    return fs.exists(_fs(spark, f"{path.rstrip('/')}/_schema.json")[1])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -93,9 +57,6 @@ def _read_small(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return None
-    if isinstance(fs, _LocalFS):
-        with open(p, encoding="utf-8") as f:
-            return f.read()
     jvm = spark.sparkContext._jvm
     stream = fs.open(p)
     try:
@@ -106,10 +67,6 @@ def _read_small(spark: SparkSession, path: str) -> str | None:
 
 def _write_small(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _fs(spark, path)
-    if isinstance(fs, _LocalFS):
-        with open(p, "w", encoding="utf-8") as f:
-            f.write(text)
-        return
     out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
@@ -195,6 +152,7 @@ def replace_slice(spark: SparkSession, path: str, new_rows: DataFrame, ts_col: s
     if full_refresh or not table_exists(spark, path):
         _write(new_rows, path, [partition_col], dynamic=False)
         return "created"
+    cutoff = naive_utc(cutoff)           # partitions are UTC dates
     cut_date = cutoff.date().isoformat()
     cut = ts_literal(cutoff)
     target = read_table(spark, path)
@@ -217,5 +175,6 @@ def high_water_mark(df: DataFrame, ts_col: str, default: str = "2010-01-01",
                     lookback: str = "0 days", where: str | None = None) -> DataFrame:
     """AGG-5: one row ``hwm = coalesce(max(ts), default) - INTERVAL lookback``."""
     base = df.where(where) if where else df
-    return base.agg((F.coalesce(F.max(ts_col), F.lit(default).cast("timestamp"))
+    floor = ts_literal(_dt.datetime.fromisoformat(default))
+    return base.agg((F.coalesce(F.max(ts_col), floor)
                      - F.expr(f"INTERVAL {lookback}")).alias("hwm"))

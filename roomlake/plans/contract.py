@@ -16,7 +16,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roomlake.functions.columns import iso_utc_string, lookback_cutoff
+from roomlake.functions.columns import iso_utc_string, lookback_cutoff, utc_date, utc_hour, utc_string
 from roomlake.functions.messages import (alert_messages, config_messages, header_value,
                                          parse_configs, parse_readings, reading_messages)
 from roomlake.operators import gold, silver, tables
@@ -44,11 +44,11 @@ ALERT_COLS = [f.name for f in ALERT_MESSAGE.fields]
 
 
 def _ts(c: str, fmt: str = TS_FMT):
-    return F.date_format(c, fmt).alias(c)
+    return utc_string(c, " ", 6 if fmt == TS_FMT else 0).alias(c)
 
 
 def _d(c: str):
-    return F.date_format(c, "yyyy-MM-dd").alias(c)
+    return F.col(c).cast("string").alias(c)
 
 
 def _r4(c: str):
@@ -87,7 +87,7 @@ def readings_projection(spark, sf):
     ev = testdata.table(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("double")
     path = scratch_path(spark, "sensor-csv")
-    (ev.select(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("date"),
+    (ev.select(utc_string(testdata.as_utc(ev, "ts")).alias("date"),
                F.col("value").alias("Temperature"), (k / 2.0).alias("Humidity"),
                k.alias("Light"), (k + 400.0).alias("CO2"),
                (F.col("value") / 1000.0).alias("HumidityRatio"),
@@ -96,8 +96,8 @@ def readings_projection(spark, sf):
     r = sensor_csv_to_readings(read_sensor_csv(spark, path))
     ts = F.to_timestamp("event_time")
     return r.select("event_time", "device_id", *MEASURES, "occupancy",
-                    F.date_format(F.to_date(ts), "yyyy-MM-dd").alias("event_date"),
-                    F.hour(ts).alias("event_hour"))
+                    utc_date(ts).cast("string").alias("event_date"),
+                    utc_hour(ts).alias("event_hour"))
 
 
 def reading_json_roundtrip(spark, sf):
@@ -275,10 +275,10 @@ def silver_upsert(spark, sf):
 def gold_slice_replace(spark, sf):
     """SNK-6: gold built once, then the slice from the cutoff hour replaced."""
     path = scratch_path(spark, "gold-slice")
-    first = gold.sensor_hourly_metrics(_silver(spark, sf)).withColumn("hour_date", F.to_date("hour_ts"))
+    first = gold.sensor_hourly_metrics(_silver(spark, sf)).withColumn("hour_date", utc_date("hour_ts"))
     tables.replace_slice(spark, path, first, "hour_ts", CUTOFF)
     second = (gold.sensor_hourly_metrics(_silver(spark, sf, 1.0), now=NOW, incremental=True)
-              .withColumn("hour_date", F.to_date("hour_ts")))
+              .withColumn("hour_date", utc_date("hour_ts")))
     tables.replace_slice(spark, path, second, "hour_ts", CUTOFF)
     t = tables.read_table(spark, path)
     return t.select("pk_sensor_device_hour_id", "device_id", _ts("hour_ts", HOUR_FMT),
@@ -358,10 +358,8 @@ def stream_hourly_rollup_q(spark, sf):
     return t.select("device_id", _ts("hour_ts", HOUR_FMT), *cols)
 
 
-def _in_utc(fn):
-    """Contract outputs are defined in UTC whatever the caller's session zone."""
+def _shipped(fn):
     def run(spark, sf):
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
         ship_package(spark)
         return fn(spark, sf)
     run.__name__ = getattr(fn, "__name__", "query")
@@ -398,4 +396,4 @@ _QUERIES = {
     "stream_hourly_rollup": stream_hourly_rollup_q,
 }
 
-QUERIES = {name: _in_utc(fn) for name, fn in _QUERIES.items()}
+QUERIES = {name: _shipped(fn) for name, fn in _QUERIES.items()}

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from roomlake.functions.columns import lookback_cutoff
+from roomlake.functions.columns import lookback_cutoff, naive_utc, utc_date
 from roomlake.operators import gold, silver, tables
 from roomlake.operators.checks import assert_checks, run_checks
 from roomlake.schemas import TABLE_KEYS
@@ -52,6 +52,7 @@ def run_lakehouse(spark: SparkSession, paths: LakePaths, now: _dt.datetime,
     ``max(event_ts) - lookback`` (AGG-5), so a late replay of old readings
     up to that mark is still picked up."""
     report = RunReport()
+    now = naive_utc(now)
     cutoff = lookback_cutoff(now, lookback_hours)
     sr_path0 = paths.table("silver_iot_sensor_readings")
     if cutoff_from == "high_water_mark" and not full_refresh and tables.table_exists(spark, sr_path0):
@@ -94,7 +95,7 @@ def run_lakehouse(spark: SparkSession, paths: LakePaths, now: _dt.datetime,
         silver_r = silver_r.where(F.col("event_date") >= F.lit(cutoff.date().isoformat()).cast("date"))
     rollup = (gold.hourly_device_rollup(silver_r, now=now, lookback_hours=lookback_hours,
                                         incremental=inc_g, cutoff=cutoff)
-              .withColumn("hour_date", F.to_date("hour_ts"))
+              .withColumn("hour_date", utc_date("hour_ts"))
               .persist())
     try:
         metrics = rollup.select(*gold.METRICS_COLUMNS, "hour_date")
@@ -111,7 +112,7 @@ def run_lakehouse(spark: SparkSession, paths: LakePaths, now: _dt.datetime,
         silver_a = silver_a.where(F.col("alert_date") >= F.lit(cutoff.date().isoformat()).cast("date"))
     breaches = (gold.hourly_breach_counts(silver_a, now=now, lookback_hours=lookback_hours,
                                           incremental=inc_b, cutoff=cutoff)
-                .withColumn("hour_date", F.to_date("hour_ts")))
+                .withColumn("hour_date", utc_date("hour_ts")))
     report.actions["gold_hourly_breach_counts"] = tables.replace_slice(
         spark, gb_path, breaches, "hour_ts", cutoff, full_refresh=not inc_b)
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomlake.functions.columns import iso_utc_string, naive_as_utc
+from roomlake.functions.columns import iso_utc_string, naive_as_utc, utc_date, utc_hour, utc_string
 from roomlake.operators.checks import require_columns
 from roomlake.schemas import (ALERT_MESSAGE, BRONZE_READING, SENSOR_CSV_COLUMNS,
                               THRESHOLD_CSV_COLUMNS)
@@ -73,7 +73,7 @@ def threshold_csv_to_configs(csv: DataFrame, updated_at: _dt.datetime | Column |
         from roomlake.functions.columns import ts_literal
         stamp = ts_literal(updated_at)
     return csv.select(
-        F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("updated_at"),
+        F.concat(utc_string(stamp, "T", 6), F.lit("Z")).alias("updated_at"),
         F.col("user_id").cast("string").alias("user_id"),
         F.col("device_id").cast("string").alias("device_id"),
         F.col("temperature_warning_threshold").cast("double").alias("temperature_warning_threshold"),
@@ -119,7 +119,7 @@ def write_bronze(df: DataFrame, path: str, bucket_ts: Column | None = None,
     """SNK-2/3 in batch: NDJSON partitioned by UTC ``dt``/``hour`` of
     ``bucket_ts`` (processing time by default)."""
     ts = F.current_timestamp() if bucket_ts is None else bucket_ts
-    out = (df.withColumn("dt", F.date_format(ts, "yyyy-MM-dd"))
-             .withColumn("hour", F.date_format(ts, "HH")))
+    out = (df.withColumn("dt", utc_date(ts).cast("string"))
+             .withColumn("hour", F.lpad(utc_hour(ts).cast("string"), 2, "0")))
     # rebalance: AQE packs each hour folder into few files and splits a hot hour
     out.hint("rebalance", "dt", "hour").write.mode(mode).partitionBy("dt", "hour").json(path)

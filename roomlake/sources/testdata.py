@@ -19,9 +19,11 @@ readings (from events)                    config (from orders)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roomlake.functions.columns import iso_utc_string, utc_string
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations"]
@@ -31,17 +33,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def as_utc(df: DataFrame, col: str) -> Column:
+    """A TIMESTAMP column as it is; a zone-less timestamp or a date read as UTC, not the session zone."""
+    if df.schema[col].dataType.typeName() == "timestamp":
+        return F.col(col)
+    # days, and microseconds of a zone-less timestamp, counted without any zone
+    day = F.unix_date(F.col(col).cast("date"))
+    if df.schema[col].dataType.typeName() == "date":
+        return F.timestamp_seconds(day.cast("long") * 86400)
+    of_day = F.hour(col) * 3600 + F.minute(col) * 60
+    micros = (F.extract(F.lit("SECOND"), F.col(col)) * 1_000_000).cast("long")
+    return F.timestamp_micros((day.cast("long") * 86400 + of_day) * 1_000_000 + micros)
+
+
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed sensor readings: event_id, device_id, event_ts, t, event_time, measures."""
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("double")
-    ts = F.col("ts").cast("timestamp")
+    ts = as_utc(ev, "ts")
     return ev.select(
         F.col("event_id"),
         F.concat(F.lit("dev_"), F.col("user_id").cast("string")).alias("device_id"),
         ts.alias("event_ts"),
         F.unix_millis(ts).alias("t"),
-        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time"),
+        F.concat(utc_string(ts, "T", 6), F.lit("Z")).alias("event_time"),
         F.col("value").alias("temperature"),
         (k / F.lit(2.0)).alias("humidity"),
         k.alias("light"),
@@ -56,12 +71,12 @@ def config_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Threshold config changelog: several updates per device; seq orders ties."""
     o = table(spark, sf_dir, "orders")
     warn = F.lit(20.0) + (F.col("o_orderkey") % 5).cast("double")
-    upd = F.col("o_orderdate").cast("timestamp")
+    upd = as_utc(o, "o_orderdate")
     return o.select(
         F.concat(F.lit("dev_"), F.col("o_custkey").cast("string")).alias("device_id"),
         F.concat(F.lit("user_"), (F.col("o_orderkey") % 7).cast("string")).alias("user_id"),
         upd.alias("updated_ts"),
-        F.date_format(upd, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+        iso_utc_string(upd).alias("updated_at"),
         F.col("o_orderkey").alias("seq"),
         warn.alias("temperature_warning_threshold"),
         (warn + F.lit(20.0)).alias("temperature_violation_threshold"),

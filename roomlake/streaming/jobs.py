@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from roomlake.functions.columns import iso_instant
+from roomlake.functions.columns import iso_instant, iso_utc_string, utc_date, utc_hour
 from roomlake.functions.messages import alert_messages, parse_configs, parse_readings
 from roomlake.operators import gold
 from roomlake.streaming.alerts import stream_alerts, union_inputs
@@ -24,14 +24,17 @@ from roomlake.streaming.alerts import stream_alerts, union_inputs
 
 # --- sources -------------------------------------------------------------
 
-# Upper bound of records per micro-batch: a device's rows of one micro-batch
-# are folded in one Python call, so this bounds that call's memory.
+# Rate limit of the *readings* source: a device's rows of one micro-batch are
+# folded in one Python call, so this bounds that call's memory.  It delays
+# readings, it drops none.  The config source must have no limit: the first
+# micro-batch then holds the whole config history, and a reading whose device's config came
+# later would be dropped as unknown (FLT-7).
 DEFAULT_MAX_OFFSETS_PER_TRIGGER = 2_000_000
 
 
 def kafka_values(spark: SparkSession, servers: str, topic: str, starting: str,
-                 max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
-    """SRC-1/2: topic -> (key, value) strings."""
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """SRC-1/2: topic -> (key, value) strings; no rate limit unless one is given."""
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
@@ -64,7 +67,7 @@ def corrupt_readings(values: DataFrame) -> DataFrame:
     parsed = parse_readings(values.withColumn("raw", F.col("value")))
     return (parsed.where(F.col("_corrupt"))
                   .select(F.col("raw").alias("value"),
-                          F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+                          iso_utc_string(F.current_timestamp(), fractional=True)
                           .alias("received_at")))
 
 
@@ -81,8 +84,8 @@ def bronze_query(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
     Spark's file sink commits through its metadata log: exactly once.
     """
     out = (df.withColumn("_now", F.current_timestamp())
-             .withColumn("dt", F.date_format("_now", "yyyy-MM-dd"))
-             .withColumn("hour", F.date_format("_now", "HH")).drop("_now"))
+             .withColumn("dt", utc_date("_now").cast("string"))
+             .withColumn("hour", F.lpad(utc_hour("_now").cast("string"), 2, "0")).drop("_now"))
     w = (out.writeStream.format("json").partitionBy("dt", "hour")
             .option("path", path).option("checkpointLocation", checkpoint)
             .outputMode("append"))
