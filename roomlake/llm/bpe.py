@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomlake.llm.common import Memo, texts, tokenizer_path
+from roomlake.llm.common import Memo, chunks, texts, tokenizer_path
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 450_000
+GROUP_CHARS = 6_000_000     # text whose new words are looked up together
 QUERY_WORDS = 40_000        # words per recursive query: bounds its rows
 LONG_WORD = 48              # bytes; a longer word has a query of its own that contracts, per round, all
                             # occurrences of its minimum-rank pair
@@ -162,8 +163,8 @@ class RecursiveBPE:
 
     def texts(self, rows: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Ids (decimal, joined by commas) and decoded bytes of whole texts."""
-        for a in range(0, len(rows), 500):
-            split = [self.split(t) if t else [] for t in rows[a:a + 500]]
+        for a, b in chunks(rows, len, GROUP_CHARS):
+            split = [self.split(t) if t else [] for t in rows[a:b]]
             new = self.pieces.missing(set().union(*split))
             if not self.pieces:
                 self.decoded.clear()
