@@ -11,6 +11,7 @@ turns the rows into ids, and joined with the vocabulary back into bytes.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterator
@@ -77,7 +78,8 @@ FROM (SELECT t.k // {span} AS w, list({{'tok': t.tok, 'hex': v.hex}} ORDER BY t.
 """
 
 _cut = re.compile(r"(?<=\S)(?= \S)")
-_odd_space = re.compile(r"\s | \s|^ | $")
+_space_then = re.compile(r" \s")
+_then_space = re.compile(r"[^\S ] ")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -103,7 +105,7 @@ class RecursiveBPE:
         self._table("vocabulary", id=list(vocab.values()), hex=[t.hex() for t in vocab])
         self.cache = Memo(CACHE_WORDS)         # word -> (ids as text, decoded bytes)
         self.pieces = Memo(CACHE_WORDS)    # space-cut piece -> ids as text
-        self.decoded: dict[str, bytes] = {}
+        self.odd: dict[str, bytes] = {}        # decoded bytes of pieces that don't decode to themselves
 
     def _table(self, name: str, **columns: list) -> None:
         rows = pa.table({k: pa.array(v, pa.int64() if isinstance(v[0], int) else pa.string())
@@ -138,12 +140,12 @@ class RecursiveBPE:
 
     def split(self, text: str) -> list[str]:
         """Pieces between which no match of the pattern runs: cut before a lone space."""
-        if _odd_space.search(text):
+        if (text[0] == " " or text[-1] == " " or _space_then.search(text) or _then_space.search(text)):
             return _cut.split(text)
         head, *rest = text.split(" ")
         return [head, *[" " + x for x in rest]]
 
-    def learn(self, pieces: set[str]) -> dict[str, tuple[bytes, bytes]]:
+    def _learn(self, pieces: set[str]) -> dict[str, tuple[bytes, bytes]]:
         """Encode the pieces not met yet; the result also holds those too long to keep."""
         matched = {p: self.words.findall(p) for p in pieces}
         new = self.cache.missing(set().union(*matched.values()))
@@ -154,28 +156,42 @@ class RecursiveBPE:
         extra = {}
         for p, ws in matched.items():
             vs = [got[w] if w in got else self.cache[w] for w in ws]
-            both = b",".join([v[0] for v in vs]), b"".join([v[1] for v in vs])
+            both = vs[0] if len(vs) == 1 else (b",".join([v[0] for v in vs]), b"".join([v[1] for v in vs]))
             if len(p) <= self.pieces.longest:
-                self.pieces[p], self.decoded[p] = both
+                self.pieces[p] = both[0]
+                if both[1] != p.encode():
+                    self.odd[p] = both[1]
             else:
                 extra[p] = both
         return extra
 
+    def learn(self, pieces: set[str]) -> dict[str, tuple[bytes, bytes]]:
+        """``_learn`` without cyclic garbage collection: it makes a few hundred thousand rows and no cycles."""
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return self._learn(pieces)
+        finally:
+            if on:
+                gc.enable()
+
     def texts(self, rows: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Ids (decimal, joined by commas) and decoded bytes of whole texts."""
         for a, b in chunks(rows, len, GROUP_CHARS):
             split = [self.split(t) if t else [] for t in rows[a:b]]
             new = self.pieces.missing(set().union(*split))
             if not self.pieces:
-                self.decoded.clear()
+                self.odd.clear()
             extra = self.learn(set(new)) if new else {}
-            for parts in split:
+            for t, parts in zip(rows[a:b], split):
                 if extra:
-                    both = [extra.get(p) or (self.pieces[p], self.decoded[p]) for p in parts]
-                    yield b",".join([x[0] for x in both]), b"".join([x[1] for x in both])
+                    ids = b",".join([extra[p][0] if p in extra else self.pieces[p] for p in parts])
                 else:
-                    yield (b",".join(map(self.pieces.__getitem__, parts)),
-                           b"".join(map(self.decoded.__getitem__, parts)))
+                    ids = b",".join(map(self.pieces.__getitem__, parts))
+                if extra or self.odd:
+                    yield ids, b"".join([extra[p][1] if p in extra else self.odd.get(p) or p.encode() for p in parts])
+                else:                          # every piece was decoded to its own bytes
+                    yield ids, t.encode()
 
 
 _coders: dict[tuple[str, str], RecursiveBPE] = {}
