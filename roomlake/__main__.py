@@ -22,6 +22,9 @@ from pyspark.sql import SparkSession
 def _session(app: str) -> SparkSession:
     spark = (SparkSession.builder.appName(app)
              .config("spark.sql.session.timeZone", "UTC")
+             # state on disk: the alert fold keeps a row per device
+             .config("spark.sql.streaming.stateStore.providerClass",
+                     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
              .getOrCreate())
     from roomlake.session import ensure_checkpoint_dir, ship_package
     ensure_checkpoint_dir(spark)
@@ -53,8 +56,8 @@ def cmd_lakehouse(a) -> int:
 
 def cmd_alerts(a) -> int:
     from roomlake.settings import rules_from_env, setting
-    from roomlake.streaming.jobs import (DEFAULT_MAX_OFFSETS_PER_TRIGGER, console_query, file_values, kafka_alert_query,
-                                         kafka_values, start_alert_job)
+    from roomlake.streaming.jobs import (DEFAULT_MAX_OFFSETS_PER_TRIGGER, console_sink, file_values,
+                                         kafka_alert_sink, kafka_values, start_alert_job)
 
     spark = _session("roomlake-alerts")
     if a.source == "kafka":
@@ -65,23 +68,15 @@ def cmd_alerts(a) -> int:
     else:
         readings = file_values(spark, a.readings, a.max_files)
         configs = file_values(spark, a.configs)
-    sink = None
+    sinks = [console_sink] if a.console else []
     if a.alerts_topic or a.source == "kafka":
         servers = a.kafka_servers or setting("KAFKA_BOOTSTRAP_SERVERS")
-        topic = a.alerts_topic or setting("TOPIC_ALERTS", "threshold-breached-alerts")
-        ck = f"{a.checkpoint_root.rstrip('/')}/kafka_alerts"
-        sink = lambda alerts: kafka_alert_query(alerts, servers, topic, ck)
+        sinks.append(kafka_alert_sink(servers, a.alerts_topic or setting("TOPIC_ALERTS", "threshold-breached-alerts")))
     trigger = {"availableNow": True} if a.once else None
     queries = start_alert_job(spark, readings, configs, a.bronze_readings, a.bronze_alerts,
                               a.checkpoint_root, rules_from_env(), trigger=trigger,
-                              alert_sink=sink, quarantine_path=a.quarantine,
-                              max_gap_s=a.max_gap_s)
-    if a.console:
-        from roomlake.streaming.alerts import stream_alerts, union_inputs
-        from roomlake.streaming.jobs import config_stream, reading_stream
-        queries.append(console_query(stream_alerts(union_inputs(reading_stream(readings),
-                                                                config_stream(configs)),
-                                                   rules_from_env(), max_gap_s=a.max_gap_s), trigger))
+                              alert_sinks=sinks, quarantine_path=a.quarantine,
+                              max_gap_s=a.max_gap_s, malformed="failfast" if a.fail_fast else "quarantine")
     if a.once:
         for q in queries:
             q.awaitTermination()
@@ -138,6 +133,7 @@ def main(argv=None) -> int:
     al.add_argument("--bronze-alerts", required=True)
     al.add_argument("--checkpoint-root", required=True)
     al.add_argument("--quarantine")
+    al.add_argument("--fail-fast", action="store_true", help="stop at a malformed message")
     al.add_argument("--console", action="store_true")
     al.add_argument("--max-gap-s", type=int, help="silence that ends an episode (off)")
     al.add_argument("--max-files", type=int, help="reading files per micro-batch (files source)")

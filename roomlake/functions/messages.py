@@ -80,41 +80,71 @@ def header_value(name: str, headers: str = "headers") -> Column:
     return F.element_at(hit, 1)["value"].cast("string")
 
 
+def _typed(messages: DataFrame, value_col: str, schema: T.StructType, time_col: str) -> DataFrame:
+    """JSON value -> typed columns, the message's other columns, and ``_corrupt``.
+
+    Numbers may come as numbers or as numeric text; a whole-number field takes ``1.0`` too (cut
+    to a whole number).  An absent, null or empty number is NULL.  ``_corrupt``: not JSON, no valid instant
+    in ``time_col``, or a number that is present but is none.
+    """
+    raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    parsed = F.from_json(F.col(value_col).cast("string"), raw, {"mode": "PERMISSIVE"})
+    others = [c for c in messages.columns if c != value_col]
+    cols, bad = [], iso_instant(F.col(f"_m.{time_col}")).isNull()
+    for f in schema.fields:
+        text = F.col(f"_m.{f.name}")
+        if isinstance(f.dataType, T.StringType):
+            cols.append(text.alias(f.name))
+            continue
+        text = F.when(F.trim(text) != "", F.trim(text))
+        value = text.try_cast("bigint") if isinstance(f.dataType, T.LongType) else text.try_cast("double")
+        if isinstance(f.dataType, T.IntegerType):
+            value = F.when(F.abs(value) < 2**31, value).cast("int")
+        cols.append(value.alias(f.name))
+        bad = bad | (text.isNotNull() & value.isNull())
+    return messages.select("*", parsed.alias("_m")).select(*others, *cols, bad.alias("_corrupt"))
+
+
 def parse_readings(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """PRJ-1 + PRJ-3: JSON value -> typed reading + eventTimeMillis.
 
-    ``_corrupt`` is true when the line is not JSON or event_time lacks a valid
-    ISO-8601 instant with offset (the source would stop on such a line).
+    ``_corrupt`` is true when the line is not JSON, event_time lacks a valid
+    ISO-8601 instant with offset, or a measure is present but not a number (the source would stop
+    on such a line).
     """
-    parsed = F.from_json(F.col(value_col).cast("string"), READING_MESSAGE,
-                         {"mode": "PERMISSIVE"})
-    df = messages.select("*", parsed.alias("_m")).select(
-        *[c for c in messages.columns if c != value_col], "_m.*")
-    ts = iso_instant("event_time")
-    return (df.withColumn("eventTimeMillis", epoch_millis(ts))
-              .withColumn("_corrupt", ts.isNull()))
+    df = _typed(messages, value_col, READING_MESSAGE, "event_time")
+    return df.withColumn("eventTimeMillis", epoch_millis(iso_instant("event_time")))
 
 
 def parse_configs(messages: DataFrame, value_col: str = "value") -> DataFrame:
     """PRJ-2: JSON value -> typed config + updatedAtMillis + userDeviceKey.
 
-    An optional ``seq`` (changelog position) is kept when present; it orders
+    An absent threshold is 0, as in the source's typed message.  An
+    optional ``seq`` (changelog position) is kept when present; it orders
     configs written at the same instant.
     """
     schema = T.StructType(CONFIG_MESSAGE.fields + [T.StructField("seq", T.LongType())])
-    parsed = F.from_json(F.col(value_col).cast("string"), schema, {"mode": "PERMISSIVE"})
-    df = messages.select("*", parsed.alias("_m")).select(
-        *[c for c in messages.columns if c != value_col], "_m.*")
-    ts = iso_instant("updated_at")
-    return (df.withColumn("updatedAtMillis", epoch_millis(ts))
-              .withColumn("userDeviceKey", message_key("user_id", "device_id"))
-              .withColumn("_corrupt", ts.isNull()))
+    df = _typed(messages, value_col, schema, "updated_at")
+    zero = {f.name: F.coalesce(F.col(f.name), F.lit(0.0)) for f in CONFIG_MESSAGE.fields
+            if isinstance(f.dataType, T.DoubleType)}
+    return (df.withColumns(zero)
+              .withColumn("updatedAtMillis", epoch_millis(iso_instant("updated_at")))
+              .withColumn("userDeviceKey", message_key("user_id", "device_id")))
+
+
+MALFORMED = "malformed message: no valid time with offset, or a number that is none"
 
 
 def quarantine(parsed: DataFrame, mode: str = "quarantine"):
-    """Split parsed rows into (good, bad).  ``mode='failfast'`` raises on bad rows."""
-    good = parsed.where(~F.col("_corrupt")).drop("_corrupt")
+    """Split parsed rows into (good, bad).
+
+    ``mode='failfast'`` raises on bad rows: here for a batch frame, in the running query for a stream.
+    """
     bad = parsed.where(F.col("_corrupt"))
-    if mode == "failfast" and bad.limit(1).count() > 0:
-        raise ValueError("malformed message: event time missing or not ISO-8601 with offset")
-    return good, bad
+    if mode == "failfast":
+        if parsed.isStreaming:
+            fail = F.when(F.col("_corrupt"), F.raise_error(F.lit(MALFORMED)).cast("boolean")).otherwise(F.lit(True))
+            return parsed.where(fail).drop("_corrupt"), bad
+        if not bad.isEmpty():
+            raise ValueError(MALFORMED)
+    return parsed.where(~F.col("_corrupt")).drop("_corrupt"), bad

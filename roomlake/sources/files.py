@@ -100,7 +100,8 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType,
         fs, p = _fs(spark, path)
         if not fs.exists(p):          # nothing landed yet (e.g. no alert so far)
             return spark.createDataFrame([], full)
-        df = spark.read.schema(full).option("mode", "PERMISSIVE").json(path)
+        # live alert files lie one level deeper, in a folder per micro-batch
+        df = spark.read.schema(full).option("mode", "PERMISSIVE").json(path).select(*full.names)
     if since_date is not None:
         df = df.where(F.col("dt") >= F.lit(since_date.isoformat()))
     return df

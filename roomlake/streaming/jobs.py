@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roomlake.functions.columns import iso_instant, iso_utc_string, utc_date, utc_hour
-from roomlake.functions.messages import alert_messages, parse_configs, parse_readings
+from roomlake.functions.messages import alert_messages, parse_configs, parse_readings, quarantine
 from roomlake.operators import gold
+from roomlake.schemas import BRONZE_READING
 from roomlake.streaming.alerts import stream_alerts, union_inputs
 
 
@@ -54,25 +55,27 @@ def file_values(spark: SparkSession, path: str, max_files: int | None = None) ->
     return r.load(path)
 
 
-def reading_stream(values: DataFrame) -> DataFrame:
+def reading_stream(values: DataFrame, mode: str = "quarantine") -> DataFrame:
     """Parsed readings with ``event_ts``; malformed lines are dropped here and
-    kept by ``corrupt_readings`` (see ``start_alert_job(quarantine_path=...)``)."""
-    parsed = parse_readings(values)
-    return (parsed.where(~F.col("_corrupt")).drop("_corrupt")
-                  .withColumn("event_ts", iso_instant("event_time")))
+    kept by ``corrupt_messages``, or fail the query (``mode="failfast"``)."""
+    good, _ = quarantine(parse_readings(values), mode)
+    return good.withColumn("event_ts", iso_instant("event_time"))
 
 
-def corrupt_readings(values: DataFrame) -> DataFrame:
-    """The raw lines ``reading_stream`` rejects, with the receive time."""
-    parsed = parse_readings(values.withColumn("raw", F.col("value")))
-    return (parsed.where(F.col("_corrupt"))
-                  .select(F.col("raw").alias("value"),
-                          iso_utc_string(F.current_timestamp(), fractional=True)
-                          .alias("received_at")))
+def config_stream(values: DataFrame, mode: str = "quarantine") -> DataFrame:
+    return quarantine(parse_configs(values), mode)[0]
 
 
-def config_stream(values: DataFrame) -> DataFrame:
-    return parse_configs(values).where(~F.col("_corrupt")).drop("_corrupt")
+def corrupt_messages(readings: DataFrame, configs: DataFrame | None = None) -> DataFrame:
+    """The raw lines that ``reading_stream`` / ``config_stream`` reject: value, kind, received_at."""
+    def bad(values: DataFrame, parse, kind: str) -> DataFrame:
+        parsed = parse(values.withColumn("raw", F.col("value")))
+        return quarantine(parsed)[1].select(
+            F.col("raw").alias("value"), F.lit(kind).alias("kind"),
+            iso_utc_string(F.current_timestamp(), fractional=True).alias("received_at"))
+
+    out = bad(readings, parse_readings, "reading")
+    return out if configs is None else out.unionByName(bad(configs, parse_configs, "config"))
 
 
 # --- sinks ---------------------------------------------------------------
@@ -94,53 +97,94 @@ def bronze_query(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
-def kafka_alert_query(alerts: DataFrame, servers: str, topic: str, checkpoint: str,
-                      trigger: dict | None = None) -> StreamingQuery:
+# Alert sinks are functions of one micro-batch: (alerts, batch_id) -> None.
+
+def kafka_alert_sink(servers: str, topic: str):
     """SNK-1: keyed alert messages with headers, at least once."""
-    msgs = alert_messages(alerts)
-    return (msgs.writeStream.format("kafka")
-                .option("kafka.bootstrap.servers", servers).option("topic", topic)
-                .option("includeHeaders", "true")
-                .option("checkpointLocation", checkpoint)
-                .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+    def write(alerts: DataFrame, batch_id: int) -> None:
+        (alert_messages(alerts).write.format("kafka")
+             .option("kafka.bootstrap.servers", servers).option("topic", topic)
+             .option("includeHeaders", "true").save())
+    return write
+
+
+def message_file_sink(path: str):
+    """File twin of ``kafka_alert_sink``: key and value as NDJSON, one folder per micro-batch,
+    written anew when a batch is retried."""
+    def write(alerts: DataFrame, batch_id: int) -> None:
+        (alert_messages(alerts).select("key", "value").write.mode("overwrite")
+             .json(f"{path.rstrip('/')}/batch={batch_id}"))
+    return write
+
+
+def console_sink(alerts: DataFrame, batch_id: int) -> None:
+    """SNK-4: debug print of the first rows."""
+    alerts.show(truncate=False)
+
+
+def console_query(df: DataFrame, checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
+    """SNK-4: debug print of any stream; its state lives in ``checkpoint``."""
+    w = df.writeStream.format("console").option("truncate", False)
+    if checkpoint:
+        w = w.option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+
+
+def alert_query(alerts: DataFrame, bronze_path: str, checkpoint: str, sinks=(),
+                trigger: dict | None = None) -> StreamingQuery:
+    """One alert stream for all sinks: the fold runs once per micro-batch, and its rows go to the
+    bronze table and to every sink, so all hold the same alerts with the same ``alert_time``.
+
+    Bronze files sit under dt / hour / batch (query and batch id): a batch that is retried
+    replaces its own files.
+    """
+    stamped = (alerts.withColumn("_now", F.current_timestamp())
+                     .withColumn("dt", utc_date("_now").cast("string"))
+                     .withColumn("hour", F.lpad(utc_hour("_now").cast("string"), 2, "0")).drop("_now"))
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "query"
+        batch = batch.persist()
+        try:
+            (batch.withColumn("batch", F.lit(f"{query}-{batch_id}")).write.mode("overwrite")
+                  .option("partitionOverwriteMode", "dynamic").partitionBy("dt", "hour", "batch").json(bronze_path))
+            for sink in sinks:
+                sink(batch.drop("dt", "hour"), batch_id)
+        finally:
+            batch.unpersist()
 
-def console_query(df: DataFrame, trigger: dict | None = None) -> StreamingQuery:
-    """SNK-4: debug print."""
-    return (df.writeStream.format("console").option("truncate", False)
-              .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+    return (stamped.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+                   .trigger(**(trigger or {"processingTime": "10 seconds"})).start())
 
 
 # --- the live job --------------------------------------------------------
 
 def start_alert_job(spark: SparkSession, readings_values: DataFrame, config_values: DataFrame,
                     bronze_readings: str, bronze_alerts: str, checkpoint_root: str,
-                    rules=None, trigger: dict | None = None, alert_sink=None,
+                    rules=None, trigger: dict | None = None, alert_sinks=(),
                     alert_time_from: str = "batch",
                     quarantine_path: str | None = None,
-                    max_gap_s: int | None = None) -> list[StreamingQuery]:
+                    max_gap_s: int | None = None, malformed: str = "quarantine") -> list[StreamingQuery]:
     """Start the bronze-readings copy and the alerting query.
 
-    ``alert_sink(alerts) -> StreamingQuery`` adds a message sink (Kafka in
-    production); alerts always go to the bronze alerts table.  With
-    ``quarantine_path`` a third query keeps the malformed reading lines.
+    ``alert_sinks`` get every micro-batch of alerts besides the bronze alerts table
+    (``kafka_alert_sink`` in production).  With
+    ``quarantine_path`` a third query keeps the malformed reading and config lines;
+    ``malformed="failfast"`` stops the queries at the first one instead.
     """
     from roomlake.settings import DEFAULT_RULES
 
     rules = rules or DEFAULT_RULES
     root = checkpoint_root.rstrip("/")
-    readings = reading_stream(readings_values)
-    bronze = readings.drop("event_ts")
-    q1 = bronze_query(bronze, bronze_readings, f"{root}/bronze_readings", trigger)
-    alerts = stream_alerts(union_inputs(readings, config_stream(config_values)), rules,
+    readings = reading_stream(readings_values, malformed)
+    bronze = readings.select(*[f.name for f in BRONZE_READING.fields])
+    queries = [bronze_query(bronze, bronze_readings, f"{root}/bronze_readings", trigger)]
+    alerts = stream_alerts(union_inputs(readings, config_stream(config_values, malformed)), rules,
                            alert_time_from, max_gap_s=max_gap_s)
-    q2 = bronze_query(alerts, bronze_alerts, f"{root}/alerts", trigger)
-    queries = [q1, q2]
+    queries.append(alert_query(alerts, bronze_alerts, f"{root}/alerts", alert_sinks, trigger))
     if quarantine_path:
-        queries.append(bronze_query(corrupt_readings(readings_values), quarantine_path,
+        queries.append(bronze_query(corrupt_messages(readings_values, config_values), quarantine_path,
                                     f"{root}/quarantine", trigger))
-    if alert_sink is not None:
-        queries.append(alert_sink(alerts))
     return queries
 
 

@@ -2,9 +2,10 @@ import json
 
 from pyspark.sql import functions as F
 
-from roomlake.functions.messages import (alert_messages, header_value, parse_readings,
+from roomlake.functions.messages import (alert_messages, header_value, parse_configs, parse_readings,
                                          quarantine, reading_messages)
 from roomlake.operators.silver import silver_readings
+from roomlake.schemas import ALERT_MESSAGE
 from roomlake.operators.checks import require_columns
 
 import pytest
@@ -30,19 +31,24 @@ def test_bad_inputs(spark):
         dict(GOOD, event_time="2015-02-04T17:51:00"),
         dict(GOOD, extra_key=5),
         dict(GOOD, device_id=None),
+        dict(GOOD, occupancy=1.0, temperature="35.5"),
+        dict(GOOD, occupancy="x"),
+        dict(GOOD, light=None, co2=""),
+        dict(GOOD, temperature=True),
     ]
     parsed = parse_readings(_lines(spark, items)).collect()
     corrupt = [r._corrupt for r in parsed]
-    assert corrupt == [False, True, True, False, False, False, True, False, False]
+    assert corrupt == [False, True, True, False, True, False, True, False, False, False, True, False, True]
     assert parsed[5].eventTimeMillis == parsed[0].eventTimeMillis   # +01:00 is the same instant
     assert parsed[3].occupancy is None
-    assert parsed[4].temperature is None
+    assert (parsed[9].occupancy, parsed[9].temperature) == (1, 35.5)
+    assert parsed[11].light is None and parsed[11].co2 is None
     good, bad = quarantine(parse_readings(_lines(spark, items)))
-    assert bad.count() == 3
+    assert bad.count() == 6
     s = silver_readings(good.select("event_time", "device_id", "temperature", "humidity", "light",
                                     "co2", "humidity_ratio", "occupancy"))
     # null device dropped; GOOD, +01:00 and extra_key are one reading -> one row,
-    # missing occupancy and text temperature are the same key too
+    # the others differ in their measures only and have the same key
     assert s.count() == 1
 
 
@@ -108,3 +114,16 @@ def test_silver_parses_leniently_and_skips_unparseable(spark):
     got = sorted((r.event_ts.isoformat(), r.temperature) for r in silver_readings(b).collect())
     # offset-less reads as UTC and equals the +01:00 reading: one key, greatest measures kept
     assert got == [("2015-02-04T17:51:00", 2.0), ("2015-02-04T17:52:00", 4.0)]
+
+
+def test_absent_threshold_is_zero_and_bad_ones_are_flagged(spark):
+    base = {"updated_at": "2024-01-01T00:00:00Z", "user_id": "u", "device_id": "d", "temperature_warning_threshold": "21.5"}
+    got = parse_configs(_lines(spark, [base, dict(base, no_occupancy_light_threshold="many")])).collect()
+    assert [r._corrupt for r in got] == [False, True]
+    assert (got[0].temperature_warning_threshold, got[0].temperature_violation_threshold) == (21.5, 0.0)
+
+
+def test_null_parts_keep_their_place(spark):
+    alert = spark.createDataFrame([("2024-01-01T00:00:00.000Z", None, "d", "R", "WARNING", "m", 1.0, 2.0, 3, 4)], ALERT_MESSAGE)
+    m = alert_messages(alert).first()
+    assert m.key == "null:d:R" and json.loads(m.value)["user_id"] is None
