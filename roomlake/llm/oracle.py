@@ -21,4 +21,40 @@ SELECT u.page_id, u.host, u.path, m.rule, coalesce(m.action, 'allow') AS verdict
 FROM u LEFT JOIN m USING (host, path)
 """
 
-ORACLE_SQL = {"op8_url_filters": OP8}
+OP2 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+p AS (
+  SELECT rid, i, array_to_string(list_slice(w, i, i + 34), ' ') AS win
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+hit AS (SELECT rid, i FROM p JOIN (SELECT win FROM p GROUP BY win HAVING count(*) > 1) USING (win)),
+gone AS (SELECT DISTINCT rid, i + j AS k FROM hit, range(35) r(j)),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+kept AS (
+  SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS line
+  FROM words ANTI JOIN gone USING (rid, k) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(line, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+# n x n: fine for the tables of the correctness check, not for large ones
+OP5 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS n
+  FROM embeddings),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.vec_id <> b.vec_id AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+r(id, c) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT l.b, r.c FROM r JOIN l ON l.a = r.id)
+SELECT vec_id, coalesce(k, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
+FROM v JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) ON id = vec_id
+LEFT JOIN (SELECT a, count(*) AS k FROM l GROUP BY a) ON a = vec_id
+"""
+
+ORACLE_SQL = {"op2_substring_dedup": OP2, "op5_embedding_dedup": OP5, "op8_url_filters": OP8}
