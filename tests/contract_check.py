@@ -55,7 +55,7 @@ def run(sf_dir: str, names: list[str] | None = None) -> dict:
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     results = {}
-    for name in names or list(qs):
+    for name in names or list(sqls):
         t0 = time.time()
         try:
             sp = qs[name](spark, sf_dir).toPandas()

@@ -3,14 +3,15 @@ its DuckDB oracle on the smallest driver tables (sf0.001)."""
 import __spark_entry__ as E
 from conftest import SF001
 from contract_check import compare, duck
+from roomlake.plans.contract import QUERIES
 
 
 def test_every_contract_query_matches_its_oracle(spark):
     con = duck(SF001)
     qs, sqls = E.queries(), E.oracle_sql()
-    assert set(qs) == set(sqls)
+    assert set(QUERIES) <= set(sqls) <= set(qs)      # only operators that SQL cannot express have none
     bad = {}
-    for name, q in qs.items():
+    for name, q in ((n, qs[n]) for n in sqls):
         err = compare(q(spark, SF001).toPandas(), con.execute(sqls[name]).df())
         if err:
             bad[name] = err
@@ -19,4 +20,4 @@ def test_every_contract_query_matches_its_oracle(spark):
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.count() >= 0 and "window_end_ms" in df.columns
+    assert df.count() > 0 and "window_end_ms" in df.columns
