@@ -116,16 +116,19 @@ def parse_readings(messages: DataFrame, value_col: str = "value") -> DataFrame:
     return df.withColumn("eventTimeMillis", epoch_millis(iso_instant("event_time")))
 
 
-def parse_configs(messages: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_configs(messages: DataFrame, value_col: str = "value", thresholds=()) -> DataFrame:
     """PRJ-2: JSON value -> typed config + updatedAtMillis + userDeviceKey.
 
+    ``thresholds`` names threshold columns beyond the source's three.
+
     An absent threshold is 0, as in the source's typed message.  An
     optional ``seq`` (changelog position) is kept when present; it orders
     configs written at the same instant.
     """
-    schema = T.StructType(CONFIG_MESSAGE.fields + [T.StructField("seq", T.LongType())])
+    more = [T.StructField(c, T.DoubleType()) for c in thresholds if c not in CONFIG_MESSAGE.names]
+    schema = T.StructType(CONFIG_MESSAGE.fields + more + [T.StructField("seq", T.LongType())])
     df = _typed(messages, value_col, schema, "updated_at")
-    zero = {f.name: F.coalesce(F.col(f.name), F.lit(0.0)) for f in CONFIG_MESSAGE.fields
+    zero = {f.name: F.coalesce(F.col(f.name), F.lit(0.0)) for f in schema.fields
             if isinstance(f.dataType, T.DoubleType)}
     return (df.withColumns(zero)
               .withColumn("updatedAtMillis", epoch_millis(iso_instant("updated_at")))

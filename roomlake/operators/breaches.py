@@ -94,9 +94,9 @@ def rule_columns(joined: DataFrame, rules=DEFAULT_RULES, null_as_zero: bool = Tr
     cols = [key.alias("_k"), *[F.col(k) for k in key_cols],
             F.col(t_col).cast("long").alias("t"), *[F.col(c) for c in ties]]
     for i, r in enumerate(rules):
-        cols += [F.coalesce(F.expr(r.condition), F.lit(False)).alias(f"c{i}"),
-                 F.expr(r.observed).cast("double").alias(f"o{i}"),
-                 F.expr(r.threshold).cast("double").alias(f"h{i}")]
+        cols += [r.condition.column().alias(f"c{i}"),
+                 F.col(r.observed).cast("double").alias(f"o{i}"),
+                 F.col(r.threshold).cast("double").alias(f"h{i}")]
     return df.select(*cols), ties
 
 
@@ -665,8 +665,8 @@ def rule_matches(joined: DataFrame, rule: RuleSpec, null_as_zero: bool = True) -
     df = joined
     if null_as_zero:
         df = df.fillna(0, subset=[c for c in NULL_AS_ZERO if c in df.columns])
-    return (df.where(F.coalesce(F.expr(rule.condition), F.lit(False)))
+    return (df.where(rule.condition.column())
               .select("event_id", "user_id", "device_id", "t",
                       F.lit(rule.name).alias("rule"), F.lit(rule.severity).alias("severity"),
-                      F.expr(rule.observed).cast("double").alias("observed_value"),
-                      F.expr(rule.threshold).cast("double").alias("threshold_value")))
+                      F.col(rule.observed).cast("double").alias("observed_value"),
+                      F.col(rule.threshold).cast("double").alias("threshold_value")))

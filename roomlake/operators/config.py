@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 
 from roomlake.functions.columns import iso_instant
 
-THRESHOLD_COLUMNS = ["temperature_warning_threshold", "temperature_violation_threshold",
-                     "no_occupancy_light_threshold"]
-
 
 def latest_config(updates: DataFrame, key: tuple[str, ...] = ("device_id",),
                   order: tuple[str, ...] = ("updated_ts", "updatedAtMillis", "seq",
@@ -48,7 +45,8 @@ def latest_config(updates: DataFrame, key: tuple[str, ...] = ("device_id",),
 def join_config(readings: DataFrame, config: DataFrame) -> DataFrame:
     """Inner join readings with their device's config; readings without one drop.
 
+    Every config column that ends in ``_threshold`` comes along, for rules of any kind.
     With a per-(user, device) config the join fans a reading out to each user.
     """
-    cfg = config.select("device_id", "user_id", *THRESHOLD_COLUMNS)
+    cfg = config.select("device_id", "user_id", *[c for c in config.columns if c.endswith("_threshold")])
     return readings.drop("user_id").join(cfg, on="device_id", how="inner")

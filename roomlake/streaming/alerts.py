@@ -22,7 +22,6 @@ alerts of one batch never share one.
 
 from __future__ import annotations
 
-import re
 from typing import Iterator
 
 import numpy as np
@@ -33,67 +32,35 @@ from pyspark.sql import types as T
 
 from roomlake.functions.columns import epoch_millis, iso_instant
 from roomlake.operators.breaches import candidates, emit_chain
-from roomlake.operators.config import THRESHOLD_COLUMNS
 from roomlake.schemas import ALERT_MESSAGE
-from roomlake.settings import DEFAULT_RULES
+from roomlake.settings import DEFAULT_RULES, DEFAULT_THRESHOLDS, MEASURES
 
-MEASURE_COLUMNS = ["temperature", "humidity", "light", "co2", "humidity_ratio", "occupancy"]
 
-def _state_schema(n_rules: int) -> T.StructType:
+def _state_schema(n_rules: int, thresholds=DEFAULT_THRESHOLDS) -> T.StructType:
     return T.StructType([
         T.StructField("has_cfg", T.BooleanType()),
         T.StructField("user_id", T.StringType()),
         T.StructField("updated_ms", T.LongType()),
         T.StructField("seq", T.LongType()),
         T.StructField("t_last", T.LongType()),
-        *[T.StructField(c, T.DoubleType()) for c in THRESHOLD_COLUMNS],
+        *[T.StructField(c, T.DoubleType()) for c in thresholds],
         *[T.StructField(f"s{i}", T.LongType()) for i in range(n_rules)],
         *[T.StructField(f"x{i}", T.LongType()) for i in range(n_rules)],
     ])
 
 
-_CMP = re.compile(r"(?<![<>!=])=(?!=)")
-
-
-def compile_condition(sql: str):
-    """Compile a rule's SQL predicate (comparisons joined by AND / OR) once into
-    a function of a dict of numpy column arrays.  Each comparison is
-    parenthesised, so Python's ``&`` / ``|`` keep SQL's AND-over-OR precedence.
-    Anything else (NOT, nested parentheses) falls back to ``DataFrame.eval``.
-    """
-    if re.search(r"\bNOT\b|[()]", sql, re.I):
-        expr = _CMP.sub("==", re.sub(r"\bAND\b", "&", re.sub(r"\bOR\b", "|", sql, flags=re.I),
-                                      flags=re.I))
-        expr = re.sub(r"\bNOT\b", "~", expr, flags=re.I)
-        return lambda cols, frame: pd.DataFrame(cols).eval(expr).to_numpy(dtype=bool)
-    ors = re.split(r"\s+OR\s+", sql.strip(), flags=re.I)
-    py = " | ".join("(" + " & ".join(f"({_CMP.sub('==', a)})" for a in
-                                      re.split(r"\s+AND\s+", part, flags=re.I)) + ")"
-                    for part in ors)
-    code = compile(py, "<rule>", "eval")
-    return lambda cols, frame: np.asarray(eval(code, {"__builtins__": {}}, cols), dtype=bool)
-
-
-def compile_value(sql: str):
-    """A rule's observed / threshold expression: a column name or an eval."""
-    name = sql.strip()
-    if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name):
-        return lambda cols, frame: np.asarray(cols[name], dtype=np.float64)
-    return lambda cols, frame: pd.DataFrame(cols).eval(name).to_numpy(dtype=np.float64)
-
-
 # Layout of the packed numeric column fed to the fold.  One array column
 # instead of fourteen scalar ones halves PySpark's per-group Arrow -> pandas
 # cost; every integer here stays below 2**53, so doubles hold it exactly.
-PACKED = ["t", "tie", "updated_ms", "seq", "batch_ms", *MEASURE_COLUMNS, *THRESHOLD_COLUMNS]
-_P = {name: i for i, name in enumerate(PACKED)}
+def _packed(thresholds) -> list[str]:
+    return ["t", "tie", "updated_ms", "seq", "batch_ms", *MEASURES, *thresholds]
 
 
-def _pack(values: dict) -> "F.Column":
-    return F.array(*[values.get(name, F.lit(None)).cast("double") for name in PACKED])
+def _pack(values: dict, thresholds) -> "F.Column":
+    return F.array(*[values.get(name, F.lit(None)).cast("double") for name in _packed(thresholds)])
 
 
-def union_inputs(readings: DataFrame, configs: DataFrame) -> DataFrame:
+def union_inputs(readings: DataFrame, configs: DataFrame, thresholds=DEFAULT_THRESHOLDS) -> DataFrame:
     """Typed reading rows (event_time string or t) and config rows -> one
     stream of (device_id, user_id, nums); a NULL event time marks a config."""
     ts = F.col("event_ts") if "event_ts" in readings.columns else iso_instant("event_time")
@@ -102,14 +69,14 @@ def union_inputs(readings: DataFrame, configs: DataFrame) -> DataFrame:
     r = readings.where(t.isNotNull()).select(
         F.col("device_id"), F.lit(None).cast("string").alias("user_id"),
         _pack({"t": t, "tie": F.unix_micros(ts),      # equal ms: finer event time first
-               "batch_ms": batch, **{c: F.col(c) for c in MEASURE_COLUMNS}}).alias("nums"))
+               "batch_ms": batch, **{c: F.col(c) for c in MEASURES}}, thresholds).alias("nums"))
     upd = (F.col("updated_ms") if "updated_ms" in configs.columns
            else epoch_millis(iso_instant("updated_at")))
     c = configs.select(
         F.col("device_id"), F.col("user_id").cast("string").alias("user_id"),
         _pack({"updated_ms": upd, "batch_ms": batch,
                **({"seq": F.col("seq")} if "seq" in configs.columns else {}),
-               **{k: F.col(k) for k in THRESHOLD_COLUMNS}}).alias("nums"))
+               **{k: F.col(k) for k in thresholds}}, thresholds).alias("nums"))
     return r.unionByName(c).where(F.col("device_id").isNotNull())
 
 
@@ -134,19 +101,18 @@ def _alert_times(end_ms: np.ndarray, batch_ms: np.ndarray, rank: np.ndarray, mod
     return np.char.add(np.datetime_as_string(us.astype("datetime64[us]"), unit="us"), "Z")
 
 
-def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
+def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None,
+          thresholds=DEFAULT_THRESHOLDS):
     n = len(rules)
-    conds = [compile_condition(r.condition) for r in rules]
-    obs = [compile_value(r.observed) for r in rules]
-    thr = [compile_value(r.threshold) for r in rules]
+    place = {name: i for i, name in enumerate(_packed(thresholds))}
     out_cols = [f.name for f in ALERT_MESSAGE.fields]
     names = np.array([r.name for r in rules], dtype=object)
     sevs = np.array([r.severity for r in rules], dtype=object)
     mets = np.array([r.metric for r in rules], dtype=object)
 
-    fields = _state_schema(n).fieldNames()
+    fields = _state_schema(n, thresholds).fieldNames()
     fresh = {"has_cfg": False, "user_id": None, "updated_ms": None, "seq": None, "t_last": None,
-             **{c: None for c in THRESHOLD_COLUMNS},
+             **{c: None for c in thresholds},
              **{f"s{i}": None for i in range(n)}, **{f"x{i}": 0 for i in range(n)}}
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
@@ -154,11 +120,11 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
         pdf = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
         st = dict(zip(fields, state.get)) if state.exists else dict(fresh)
         m = np.vstack(pdf["nums"].to_numpy()).astype(np.float64)
-        is_cfg = np.isnan(m[:, _P["t"]])
+        is_cfg = np.isnan(m[:, place["t"]])
         n_cfg = int(is_cfg.sum())
         if n_cfg:
             rows = np.flatnonzero(is_cfg)
-            upd, seq = m[rows, _P["updated_ms"]], m[rows, _P["seq"]]
+            upd, seq = m[rows, place["updated_ms"]], m[rows, place["seq"]]
             users = pdf["user_id"].to_numpy()[rows]
             if n_cfg == 1:
                 j = 0
@@ -169,21 +135,21 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
             if not st["has_cfg"] or _newer_or_equal(cand, (st["updated_ms"], st["seq"])):
                 st.update({"has_cfg": True, "user_id": users[j],
                            "updated_ms": cand[0], "seq": cand[1],
-                           **{k: float(m[rows[j], _P[k]]) for k in THRESHOLD_COLUMNS}})
+                           **{k: float(m[rows[j], place[k]]) for k in thresholds}})
         result = None
         if st["has_cfg"] and n_cfg < len(pdf):
             rd = m[~is_cfg]
-            t_raw = rd[:, _P["t"]].astype(np.int64)
-            order = np.lexsort((rd[:, _P["tie"]], t_raw))
+            t_raw = rd[:, place["t"]].astype(np.int64)
+            order = np.lexsort((rd[:, place["tie"]], t_raw))
             rd = rd[order]
             t = t_raw[order]
-            cols = {c: rd[:, _P[c]] for c in MEASURE_COLUMNS}
+            cols = {c: rd[:, place[c]] for c in MEASURES}
             if null_as_zero:       # absent numeric fields read as 0, as typed messages do
                 cols = {c: np.nan_to_num(v, nan=0.0) for c, v in cols.items()}
-            cols.update({k: np.full(len(t), st[k], dtype=np.float64) for k in THRESHOLD_COLUMNS})
+            cols.update({k: np.full(len(t), st[k], dtype=np.float64) for k in thresholds})
             sel_all, rule_all, rank_all, start_all, obs_all, thr_all = [], [], [], [], [], []
             for i, r in enumerate(rules):
-                cond = conds[i](cols, None)
+                cond = r.condition.mask(cols)
                 idx, start, s_out = candidates(t, cond.copy(), st[f"s{i}"], r.duration_ms,
                                                st["t_last"], max_gap)
                 em, x_out = emit_chain(t[idx].tolist(), int(st[f"x{i}"] or 0), r.cooldown_ms)
@@ -195,13 +161,13 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
                     rule_all.append(np.full(len(sel), i))
                     rank_all.append(np.arange(len(sel), dtype=np.int64))
                     start_all.append(start[sel])
-                    obs_all.append(obs[i](cols, None)[sel])
-                    thr_all.append(thr[i](cols, None)[sel])
+                    obs_all.append(cols[r.observed][sel])
+                    thr_all.append(cols[r.threshold][sel])
             st["t_last"] = int(t[-1])
             if sel_all:
                 sel = np.concatenate(sel_all)
                 ri = np.concatenate(rule_all)
-                batch_ms = rd[sel, _P["batch_ms"]].astype(np.int64)
+                batch_ms = rd[sel, place["batch_ms"]].astype(np.int64)
                 result = pd.DataFrame({
                     "alert_time": _alert_times(t[sel], batch_ms, np.concatenate(rank_all),
                                                alert_time_from),
@@ -219,8 +185,9 @@ def _fold(rules, alert_time_from: str, null_as_zero: bool = True, max_gap=None):
 
 
 def stream_alerts(union: DataFrame, rules=DEFAULT_RULES, alert_time_from: str = "batch",
-                  null_as_zero: bool = True, max_gap_s: int | None = None) -> DataFrame:
-    """Streaming alerts (ALERT_MESSAGE schema) from ``union_inputs`` rows.
+                  null_as_zero: bool = True, max_gap_s: int | None = None,
+                  thresholds=DEFAULT_THRESHOLDS) -> DataFrame:
+    """Streaming alerts (ALERT_MESSAGE schema) from ``union_inputs`` rows (of the same ``thresholds``).
 
     ``null_as_zero=False`` lets a missing measure make its conditions false
     (NULL comparisons) instead of reading it as 0.  ``max_gap_s`` (off by
@@ -228,8 +195,11 @@ def stream_alerts(union: DataFrame, rules=DEFAULT_RULES, alert_time_from: str =
     (in processing order).
     """
     rules = tuple(rules)
+    unknown = set().union(*(r.columns for r in rules)) - set(MEASURES) - set(thresholds)
+    if unknown:
+        raise ValueError(f"rules use columns that neither readings nor configs have: {sorted(unknown)}")
     gap = None if max_gap_s is None else int(max_gap_s) * 1000
     return (union.groupBy("device_id")
-                 .applyInPandasWithState(_fold(rules, alert_time_from, null_as_zero, gap),
+                 .applyInPandasWithState(_fold(rules, alert_time_from, null_as_zero, gap, thresholds),
                                          ALERT_MESSAGE,
-                                         _state_schema(len(rules)), "append", "NoTimeout"))
+                                         _state_schema(len(rules), thresholds), "append", "NoTimeout"))

@@ -62,8 +62,8 @@ def reading_stream(values: DataFrame, mode: str = "quarantine") -> DataFrame:
     return good.withColumn("event_ts", iso_instant("event_time"))
 
 
-def config_stream(values: DataFrame, mode: str = "quarantine") -> DataFrame:
-    return quarantine(parse_configs(values), mode)[0]
+def config_stream(values: DataFrame, mode: str = "quarantine", thresholds=()) -> DataFrame:
+    return quarantine(parse_configs(values, thresholds=thresholds), mode)[0]
 
 
 def corrupt_messages(readings: DataFrame, configs: DataFrame | None = None) -> DataFrame:
@@ -172,15 +172,17 @@ def start_alert_job(spark: SparkSession, readings_values: DataFrame, config_valu
     ``quarantine_path`` a third query keeps the malformed reading and config lines;
     ``malformed="failfast"`` stops the queries at the first one instead.
     """
-    from roomlake.settings import DEFAULT_RULES
+    from roomlake.settings import DEFAULT_RULES, threshold_columns
 
-    rules = rules or DEFAULT_RULES
+    rules = tuple(rules or DEFAULT_RULES)
     root = checkpoint_root.rstrip("/")
     readings = reading_stream(readings_values, malformed)
     bronze = readings.select(*[f.name for f in BRONZE_READING.fields])
     queries = [bronze_query(bronze, bronze_readings, f"{root}/bronze_readings", trigger)]
-    alerts = stream_alerts(union_inputs(readings, config_stream(config_values, malformed)), rules,
-                           alert_time_from, max_gap_s=max_gap_s)
+    thresholds = threshold_columns(rules)
+    configs = config_stream(config_values, malformed, thresholds)
+    alerts = stream_alerts(union_inputs(readings, configs, thresholds), rules, alert_time_from,
+                           max_gap_s=max_gap_s, thresholds=thresholds)
     queries.append(alert_query(alerts, bronze_alerts, f"{root}/alerts", alert_sinks, trigger))
     if quarantine_path:
         queries.append(bronze_query(corrupt_messages(readings_values, config_values), quarantine_path,
