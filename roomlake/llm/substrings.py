@@ -4,7 +4,8 @@ A window is ``window`` consecutive words; its minimiser is the smallest hash
 among its ``mer``-word sequences.  Consecutive windows with the same minimiser
 occurrence form a super-k-mer: one string that holds them all.  Two equal windows
 have the same minimiser, so a minimiser met once in the whole input holds no repeated
-window, and one whose super-k-mers are all the same text holds only repeated ones.  Only the
+window, and one whose super-k-mers are all the same words (told by a 64-bit digest of them beside the
+64-bit minimiser) holds only repeated ones.  Only the
 others travel: each as one packed string to the bucket of its minimiser, where its
 windows are sorted and counted.  The repeated windows go back to their
 documents, and the words they cover are removed.
