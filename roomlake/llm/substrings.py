@@ -359,7 +359,8 @@ def substring_dedup(docs: DataFrame, *, window: int = 35, mer: int = 8, id_col:
         found = _count_buckets(strings.join(large, "mini", "left_anti"), window).unionByName(
             _count_rows(strings.join(large, "mini", "left_semi"), window))
     # back to the occurrences: each string's repeated windows, as spans of their documents
-    per_string = found.groupBy("mini", "pd").agg(F.collect_list("off").alias("offs"))
+    # (written, as above, so that the occurrences of a string in many copies can be split)
+    per_string = cut(found.groupBy("mini", "pd").agg(F.collect_list("off").alias("offs")), "repeats")
     spans = (packed.select("rid", "mini", "pd", "at").join(per_string, ["mini", "pd"])
              .select("rid", F.explode("offs").alias("off"), "at")
              .select("rid", (F.col("at") + F.col("off")).alias("at"), F.lit(1).cast("long").alias("n")))
