@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomlake.llm.common import hash_spans
+from roomlake.llm.common import chunks, hash_spans, texts
 
 BINS = 128
 EMPTY = 0xFFFF
+GROUP_CHARS = 1_000_000     # text hashed at once
 
 
 def parse(text: str, at: int, seen: set[str], ends: list[int]) -> None:
@@ -31,34 +32,102 @@ def parse(text: str, at: int, seen: set[str], ends: list[int]) -> None:
     Every prefix of a phrase is a phrase, so the length of the next one is
     searched up or down from the last one's.  A rest that is a phrase already adds none.
     """
-    n, length = len(text), 2
+    n, length, add, end = len(text), 2, seen.add, ends.append
     while at < n:
-        if text[at:at + length] in seen:
+        piece = text[at:at + length]
+        if piece in seen:
             while True:
                 if at + length >= n:
                     return
                 length += 1
-                if text[at:at + length] not in seen:
+                piece = text[at:at + length]
+                if piece not in seen:
                     break
         else:
-            while length > 1 and text[at:at + length - 1] not in seen:
+            while length > 1:
+                shorter = text[at:at + length - 1]
+                if shorter in seen:
+                    break
+                piece = shorter
                 length -= 1
-        piece = text[at:at + length]
-        seen.add(piece)
+        add(piece)
         at += len(piece)
-        ends.append(at)
-
-
-def signature(wide: bytes, ends: np.ndarray) -> np.ndarray:
-    """Minimum hash per bin of the phrases that end at ``ends``; ``wide`` is the text in UTF-32."""
-    out = np.full(BINS, EMPTY, np.uint16)
-    if len(ends):
-        h = np.sort(hash_spans(wide, 4 * np.concatenate(([0], ends[:-1])), 4 * ends))
-        bin_ = (h >> np.uint64(57)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate(([True], np.diff(bin_) != 0)))
-        value = ((h[first] >> np.uint64(41)) & np.uint64(0xFFFF)).astype(np.uint16)
-        out[bin_[first]] = np.minimum(value, EMPTY - 1)
-    return out
+        end(at)
+
+
+def _byte_places(text: str, places: list[int]) -> np.ndarray:
+    """UTF-8 offsets of code point offsets."""
+    at = np.array(places, np.int64)
+    if text.isascii():
+        return at
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+    return np.concatenate(([0], np.cumsum(width)))[at]
+
+
+def _hash_phrases(rows: list[str], froms: list[int], ends: list[list[int]]) -> list[np.ndarray]:
+    """Hashes of each text's phrases: from ``froms`` to the first end, then from end to end; one pass over all."""
+    data, starts, stops, counts, base = [], [], [], [], 0
+    for text, first, own in zip(rows, froms, ends):
+        raw = text.encode()
+        places = _byte_places(text, [first, *own]) + base
+        starts.append(places[:-1])
+        stops.append(places[1:])
+        counts.append(len(own))
+        data.append(raw)
+        base += len(raw)
+    if not data:
+        return []
+    hashes = hash_spans(b"".join(data), np.concatenate(starts), np.concatenate(stops))
+    return np.split(hashes, np.cumsum(counts)[:-1])
+
+
+def _signatures(hashes: list[np.ndarray]) -> list[np.ndarray]:
+    """Minimum hash per bin of each phrase set; empty bins hold ``EMPTY``."""
+    out = np.full((len(hashes), BINS), EMPTY, np.uint16)
+    if any(len(h) for h in hashes):
+        h = np.concatenate(hashes)
+        row = np.repeat(np.arange(len(hashes), dtype=np.uint64), [len(x) for x in hashes])
+        value = np.minimum((h >> np.uint64(41)) & np.uint64(0xFFFF), np.uint64(EMPTY - 1))
+        key = np.sort(((row << np.uint64(7) | h >> np.uint64(57)) << np.uint64(16)) | value)
+        first = key[np.concatenate(([True], key[1:] >> np.uint64(16) != key[:-1] >> np.uint64(16)))]
+        cell = first >> np.uint64(16)
+        out[(cell >> np.uint64(7)).astype(np.int64), (cell & np.uint64(BINS - 1)).astype(np.int64)] = \
+            (first & np.uint64(0xFFFF)).astype(np.uint16)
+    return list(out)
+
+
+def fingerprint_many(rows: list[str], afters: list[str | None] = ()) -> tuple[list, list]:
+    """Signatures of texts and, where ``afters`` has the next text, (edited text, its signature).
+
+    The edited text is the text with its last third replaced by as many first code points of
+    the next one.  Phrases that end within the unchanged part are the same, so only the
+    rest is parsed and hashed again.
+    """
+    ends: list[list[int]] = []
+    for t in rows:
+        own: list[int] = []
+        parse(t, 0, set(), own)
+        ends.append(own)
+    hashes = _hash_phrases(rows, [0] * len(rows), ends)
+    new_texts, froms, new_ends, kept = [], [], [], []
+    for t, own, h, after in zip(rows, ends, hashes, afters):
+        if after is None:
+            continue
+        k = len(t) // 3
+        edited = t[:len(t) - k] + after[:k] if k else t
+        same = int(np.searchsorted(np.array(own, np.int64), len(t) - k, side="right"))
+        head = own[:same]
+        seen = {t[a:b] for a, b in zip([0, *head], head)}
+        tail: list[int] = []
+        parse(edited, head[-1] if head else 0, seen, tail)
+        new_texts.append(edited)
+        froms.append(head[-1] if head else 0)
+        new_ends.append(tail)
+        kept.append(h[:same])
+    fresh = _hash_phrases(new_texts, froms, new_ends)
+    edited_sigs = iter(zip(new_texts, _signatures([np.concatenate(x) for x in zip(kept, fresh)])))
+    return _signatures(hashes), [None if a is None else next(edited_sigs) for a in afters]
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -72,32 +141,8 @@ def to_text(sig: np.ndarray) -> str:
     return sig.astype(">u2").tobytes().hex()
 
 
-class Parsed:
-    """A text's phrase ends and signature."""
-
-    def __init__(self, text: str):
-        self.text = text
-        ends: list[int] = []
-        parse(text, 0, set(), ends)
-        self.ends = ends
-        self.wide = text.encode("utf-32-le")
-        self.signature = signature(self.wide, np.array(ends, np.int64))
-
-    def edited(self, after: str) -> tuple[str, np.ndarray]:
-        """The text with its last third replaced by as many first code points of ``after``, and its signature.
-
-        Phrases that end within the unchanged part are the same, so only the rest is parsed.
-        """
-        k = len(self.text) // 3
-        if k == 0:
-            return self.text, self.signature
-        cut_ = len(self.text) - k
-        new = self.text[:cut_] + after[:k]
-        same = int(np.searchsorted(np.array(self.ends, np.int64), cut_, side="right"))
-        ends = self.ends[:same]
-        seen = {self.text[a:b] for a, b in zip([0, *ends], ends)}
-        parse(new, ends[-1] if ends else 0, seen, ends)
-        return new, signature(new.encode("utf-32-le"), np.array(ends, np.int64))
+def signature(text: str) -> np.ndarray:
+    return fingerprint_many([text])[0][0]
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -108,10 +153,11 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            parsed = [Parsed(t or "") for t in b.column(1).to_pylist()]
+            rows = texts(b.column(1))
+            sigs = [x for i, j in chunks(rows, len, GROUP_CHARS) for x in fingerprint_many(rows[i:j])[0]]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(p.text) for p in parsed], pa.int64()),
-                 pa.array([to_text(p.signature) for p in parsed], pa.string())], names=schema.names)
+                [b.column(0), pa.array([len(t) for t in rows], pa.int64()),
+                 pa.array([to_text(x) for x in sigs], pa.string())], names=schema.names)
 
     return src.mapInArrow(run, schema)
 
@@ -152,7 +198,7 @@ def neighbour_likeness(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     its own next one.
 
     Texts are shuffled once, into ranges of the id order; the first document of each range also goes
-    to the range before it.  A task streams its rows and holds two documents.
+    to the range before it.  A task streams its rows and holds a group of a few MB (two documents at least).
     """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType
@@ -180,34 +226,37 @@ def neighbour_likeness(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         tails = [ends.get(k) for k in zip(ids.tolist(), hashes.tolist())]
         return pd.Series([[2 * r] if t is None else [2 * r, 2 * t + 1] for r, t in zip(own, tails)])
 
+    arrow = pa.schema([("id", pa.int64()), ("no_id", pa.bool_()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
+                       ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+                       ("near_edited", pa.float64()), ("near_next", pa.float64())])
     schema = T.StructType([
         T.StructField("id", T.LongType()), T.StructField("no_id", T.BooleanType()),
         T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()),
         T.StructField("fingerprint", T.StringType()), T.StructField("edited_fingerprint", T.StringType()),
         T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType())])
 
+    def compare(rows: list[tuple]) -> pa.RecordBatch:
+        """Rows (place, id, no_id, text) in order; each that has its next one here gives a row."""
+        own = [r[3] for r in rows]
+        pairs = [a[0] % 2 == 0 and a[0] // 2 == b[0] // 2 for a, b in zip(rows, rows[1:])] + [False]
+        sigs, edited = fingerprint_many(own, [own[i + 1] if pair else None for i, pair in enumerate(pairs)])
+        out = [(rows[i][1], rows[i][2], len(own[i]), hashlib.sha256(edited[i][0].encode()).hexdigest(),
+                to_text(sigs[i]), to_text(edited[i][1]), likeness(sigs[i], edited[i][1]),
+                likeness(sigs[i], sigs[i + 1])) for i, pair in enumerate(pairs) if pair]
+        return pa.RecordBatch.from_pylist([dict(zip(schema.names, x)) for x in out], schema=arrow)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        held = None                                     # range, id, no_id, parsed text
+        rows: list[tuple] = []
+        size = 0
         for b in batches:
-            for place, id_, no_id, t in zip(*(b.column(i).to_pylist() for i in range(4))):
-                r, tail = divmod(place, 2)
-                if held is None or held[0] != r:
-                    held = None if tail else (r, id_, no_id, Parsed(t))
-                    continue
-                after = Parsed(t)
-                text = held[3]
-                edited, sig = text.edited(t)
-                out.append((held[1], held[2], len(text.text), hashlib.sha256(edited.encode()).hexdigest(),
-                            to_text(text.signature), to_text(sig), likeness(text.signature, sig),
-                            likeness(text.signature, after.signature)))
-                held = None if tail else (r, id_, no_id, after)      # of equal heads one ends the range
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), f.dataType.simpleString().replace("bigint", "int64").replace("boolean", "bool")
-                              .replace("double", "float64")) for c, f in zip(zip(*out), schema.fields)],
-                    names=schema.names)
-                out = []
+            for row in zip(*(b.column(i).to_pylist() for i in range(4))):
+                rows.append(row)
+                size += len(row[3])
+                if size > GROUP_CHARS and len(rows) > 1:
+                    yield compare(rows)
+                    rows, size = rows[-1:], len(row[3])     # the last one still needs its next
+        if len(rows) > 1:
+            yield compare(rows)
 
     dealt = (keyed.withColumn("place", F.explode(targets("id", "h")))
              .repartition(F.expr("place div 2"))

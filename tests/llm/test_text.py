@@ -9,7 +9,8 @@ import pytest
 
 from roomlake.llm import queries as Q
 from roomlake.llm.language import GramVectors, grams, identify, language_predictions, learn_prototypes
-from roomlake.llm.lzprint import Parsed, likeness, neighbour_likeness, parse, to_text
+from roomlake.llm import lzprint as L
+from roomlake.llm.lzprint import likeness, neighbour_likeness, parse, signature, to_text
 from roomlake.llm.oracle import ORACLE_SQL
 from roomlake.llm.toxicity import Lexicon, Matcher, pick_terms, toxicity_predictions
 from roomlake.llm.urls import url_verdicts
@@ -108,15 +109,27 @@ def test_likeness_estimates_phrase_overlap():
     a = "".join(rnd.choice("abcd ") for _ in range(6000))
     b = a[:4000] + "".join(rnd.choice("wxyz ") for _ in range(2000))
     x, y = brute_phrases(a), brute_phrases(b)
-    assert abs(likeness(Parsed(a).signature, Parsed(b).signature) - len(x & y) / len(x | y)) < 0.15
-    assert likeness(Parsed("").signature, Parsed("").signature) == 1.0
-    assert likeness(Parsed("").signature, Parsed("abc").signature) == 0.0
+    assert abs(likeness(signature(a), signature(b)) - len(x & y) / len(x | y)) < 0.15
+    assert likeness(signature(""), signature("")) == 1.0
+    assert likeness(signature(""), signature("abc")) == 0.0
+
+
+def test_signature_is_the_least_hash_of_each_bin():
+    text = "abé日 abé 😀 abab é"
+    phrases = brute_phrases(text)
+    want = np.full(L.BINS, L.EMPTY)
+    for x in phrases:
+        h = int(L.hash_spans(x.encode(), np.array([0]), np.array([len(x.encode())]))[0])
+        want[h >> 57] = min(want[h >> 57], min(h >> 41 & 0xFFFF, L.EMPTY - 1))
+    assert (signature(text) == want).all()
 
 
 @pytest.mark.parametrize("ranges", [1, 5, 40])
-def test_neighbours(docs, doc_rows, ranges):
+def test_neighbours(docs, doc_rows, ranges, monkeypatch):
     import xxhash
 
+    monkeypatch.setattr(L, "GROUP_CHARS", 300)
+
     got = neighbour_likeness(docs, ranges=ranges).collect()
     key = lambda r: (-(1 << 63) if r[0] is None else r[0],
                      np.uint64(xxhash.xxh64_intdigest((r[1] or "").encode(), 42)).astype(np.int64))
@@ -126,10 +139,9 @@ def test_neighbours(docs, doc_rows, ranges):
         text, after = r[1] or "", order[(i + 1) % len(order)][1] or ""
         k = len(text) // 3
         edited = text[:len(text) - k] + after[:k]
-        p, e = Parsed(text), Parsed(edited)
-        want.append((r[0], len(text), hashlib.sha256(edited.encode()).hexdigest(), to_text(p.signature),
-                     to_text(e.signature), likeness(p.signature, e.signature),
-                     likeness(p.signature, Parsed(after).signature)))
+        p, e = signature(text), signature(edited)
+        want.append((r[0], len(text), hashlib.sha256(edited.encode()).hexdigest(), to_text(p),
+                     to_text(e), likeness(p, e), likeness(p, signature(after))))
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
