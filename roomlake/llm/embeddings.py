@@ -101,17 +101,18 @@ def cell_links(raw_own: np.ndarray, raw_probe: np.ndarray, block: int,
     own, probe = np.argsort(zu[:, third], kind="stable"), np.argsort(zv[:, third], kind="stable")
     key = zu[own, third]
     bu = zu[own][:, sl].astype(np.float32)
-    nu = (bu * bu).sum(axis=1)
+    # |v - u|^2 - |v|^2 = (v, 1) . (-2 u, |u|^2): one product and one comparison a pair
+    right = np.column_stack((-2 * bu, (bu * bu).sum(axis=1))).astype(np.float32)
     for a in range(0, len(probe), TILE):
         p = probe[a:a + TILE]
         lo = int(np.searchsorted(key, zv[p[0], third] - reach))
         hi = int(np.searchsorted(key, zv[p[-1], third] + reach, side="right"))
         bv = zv[p][:, sl].astype(np.float32)
-        nv = (bv * bv).sum(axis=1)
+        most = np.float32(budget + 1e-5) - (bv * bv).sum(axis=1)
+        left = np.column_stack((bv, np.ones(len(bv), np.float32)))
         for o in range(lo, hi, 4096):
-            q = slice(o, min(hi, o + 4096))
-            near = nv[:, None] + nu[None, q] - 2 * (bv @ bu[q].T) <= budget + 1e-5
-            i, j = np.nonzero(near)
+            part = right[o:min(hi, o + 4096)]
+            i, j = np.divmod(np.flatnonzero(left @ part.T <= most[:, None]), len(part))
             for c in range(0, len(i), 50_000):
                 x, y = p[i[c:c + 50_000]], own[o + j[c:c + 50_000]]
                 ok = (v[x] * u[y]).sum(axis=1) >= cosine
