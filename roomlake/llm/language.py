@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from roomlake.llm.common import texts
 
 DIMENSIONS = 1024
-CACHE_GRAMS = 40_000        # bound gram vectors kept by a task (one byte a dimension)
+CACHE_GRAMS = 20_000        # bound gram vectors kept by a task (one byte a dimension)
 UNKNOWN = "und"
 _SHIFT = 21                 # bits of a code point
 

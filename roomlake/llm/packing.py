@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from roomlake.llm.common import Memo, cut, texts, tokenizer_path
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 _SPACES = re.compile("[ \t\n\r\f\v]+")
 _NOT_UNICODE_SPACE = re.compile("[\x1c-\x1f]")     # str.split() cuts there, the tokenizer does not
 

@@ -183,6 +183,13 @@ def _run_hash(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.nda
         return mix64((sums[first + count] - sums[first]) * inverse[first] + count.astype(np.uint64))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Small slices, so that few rows are Python objects at a time."""
+    for b in batches:
+        for a in range(0, b.num_rows, rows):
+            yield b.slice(a, rows)
+
+
 def _pack(docs: DataFrame, window: int) -> DataFrame:
     """The packed string of each super-k-mer (rid, mini, at, n) from its document's text ``t``.
 
@@ -190,7 +197,7 @@ def _pack(docs: DataFrame, window: int) -> DataFrame:
     joined by one space.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             rids, minis, ats, packed = [], [], [], []
             size = 0
             for rid, t, kmers in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
@@ -285,7 +292,7 @@ def _remove(docs: DataFrame, window: int, keep_text: bool) -> DataFrame:
     names = ["rid", "n_removed", "sha"] + ["kept_text"] * keep_text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             removed, shas, kept_texts = [], [], []
             for t, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 words = t.encode().split()
