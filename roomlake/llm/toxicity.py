@@ -275,15 +275,20 @@ def pick_terms(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -
     return {t: w for t, (_, w) in best}
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
-    """Weights and (last) intercept by Newton's method; the intercept is not shrunk."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50,
+                 rows: np.ndarray | None = None) -> np.ndarray:
+    """Weights and (last) intercept by Newton's method; the intercept is not shrunk.
+
+    ``rows`` says how many rows each row stands for (default: itself).
+    """
+    rows = np.ones(len(y)) if rows is None else rows
     x1 = np.column_stack((x, np.ones(len(x))))
     beta, shrink = np.zeros(x1.shape[1]), ridge * np.eye(x1.shape[1])
     shrink[-1, -1] = 1e-3
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x1 @ beta, -30, 30)))
-        h = (x1 * (p * (1 - p))[:, None]).T @ x1 + shrink
-        d = np.linalg.solve(h, x1.T @ (y - p) - shrink @ beta)
+        h = (x1 * (rows * p * (1 - p))[:, None]).T @ x1 + shrink
+        d = np.linalg.solve(h, x1.T @ (rows * (y - p)) - shrink @ beta)
         beta += d
         if np.abs(d).max() < 1e-6:
             break
@@ -291,16 +296,18 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
 
 
 def sample_labels(labels: DataFrame, sample_rows: int) -> DataFrame:
-    """doc_id and toxic (0 / 1) of at most about ``sample_rows`` labelled rows a class, outside fold 1 of 3.
+    """doc_id, toxic (0 / 1) and stands_for of at most about ``sample_rows`` labelled rows a class, outside fold 1 of 3.
 
     Rows are taken by a hash of the id; a document with several labels counts as toxic if one says so.
+    ``stands_for`` is the inverse of the class's sampling share: 1 where the class is taken whole.
     """
     rows = (labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(fold("doc_id", 3) != 1)
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    share = F.when(F.col("toxic") == 1, F.lit(sample_rows / max(n.get(1, 0), 1))).otherwise(
-        F.lit(sample_rows / max(n.get(0, 0), 1)))
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < 1_000_000 * share)
+    taken = [min(1_000_000, math.ceil(1_000_000 * sample_rows / max(n.get(y, 0), 1))) for y in (0, 1)]
+    of_class = F.when(F.col("toxic") == 1, F.lit(taken[1])).otherwise(F.lit(taken[0]))
+    return (rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < of_class)
+            .withColumn("stands_for", 1_000_000 / of_class))
 
 
 class ToxicityModel:
@@ -329,12 +336,15 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAM
     """Learn lexicon and model from labelled rows outside fold 1 of 3.
 
     At most about ``sample_rows`` rows a class: a bound that makes the id list
-    broadcastable and the texts one small table, read twice.  Without toxic or without clean
-    rows the model has no terms and scores everything 0.
+    broadcastable and the texts one small table, read twice.  The classes are thinned apart, so
+    the logistic fit counts each row for as many as it stands for: scores keep the true share of toxic rows.
+    The terms' evidence compares rates within the classes, which thinning leaves alone, and is counted in sampled
+    rows.  Without toxic or without clean rows the model has no terms and scores everything 0.
     """
-    ids = sample_labels(labels, sample_rows).select(F.col("doc_id").alias("_id"), F.col("toxic").alias("y"))
+    ids = sample_labels(labels, sample_rows).select(F.col("doc_id").alias("_id"), F.col("toxic").alias("y"),
+                                                    F.col("stands_for").alias("n"))
     sample = cut(docs.select(F.col("doc_id").alias("_id"), F.col(text_col).alias("t")).where("t IS NOT NULL")
-                 .join(F.broadcast(ids), "_id").select("y", "t"), "labelled")
+                 .join(F.broadcast(ids), "_id").select("y", "t", "n"), "labelled")
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             y, rows = b.column(0).to_pylist(), texts(b.column(1))
@@ -365,13 +375,14 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAM
         matcher = Matcher(weights)
         for b in batches:
             x = np.array([matcher.features(t) for t in texts(b.column(1))]).reshape(b.num_rows, FEATURES)
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(x[:, i]) for i in range(FEATURES)]],
-                                             names=["y", *columns])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *[pa.array(x[:, i]) for i in range(FEATURES)]],
+                                             names=["y", "n", *columns])
 
     rows = sample.mapInArrow(featurise, T.StructType(
-        [sample.schema["y"], *[T.StructField(f"f{i}", T.DoubleType()) for i in range(FEATURES)]])).toPandas()
-    x, y = rows[columns].to_numpy(), rows["y"].to_numpy(dtype=float)
-    return ToxicityModel(weights, fit_logistic(x, y))
+        [sample.schema["y"], sample.schema["n"],
+         *[T.StructField(f"f{i}", T.DoubleType()) for i in range(FEATURES)]])).toPandas()
+    x, y, n = (rows[c].to_numpy(dtype=float) for c in (columns, "y", "n"))
+    return ToxicityModel(weights, fit_logistic(x, y, rows=n / n.min()))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text",

@@ -12,7 +12,8 @@ from roomlake.llm.language import GramVectors, grams, identify, language_predict
 from roomlake.llm import lzprint as L
 from roomlake.llm.lzprint import likeness, neighbour_likeness, parse, signature, to_text
 from roomlake.llm.oracle import ORACLE_SQL
-from roomlake.llm.toxicity import Lexicon, Matcher, pick_terms, toxicity_predictions
+from roomlake.llm.toxicity import (Lexicon, Matcher, fit_logistic, learn_toxicity, pick_terms, sample_labels,
+                                   toxicity_predictions)
 from roomlake.llm.urls import url_verdicts
 
 
@@ -214,3 +215,39 @@ def test_toxicity_without_labels(docs, no_docs, spark, labels_schema):
     none = spark.createDataFrame([], labels_schema)
     assert {r["predicted"] for r in toxicity_predictions(docs, none).collect()} == {0}
     assert toxicity_predictions(no_docs, none).collect() == []
+
+
+def test_fit_counts_a_row_for_those_it_stands_for():
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(300, 2))
+    y = (x[:, 0] + rnd.normal(size=300) > 0.5).astype(float)
+    n = rnd.integers(1, 6, 300)
+    assert np.allclose(fit_logistic(x, y, rows=n.astype(float)), fit_logistic(np.repeat(x, n, 0), np.repeat(y, n)))
+    assert np.allclose(fit_logistic(x, y), fit_logistic(x, y, rows=np.ones(300)))
+
+
+def test_thinning_a_class_leaves_scores(spark):
+    """Clean labels beyond the cap: a text's log-odds stay near those learned from all labels."""
+    rnd = random.Random(12)
+    words = ["bread", "house", "river", "green", "walk", "seven", "music", "paper", "stone", "light"]
+    rows, labels = [], []
+    for i in range(12_000):
+        t = [rnd.choice(words) for _ in range(rnd.randint(10, 60))]
+        bad = i % 20 == 0
+        for _ in range(rnd.randint(0, 3) if bad else int(rnd.random() < 0.05)):
+            t.insert(rnd.randrange(len(t)), rnd.choice(["idiot", "moron", "stupid"]))
+        rows.append((i, " ".join(t)))
+        labels.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    cap = 600                                           # all toxic training rows, about a thirteenth of the clean ones
+    thin = sample_labels(lab, cap).toPandas()
+    clean = thin[thin.toxic == 0]
+    want = sum(1 for i, _, bad in labels if not bad and zlib.crc32(str(i).encode()) % 3 != 1)
+    assert (thin[thin.toxic == 1].stands_for == 1).all() and len(clean) < 2 * cap
+    assert abs(clean.stands_for.iloc[0] - want / cap) < 0.01 * want / cap
+    whole, thinned = learn_toxicity(docs, lab), learn_toxicity(docs, lab, sample_rows=cap)
+    assert whole.weights.keys() == thinned.weights.keys()
+    for text in ("bread house river " * 9, "bread house river " * 9 + "idiot", "idiot moron " + "green walk " * 12):
+        odds = [float(np.dot(m.beta[:-1], m.matcher.features(text)) + m.beta[-1]) for m in (whole, thinned)]
+        assert abs(odds[0] - odds[1]) < 0.8, (text, odds)
