@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomlake.llm.common import cut
-from roomlake.llm.language import UNKNOWN, identify, learn_prototypes
+from roomlake.llm.language import UNKNOWN, identify, learn_prototypes, with_letter
 from roomlake.llm.packing import pack_documents
 from roomlake.llm.simhash import keep_one_per_group
 from roomlake.llm.substrings import remove_repeats
@@ -32,8 +32,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents whose language cannot be told: those without a letter."""
-    prototypes = learn_prototypes(docs.where("lang IS NOT NULL"))
+    """Drops documents whose language cannot be told: those without a letter.
+
+    Rows named ``und`` teach no language; where no row teaches one, every document with a letter stays.
+    """
+    prototypes = learn_prototypes(docs.where(F.col("lang") != UNKNOWN))
+    if not prototypes:
+        return with_letter(docs)
     named = identify(docs, prototypes, pred_col="_language", score_col="_cosine")
     return named.where(F.col("_language") != UNKNOWN).select(*docs.columns)
 

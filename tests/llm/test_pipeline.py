@@ -52,3 +52,23 @@ def test_empty_tables(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_no_language_to_learn(spark, lang, tmp_path):
+    """Without a language to learn, only documents without a letter go."""
+    rows = [(i, t, lang, "s", 0) for i, t, *_ in small_docs() if i is not None]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = {i for i, t, *_ in rows if any(c.isalpha() for c in t or "")}
+    kept = P.language_id(spark, docs, "")
+    assert kept.columns == docs.columns and kept.count() == sum(1 for i, *_ in rows if i in want)
+    assert {r["doc_id"] for r in kept.collect()} == want
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert P.run(spark, str(tmp_path)).count() > 0
+
+
+def test_rows_named_und_stay(spark):
+    rows = [(1, "the cat sat on the mat", "en"), (2, "die Katze auf der Matte", "und"), (3, "12 34", "und")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in P.language_id(spark, docs, "").collect()} == {1, 2}
