@@ -27,7 +27,9 @@ from roomlake.llm.common import cut, texts
 from roomlake.llm.language import fold
 
 STEMS = (4, 5, 6)               # stem lengths tried besides whole words
-FUZZY_FROM = 5                  # shorter terms must match exactly
+FUZZY_FROM = 5                  # shorter terms must match exactly, but for those of ``near_free``
+SHORT = 4                       # letters of a term that ``near_free`` may allow an edit
+SHORT_WORDS = 100_000           # words of clean texts that show whether a short term has neighbours, at least
 WINDOW = 6                      # words looked at on each side of a hit
 SAMPLE_ROWS = 10_000            # labelled rows per class that the lexicon and the model learn from, at most
 MAX_TERMS = 2_000
@@ -68,14 +70,15 @@ def terms_of(text: str) -> tuple[Counter, int]:
 class Lexicon:
     """Trie of terms (``word`` or ``stem*``) with a lazily determinised Levenshtein automaton over it."""
 
-    def __init__(self, terms: list[str], fuzzy_from: int = FUZZY_FROM):
+    def __init__(self, terms: list[str], fuzzy_from: int = FUZZY_FROM, short: frozenset[str] = frozenset()):
+        """``short``: terms that take an edit though shorter than ``fuzzy_from``."""
         self.children: list[dict[str, int]] = [{}]
         self.word: list[str | None] = [None]            # the term that ends as a whole word here
         self.stem: list[str | None] = [None]            # the term whose stem ends here
         self.budget: list[int] = [0]                    # most edits of any term below
         for term in terms:
             body = term.rstrip("*")
-            edits = 1 if len(body) >= fuzzy_from else 0
+            edits = 1 if len(body) >= fuzzy_from or term in short else 0
             node = 0
             self.budget[0] = max(self.budget[0], edits)
             for c in body:
@@ -90,7 +93,7 @@ class Lexicon:
                 node = nxt
                 self.budget[node] = max(self.budget[node], edits)
             (self.stem if term.endswith("*") else self.word)[node] = term
-        self.fuzzy_from = fuzzy_from
+        self.fuzzy_from, self.short = fuzzy_from, short
         self._reset()
 
     def _reset(self) -> None:
@@ -102,7 +105,7 @@ class Lexicon:
         self.start = self._state(self._close({(0, 0, "")}))
 
     def _allowed(self, term: str, edits: int) -> bool:
-        return edits == 0 or len(term.rstrip("*")) >= self.fuzzy_from
+        return edits == 0 or len(term.rstrip("*")) >= self.fuzzy_from or term in self.short
 
     def _close(self, states: set) -> frozenset:
         """Adds the nodes reached by dropping letters of a term."""
@@ -181,9 +184,9 @@ class Lexicon:
 class Matcher:
     """Hits of texts, with a bounded memory of words."""
 
-    def __init__(self, weights: dict[str, float]):
+    def __init__(self, weights: dict[str, float], short: frozenset[str] = frozenset()):
         self.weights = weights
-        self.lexicon = Lexicon(sorted(weights))
+        self.lexicon = Lexicon(sorted(weights), short=short)
         self.clean: set[str] = set()
         self.hits: dict[str, tuple[str, int]] = {}
 
@@ -311,19 +314,19 @@ def sample_labels(labels: DataFrame, sample_rows: int) -> DataFrame:
 
 
 class ToxicityModel:
-    """The learned lexicon (term -> weight) and logistic weights."""
+    """The learned lexicon (term -> weight; the short terms that take an edit) and logistic weights."""
 
-    def __init__(self, weights: dict[str, float], beta: np.ndarray):
-        self.weights, self.beta = weights, beta
+    def __init__(self, weights: dict[str, float], beta: np.ndarray, short: frozenset[str] = frozenset()):
+        self.weights, self.beta, self.short = weights, beta, short
         self._matcher: Matcher | None = None
 
     def __getstate__(self):
-        return {"weights": self.weights, "beta": self.beta, "_matcher": None}
+        return {"weights": self.weights, "beta": self.beta, "short": self.short, "_matcher": None}
 
     @property
     def matcher(self) -> Matcher:
         if self._matcher is None:
-            self._matcher = Matcher(self.weights)
+            self._matcher = Matcher(self.weights, self.short)
         return self._matcher
 
     def score(self, text: str) -> float:
@@ -331,12 +334,40 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def near_free(sample: DataFrame, weights: dict[str, float]) -> frozenset[str]:
+    """The terms of ``SHORT`` letters of which no other word within one edit stands in a clean text.
+
+    ``sample``: y and t of the labelled rows.  Words that are terms themselves do not count as neighbours.
+    """
+    short = [t for t in weights if len(t.rstrip("*")) == SHORT]
+    if not short:
+        return frozenset()
+
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Lexicon(sorted(weights))
+        apart = {t: Lexicon([t], SHORT) for t in short}
+        seen, met = set(), set()
+        for b in batches:
+            for y, t in zip(b.column(0).to_pylist(), texts(b.column(1))):
+                new = set() if y else set(_WORD.findall(t.lower())) - seen
+                if len(seen) > CACHE_WORDS:
+                    seen = set()
+                seen |= new
+                # a longer word matches like its first letters: never a whole term, a stem if they do
+                for w in {w[:SHORT + 2] for w in new if (known.match(w) or ("", 1))[1]}:
+                    met.update([t for t, x in apart.items() if t not in met and x.match(w)])
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(met), pa.string())], names=["term"])
+
+    met = sample.select("y", "t").mapInArrow(neighbours, "term string").distinct().collect()
+    return frozenset(short) - {r["term"] for r in met}
+
+
 def learn_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS,
                    text_col: str = "text") -> ToxicityModel:
     """Learn lexicon and model from labelled rows outside fold 1 of 3.
 
     At most about ``sample_rows`` rows a class: a bound that makes the id list
-    broadcastable and the texts one small table, read twice.  The classes are thinned apart, so
+    broadcastable and the texts one small table, read up to three times.  The classes are thinned apart, so
     the logistic fit counts each row for as many as it stands for: scores keep the true share of toxic rows.
     The terms' evidence compares rates within the classes, which thinning leaves alone, and is counted in sampled
     rows.  Without toxic or without clean rows the model has no terms and scores everything 0.
@@ -368,11 +399,12 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAM
     counts = counts.where((F.col("term") != "") & (F.col("a") / n1 >= MIN_RATIO * (F.col("b") + 0.5) / n0)
                           & (F.col("a") * math.log((n1 + n0) / n1) >= 18))
     weights = pick_terms([(r["term"], r["a"], r["b"]) for r in counts.collect()], n1, n0)
+    short = near_free(sample, weights) if n0 >= SHORT_WORDS else frozenset()
 
     columns = [f"f{i}" for i in range(FEATURES)]
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(weights)
+        matcher = Matcher(weights, short)
         for b in batches:
             x = np.array([matcher.features(t) for t in texts(b.column(1))]).reshape(b.num_rows, FEATURES)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *[pa.array(x[:, i]) for i in range(FEATURES)]],
@@ -382,7 +414,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAM
         [sample.schema["y"], sample.schema["n"],
          *[T.StructField(f"f{i}", T.DoubleType()) for i in range(FEATURES)]])).toPandas()
     x, y, n = (rows[c].to_numpy(dtype=float) for c in (columns, "y", "n"))
-    return ToxicityModel(weights, fit_logistic(x, y, rows=n / n.min()))
+    return ToxicityModel(weights, fit_logistic(x, y, rows=n / n.min()), short)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text",

@@ -251,3 +251,24 @@ def test_thinning_a_class_leaves_scores(spark):
     for text in ("bread house river " * 9, "bread house river " * 9 + "idiot", "idiot moron " + "green walk " * 12):
         odds = [float(np.dot(m.beta[:-1], m.matcher.features(text)) + m.beta[-1]) for m in (whole, thinned)]
         assert abs(odds[0] - odds[1]) < 0.8, (text, odds)
+
+
+def test_short_terms_without_clean_neighbours_take_an_edit(spark):
+    """Of two four-letter terms, one has a clean word one edit away and stays exact."""
+    rnd = random.Random(13)
+    words = ["bread", "house", "river", "green", "walk", "seven", "music", "paper", "stone", "dolt"]
+    rows, labels = [], []
+    for i in range(900):
+        t = [rnd.choice(words) for _ in range(250)]
+        bad = i % 5 == 0
+        for _ in range(4 if bad else 0):
+            t.insert(rnd.randrange(len(t)), rnd.choice(["scum", "dola"]))
+        rows.append((i, " ".join(t)))
+        labels.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = learn_toxicity(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert {"scum", "dola"} <= model.weights.keys() and model.short == {"scum"}
+    for w in edits("scum") - {"scum"}:
+        assert model.matcher.lexicon.match(w) == ("scum", 1), w
+    assert all(model.matcher.lexicon.match(w) is None for w in (edits("dola") - {"dola"}) | {"walk", "dolt", "skom"})
+    assert model.score("bread house skum river " * 9 + "scumm") > 0.7 > model.score("bread house dolt river " * 9)
