@@ -32,7 +32,6 @@ SHORT = 4                       # letters of a term that ``near_free`` may allow
 SHORT_WORDS = 100_000           # words of clean texts that show whether a short term has neighbours, at least
 WINDOW = 6                      # words looked at on each side of a hit
 SAMPLE_ROWS = 10_000            # labelled rows per class that the lexicon and the model learn from, at most
-MAX_TERMS = 2_000
 PER_TEXT = 4                    # occurrences of a term that count in one training text
 FEATURES = 5
 MIN_RATIO = 6.0                 # a term's rate in toxic texts over that in clean ones, at least
@@ -264,17 +263,17 @@ def pick_terms(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int) -
         divergence = share * math.log(share / p) + ((1 - share) * math.log((1 - share) / (1 - p)) if b else 0.0)
         if n * divergence >= 18:
             strong[term] = (a, math.log(ratio))
-    kept = {}
-    for term, (a, w) in strong.items():
+    longest: dict[str, int] = {}                        # most occurrences of a longer term, by stem
+    for term, (a, _) in strong.items():
         body = term.rstrip("*")
-        if term.endswith("*") and any(t != term and t.startswith(body) and len(t.rstrip("*")) > len(body)
-                                      and x >= 0.9 * a for t, (x, _) in strong.items()):
-            continue
-        kept[term] = (a, w)
+        for k in STEMS:
+            if k < len(body):
+                longest[body[:k]] = max(longest.get(body[:k], 0), a)
+    kept = {t: (a, w) for t, (a, w) in strong.items() if not t.endswith("*") or longest.get(t[:-1], 0) < 0.9 * a}
     stems = {t[:-1] for t in kept if t.endswith("*")}
     out = {t: v for t, v in kept.items()
            if not any(t.rstrip("*")[:k] in stems for k in STEMS if k < len(t.rstrip("*")))}
-    best = sorted(out.items(), key=lambda x: (-x[1][0] * x[1][1], x[0]))[:MAX_TERMS]
+    best = sorted(out.items(), key=lambda x: (-x[1][0] * x[1][1], x[0]))
     return {t: w for t, (_, w) in best}
 
 

@@ -272,3 +272,8 @@ def test_short_terms_without_clean_neighbours_take_an_edit(spark):
         assert model.matcher.lexicon.match(w) == ("scum", 1), w
     assert all(model.matcher.lexicon.match(w) is None for w in (edits("dola") - {"dola"}) | {"walk", "dolt", "skom"})
     assert model.score("bread house skum river " * 9 + "scumm") > 0.7 > model.score("bread house dolt river " * 9)
+
+
+def test_every_term_with_evidence_stays():
+    counts = [(f"{i:03x}", 20, 0) for i in range(3000)]
+    assert len(pick_terms(counts, 100_000, 400_000)) == 3000
