@@ -7,12 +7,14 @@ staircase functions ``u(k)``) certify a group whose bin count equals its bound.
 Dual feasible functions add up, so the same bound over the length counts of all
 pieces tells how far the whole packing is from the optimum.  While it is above
 that bound, the bins with gaps of all groups exchange documents: they are
-dealt anew, so that each new group mixes bins of many old ones, and packed again.
+dealt anew, so that each new group mixes bins of many old ones, and packed again, until
+a round saves no bin.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import re
 import zlib
 from array import array
@@ -247,14 +249,15 @@ def _bins(packed: DataFrame) -> int:
     return packed.filter(F.col("offset") == 0).count()
 
 
-def best_fit_pack(pieces: DataFrame, *, capacity: int = 4096, group_size: int = 20_000, rounds: int = 3) -> DataFrame:
+def best_fit_pack(pieces: DataFrame, *, capacity: int = 4096, group_size: int = 20_000,
+                  rounds: int | None = None) -> DataFrame:
     """Pack pieces (``slot`` unique, ``length`` 1..capacity) into sequences of at most ``capacity``.
 
     Adds sequence_id, offset, ``free`` (the sequence's unused tokens) and
     ``certified`` (its group reached its lower bound).  All input columns and
-    rows stay.  A group holds about ``group_size`` pieces of a few numbers each, at any input size; ``rounds``
-    bounds the exchanges, which stop early at the global bound or without gain.
-    An empty table packs into an empty one.
+    rows stay.  A group holds about ``group_size`` pieces of a few numbers each, at any input size.  Bins with
+    gaps are exchanged until the global bound is reached or a round saves no bin; ``rounds`` may
+    bound the exchanges.  The log tells the bins against the bound.  An empty table packs into an empty one.
     """
     columns = pieces.columns
     by_length = pieces.groupBy("length").count().collect()      # at most ``capacity`` rows
@@ -271,7 +274,8 @@ def best_fit_pack(pieces: DataFrame, *, capacity: int = 4096, group_size: int =
     n = int(counts[:capacity].sum())
     packed = cut(_pack_groups(open_, columns, F.col("slot"), group_size, n, capacity), "packed")
     total = _bins(packed) + int(counts[capacity])
-    for round_ in range(rounds):
+    round_ = 0
+    while rounds is None or round_ < rounds:
         gappy = packed.filter(F.col("free") > 0)
         k = gappy.count()
         if total <= bound or k == 0:
@@ -283,11 +287,13 @@ def best_fit_pack(pieces: DataFrame, *, capacity: int = 4096, group_size: int =
             break
         packed = cut(packed.filter(F.col("free") == 0).unionByName(again), "packed")
         total -= gain
+        round_ += 1
+    logging.getLogger(__name__).info("%d sequences, bound %d, %d exchanges with gain", total, bound, round_)
     return full.unionByName(packed)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", *, end_id: int = 1, capacity: int = 4096,
-                   group_size: int = 20_000, rounds: int = 3, id_col: str = "doc_id",
+                   group_size: int = 20_000, rounds: int | None = None, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """Tokenise ``docs`` once, cut texts over ``capacity`` into pieces and pack all pieces.
 

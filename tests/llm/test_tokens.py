@@ -143,6 +143,16 @@ def test_exchange_reaches_the_bound(spark):
     assert bin_lower_bound(counts, 100) <= n < check_packing(alone, 100)
 
 
+def test_exchange_goes_on_while_it_gains(spark):
+    rnd = random.Random(1)
+    pieces = spark.createDataFrame([(i, rnd.randint(1, 100)) for i in range(1500)], "slot long, length long")
+    three = best_fit_pack(pieces, capacity=100, group_size=20, rounds=3).collect()
+    packed = best_fit_pack(pieces, capacity=100, group_size=20).collect()
+    n = check_packing(packed, 100)
+    assert len(packed) == 1500 and {r["slot"] for r in packed} == set(range(1500))
+    assert bin_lower_bound(np.bincount([r["length"] for r in packed], minlength=101), 100) <= n < check_packing(three, 100)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 20), min_size=1, max_size=8))
 def test_bound_is_a_bound(sizes):
