@@ -1,7 +1,7 @@
 """The driver's correctness gate in miniature: every registered query equals
 its DuckDB oracle on the smallest driver tables (sf0.001)."""
 import __spark_entry__ as E
-from conftest import SF001
+from paths import SF001
 from contract_check import compare, duck
 from roomlake.plans.contract import QUERIES
 

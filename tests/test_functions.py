@@ -3,7 +3,7 @@ silver), independent of the session time zone; detector partition sizing."""
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF01
+from paths import SF01
 from roomlake.functions.columns import iso_instant, iso_timestamp, naive_as_utc
 
 MS = 1423072260000          # 2015-02-04T17:51:00Z

@@ -1,7 +1,7 @@
 """Plan shapes the scale design relies on (checked on the physical plan)."""
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from paths import SF001
 from roomlake.operators import gold, silver
 from roomlake.operators.breaches import rule_columns
 from roomlake.operators.config import join_config, latest_config

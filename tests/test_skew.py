@@ -3,7 +3,7 @@ the work evenly, and the alerts equal the sequential rule."""
 from pyspark.sql import functions as F
 
 from brute import brute_alerts
-from conftest import SF01
+from paths import SF01
 from roomlake.operators.breaches import detect_breaches
 from roomlake.operators.config import join_config, latest_config
 from roomlake.settings import DEFAULT_RULES, with_timing

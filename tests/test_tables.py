@@ -12,7 +12,7 @@ from roomlake.plans.contract import CONTRACT_RULES, bronze_readings_rows
 from roomlake.plans.lakehouse import LakePaths, lake_checks, run_lakehouse
 from roomlake.sources import testdata
 from roomlake.sources.files import write_bronze
-from conftest import SF001
+from paths import SF001
 
 
 def _rows(df, cols):

@@ -8,7 +8,7 @@ from roomlake.functions.columns import (hour_ts, iso_utc_string, lookback_cutoff
                                         utc_hour, utc_string)
 from roomlake.operators import tables
 from roomlake.plans import contract as C
-from conftest import SF001
+from paths import SF001
 
 ZONES = ["UTC", "America/New_York", "Asia/Tokyo", "Asia/Kolkata"]
 TIMES = [dt.datetime(2024, 3, 10, 7, 30, 1, 5), dt.datetime(2024, 1, 15, 23, 59, 59, 999999), dt.datetime(1969, 12, 31, 22, 0, 0, 1),
