@@ -57,4 +57,36 @@ FROM v JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) ON id = vec_id
 LEFT JOIN (SELECT a, count(*) AS k FROM l GROUP BY a) ON a = vec_id
 """
 
-ORACLE_SQL = {"op2_substring_dedup": OP2, "op5_embedding_dedup": OP5, "op8_url_filters": OP8}
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source AS host, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+  FROM d),
+p AS (SELECT rid, i, array_to_string(list_slice(ws, i, i + 2), ' ') AS win
+      FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
+twice AS (SELECT rid, i FROM p JOIN (SELECT rid, win FROM p GROUP BY ALL HAVING count(*) > 1) USING (rid, win)),
+rep AS (SELECT rid, count(DISTINCT i + j) AS n FROM twice, range(3) r(j) GROUP BY rid),
+l AS (
+  SELECT rid, host, t, regexp_replace(trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')), '[0-9]', '0', 'g') AS line,
+         len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT rid, host, t, unnest(ls) AS x FROM w)),
+size AS (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host),
+hot AS (
+  SELECT l.host AS host, line FROM l JOIN size ON l.host IS NOT DISTINCT FROM size.host
+  GROUP BY l.host, line, docs
+  HAVING count(DISTINCT t) > 10 AND count(DISTINCT t) > 0.01 * docs),
+lost AS (SELECT rid, sum(n) AS n FROM l JOIN hot ON l.line = hot.line AND l.host IS NOT DISTINCT FROM hot.host GROUP BY rid),
+o AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(lost.n, 0)::BIGINT AS n_line_words
+  FROM w LEFT JOIN rep USING (rid) LEFT JOIN lost USING (rid))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_line_words <= 0.5 * n_words AS kept
+FROM o
+"""
+
+ORACLE_SQL = {"op13_quality_rules": OP13, "op2_substring_dedup": OP2, "op5_embedding_dedup": OP5, "op8_url_filters": OP8}

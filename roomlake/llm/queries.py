@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roomlake.llm.bpe import bpe_round_trip
 from roomlake.llm.embeddings import embedding_duplicates
 from roomlake.llm.language import language_predictions
+from roomlake.llm.linefreq import quality_rules
 from roomlake.llm.lzprint import neighbour_likeness
 from roomlake.llm.packing import pack_documents
 from roomlake.llm.simhash import simhash_groups
@@ -79,6 +80,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of whole texts, the base rule, and the verdict of cross-document line frequency per source."""
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -90,4 +96,5 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_lz_fingerprints": op9_lz_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op13_quality_rules": op13_quality_rules,
 }
