@@ -15,16 +15,27 @@ from roomlake.session import scratch_path
 SEPARATORS = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, **options) -> DataFrame:
     """Materialise ``df`` as Parquet under the session's checkpoint folder and reread it.
 
     Cuts the lineage like ``checkpoint()`` but keeps the columns compressed;
     the folder is shared storage on a cluster (``spark.checkpoint.dir``), so
-    the rows outlive any executor.
+    the rows outlive any executor.  ``options`` go to the Parquet writer.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.options(**options).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``cut`` wrote, once whatever was made from them is written itself."""
+    for table in tables:
+        spark, path = table.sparkSession, table._cut_path
+        jvm = spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def tokenizer_path(name: str) -> str:

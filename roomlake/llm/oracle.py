@@ -89,4 +89,53 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM o
 """
 
-ORACLE_SQL = {"op13_quality_rules": OP13, "op2_substring_dedup": OP2, "op5_embedding_dedup": OP5, "op8_url_filters": OP8}
+_TERMS = r"""regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP11 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_TERMS.format('text')} AS ts FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS nd, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0),
+tf AS (SELECT rid, doc_id, n, t, count(*) AS tf FROM (SELECT rid, doc_id, len(ts) AS n, unnest(ts) AS t FROM d) GROUP BY ALL),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY t),
+q AS (SELECT item_id, text, t, count(*) AS reps
+      FROM (SELECT item_id, text, unnest({_TERMS.format('text')}) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark))
+      GROUP BY ALL),
+x AS (
+  SELECT item_id, text, rid, doc_id,
+         sum(reps * floor(1000 * ln((2 * nd + 2) / (2 * df + 1)))::BIGINT
+             * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nd) // l))))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN df USING (t), s GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id) AS rank FROM x WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+OP12 = r"""
+WITH p AS (
+  SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+tot AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+      FROM p, range(1, 6) s(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+sub AS (SELECT DISTINCT lang, a, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+        FROM c, range(2, 5) s(m), range(1, 5) t(i) WHERE m < k AND i + m - 1 <= k),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (
+           SELECT 1 FROM sub WHERE sub.lang = c.lang AND sub.phrase = c.phrase AND 100 * sub.a >= 100 * c.a)),
+x AS (
+  SELECT c.lang, c.phrase, c.a, u.a AS l, v.a AS r, n, j,
+         ((1000::HUGEINT * c.a * n) // (u.a::HUGEINT * v.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) c
+  JOIN f u ON u.lang = c.lang AND u.phrase = array_to_string(list_slice(c.w, 1, j), ' ')
+  JOIN f v ON v.lang = c.lang AND v.phrase = array_to_string(list_slice(c.w, j + 1, k), ' ')
+  JOIN tot ON tot.lang = c.lang),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000
+"""
+
+ORACLE_SQL = {"op12_collocations": OP12, "op11_ranked_search": OP11, "op13_quality_rules": OP13, "op2_substring_dedup": OP2, "op5_embedding_dedup": OP5, "op8_url_filters": OP8}

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomlake.llm.bpe import bpe_round_trip
+from roomlake.llm.collocations import collocations
 from roomlake.llm.embeddings import embedding_duplicates
 from roomlake.llm.language import language_predictions
+from roomlake.llm.lexical import ranked_search
 from roomlake.llm.linefreq import quality_rules
 from roomlake.llm.lzprint import neighbour_likeness
 from roomlake.llm.packing import pack_documents
@@ -80,6 +82,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_predictions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of two to five words that occur 100 times or more."""
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of whole texts, the base rule, and the verdict of cross-document line frequency per source."""
     return quality_rules(_table(spark, sf_dir, "documents"))
@@ -96,5 +108,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_lz_fingerprints": op9_lz_fingerprints,
     "op10_toxicity": op10_toxicity,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_collocations": op12_collocations,
     "op13_quality_rules": op13_quality_rules,
 }
