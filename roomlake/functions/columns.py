@@ -29,6 +29,14 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once a row, however often ``body`` names it.
+
+    A plain expression repeats its argument wherever it names it, and again in every filter it is pushed into.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _canonical_utc(s: Column) -> Column:
     """Cheap test (no regex) for the common 'YYYY-MM-DDTHH:MM:SS[.f]Z' form;
     Spark's cast then validates the digits (NULL when they are not)."""
@@ -43,11 +51,12 @@ def iso_instant(c) -> Column:
     ('...T17:51Z'); Spark's cast needs upper case and seconds, so both are
     normalised first.
     """
-    raw = F.trim(_c(c))
-    s = F.upper(raw)
-    s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(Z|[+-])", "$1:00$2")
-    return (F.when(_canonical_utc(raw), F.try_to_timestamp(raw))
-             .when(s.rlike(ISO_INSTANT_RE), F.try_to_timestamp(s)))
+    def parse(raw: Column) -> Column:
+        s = F.regexp_replace(F.upper(raw), r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(Z|[+-])", "$1:00$2")
+        return (F.when(_canonical_utc(raw), F.try_to_timestamp(raw))
+                 .otherwise(bound(s, lambda x: F.when(x.rlike(ISO_INSTANT_RE), F.try_to_timestamp(x)))))
+
+    return bound(F.trim(_c(c)), parse)
 
 
 def naive_as_utc(c) -> Column:
@@ -66,13 +75,16 @@ def iso_timestamp(c) -> Column:
     """Lenient ISO-8601 for batch tables (PRJ-4): an offset is optional (none
     means UTC, not the session zone) and the time may be omitted; NULL when
     the string is not ISO-8601."""
-    raw = F.trim(_c(c))
-    s = F.upper(raw)
-    s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(Z|[+-]|$)", "$1:00$2")
-    s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00")
-    zoned = F.when(s.rlike(r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"), s).otherwise(F.concat(s, F.lit("Z")))
-    return (F.when(_canonical_utc(raw), F.try_to_timestamp(raw))
-             .when(s.rlike(ISO_LENIENT_RE), F.try_to_timestamp(zoned)))
+    def zoned(x: Column) -> Column:
+        whole = F.when(x.rlike(r"(Z|[+-]\d{2}:\d{2}(:\d{2})?)$"), x).otherwise(F.concat(x, F.lit("Z")))
+        return F.when(x.rlike(ISO_LENIENT_RE), F.try_to_timestamp(whole))
+
+    def parse(raw: Column) -> Column:
+        s = F.regexp_replace(F.upper(raw), r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2})(Z|[+-]|$)", "$1:00$2")
+        s = F.regexp_replace(s, r"^(\d{4}-\d{2}-\d{2})$", "$1T00:00:00")
+        return F.when(_canonical_utc(raw), F.try_to_timestamp(raw)).otherwise(bound(s, zoned))
+
+    return bound(F.trim(_c(c)), parse)
 
 
 def epoch_millis(ts) -> Column:
@@ -93,21 +105,18 @@ def utc_hour(ts) -> Column:
     return F.floor(F.pmod(F.unix_seconds(_c(ts)), F.lit(86400)) / F.lit(3600)).cast("int")
 
 
-def _two(n: Column) -> Column:
-    return F.lpad(n.cast("string"), 2, "0")
-
-
 def utc_string(ts, sep: str = " ", digits: int = 0) -> Column:
     """'yyyy-MM-dd<sep>HH:mm:ss[.f..]' in UTC, whatever the session zone."""
-    ts = _c(ts)
-    of_day = F.pmod(F.unix_seconds(ts), F.lit(86400))
-    part = lambda unit, mod: _two(F.pmod(F.floor(of_day / F.lit(unit)), F.lit(mod)))
-    parts = [utc_date(ts).cast("string"), F.lit(sep), part(3600, 24), F.lit(":"), part(60, 60), F.lit(":"),
-             part(1, 60)]
+    micros = F.unix_micros(_c(ts))
+    # a zone-less timestamp prints as it is
+    clock = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.expr("INTERVAL '0.000001' SECOND") * micros
+    text = F.substring(clock.cast("string"), 1, 19)
+    if sep != " ":
+        text = F.translate(text, " ", sep)
     if digits:
-        micros = F.lpad(F.pmod(F.unix_micros(ts), F.lit(1_000_000)).cast("string"), 6, "0")
-        parts += [F.lit("."), F.substring(micros, 1, digits)]
-    return F.concat(*parts)
+        of_second = F.lpad(F.pmod(micros, F.lit(1_000_000)).cast("string"), 6, "0")
+        text = F.concat(text, F.lit("."), F.substring(of_second, 1, digits))
+    return text
 
 
 def iso_utc_string(ts, fractional: bool = False) -> Column:

@@ -85,7 +85,7 @@ def _typed(messages: DataFrame, value_col: str, schema: T.StructType, time_col:
 
     Numbers may come as numbers or as numeric text; a whole-number field takes ``1.0`` too (cut
     to a whole number).  An absent, null or empty number is NULL.  ``_corrupt``: not JSON, no valid instant
-    in ``time_col``, or a number that is present but is none.
+    in ``time_col``, or a number that is present but is none (NaN and infinity are none).
     """
     raw = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
     parsed = F.from_json(F.col(value_col).cast("string"), raw, {"mode": "PERMISSIVE"})
@@ -98,6 +98,8 @@ def _typed(messages: DataFrame, value_col: str, schema: T.StructType, time_col:
             continue
         text = F.when(F.trim(text) != "", F.trim(text))
         value = text.try_cast("bigint") if isinstance(f.dataType, T.LongType) else text.try_cast("double")
+        if not isinstance(f.dataType, T.LongType):
+            value = F.when(F.abs(value) < float("inf"), value)        # NaN and infinity are no measures
         if isinstance(f.dataType, T.IntegerType):
             value = F.when(F.abs(value) < 2**31, value).cast("int")
         cols.append(value.alias(f.name))

@@ -91,7 +91,8 @@ def rule_columns(joined: DataFrame, rules=DEFAULT_RULES, null_as_zero: bool = Tr
         df = df.fillna(0, subset=[c for c in NULL_AS_ZERO if c in df.columns])
     ties = [c for c in tie_cols if c in df.columns]
     key = F.concat_ws(KEY_SEP, *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key_cols])
-    cols = [key.alias("_k"), *[F.col(k) for k in key_cols],
+    names = dict.fromkeys((*key_cols, "user_id", "device_id"))      # the alert names both, keys or not
+    cols = [key.alias("_k"), *[F.col(k) for k in names],
             F.col(t_col).cast("long").alias("t"), *[F.col(c) for c in ties]]
     for i, r in enumerate(rules):
         cols += [r.condition.column().alias(f"c{i}"),
@@ -292,10 +293,12 @@ def apply_transfer(thr: list, ends: list, x_in: int, cd: int) -> int:
 # --------------------------------------------------------------------------
 
 def _segments(batches, n_rules: int):
-    """(pid, key, new_partition, new_run, t, conds, frame, lo, hi) per run segment.
+    """(pid, key, new_partition, new_run, t, conds, frame, lo, hi, head) per run segment.
 
     The partition id is a column stamped before the checkpoint, not the
     task's index, which changes when the frame is unioned or re-planned.
+    ``head`` is the state that a run starts from, if a state row opens it; ``lo`` is past that row, so a
+    segment may be empty.
     """
     prev_pid, prev_key = None, None
     for pdf in batches:
@@ -306,6 +309,7 @@ def _segments(batches, n_rules: int):
         keys = pdf["_k"].to_numpy()
         t = pdf["t"].to_numpy(dtype=np.int64)
         conds = [pdf[f"c{i}"].to_numpy(dtype=bool) for i in range(n_rules)]
+        heads = pdf["_in"].to_numpy() if "_in" in pdf.columns else None
         change = np.empty(n, dtype=bool)
         change[0] = True
         change[1:] = (keys[1:] != keys[:-1]) | (pids[1:] != pids[:-1])
@@ -315,7 +319,12 @@ def _segments(batches, n_rules: int):
             pid, key = int(pids[lo]), keys[lo]
             new_part = pid != prev_pid
             new_run = new_part or key != prev_key
-            yield pid, key, new_part, new_run, t, conds, pdf, lo, hi
+            head = None
+            if heads is not None and heads[lo] is not None:
+                v = [None if x is None or x != x else int(x) for x in heads[lo]]
+                head = (v[0], v[1:1 + n_rules], [x or 0 for x in v[1 + n_rules:]])
+                lo += 1
+            yield pid, key, new_part, new_run, t, conds, pdf, lo, hi, head
             prev_pid, prev_key = pid, key
 
 
@@ -353,11 +362,11 @@ def _pass_a(n_rules: int, max_gap=None):
 
     def run(batches):
         out, st = [], None
-        for pid, key, new_part, new_run, t, conds, _pdf, lo, hi in _segments(batches, n_rules):
+        for pid, key, new_part, new_run, t, conds, _pdf, lo, hi, head in _segments(batches, n_rules):
             if new_part:
                 if st is not None:
                     out.append(summary(st))
-                st = {"pid": pid, "first_k": key, "t_first": int(t[lo]), "lead": True, "rows": 0,
+                st = {"pid": pid, "first_k": key, "t_first": int(t[lo]) if lo < hi else 0, "lead": True, "rows": 0,
                       "has_false": [False] * n_rules, "open": [True] * n_rules,
                       "fnz": [None] * n_rules, "s": [None] * n_rules, "t_last": None}
             elif new_run:
@@ -366,6 +375,12 @@ def _pass_a(n_rules: int, max_gap=None):
                 st["t_last"] = None
             st["last_k"] = key
             st["rows"] += hi - lo
+            if head is not None:
+                st["t_last"], st["s"] = head[0], list(head[1])
+                if st["lead"]:                 # nothing that came before matters
+                    st["open"], st["has_false"] = [False] * n_rules, [True] * n_rules
+            if lo == hi:
+                continue
             tt = t[lo:hi]
             g = gaps(tt, st["t_last"], max_gap)
             for i in range(n_rules):
@@ -424,7 +439,7 @@ def _pass_b(rules, single_cont, chains, max_gap=None):
 
     def run(batches):
         out, st = [], None
-        for pid, _key, new_part, new_run, t, conds, _pdf, lo, hi in _segments(batches, n):
+        for pid, _key, new_part, new_run, t, conds, _pdf, lo, hi, head in _segments(batches, n):
             if new_part:
                 if st is not None:
                     out.append(summary(st))
@@ -440,6 +455,10 @@ def _pass_b(rules, single_cont, chains, max_gap=None):
                 st["s"] = [None] * n
                 st["x"] = [0] * n
                 st["t_last"] = None
+            if head is not None:
+                st["t_last"], st["s"], st["x"] = head[0], list(head[1]), list(head[2])
+            if lo == hi:
+                continue
             tt = t[lo:hi]
             for i in range(n):
                 c = conds[i][lo:hi]
@@ -461,15 +480,23 @@ def _pass_b(rules, single_cont, chains, max_gap=None):
 _ALERT_ROWS = T.StructType([f for f in ALERT_MESSAGE.fields if f.name != "alert_time"])
 
 
-def _pass_c(rules, entry_map, max_gap=None):
-    """Replay every run with its exact entry state and emit the alerts."""
+#: what a stateful run leaves per device: last reading, episode starts, last alerts
+_STATE_ROWS = T.StructType([*_ALERT_ROWS.fields, T.StructField("_state", T.ArrayType(T.LongType()))])
+
+
+def _pass_c(rules, entry_map, max_gap=None, goes_on=None):
+    """Replay every run with its exact entry state and emit the alerts.
+
+    With ``goes_on`` (partitions whose last key goes on in the next one) a key's last run also emits the
+    state it leaves, as a row with ``_state`` and no rule.
+    """
     durs = [r.duration_ms for r in rules]
     cds = [r.cooldown_ms for r in rules]
     n = len(rules)
     names = np.array([r.name for r in rules], dtype=object)
     sev = np.array([r.severity for r in rules], dtype=object)
     met = np.array([r.metric for r in rules], dtype=object)
-    out_cols = _ALERT_ROWS.fieldNames()
+    out_cols = (_ALERT_ROWS if goes_on is None else _STATE_ROWS).fieldNames()
 
     def flush(pdf, t, parts):
         if not parts:
@@ -489,24 +516,39 @@ def _pass_c(rules, entry_map, max_gap=None):
             "device_id": pdf["device_id"].to_numpy()[ix],
             "rule": names[ri], "severity": sev[ri], "metric": met[ri],
             "observed_value": obs, "threshold_value": thr,
-            "window_start_ms": st.astype(np.int64), "window_end_ms": t[ix],
+            "window_start_ms": st.astype(np.int64), "window_end_ms": t[ix], "_state": None,
         })
         return frame[out_cols]
 
+    def left_states(ended):
+        frame = pd.DataFrame(None, index=range(len(ended)), columns=out_cols, dtype=object)
+        frame["device_id"] = [e[0] for e in ended]
+        frame["_state"] = pd.Series([[t, *s, *x] for _, t, s, x in ended], dtype=object)
+        return frame.where(frame.notna(), None)
+
     def run(batches):
         s, x, t_last = [None] * n, [0] * n, None
-        cur_pdf, cur_t, parts = None, None, []
-        for pid, _key, new_part, new_run, t, conds, pdf, lo, hi in _segments(batches, n):
+        cur_pdf, cur_t, parts, ended, at, device = None, None, [], [], None, None
+        for pid, _key, new_part, new_run, t, conds, pdf, lo, hi, head in _segments(batches, n):
+            if goes_on is not None and new_run and at is not None and not (new_part and at in goes_on):
+                ended.append((device, t_last, s, [int(v) for v in x]))
             if pdf is not cur_pdf:
                 res = flush(cur_pdf, cur_t, parts)
                 if res is not None:
                     yield res
-                cur_pdf, cur_t, parts = pdf, t, []
+                if ended:
+                    yield left_states(ended)
+                cur_pdf, cur_t, parts, ended = pdf, t, [], []
             if new_run:
                 entry = _lookup(entry_map, pid) if new_part else None
-                s = list(entry[0]) if entry else [None] * n
+                s = list(entry[0]) if entry and entry[0] else [None] * n
                 x = list(entry[1]) if entry else [0] * n
                 t_last = entry[2] if entry else None
+                at, device = pid, pdf["device_id"].iat[hi - 1]
+            if head is not None:
+                t_last, s, x = head[0], list(head[1]), list(head[2])
+            if lo == hi:
+                continue
             tt = t[lo:hi]
             t_prev, t_last = t_last, int(tt[-1])
             for i in range(n):
@@ -521,6 +563,10 @@ def _pass_c(rules, entry_map, max_gap=None):
         res = flush(cur_pdf, cur_t, parts)
         if res is not None:
             yield res
+        if goes_on is not None and at is not None and at not in goes_on:
+            ended.append((device, t_last, s, [int(v) for v in x]))
+        if ended:
+            yield left_states(ended)
     return run
 
 
@@ -541,7 +587,8 @@ def _fold_starts(summ_a, rules, max_gap=None):
         cont = prev is not None and row["first_k"] == prev["last_k"]
         s_in = prev_exit if cont else None
         single = row["first_k"] == row["last_k"]
-        gap0 = cont and max_gap is not None and row["t_first"] - prev["t_last"] > max_gap
+        gap0 = (cont and max_gap is not None and prev["t_last"] is not None
+                and row["t_first"] - prev["t_last"] > max_gap)
         if cont:
             s_in_map[row["pid"]] = (s_in, prev["t_last"])
         if single:
@@ -612,31 +659,62 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
                     tie_cols=("event_id",), num_partitions: int | None = None,
                     rows_per_partition: int = DEFAULT_ROWS_PER_PARTITION,
                     alert_time_ms: int | None = None, null_as_zero: bool = True,
-                    max_gap_s: int | None = None, return_plan: bool = False):
+                    max_gap_s: int | None = None, return_plan: bool = False,
+                    initial: DataFrame | None = None):
     """Alerts (ALERT_MESSAGE schema) for readings already joined with thresholds.
 
     ``joined`` needs ``key_cols``, ``device_id``, ``user_id``, ``t`` (epoch
-    ms) and the columns the rules reference.  ``alert_time`` is the trigger
+    ms) and the columns the rules reference.  ``key_cols=("device_id",)`` lets an episode outlive a change of the
+    config's user, as the stream does (for readings joined with the config in force).  ``alert_time`` is the trigger
     reading's event time unless ``alert_time_ms`` fixes it.  ``max_gap_s``
     (off by default, as in the source) lets a silence longer than that end
     an episode.
+
+    ``initial`` (device_id, ``_state``: last reading's time, an episode start per rule, a last alert per rule; at
+    most one row a device) goes on from where an earlier run ended.  The result then is the alert rows without
+    ``alert_time`` and, with ``rule`` NULL, a row per device with the ``_state`` that it leaves.
     """
     rules = tuple(rules)
     key_cols = tuple(key_cols)
-    if not {"user_id", "device_id"} <= set(key_cols):
-        raise ValueError("key_cols must contain user_id and device_id")
+    if "device_id" not in key_cols:
+        raise ValueError("key_cols must contain device_id")
     wide, ties = rule_columns(joined, rules, null_as_zero, key_cols, t_col, tie_cols)
-    spark = joined.sparkSession
+    gap = None if max_gap_s is None else int(max_gap_s) * 1000
+    if initial is not None:
+        if key_cols != ("device_id",):
+            raise ValueError("a state is kept per device: key_cols=('device_id',)")
+        wide = _with_states(wide, initial, rules)
+    raw, plan = _replay(wide, ties, rules, num_partitions, rows_per_partition, gap, initial is not None)
+    if initial is not None:
+        return raw
+    when = F.lit(alert_time_ms) if alert_time_ms is not None else F.col("window_end_ms")
+    alerts = raw.select(
+        iso_utc_string(F.timestamp_millis(when), fractional=True).alias("alert_time"), *_ALERT_ROWS.fieldNames())
+    return (alerts, plan) if return_plan else alerts
+
+
+def _with_states(wide: DataFrame, states: DataFrame, rules) -> DataFrame:
+    """Readings with one state row before each device's first reading (``_in``: last time, starts, last alerts)."""
+    n = len(rules)
+    blank = {f"c{i}": F.lit(False) for i in range(n)}
+    rows = states.select(
+        F.col("device_id").alias("_k"), "device_id", F.lit(0).cast("long").alias("t"),
+        F.col("_state").alias("_in"), *[v.alias(k) for k, v in blank.items()])
+    return wide.withColumn("_in", F.lit(None).cast("array<long>")).unionByName(rows, allowMissingColumns=True)
+
+
+def _replay(wide: DataFrame, ties: list, rules, num_partitions, rows_per_partition, gap, stateful: bool):
+    """The range shuffle and the three passes over per-rule columns: (rows of pass C, what was done)."""
+    spark = wide.sparkSession
     ensure_checkpoint_dir(spark)
     p = num_partitions or _estimate_partitions(wide, rows_per_partition)
-    order = ["_k", "t", *ties]
+    order = [F.col("_k"), *([F.col("_in").isNull()] if stateful else []), F.col("t"), *[F.col(c) for c in ties]]
     staged = (wide.repartitionByRange(p, *order).sortWithinPartitions(*order)
                   .withColumn("_pid", F.spark_partition_id())
                   .checkpoint(eager=True))
 
     # the summary passes only need keys, times and conditions
-    narrow = staged.select("_pid", "_k", "t", *[f"c{i}" for i in range(len(rules))])
-    gap = None if max_gap_s is None else int(max_gap_s) * 1000
+    narrow = staged.select("_pid", "_k", "t", *[f"c{i}" for i in range(len(rules))], *(["_in"] if stateful else []))
     summ_a = [r.asDict() for r in
               narrow.mapInPandas(_pass_a(len(rules), gap), _SUMMARY_A).collect()]
     s_in_map = _fold_starts(summ_a, rules, gap)
@@ -649,14 +727,13 @@ def detect_breaches(joined: DataFrame, rules=DEFAULT_RULES,
         x_in_map = _entry_cooldowns(summ_b, rules, chains)
         entry_map = _share(spark, {pid: (v[0], x_in_map[pid], v[1])
                                    for pid, v in s_in_map.items()})
-    raw = staged.mapInPandas(_pass_c(rules, entry_map, gap), _ALERT_ROWS)
-    when = F.lit(alert_time_ms) if alert_time_ms is not None else F.col("window_end_ms")
-    alerts = raw.select(
-        iso_utc_string(F.timestamp_millis(when), fractional=True).alias("alert_time"), *_ALERT_ROWS.fieldNames())
-    if return_plan:
-        rows = [r["rows"] for r in sorted(summ_a, key=lambda r: r["pid"])]
-        return alerts, DetectionPlan(p, len(s_in_map), bool(s_in_map), rows)
-    return alerts
+    goes_on = None
+    if stateful:
+        by_pid = sorted(summ_a, key=lambda r: r["pid"])
+        goes_on = {a["pid"] for a, b in zip(by_pid, by_pid[1:]) if a["last_k"] == b["first_k"]}
+    raw = staged.mapInPandas(_pass_c(rules, entry_map, gap, goes_on), _STATE_ROWS if stateful else _ALERT_ROWS)
+    rows = [r["rows"] for r in sorted(summ_a, key=lambda r: r["pid"])]
+    return raw, DetectionPlan(p, len(s_in_map), bool(s_in_map), rows)
 
 
 def rule_matches(joined: DataFrame, rule: RuleSpec, null_as_zero: bool = True) -> DataFrame:

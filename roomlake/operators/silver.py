@@ -74,13 +74,14 @@ def silver_readings(bronze: DataFrame, now: _dt.datetime | None = None,
                   .where(F.col("event_ts").isNotNull()))   # unparseable time: no silver row
     if incremental:
         base = base.where(F.col("event_ts") >= ts_literal(_cutoff(now, lookback_hours, cutoff)))
-    keyed = base.select(
+    # keys, dates and hours are made of the rows that stay
+    first = _keep_first(base, READING_KEY, [*MEASURES, "occupancy"])
+    return first.select(
         surrogate_key(base, READING_KEY).alias("pk_sensor_event_id"),
         "event_ts",
         utc_date("event_ts").alias("event_date"),
         utc_hour("event_ts").alias("event_hour"),
-        "device_id", *MEASURES, "occupancy")
-    return _keep_first(keyed, READING_KEY, [*MEASURES, "occupancy"]).select(*SILVER_READING_COLUMNS)
+        "device_id", *MEASURES, "occupancy", "rnk").select(*SILVER_READING_COLUMNS)
 
 
 def silver_alerts(bronze: DataFrame, now: _dt.datetime | None = None,
@@ -102,12 +103,12 @@ def silver_alerts(bronze: DataFrame, now: _dt.datetime | None = None,
                           F.col("window_end_ms").cast("bigint").alias("window_end_ms")))
     if incremental:
         base = base.where(F.col("alert_ts") >= ts_literal(_cutoff(now, lookback_hours, cutoff)))
-    keyed = base.select(
+    order = ["window_end_ms", "window_start_ms", "observed_value", "threshold_value", "metric"]
+    first = _keep_first(base, ALERT_KEY, order)
+    return first.select(
         surrogate_key(base, ALERT_KEY).alias("pk_alert_event_id"),
         "alert_ts",
         utc_date("alert_ts").alias("alert_date"),
         utc_hour("alert_ts").alias("alert_hour"),
         "user_id", "device_id", "rule", "severity", "metric", "observed_value",
-        "threshold_value", "window_start_ms", "window_end_ms")
-    order = ["window_end_ms", "window_start_ms", "observed_value", "threshold_value", "metric"]
-    return _keep_first(keyed, ALERT_KEY, order).select(*SILVER_ALERT_COLUMNS)
+        "threshold_value", "window_start_ms", "window_end_ms", "rnk").select(*SILVER_ALERT_COLUMNS)

@@ -20,6 +20,7 @@ from roomlake.functions.columns import iso_utc_string, lookback_cutoff, utc_date
 from roomlake.functions.messages import (alert_messages, config_messages, header_value,
                                          parse_configs, parse_readings, reading_messages)
 from roomlake.operators import gold, silver, tables
+from roomlake.operators.asof import join_config_in_force
 from roomlake.operators.breaches import detect_breaches, rule_matches
 from roomlake.operators.checks import run_checks
 from roomlake.operators.config import join_config, latest_config
@@ -231,6 +232,22 @@ def threshold_alerts_max_gap(spark, sf):
     return detect_breaches(joined(spark, sf), CONTRACT_RULES, tie_cols=TIE, max_gap_s=18 * HOUR_S)
 
 
+def _in_force(spark, sf) -> DataFrame:
+    return join_config_in_force(testdata.readings(spark, sf), testdata.config_changes(spark, sf))
+
+
+def reading_config_in_force(spark, sf):
+    """JOIN-1 over history: readings with the config that was in force at each; earlier readings drop (FLT-7)."""
+    return _in_force(spark, sf).select("event_id", "device_id", "user_id", _ts("event_ts"), "temperature", "light", "occupancy",
+                                       "temperature_warning_threshold", "temperature_violation_threshold",
+                                       "no_occupancy_light_threshold")
+
+
+def replay_alerts(spark, sf):
+    """JOIN-2 in batch: alerts over all history, each reading under the config in force at it."""
+    return detect_breaches(_in_force(spark, sf), CONTRACT_RULES, key_cols=("device_id",), tie_cols=TIE)
+
+
 def alert_messages_q(spark, sf):
     """PRJ-7: key, parsed-back value, headers."""
     m = alert_messages(contract_alerts(spark, sf))
@@ -339,6 +356,77 @@ def stream_alerts_q(spark, sf):
     return spark.read.parquet(out).select(*ALERT_COLS)
 
 
+def stream_alerts_split(spark, sf):
+    """JOIN-2, STR-2..6, STR-9 for hot devices: config history seeded in the JVM, four micro-batches with a restart
+    between them, each folded by ranges of (device, time); equals the batch alerts."""
+    from roomlake.streaming.jobs import file_values, reading_stream
+    from roomlake.streaming.split import read_alerts, seed_configs, split_alert_query
+
+    root = scratch_path(spark, "stream-split")
+    r = testdata.readings(spark, sf)
+    seed_configs(spark, f"{root}/job", testdata.config_updates(spark, sf), CONTRACT_RULES)
+    bounds = r.agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
+    lo, hi = (bounds.lo, bounds.hi) if bounds.lo is not None else (0, 0)
+    quarter = F.floor((F.col("t") - lo) * 4 / F.lit(hi - lo + 1))
+    for i in range(4):
+        # one file a micro-batch, as a rate-limited topic hands them out
+        reading_messages(r.where(quarter == i)).select("value").coalesce(1).write.text(f"{root}/in/{i}")
+        if i in (1, 3):
+            q = split_alert_query(spark, reading_stream(file_values(spark, f"{root}/in/*", max_files=1)), None, f"{root}/job",
+                                  f"{root}/ckpt", rules=CONTRACT_RULES, alert_time_from="event", trigger={"availableNow": True})
+            q.awaitTermination()
+    return read_alerts(spark, f"{root}/job")
+
+
+def stream_silver_q(spark, sf):
+    """STR-7 + WIN-1 + SNK-5: silver merged from three micro-batches with repeated and altered deliveries."""
+    from roomlake.streaming.jobs import file_values, reading_stream
+    from roomlake.streaming.silver import stream_silver
+
+    root = scratch_path(spark, "stream-silver")
+    r = testdata.readings(spark, sf)
+    for i, delta in enumerate((0.0, 0.5, 0.0)):               # the second delivery is the greater one
+        reading_messages(r.withColumn("temperature", F.col("temperature") + F.lit(delta))).select("value") \
+            .coalesce(1).write.text(f"{root}/in/{i}")
+    q = stream_silver(reading_stream(file_values(spark, f"{root}/in/*", max_files=1)), f"{root}/silver", f"{root}/ckpt",
+                      {"availableNow": True})
+    q.awaitTermination()
+    return _silver_out(tables.read_table(spark, f"{root}/silver"))
+
+
+def stream_late_readings(spark, sf):
+    """STR-1: four micro-batches in event order but for every 97th reading, which comes one batch late."""
+    from roomlake.streaming.jobs import file_values, reading_stream
+    from roomlake.streaming.late import late_readings_query, read_late
+
+    root = scratch_path(spark, "stream-late")
+    r = testdata.readings(spark, sf)
+    bounds = r.agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
+    lo, hi = (bounds.lo, bounds.hi) if bounds.lo is not None else (0, 0)
+    due = F.floor((F.col("t") - lo) * 4 / F.lit(hi - lo + 1)) + F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)
+    for i in range(4):
+        reading_messages(r.where(F.least(due, F.lit(3)) == i)).select("value").coalesce(1).write.text(f"{root}/in/{i}")
+        q = late_readings_query(reading_stream(file_values(spark, f"{root}/in/*")), f"{root}/late", f"{root}/ckpt",
+                                trigger={"availableNow": True})
+        q.awaitTermination()
+    return read_late(spark, f"{root}/late").select("event_time", "device_id", "temperature", "watermark_ms",
+                                                   F.col("batch").cast("int").alias("batch"))
+
+
+def bronze_since(spark, sf):
+    """SRC-3 + FLT-2: a look-back scan of bronze by event time, cut to the folders that may hold such readings."""
+    from roomlake.sources.bronze_stats import refresh_stats
+
+    path = scratch_path(spark, "bronze-since")
+    # folders are processing time: every 50th reading lands two days late
+    landed = F.to_timestamp("event_time") + F.when(F.col("eventTimeMillis") % 50 == 0, F.expr("INTERVAL 2 DAYS")) \
+        .otherwise(F.expr("INTERVAL 0 DAYS"))
+    write_bronze(bronze_readings_rows(spark, sf), path, bucket_ts=landed)
+    refresh_stats(spark, path)
+    b = read_bronze_readings(spark, path, since_ms=int((CUTOFF - _dt.datetime(1970, 1, 1)).total_seconds()) * 1000)
+    return b.select("event_time", "device_id", *MEASURES, "occupancy", "dt", "hour")
+
+
 def stream_hourly_rollup_q(spark, sf):
     """STR-1 + STR-7: watermark de-dup and hourly rollup, complete hours only."""
     from roomlake.streaming.jobs import file_values, reading_stream, stream_hourly_rollup
@@ -385,6 +473,8 @@ _QUERIES = {
     "threshold_alerts": threshold_alerts,
     "threshold_alerts_per_user": threshold_alerts_per_user,
     "threshold_alerts_max_gap": threshold_alerts_max_gap,
+    "reading_config_in_force": reading_config_in_force,
+    "replay_alerts": replay_alerts,
     "alert_messages": alert_messages_q,
     "incremental_lookback": incremental_lookback,
     "high_water_mark": high_water_mark_q,
@@ -393,6 +483,10 @@ _QUERIES = {
     "check_unique_not_null": check_unique_not_null,
     "bronze_roundtrip": bronze_roundtrip,
     "stream_alerts": stream_alerts_q,
+    "bronze_since": bronze_since,
+    "stream_silver": stream_silver_q,
+    "stream_late_readings": stream_late_readings,
+    "stream_alerts_split": stream_alerts_split,
     "stream_hourly_rollup": stream_hourly_rollup_q,
 }
 

@@ -9,7 +9,7 @@ round where Spark floors).
 from __future__ import annotations
 
 from roomlake.functions.columns import KEY_NULL
-from roomlake.sources.testdata import CONFIG_SQL, READINGS_SQL
+from roomlake.sources.testdata import CHANGES_SQL, CONFIG_SQL, READINGS_SQL
 
 DUR_MS = 12 * 3600 * 1000
 CD_MS = 24 * 3600 * 1000
@@ -45,6 +45,15 @@ j AS (SELECT r.*, l.user_id, l.temperature_warning_threshold,
 
 BASE = base()
 
+#: readings with the config in force at each
+IN_FORCE = f"""
+r AS ({READINGS_SQL}),
+c AS (SELECT * FROM ({CHANGES_SQL}) QUALIFY row_number() OVER (PARTITION BY device_id, updated_ts ORDER BY seq DESC) = 1),
+j AS (SELECT r.*, c.user_id, c.temperature_warning_threshold,
+             c.temperature_violation_threshold, c.no_occupancy_light_threshold
+      FROM r ASOF JOIN c ON r.device_id = c.device_id AND r.ts >= c.updated_ts)
+"""
+
 RULES = [
     ("NO_OCC_LIGHT", "VIOLATION", "light",
      "occupancy = 0 AND light > no_occupancy_light_threshold", "light",
@@ -67,24 +76,24 @@ def _rules_union() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _candidates(dur_ms: int, gap_ms: int | None = None) -> str:
+def _candidates(dur_ms: int, gap_ms: int | None = None, keys: str = "user_id, device_id") -> str:
     silence = "false" if gap_ms is None else f"t - prev_t > {gap_ms}"
     return f"""
 ru0 AS ({_rules_union()}),
-ru AS (SELECT *, lag(t) OVER (PARTITION BY user_id, device_id, rule ORDER BY ts, event_id)
+ru AS (SELECT *, lag(t) OVER (PARTITION BY {keys}, rule ORDER BY ts, event_id)
                  AS prev_t FROM ru0),
 isl AS (SELECT *,
           sum(CASE WHEN cond AND NOT coalesce({silence}, false) THEN 0 ELSE 1 END)
             OVER w AS island,
           row_number() OVER w AS ord
         FROM ru
-        WINDOW w AS (PARTITION BY user_id, device_id, rule ORDER BY ts, event_id
+        WINDOW w AS (PARTITION BY {keys}, rule ORDER BY ts, event_id
                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 st AS (SELECT *,
           min(CASE WHEN cond AND t <> 0 THEN ord END)
-            OVER (PARTITION BY user_id, device_id, rule, island) AS s_ord,
+            OVER (PARTITION BY {keys}, rule, island) AS s_ord,
           min(CASE WHEN cond AND t <> 0 THEN t END)
-            OVER (PARTITION BY user_id, device_id, rule, island) AS s_t
+            OVER (PARTITION BY {keys}, rule, island) AS s_t
        FROM isl),
 cand AS (SELECT * FROM st
          WHERE cond AND s_ord IS NOT NULL AND ord > s_ord AND t - s_t >= {dur_ms})
@@ -92,27 +101,27 @@ cand AS (SELECT * FROM st
 
 
 def _alerts_ctes(dur_ms: int = DUR_MS, cd_ms: int = CD_MS, config_key: str = "device_id",
-                 gap_ms: int | None = None) -> str:
-    return f"""WITH RECURSIVE {base(config_key)},
-{_candidates(dur_ms, gap_ms)},
-cn AS (SELECT *, row_number() OVER (PARTITION BY user_id, device_id, rule
+                 gap_ms: int | None = None, joined: str | None = None, keys: str = "user_id, device_id") -> str:
+    same = " AND ".join(f"n.{k} = rec.{k}" for k in keys.split(", "))
+    return f"""WITH RECURSIVE {joined or base(config_key)},
+{_candidates(dur_ms, gap_ms, keys)},
+cn AS (SELECT *, row_number() OVER (PARTITION BY {keys}, rule
                                     ORDER BY ts, event_id) AS k FROM cand),
 rec AS (
-  SELECT user_id, device_id, rule, k,
+  SELECT {keys}, rule, k,
          CASE WHEN t >= {cd_ms} THEN t ELSE 0 END AS last_ms,
          t >= {cd_ms} AS emitted
   FROM cn WHERE k = 1
   UNION ALL
-  SELECT n.user_id, n.device_id, n.rule, n.k,
+  SELECT {", ".join(f"n.{k}" for k in keys.split(", "))}, n.rule, n.k,
          CASE WHEN n.t - rec.last_ms >= {cd_ms} THEN n.t ELSE rec.last_ms END,
          n.t - rec.last_ms >= {cd_ms}
-  FROM rec JOIN cn n ON n.user_id = rec.user_id AND n.device_id = rec.device_id
-                    AND n.rule = rec.rule AND n.k = rec.k + 1),
+  FROM rec JOIN cn n ON {same} AND n.rule = rec.rule AND n.k = rec.k + 1),
 alerts AS (
   SELECT strftime(make_timestamp(cn.t * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS alert_time,
          cn.user_id, cn.device_id, cn.rule, cn.severity, cn.metric, cn.observed_value,
          cn.threshold_value, cn.s_t AS window_start_ms, cn.t AS window_end_ms
-  FROM rec JOIN cn USING (user_id, device_id, rule, k) WHERE rec.emitted)"""
+  FROM rec JOIN cn USING ({keys}, rule, k) WHERE rec.emitted)"""
 
 
 ALERT_COLS = ("alert_time, user_id, device_id, rule, severity, metric, observed_value, "
@@ -245,6 +254,9 @@ FROM cand"""
                                       + f"\nSELECT {ALERT_COLS} FROM alerts")
     q["threshold_alerts_max_gap"] = (_alerts_ctes(gap_ms=18 * 3600 * 1000)
                                      + f"\nSELECT {ALERT_COLS} FROM alerts")
+    q["reading_config_in_force"] = f"""WITH {IN_FORCE}
+SELECT event_id, device_id, user_id, strftime(ts, {TS}) AS event_ts, temperature, light, occupancy, {THR} FROM j"""
+    q["replay_alerts"] = (_alerts_ctes(joined=IN_FORCE, keys="device_id") + f"\nSELECT {ALERT_COLS} FROM alerts")
     q["alert_messages"] = _alerts_ctes() + f"""
 SELECT user_id || ':' || device_id || ':' || rule AS key, {ALERT_COLS},
        '1' AS h_schema_version, 'threshold_breached_alert' AS h_event_type,
@@ -277,7 +289,22 @@ FROM s GROUP BY device_id, {h}"""
 SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, device_id, {MEAS}, occupancy,
        t AS eventTimeMillis, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour
 FROM r"""
+    q["stream_silver"] = q["silver_readings"]
+    q["stream_late_readings"] = f"""WITH {BASE},
+b AS (SELECT min(t) AS lo, max(t) AS hi FROM r),
+d AS (SELECT r.*, least(CAST(floor((t - lo) * 4 / (hi - lo + 1)) AS INTEGER) + CASE WHEN event_id % 97 = 0 THEN 1 ELSE 0 END, 3) AS batch
+      FROM r, b),
+m AS (SELECT batch, max(max(t)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 30000 AS mark
+      FROM d GROUP BY batch)
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, device_id, temperature, mark AS watermark_ms, d.batch
+FROM d JOIN m ON d.batch = m.batch WHERE t < mark"""
+    q["bronze_since"] = f"""WITH {BASE},
+l AS (SELECT *, ts + CASE WHEN t % 50 = 0 THEN INTERVAL 2 DAY ELSE INTERVAL 0 DAY END AS landed FROM r)
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, device_id, {MEAS}, occupancy,
+       strftime(landed, '%Y-%m-%d') AS dt, strftime(landed, '%H') AS hour
+FROM l WHERE ts >= {CUTOFF}"""
     q["stream_alerts"] = q["threshold_alerts"]
+    q["stream_alerts_split"] = q["threshold_alerts"]
     roll = []
     for m in ["temperature", "humidity", "light", "co2"]:
         roll += [f"{r4(f'avg({m})')} AS avg_{m}", f"min({m}) AS min_{m}", f"max({m}) AS max_{m}"]

@@ -19,7 +19,7 @@ _OPS = {"=": operator.eq, "<>": operator.ne, "<": operator.lt, "<=": operator.le
 
 
 class Condition:
-    """A boolean over a reading's columns; a comparison with NULL is false."""
+    """A boolean over a reading's columns; a comparison with NULL or NaN is false."""
 
     def __and__(self, other: "Condition") -> "Condition":
         return Join("and", (self, _condition(other)))
@@ -58,7 +58,10 @@ class Compare(Condition):
         from pyspark.sql import functions as F
 
         right = F.col(self.right) if isinstance(self.right, str) else F.lit(self.right)
-        return F.coalesce(_OPS[self.op](F.col(self.left), right), F.lit(False))
+        holds = _OPS[self.op](F.col(self.left), right)
+        for c in self.columns:                 # Spark orders NaN above every number; a missing value meets nothing
+            holds = holds & ~F.isnan(F.col(c).cast("double"))
+        return F.coalesce(holds, F.lit(False))
 
     def mask(self, cols: dict):
         """The same over numpy float columns, in which NULL is NaN."""

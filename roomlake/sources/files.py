@@ -107,8 +107,15 @@ def read_bronze(spark: SparkSession, path: str, schema: T.StructType,
     return df
 
 
-def read_bronze_readings(spark: SparkSession, path: str, **kw) -> DataFrame:
-    return read_bronze(spark, path, BRONZE_READING, **kw)
+def read_bronze_readings(spark: SparkSession, path: str, since_ms: int | None = None, **kw) -> DataFrame:
+    """Bronze readings; ``since_ms`` reads only the folders that may hold a reading from that event time on
+    (by the bounds that ``bronze_stats.refresh_stats`` keeps) and drops older rows in the reader."""
+    df = read_bronze(spark, path, BRONZE_READING, **kw)
+    if since_ms is None:
+        return df
+    from roomlake.sources.bronze_stats import prune
+
+    return prune(df, path, since_ms)
 
 
 def read_bronze_alerts(spark: SparkSession, path: str, **kw) -> DataFrame:

@@ -84,7 +84,18 @@ def config_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# DuckDB twins of the two views, used by the oracle SQL strings.
+#: config changes spread over the readings' 30 days: seconds after the first of them
+CHANGE_STEP, CHANGE_SPAN, CHANGE_START = 7919, 30 * 86400, 1704067200
+
+
+def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The config updates, each at a time within the readings' period, so that a device's config changes meanwhile."""
+    after = (F.col("seq") * CHANGE_STEP) % CHANGE_SPAN
+    ts = F.timestamp_seconds(F.lit(CHANGE_START) + after)
+    return config_updates(spark, sf_dir).withColumn("updated_ts", ts).withColumn("updated_at", iso_utc_string(ts))
+
+
+# DuckDB twins of the views, used by the oracle SQL strings.
 READINGS_SQL = """
 SELECT event_id,
        'dev_' || CAST(user_id AS VARCHAR) AS device_id,
@@ -110,3 +121,8 @@ SELECT 'dev_' || CAST(o_custkey AS VARCHAR) AS device_id,
        30.0 AS no_occupancy_light_threshold
 FROM orders
 """
+
+CHANGES_SQL = f"""
+SELECT * REPLACE (make_timestamp(({CHANGE_START} + (seq * {CHANGE_STEP}) % {CHANGE_SPAN}) * 1000000) AS updated_ts)
+FROM ({CONFIG_SQL})
+"""
