@@ -131,7 +131,7 @@ x AS (
          ((1000::HUGEINT * c.a * n) // (u.a::HUGEINT * v.a))::BIGINT AS score
   FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) c
   JOIN f u ON u.lang = c.lang AND u.phrase = array_to_string(list_slice(c.w, 1, j), ' ')
-  JOIN f v ON v.lang = c.lang AND v.phrase = array_to_string(list_slice(c.w, j + 1, k), ' ')
+  JOIN f v ON v.lang = c.lang AND v.phrase = array_to_string(list_slice(c.w, j + 1, c.k), ' ')
   JOIN tot ON tot.lang = c.lang),
 b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
 o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
