@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from roomlake.functions.columns import (hour_ts, lookback_cutoff, surrogate_key,
                                         ts_literal)
+from roomlake.operators.silver import READING_ORDER, _keep_first, readings_to_keep
 
 METRIC_MEASURES = ["temperature", "humidity", "light", "co2"]
 
@@ -39,18 +40,48 @@ def _since(df: DataFrame, ts_col: str, now, lookback_hours: int, incremental: bo
     return df.where(F.col(ts_col) >= ts_literal(cutoff))
 
 
+def _rollup_columns() -> list:
+    aggs = []
+    for m in METRIC_MEASURES:
+        aggs += [F.avg(m).alias(f"avg_{m}"), F.min(m).alias(f"min_{m}"),
+                 F.max(m).alias(f"max_{m}")]
+    return aggs + [F.avg("humidity_ratio").alias("avg_humidity_ratio"),
+                   F.avg(F.col("occupancy").cast("double")).alias("occupancy_rate")]
+
+
+#: readings of one device and hour above which they are rolled up in parts
+HOT_DEVICE_HOUR = 1_000_000
+
+
+def rollup_from_bronze(bronze: DataFrame, hot_rows: int | None = HOT_DEVICE_HOUR, parts: int = 64) -> DataFrame:
+    """WIN-1 and AGG-1/2 in one exchange: bronze readings, de-duplicated and rolled up by device and hour.
+
+    Rows are dealt by (device, hour).  The key of the de-duplication holds both and the roll-up's key is both, so
+    neither needs another exchange.  A device-hour with more than ``hot_rows`` readings would be one task: those
+    (at most rows / ``hot_rows`` of them, found by one small aggregation) are dealt by parts of their event time too,
+    which a key never leaves, and their partial roll-ups are merged (``hot_rows=None``: known to have none, no look).
+    Same values as ``hourly_device_rollup`` over ``silver_readings``.
+    """
+    rows = readings_to_keep(bronze).withColumn("hour_ts", hour_ts("event_ts"))
+    keys = ["device_id", "hour_ts"]
+    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > (hot_rows or 0)).select(*keys)
+    many = hot_rows is not None and bool(hot.take(1))
+    usual = rows.join(hot, keys, "left_anti") if many else rows
+    first = _keep_first(usual.repartition(*keys), [*keys, "event_ts"], READING_ORDER)
+    out = first.groupBy(*keys).agg(*_rollup_columns())
+    if many:
+        salted = rows.join(hot, keys, "left_semi").withColumn("part", F.pmod(F.xxhash64("event_ts"), F.lit(parts)))
+        first = _keep_first(salted.repartition(*keys, "part"), [*keys, "part", "event_ts"], READING_ORDER)
+        out = out.unionByName(first.groupBy(*keys).agg(*_rollup_columns()))       # partial sums, then merged
+    return out.withColumn("pk_sensor_device_hour_id", surrogate_key(out, keys))
+
+
 def hourly_device_rollup(silver: DataFrame, now: _dt.datetime | None = None,
                          lookback_hours: int = 2, incremental: bool = False,
                          cutoff: _dt.datetime | None = None) -> DataFrame:
     """One aggregation feeding both gold_sensor_hourly_metrics and occupancy rate."""
     base = _since(silver, "event_ts", now, lookback_hours, incremental, cutoff)
-    aggs = []
-    for m in METRIC_MEASURES:
-        aggs += [F.avg(m).alias(f"avg_{m}"), F.min(m).alias(f"min_{m}"),
-                 F.max(m).alias(f"max_{m}")]
-    aggs += [F.avg("humidity_ratio").alias("avg_humidity_ratio"),
-             F.avg(F.col("occupancy").cast("double")).alias("occupancy_rate")]
-    agg = (base.groupBy("device_id", hour_ts("event_ts").alias("hour_ts")).agg(*aggs))
+    agg = (base.groupBy("device_id", hour_ts("event_ts").alias("hour_ts")).agg(*_rollup_columns()))
     return agg.withColumn("pk_sensor_device_hour_id",
                           surrogate_key(agg, ["device_id", "hour_ts"]))
 

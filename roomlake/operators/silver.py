@@ -29,6 +29,7 @@ from roomlake.functions.columns import (iso_timestamp, lookback_cutoff, surrogat
 from roomlake.schemas import MEASURES
 
 READING_KEY = ["device_id", "event_ts"]
+READING_ORDER = [*MEASURES, "occupancy"]
 ALERT_KEY = ["user_id", "device_id", "rule", "severity", "alert_ts"]
 
 SILVER_READING_COLUMNS = ["pk_sensor_event_id", "event_ts", "event_date", "event_hour",
@@ -53,29 +54,34 @@ def _keep_first(df: DataFrame, key: list[str], order_cols: list[str]) -> DataFra
               .where(F.col("rnk") == 1))
 
 
-def silver_readings(bronze: DataFrame, now: _dt.datetime | None = None,
-                    lookback_hours: int = 2, incremental: bool = False,
-                    cutoff: _dt.datetime | None = None) -> DataFrame:
-    """Bronze readings (event_time string, or event_ts timestamp) -> silver rows.
-
-    ``incremental`` applies the look-back filter ``event_ts >= date_trunc('hour',
-    now - lookback)``; a first run / full refresh reads everything.
-    """
+def readings_to_keep(bronze: DataFrame) -> DataFrame:
+    """Typed readings (event_ts, device_id, measures) with a device and a time that parses (FLT-1)."""
     if "event_ts" in bronze.columns:
         ts = F.col("event_ts").cast("timestamp")
         has_time = F.col("event_ts").isNotNull()
     else:
         ts = iso_timestamp("event_time")
         has_time = F.col("event_time").isNotNull()
-    base = (bronze.where(F.col("device_id").isNotNull() & has_time)
+    return (bronze.where(F.col("device_id").isNotNull() & has_time)
                   .select(ts.alias("event_ts"), "device_id",
                           *[F.col(m).cast("double").alias(m) for m in MEASURES],
                           F.col("occupancy").cast("int").alias("occupancy"))
                   .where(F.col("event_ts").isNotNull()))   # unparseable time: no silver row
+
+
+def silver_readings(bronze: DataFrame, now: _dt.datetime | None = None,
+                    lookback_hours: int = 2, incremental: bool = False,
+                    cutoff: _dt.datetime | None = None) -> DataFrame:
+    """Bronze readings (event_time string, or event_ts timestamp) -> silver rows.
+
+    ``incremental`` applies the look-back filter ``event_ts >= date_trunc('hour',
+    now - lookback)``; a first run / full refresh reads everything.
+    """
+    base = readings_to_keep(bronze)
     if incremental:
         base = base.where(F.col("event_ts") >= ts_literal(_cutoff(now, lookback_hours, cutoff)))
     # keys, dates and hours are made of the rows that stay
-    first = _keep_first(base, READING_KEY, [*MEASURES, "occupancy"])
+    first = _keep_first(base, READING_KEY, READING_ORDER)
     return first.select(
         surrogate_key(base, READING_KEY).alias("pk_sensor_event_id"),
         "event_ts",

@@ -24,7 +24,7 @@ from roomlake.operators.asof import join_config_in_force
 from roomlake.operators.breaches import detect_breaches, rule_matches
 from roomlake.operators.checks import run_checks
 from roomlake.operators.config import join_config, latest_config
-from roomlake.schemas import ALERT_MESSAGE, MEASURES
+from roomlake.schemas import ALERT_MESSAGE, BRONZE_READING, MEASURES
 from roomlake.session import scratch_path, ship_package
 from roomlake.settings import DEFAULT_RULES, with_timing
 from roomlake.sources import testdata
@@ -38,6 +38,8 @@ EPISODE_RULES = with_timing(DEFAULT_RULES, 12 * HOUR_S, 0)
 NOW = _dt.datetime(2024, 1, 16, 0, 30, 0)          # fixed "now" of incremental runs
 CUTOFF = lookback_cutoff(NOW, 2)
 TIE = ("event_ts", "event_id")
+_MIDDLE_MS = 1705320000000                          # 2024-01-15 12:00 UTC, within the readings' period
+_PLANTED_FROM = "2024-01-20"
 
 TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 HOUR_FMT = "yyyy-MM-dd HH:mm:ss"
@@ -326,6 +328,15 @@ def bronze_roundtrip(spark, sf):
                     "dt", "hour")
 
 
+def _config_lines(spark, sf) -> DataFrame:
+    """The config changelog as JSON lines that carry their changelog position."""
+    cfg = testdata.config_updates(spark, sf).select(
+        "user_id", "device_id", iso_utc_string("updated_ts").alias("updated_at"), "seq",
+        "temperature_warning_threshold", "temperature_violation_threshold",
+        "no_occupancy_light_threshold")
+    return cfg.select(F.to_json(F.struct(*cfg.columns)).alias("value"))
+
+
 def stream_alerts_q(spark, sf):
     """JOIN-2, STR-2..6, STR-9: the stateful stream over message files, in two
     runs with a restart between them; equals the batch alerts."""
@@ -336,11 +347,7 @@ def stream_alerts_q(spark, sf):
     r = testdata.readings(spark, sf)
     bounds = r.agg(F.min("t").alias("lo"), F.max("t").alias("hi")).first()
     split = (bounds.lo + bounds.hi) // 2 if bounds.lo is not None else 0
-    cfg = testdata.config_updates(spark, sf).select(
-        "user_id", "device_id", iso_utc_string("updated_ts").alias("updated_at"), "seq",
-        "temperature_warning_threshold", "temperature_violation_threshold",
-        "no_occupancy_light_threshold")
-    cfg.select(F.to_json(F.struct(*cfg.columns)).alias("value")).write.text(f"{root}/config/0")
+    _config_lines(spark, sf).write.text(f"{root}/config/0")
     parts = [r.where(F.col("t") <= split), r.where(F.col("t") > split)]
     out = f"{root}/alerts"
     for i, part in enumerate(parts):
@@ -413,20 +420,198 @@ def stream_late_readings(spark, sf):
                                                    F.col("batch").cast("int").alias("batch"))
 
 
+def _landed(late_s=None):
+    """When a reading reaches bronze, if deliveries come every six hours."""
+    s = F.floor(F.col("eventTimeMillis") / F.lit(1000 * 21600)) * 21600
+    return F.timestamp_seconds(s if late_s is None else s + late_s)
+
+
 def bronze_since(spark, sf):
     """SRC-3 + FLT-2: a look-back scan of bronze by event time, cut to the folders that may hold such readings."""
     from roomlake.sources.bronze_stats import refresh_stats
 
     path = scratch_path(spark, "bronze-since")
     # folders are processing time: every 50th reading lands two days late
-    landed = F.to_timestamp("event_time") + F.when(F.col("eventTimeMillis") % 50 == 0, F.expr("INTERVAL 2 DAYS")) \
-        .otherwise(F.expr("INTERVAL 0 DAYS"))
-    write_bronze(bronze_readings_rows(spark, sf), path, bucket_ts=landed)
+    late = F.when(F.col("eventTimeMillis") % 50 == 0, 2 * 86400).otherwise(0)
+    write_bronze(bronze_readings_rows(spark, sf), path, bucket_ts=_landed(late))
     refresh_stats(spark, path)
     b = read_bronze_readings(spark, path, since_ms=int((CUTOFF - _dt.datetime(1970, 1, 1)).total_seconds()) * 1000)
     return b.select("event_time", "device_id", *MEASURES, "occupancy", "dt", "hour")
 
 
+def stream_state_audit(spark, sf):
+    """STR-9: the fold's state after a restart, read through the state data source, per device and rule."""
+    from roomlake.streaming.alerts import stream_alerts, union_inputs
+    from roomlake.streaming.audit import read_fold_state
+    from roomlake.streaming.jobs import config_stream, file_values, reading_stream
+
+    root = scratch_path(spark, "stream-audit")
+    r = testdata.readings(spark, sf)
+    _config_lines(spark, sf).write.text(f"{root}/c/0")
+    for i in range(2):
+        half = r.where((F.col("t") < _MIDDLE_MS) if i == 0 else (F.col("t") >= _MIDDLE_MS))
+        reading_messages(half).select("value").write.text(f"{root}/r/{i}")
+        fold = stream_alerts(union_inputs(reading_stream(file_values(spark, f"{root}/r/*")),
+                                          config_stream(file_values(spark, f"{root}/c/*"))), CONTRACT_RULES, "event")
+        fold.writeStream.format("noop").option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start() \
+            .awaitTermination()
+    return read_fold_state(spark, f"{root}/ckpt", CONTRACT_RULES).where(F.col("last_reading_ms").isNotNull()).select(
+        "device_id", "rule", "last_reading_ms", F.col("last_alert_ms").alias("last_alert_ms"))
+
+
+def gold_from_bronze(spark, sf):
+    """WIN-1 + AGG-1/2 in one exchange: repeated and altered bronze deliveries straight to the hourly roll-up."""
+    b = bronze_readings_rows(spark, sf)
+    g = gold.rollup_from_bronze(b.unionByName(b).unionByName(bronze_readings_rows(spark, sf, 0.5)), hot_rows=3)
+    return g.select("pk_sensor_device_hour_id", "device_id", _ts("hour_ts", HOUR_FMT), _r4("avg_temperature"),
+                    "min_temperature", "max_temperature", _r4("avg_humidity"), _r4("occupancy_rate"))
+
+
+def check_planted_failures(spark, sf):
+    """CHK-1/2 with failures to find: every 97th reading twice, every 101st without key; checked whole, and by
+    changed dates after a first look at the clean table."""
+    from roomlake.operators.check_state import LAKE_KEYS, check_table
+
+    path, name = scratch_path(spark, "checked"), "silver_iot_sensor_readings"
+    clean = silver.silver_readings(bronze_readings_rows(spark, sf))
+    tables.upsert(spark, path, clean, "pk_sensor_event_id", "event_date")
+    check_table(spark, path, name, LAKE_KEYS[name])
+    ms = F.unix_millis("event_ts")
+    planted = tables.read_table(spark, path)
+    planted = (planted.unionByName(planted.where(ms % 97 == 0))
+               .withColumn("pk_sensor_event_id", F.when(ms % 101 != 0, F.col("pk_sensor_event_id"))))
+    # the last days only, so that the others keep their result
+    (planted.where(F.col("event_date") >= F.lit(_PLANTED_FROM).cast("date")).write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path))
+    changed = check_table(spark, path, name, LAKE_KEYS[name])
+    whole = check_table(spark, path, name, LAKE_KEYS[name], exact=True)
+    rows = [(how, check, r[check]) for how, r in (("changed", changed), ("whole", whole)) for check in ("unique", "not_null")]
+    return spark.createDataFrame(rows, "how string, check_name string, failures long")
+
+
+def bronze_compacted(spark, sf):
+    """SRC-3 + SNK-2: bronze written as many small files, closed folders compacted and purged, all rows read back."""
+    from roomlake.sources.compaction import compact, purge, read_compacted
+
+    path = scratch_path(spark, "bronze-small")
+    rows = bronze_readings_rows(spark, sf)
+    for i in range(2):                                # two deliveries a folder
+        write_bronze(rows.where(F.col("eventTimeMillis") % 2 == i), path, bucket_ts=_landed())
+    compact(spark, path, BRONZE_READING, CUTOFF)
+    purge(spark, path)
+    return read_compacted(spark, path, BRONZE_READING).select("event_time", "device_id", "temperature", "dt", "hour")
+
+
+def required_fields(spark, sf):
+    """FLT-1 + FLT-7 + PRJ-4: bronze with devices and times missing or unparseable, and devices without config."""
+    b = bronze_readings_rows(spark, sf)
+    ms = F.col("eventTimeMillis")
+    torn = (b.withColumn("device_id", F.when(ms % 13 != 0, F.col("device_id")))
+             .withColumn("event_time", F.when(ms % 17 == 0, F.lit(None)).when(ms % 19 == 0, F.lit("yesterday noon"))
+                         .otherwise(F.col("event_time"))))
+    updates = testdata.config_updates(spark, sf).where(~F.col("device_id").endswith("3"))
+    s = silver.silver_readings(torn)
+    return join_config(s, latest_config(updates)).select("pk_sensor_event_id", "device_id", _ts("event_ts"), "temperature",
+                                                         "user_id", "temperature_warning_threshold")
+
+
+def malformed_messages(spark, sf):
+    """PRJ-1/3: readings of which some are not JSON, lack a time, have no offset, hold text, extra keys or no number."""
+    r = testdata.readings(spark, sf)
+    kind = F.pmod(F.col("event_id"), F.lit(10))
+    body = lambda time, temp, more="": F.concat(
+        F.lit('{"device_id":"'), F.col("device_id"), F.lit('",'), time, F.lit('"temperature":'), temp, F.lit(more + "}"))
+    iso = F.concat(F.lit('"event_time":"'), F.col("event_time"), F.lit('",'))
+    temp = F.col("temperature").cast("string")
+    value = (F.when(kind == 0, F.lit("not json at all")).when(kind == 1, body(F.lit(""), temp))
+              .when(kind == 2, body(F.concat(F.lit('"event_time":"'), F.regexp_replace("event_time", "Z$", ""), F.lit('",')), temp))
+              .when(kind == 3, body(F.concat(F.lit('"event_time":"'), F.regexp_replace("event_time", "Z$", "+01:00"), F.lit('",')), temp))
+              .when(kind == 4, body(iso, F.concat(F.lit('"'), temp, F.lit('"'))))
+              .when(kind == 5, body(iso, F.lit('"warm"'))).when(kind == 6, body(iso, F.lit('"NaN"')))
+              .when(kind == 7, body(iso, temp, ',"firmware":"2.1","tags":[1,2]')).otherwise(body(iso, temp)))
+    p = parse_readings(r.select("event_id", value.alias("value")))
+    return p.select("event_id", F.col("_corrupt").alias("corrupt"),
+                    F.when(F.col("_corrupt"), F.lit(-1)).otherwise(F.col("eventTimeMillis")).alias("event_time_ms"),
+                    F.when(F.col("_corrupt"), F.lit(-1.0)).otherwise(F.col("temperature")).alias("temperature"))
+
+
+def silver_upsert_inserts(spark, sf):
+    """SNK-5, both branches: a merge that updates the keys it knows and inserts those it does not."""
+    path = scratch_path(spark, "silver-inserts")
+    b = bronze_readings_rows(spark, sf)
+    tables.upsert(spark, path, silver.silver_readings(b.where(F.col("eventTimeMillis") % 3 != 0)), "pk_sensor_event_id", "event_date")
+    second = silver.silver_readings(bronze_readings_rows(spark, sf, 1.0).where(F.col("eventTimeMillis") % 3 != 1),
+                                    now=NOW, incremental=True)
+    tables.upsert(spark, path, second, "pk_sensor_event_id", "event_date")
+    return tables.read_table(spark, path).select("pk_sensor_event_id", _ts("event_ts"), "temperature")
+
+
+def gold_slice_emptied(spark, sf):
+    """SNK-6: a slice whose later dates get no rows any more; AGG-5 of what is left, and of an empty table."""
+    path = scratch_path(spark, "gold-emptied")
+    s = _silver(spark, sf)
+    first = gold.sensor_hourly_metrics(s).withColumn("hour_date", utc_date("hour_ts"))
+    tables.replace_slice(spark, path, first, "hour_ts", CUTOFF)
+    left = s.where(F.col("event_date") <= F.lit(CUTOFF.date().isoformat()).cast("date"))
+    second = gold.sensor_hourly_metrics(left, now=NOW, incremental=True).withColumn("hour_date", utc_date("hour_ts"))
+    tables.replace_slice(spark, path, second, "hour_ts", CUTOFF)
+    t = tables.read_table(spark, path)
+    per_day = t.groupBy(F.col("hour_date").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("device_hours"))
+    mark = lambda df: tables.high_water_mark(df, "hour_ts", lookback="1 hour").select(_ts("hwm", HOUR_FMT))
+    return (per_day.unionByName(mark(t).select(F.concat(F.lit("left until "), "hwm").alias("day"), F.lit(0).cast("long").alias("device_hours")))
+            .unionByName(mark(t.where("1 = 0")).select(F.concat(F.lit("empty until "), "hwm").alias("day"),
+                                                     F.lit(0).cast("long").alias("device_hours"))))
+
+
+def custom_rule_alerts(spark, sf):
+    """STR-8: a fourth rule of the user's own, with an ``or`` and a number, beside the three."""
+    from roomlake.settings import Compare, RuleSpec
+
+    own = RuleSpec("CO2_OR_HEAT", "VIOLATION", "co2",
+                   Compare("co2", ">=", 480) | (Compare("temperature", ">", 45.0) & Compare("occupancy", "=", 1)),
+                   "co2", "temperature_violation_threshold", 12 * HOUR_S, 24 * HOUR_S)
+    return detect_breaches(joined(spark, sf), (*CONTRACT_RULES, own), tie_cols=TIE)
+
+
+def _lake(spark, sf) -> tuple[str, "DataFrame"]:
+    """JOB-2 then JOB-1: messages through the live job to bronze and two sinks, then a lakehouse run over that bronze."""
+    from roomlake.plans.lakehouse import LakePaths, run_lakehouse
+    from roomlake.streaming.jobs import file_values, message_file_sink, start_alert_job
+
+    root = scratch_path(spark, "lake")
+    r = testdata.readings(spark, sf)
+    _config_lines(spark, sf).write.text(f"{root}/c/0")
+    reading_messages(r).select("value").write.text(f"{root}/r/0")
+    seen = f"{root}/second-sink"
+    for q in start_alert_job(spark, file_values(spark, f"{root}/r/*"), file_values(spark, f"{root}/c/*"), f"{root}/bronze/readings",
+                             f"{root}/bronze/alerts", f"{root}/ck", rules=CONTRACT_RULES, trigger={"availableNow": True},
+                             alert_sinks=(message_file_sink(f"{root}/messages"),
+                                          lambda a, i: a.drop("dt", "hour", "batch").write.mode("overwrite").json(f"{seen}/{i}")),
+                             alert_time_from="event"):
+        q.awaitTermination()
+    run_lakehouse(spark, LakePaths(f"{root}/bronze/readings", f"{root}/bronze/alerts", f"{root}/lake"), now=NOW)
+    return root, seen
+
+
+def lakehouse_run(spark, sf):
+    """JOB-2, SNK-1 (file twin) / SNK-3 / SRC-4, JOB-1: rows of the five tables, of both sinks, and what they add up to."""
+    root, seen = _lake(spark, sf)
+    t = lambda name: tables.read_table(spark, f"{root}/lake/{name}")
+    row = lambda name, df, total: df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), total.alias("total"))
+    parts = [row("silver_readings", t("silver_iot_sensor_readings"), F.sum(F.unix_millis("event_ts"))),
+             row("silver_alerts", t("silver_threshold_breached_alerts"), F.sum("window_end_ms")),
+             row("gold_metrics", t("gold_sensor_hourly_metrics"), F.sum(F.unix_seconds("hour_ts"))),
+             row("gold_occupancy", t("gold_hourly_occupancy_rate"), F.sum(F.unix_seconds("hour_ts"))),
+             row("gold_breaches", t("gold_hourly_breach_counts"), F.sum("breach_count")),
+             row("sink_messages", spark.read.schema("key string, value string").json(f"{root}/messages"),
+                 F.sum(F.get_json_object("value", "$.window_start_ms").cast("long"))),
+             row("sink_rows", spark.read.schema(ALERT_MESSAGE).json(f"{seen}/*"), F.sum("window_start_ms"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def stream_hourly_rollup_q(spark, sf):
     """STR-1 + STR-7: watermark de-dup and hourly rollup, complete hours only."""
     from roomlake.streaming.jobs import file_values, reading_stream, stream_hourly_rollup
@@ -484,6 +669,16 @@ _QUERIES = {
     "bronze_roundtrip": bronze_roundtrip,
     "stream_alerts": stream_alerts_q,
     "bronze_since": bronze_since,
+    "bronze_compacted": bronze_compacted,
+    "gold_from_bronze": gold_from_bronze,
+    "gold_slice_emptied": gold_slice_emptied,
+    "silver_upsert_inserts": silver_upsert_inserts,
+    "check_planted_failures": check_planted_failures,
+    "required_fields": required_fields,
+    "malformed_messages": malformed_messages,
+    "custom_rule_alerts": custom_rule_alerts,
+    "lakehouse_run": lakehouse_run,
+    "stream_state_audit": stream_state_audit,
     "stream_silver": stream_silver_q,
     "stream_late_readings": stream_late_readings,
     "stream_alerts_split": stream_alerts_split,

@@ -66,9 +66,14 @@ RULES = [
 ]
 
 
-def _rules_union() -> str:
+#: a rule of the user's own beside the three
+OWN_RULE = ("CO2_OR_HEAT", "VIOLATION", "co2", "(co2 >= 480 OR (temperature > 45.0 AND occupancy = 1))", "co2",
+            "temperature_violation_threshold")
+
+
+def _rules_union(rules) -> str:
     parts = []
-    for name, sev, metric, cond, obs, thr in RULES:
+    for name, sev, metric, cond, obs, thr in rules:
         parts.append(
             f"SELECT user_id, device_id, event_id, ts, t, '{name}' AS rule, '{sev}' AS severity, "
             f"'{metric}' AS metric, coalesce({cond}, false) AS cond, "
@@ -76,10 +81,10 @@ def _rules_union() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _candidates(dur_ms: int, gap_ms: int | None = None, keys: str = "user_id, device_id") -> str:
+def _candidates(dur_ms: int, gap_ms: int | None = None, keys: str = "user_id, device_id", rules=tuple(RULES)) -> str:
     silence = "false" if gap_ms is None else f"t - prev_t > {gap_ms}"
     return f"""
-ru0 AS ({_rules_union()}),
+ru0 AS ({_rules_union(rules)}),
 ru AS (SELECT *, lag(t) OVER (PARTITION BY {keys}, rule ORDER BY ts, event_id)
                  AS prev_t FROM ru0),
 isl AS (SELECT *,
@@ -101,10 +106,11 @@ cand AS (SELECT * FROM st
 
 
 def _alerts_ctes(dur_ms: int = DUR_MS, cd_ms: int = CD_MS, config_key: str = "device_id",
-                 gap_ms: int | None = None, joined: str | None = None, keys: str = "user_id, device_id") -> str:
+                 gap_ms: int | None = None, joined: str | None = None, keys: str = "user_id, device_id",
+                 rules=tuple(RULES)) -> str:
     same = " AND ".join(f"n.{k} = rec.{k}" for k in keys.split(", "))
     return f"""WITH RECURSIVE {joined or base(config_key)},
-{_candidates(dur_ms, gap_ms, keys)},
+{_candidates(dur_ms, gap_ms, keys, rules)},
 cn AS (SELECT *, row_number() OVER (PARTITION BY {keys}, rule
                                     ORDER BY ts, event_id) AS k FROM cand),
 rec AS (
@@ -289,6 +295,61 @@ FROM s GROUP BY device_id, {h}"""
 SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, device_id, {MEAS}, occupancy,
        t AS eventTimeMillis, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour
 FROM r"""
+    q["gold_from_bronze"] = f"""WITH {BASE},
+d AS (SELECT * REPLACE (temperature + 0.5 AS temperature) FROM r)
+SELECT {key('device_id', f'strftime({h}, {TS})')} AS pk_sensor_device_hour_id, device_id, strftime({h}, {HOUR}) AS hour_ts,
+       {r4('avg(temperature)')} AS avg_temperature, min(temperature) AS min_temperature, max(temperature) AS max_temperature,
+       {r4('avg(humidity)')} AS avg_humidity, {r4('avg(CAST(occupancy AS DOUBLE))')} AS occupancy_rate
+FROM d GROUP BY device_id, {h}"""
+    q["check_planted_failures"] = f"""WITH {BASE},
+p AS (SELECT count(*) FILTER (WHERE t % 97 = 0 AND t % 101 <> 0) AS u,
+             count(*) FILTER (WHERE t % 101 = 0) + count(*) FILTER (WHERE t % 97 = 0 AND t % 101 = 0) AS n
+      FROM r WHERE ts >= TIMESTAMP '2024-01-20')
+SELECT how, check_name, CAST(CASE WHEN check_name = 'unique' THEN u ELSE n END AS BIGINT) AS failures
+FROM p, (VALUES ('changed'), ('whole')) a(how), (VALUES ('unique'), ('not_null')) b(check_name)"""
+    q["bronze_compacted"] = f"""WITH {BASE}
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, device_id, temperature,
+       strftime(l, '%Y-%m-%d') AS dt, strftime(l, '%H') AS hour
+FROM (SELECT *, make_timestamp((t // 21600000) * 21600000000) AS l FROM r)"""
+    q["required_fields"] = f"""WITH {BASE}
+SELECT {key('device_id', f'strftime(ts, {TS})')} AS pk_sensor_event_id, device_id, strftime(ts, {TS}) AS event_ts, temperature,
+       user_id, temperature_warning_threshold
+FROM j WHERE t % 13 <> 0 AND t % 17 <> 0 AND t % 19 <> 0 AND NOT ends_with(device_id, '3')"""
+    q["malformed_messages"] = f"""WITH {BASE},
+k AS (SELECT *, event_id % 10 AS kind FROM r)
+SELECT event_id, kind IN (0, 1, 2, 5, 6) AS corrupt,
+       CAST(CASE WHEN kind NOT IN (0, 1, 2, 5, 6) THEN t - CASE WHEN kind = 3 THEN 3600000 ELSE 0 END ELSE -1 END AS BIGINT) AS event_time_ms,
+       CASE WHEN kind NOT IN (0, 1, 2, 5, 6) THEN temperature ELSE -1.0 END AS temperature
+FROM k"""
+    q["silver_upsert_inserts"] = f"""WITH {BASE}
+SELECT {key('device_id', f'strftime(ts, {TS})')} AS pk_sensor_event_id, strftime(ts, {TS}) AS event_ts,
+       CASE WHEN ts >= {CUTOFF} AND t % 3 <> 1 THEN temperature + 1.0 ELSE temperature END AS temperature
+FROM r WHERE t % 3 <> 0 OR ts >= {CUTOFF}"""
+    q["gold_slice_emptied"] = f"""WITH {BASE},
+g AS (SELECT DISTINCT device_id, {h} AS hour_ts FROM r WHERE ts < TIMESTAMP '2024-01-16')
+SELECT strftime(hour_ts, '%Y-%m-%d') AS day, count(*) AS device_hours FROM g GROUP BY 1
+UNION ALL SELECT 'left until ' || strftime(max(hour_ts) - INTERVAL 1 HOUR, {HOUR}), 0 FROM g
+UNION ALL SELECT 'empty until 2009-12-31 23:00:00', 0"""
+    q["custom_rule_alerts"] = _alerts_ctes(rules=(*RULES, OWN_RULE)) + f"\nSELECT {ALERT_COLS} FROM alerts"
+    q["lakehouse_run"] = _alerts_ctes() + f""",
+hours AS (SELECT DISTINCT device_id, {h} AS hour_ts FROM r),
+al AS (SELECT *, date_trunc('hour', make_timestamp(window_end_ms * 1000)) AS hour_ts FROM alerts),
+rows AS (
+  SELECT 'silver_readings' AS name, count(*) AS n, sum(t) AS total FROM r
+  UNION ALL SELECT 'silver_alerts', count(*), sum(window_end_ms) FROM alerts
+  UNION ALL SELECT 'gold_metrics', count(*), sum(epoch_us(hour_ts) // 1000000) FROM hours
+  UNION ALL SELECT 'gold_occupancy', count(*), sum(epoch_us(hour_ts) // 1000000) FROM hours
+  UNION ALL SELECT 'gold_breaches', count(*), sum(b)
+            FROM (SELECT count(*) AS b FROM al GROUP BY device_id, hour_ts, severity, rule)
+  UNION ALL SELECT 'sink_messages', count(*), sum(window_start_ms) FROM alerts
+  UNION ALL SELECT 'sink_rows', count(*), sum(window_start_ms) FROM alerts)
+SELECT name, CAST(n AS BIGINT) AS n, CAST(total AS BIGINT) AS total FROM rows"""
+    q["stream_state_audit"] = _alerts_ctes() + f""",
+d AS (SELECT device_id, max(t) AS last_reading_ms FROM j GROUP BY device_id),
+x AS (SELECT device_id, rule, max(window_end_ms) AS last FROM alerts GROUP BY device_id, rule)
+SELECT d.device_id, v.rule, last_reading_ms, coalesce(x.last, 0)::BIGINT AS last_alert_ms
+FROM d CROSS JOIN (VALUES {", ".join(f"('{r[0]}')" for r in RULES)}) v(rule)
+LEFT JOIN x ON x.device_id = d.device_id AND x.rule = v.rule"""
     q["stream_silver"] = q["silver_readings"]
     q["stream_late_readings"] = f"""WITH {BASE},
 b AS (SELECT min(t) AS lo, max(t) AS hi FROM r),
@@ -299,7 +360,8 @@ m AS (SELECT batch, max(max(t)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PREC
 SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, device_id, temperature, mark AS watermark_ms, d.batch
 FROM d JOIN m ON d.batch = m.batch WHERE t < mark"""
     q["bronze_since"] = f"""WITH {BASE},
-l AS (SELECT *, ts + CASE WHEN t % 50 = 0 THEN INTERVAL 2 DAY ELSE INTERVAL 0 DAY END AS landed FROM r)
+l AS (SELECT *, make_timestamp((t // 21600000) * 21600000000 + CASE WHEN t % 50 = 0 THEN 172800000000 ELSE 0 END) AS landed
+      FROM r)
 SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time, device_id, {MEAS}, occupancy,
        strftime(landed, '%Y-%m-%d') AS dt, strftime(landed, '%H') AS hour
 FROM l WHERE ts >= {CUTOFF}"""
