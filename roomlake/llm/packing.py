@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import json
 import logging
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -29,11 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomlake.llm.common import Memo, cut, texts, tokenizer_path
+from roomlake.llm.common import SEPARATORS, Memo, chunks, cut, texts, tokenizer_path, word_bounds
 
-CACHE_WORDS = 200_000
-_SPACES = re.compile("[ \t\n\r\f\v]+")
-_NOT_UNICODE_SPACE = re.compile("[\x1c-\x1f]")     # str.split() cuts there, the tokenizer does not
+CACHE_WORDS = 300_000
+SLICE_CHARS = 4_000_000     # text whose words are numbered together
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+_ALNUM, _MARK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_ALNUM[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+_MARK[list(b".,;:!?")] = True
 
 
 def _byte_letters() -> dict[int, str]:
@@ -46,12 +49,13 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordEncoder:
-    """Token ids of texts by a tokenizer that drops white space: word by word, with a bounded cache.
+    """Token ids of texts by a tokenizer that drops white space: each distinct word once, with a bounded cache.
 
     White space is removed before any merge, so the ids of a text are the ids
     of its space-separated words laid end to end.  Where the file is of the usual kind (NFC, lower case,
     one split pattern, byte-level letters), a printable Latin-1 word is split by that pattern here and
     the tokenizer's merge model is called on its parts; any other word takes the whole tokenizer.
+    Words are found, numbered and laid out again for a slice of texts at a time, without a step per word.
     """
 
     def __init__(self, name: str):
@@ -60,7 +64,8 @@ class WordEncoder:
         path = tokenizer_path(name)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.cache, self.parts = Memo(CACHE_WORDS), Memo(CACHE_WORDS // 2)
+        self.young, self.old = {}, {}          # words met lately, and those before them: bytes -> ids
+        self.parts = Memo(CACHE_WORDS // 2)
         self.pattern = self._split_pattern(path)
         self.letters = _byte_letters()
 
@@ -79,11 +84,14 @@ class WordEncoder:
         except (KeyError, TypeError, ValueError):
             return None
 
+    def _merged(self, part: str) -> bytes:
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            ids = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            ids = self._merged(part)
             if len(self.parts) >= self.parts.limit:
                 self.parts.clear()
             if len(part) <= self.parts.longest:
@@ -93,30 +101,69 @@ class WordEncoder:
     def _encode(self, words: list[str]) -> list[bytes]:
         out, pattern = [], self.pattern
         for w in words:
-            if pattern and w.isprintable() and (w.isascii() or max(w) <= "\xff") and "<|" not in w:
+            if pattern and w.isalpha() and (w.isascii() or max(w) <= "\xff"):
+                out.append(self._merged(w.lower()))          # one part
+            elif pattern and w.isprintable() and (w.isascii() or max(w) <= "\xff") and "<|" not in w:
                 out.append(b"".join(map(self._part, pattern.findall(w.lower()))))
             else:
                 out.append(array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes())
         return out
 
+    def _plainer(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray):
+        """Fewer distinct words, same ids: A-Z in lower case, and a mark at a word's end apart from the letter or digit before.
+
+        The pattern begins a new part there, and merges stay within parts.  Texts that may hold a special token stay as they are.
+        """
+        if ((data[:-1] == ord("<")) & (data[1:] == ord("|"))).any():
+            return data, starts, stops
+        data = _LOWER[data]
+        end = stops[stops - starts > 1] - 1
+        end = end[_MARK[data[end]] & _ALNUM[data[end - 1]]]
+        return data, np.sort(np.concatenate([starts, end])), np.sort(np.concatenate([stops, end]))
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of distinct words; those not met lately are encoded, and the cache forgets its older half when full."""
+        young, old = self.young, self.old
+        out = [young.get(w) or old.get(w) for w in words]
+        missing = [i for i, v in enumerate(out) if v is None]
+        for i, ids in zip(missing, self._encode([words[i].decode() for i in missing])):
+            out[i] = ids
+        for w, ids in zip(words, out):
+            if w not in young and len(w) <= 64:
+                if len(young) >= CACHE_WORDS // 2:
+                    self.old = old = young
+                    self.young = young = {}
+                young[w] = ids
+        return out
+
     def texts(self, rows: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cache = self.cache
-        for a in range(0, len(rows), 500):
-            split = [_SPACES.split(t.strip(" \t\n\r\f\v")) if _NOT_UNICODE_SPACE.search(t) else t.split()
-                     for t in rows[a:a + 500]]
-            new = cache.missing(set().union(*split))
-            extra = {}
-            for w, ids in zip(new, self._encode(new)):
-                if len(w) <= cache.longest:
-                    cache[w] = ids
-                else:
-                    extra[w] = ids
-            for ws in split:
-                if extra:
-                    yield b"".join([extra[w] if w in extra else cache[w] for w in ws])
-                else:
-                    yield b"".join(map(cache.__getitem__, ws))
+        for a, b in chunks(rows, len, SLICE_CHARS):
+            raw = [t.encode() for t in rows[a:b]]
+            data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+            ends = np.cumsum([len(t) for t in raw])
+            starts, stops = word_bounds(data, ends[:-1])
+            if self.pattern:
+                data, starts, stops = self._plainer(data, starts, stops)
+            size = stops - starts
+            inside = np.ones(len(data), dtype=bool)
+            inside[np.isin(data, np.frombuffer(SEPARATORS, np.uint8))] = False
+            bounds = np.concatenate([[0], np.cumsum(size)])
+            words = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])])
+            coded = words.dictionary_encode()
+            ids = self._ids(coded.dictionary.to_pylist())
+            flat = np.frombuffer(b"".join(ids), dtype="<u4")
+            n = np.array([len(v) // 4 for v in ids], dtype=np.int64)
+            of = coded.indices.to_numpy(zero_copy_only=False)
+            each = n[of]
+            last = np.cumsum(each)
+            place = np.repeat((np.cumsum(n) - n)[of] - (last - each), each) + np.arange(last[-1] if len(last) else 0)
+            out = flat[place]
+            cut_at = np.concatenate([[0], last])[np.searchsorted(starts, ends)]      # tokens of the texts before and this one
+            at = 0
+            for to in cut_at.tolist():
+                yield out[at:to].tobytes()
+                at = to
 
 
 _encoders: dict[str, WordEncoder] = {}
