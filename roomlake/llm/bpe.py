@@ -23,15 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roomlake.llm.common import Memo, chunks, texts, tokenizer_path
+from roomlake.llm.common import Generations, chunks, texts, tokenizer_path
 
-CACHE_WORDS = 450_000
+CACHE_WORDS = 350_000       # in each of two generations
 GROUP_CHARS = 6_000_000     # text whose new words are looked up together
 QUERY_WORDS = 40_000        # words per recursive query: bounds its rows
-LONG_WORD = 48              # bytes; a longer word has a query of its own that contracts, per round, all
-                            # occurrences of its minimum-rank pair
+QUERY_BYTES = 400_000       # and their bytes
+LONG_WORD = 48              # bytes; a longer word is encoded in parts that are then fitted together
+LONG_WINDOW = 1_000         # bytes; where parts of a word do not fit within such a window, a query of its own
+                            # contracts, per round, all occurrences of its minimum-rank pair
 
-# Rows are (k, tok): k = word * 64 + position, so a row's right neighbour is
+# Rows are (k, tok): k = word * span + position, so a row's right neighbour is
 # k + 1.  One contraction per word and round: the merged token takes its left
 # part's row, the right part's row goes, later rows move up by one.  A word
 # without a merge drops out; its last round is its encoding.
@@ -40,13 +42,13 @@ WITH RECURSIVE t(k, tok, step) AS (
   SELECT k, tok, 0 FROM word_bytes
   UNION ALL
   (WITH best AS (
-     SELECT l.k // 64 AS w, min(m.merged * 64 + l.k % 64) AS best
+     SELECT l.k // {span} AS w, min(m.merged * {span} + l.k % {span}) AS best
      FROM t l JOIN t r ON r.k = l.k + 1 JOIN merges m ON m.ab = l.tok * 65536 + r.tok
      GROUP BY 1)
-   SELECT t.k - CASE WHEN t.k % 64 > best % 64 THEN 1 ELSE 0 END,
-          CASE WHEN t.k % 64 = best % 64 THEN best // 64 ELSE tok END, step + 1
-   FROM t JOIN best ON best.w = t.k // 64
-   WHERE t.k % 64 <> best % 64 + 1)
+   SELECT t.k - CASE WHEN t.k % {span} > best % {span} THEN 1 ELSE 0 END,
+          CASE WHEN t.k % {span} = best % {span} THEN best // {span} ELSE tok END, step + 1
+   FROM t JOIN best ON best.w = t.k // {span}
+   WHERE t.k % {span} <> best % {span} + 1)
 )
 """
 # The same order for long words: occurrences of one pair merge back to back
@@ -103,8 +105,9 @@ class RecursiveBPE:
                  for i in range(1, len(t)) if t[:i] in vocab and t[i:] in vocab]
         self._table("merges", ab=[p[0] * 65536 + p[1] for p in pairs], merged=[p[2] for p in pairs])
         self._table("vocabulary", id=list(vocab.values()), hex=[t.hex() for t in vocab])
-        self.cache = Memo(CACHE_WORDS)         # word -> (ids as text, decoded bytes)
-        self.pieces = Memo(CACHE_WORDS)    # space-cut piece -> ids as text
+        self.bytes_of = {r: t for t, r in vocab.items()}
+        self.cache = Generations(CACHE_WORDS)  # word -> (ids as text, decoded bytes)
+        self.pieces = Generations(CACHE_WORDS)     # space-cut piece -> ids as text
         self.odd: dict[str, bytes] = {}        # decoded bytes of pieces that don't decode to themselves
 
     def _table(self, name: str, **columns: list) -> None:
@@ -120,7 +123,7 @@ class RecursiveBPE:
         pos = np.arange(len(data)) - np.repeat(np.cumsum(lens) - lens, lens)
         rows = pa.table({"k": np.repeat(np.arange(len(words)), lens) * span + pos, "tok": self.byte_id[data]})
         self.con.register("word_bytes", rows)
-        out = self.con.execute(sql + _LAST_ROUND.format(span=span)).fetchall()
+        out = self.con.execute(sql.replace("{span}", str(span)) + _LAST_ROUND.format(span=span)).fetchall()
         self.con.unregister("word_bytes")
         return {w: (ids.encode(), bytes.fromhex(hexed)) for w, ids, hexed in out}
 
@@ -135,9 +138,60 @@ class RecursiveBPE:
             found.update((part[i][0], v) for i, v in got.items())
         for w, data in raw:
             if len(data) > LONG_WORD:
-                found[w] = self._query([data], _ALL_HITS, 1 << 40)[0]
+                found[w] = self._encode_long(data)
         return found
 
+    def _tokens(self, parts: list[bytes]) -> list[list[int]]:
+        """Token ids of each part, by queries of a bounded number of rows."""
+        out: list[list[int]] = []
+        for a, b in chunks(parts, len, QUERY_BYTES):
+            few = [p for p in parts[a:b] if len(p) <= LONG_WINDOW]
+            got = iter(sorted(self._query(few, _LEFTMOST, 1024).items())) if few else iter(())
+            for p in parts[a:b]:
+                ids = next(got)[1][0] if len(p) <= LONG_WINDOW else self._query([p], _ALL_HITS, 1 << 40)[0][0]
+                out.append([int(x) for x in ids.split(b",")])
+        return out
+
+    def _encode_long(self, data: bytes) -> tuple[bytes, bytes]:
+        """A long word: parts are encoded apart and fitted together.
+
+        A token sequence is the encoding of its bytes if and only if each two neighbours are the encoding of theirs.  So
+        only the seams between parts need a look; where two neighbours would merge otherwise, a window around the seam is
+        encoded anew, twice as wide each time.
+        """
+        tokens, seams = [], {}                         # place -> tokens on either side to encode anew
+        for ids in self._tokens([data[i:i + LONG_WORD] for i in range(0, len(data), LONG_WORD)]):
+            if tokens:
+                seams[len(tokens)] = 2
+            tokens += ids
+        fits: dict[tuple[int, int], bool] = {}
+        while seams:
+            new = sorted({(tokens[i - 1], tokens[i]) for i in seams} - fits.keys())
+            fits.update((p, ids == list(p)) for p, ids in zip(new, self._tokens([self.bytes_of[a] + self.bytes_of[b] for a, b in new])))
+            bad = sorted((i, w) for i, w in seams.items() if not fits[tokens[i - 1], tokens[i]])
+            windows: list[list[int]] = []
+            for i, w in bad:
+                lo, hi = max(i - w, 0), min(i + w, len(tokens))
+                if windows and lo <= windows[-1][1]:
+                    windows[-1][1], windows[-1][2] = max(hi, windows[-1][1]), max(w, windows[-1][2])
+                else:
+                    windows.append([lo, hi, w])
+            again = self._tokens([b"".join([self.bytes_of[t] for t in tokens[lo:hi]]) for lo, hi, _ in windows])
+            out, seams, at = [], {}, 0
+            for (lo, hi, w), ids in zip(windows, again):
+                out += tokens[at:lo]
+                if lo:
+                    seams[len(out)] = max(2 * w, seams.get(len(out), 0))
+                out += ids
+                if hi < len(tokens):
+                    seams[len(out)] = 2 * w
+                at = hi
+            tokens = out + tokens[at:]
+        self.con.register("encoded", pa.table({"k": np.arange(len(tokens)), "tok": np.array(tokens, dtype=np.int64)}))
+        hexed = self.con.execute("SELECT string_agg(v.hex, '' ORDER BY k) FROM encoded JOIN vocabulary v ON v.id = tok").fetchall()[0][0]
+        self.con.unregister("encoded")
+        return b",".join([b"%d" % t for t in tokens]), bytes.fromhex(hexed)
+
     def split(self, text: str) -> list[str]:
         """Pieces between which no match of the pattern runs: cut before a lone space."""
         if (text[0] == " " or text[-1] == " " or _space_then.search(text) or _then_space.search(text)):
@@ -180,8 +234,10 @@ class RecursiveBPE:
         for a, b in chunks(rows, len, GROUP_CHARS):
             split = [self.split(t) if t else [] for t in rows[a:b]]
             new = self.pieces.missing(set().union(*split))
-            if not self.pieces:
-                self.odd.clear()
+            if len(self.odd) > CACHE_WORDS:    # pieces that decode to other bytes: none in a lossless vocabulary
+                for held in (self.pieces, self.pieces.old, self.odd):
+                    held.clear()
+                new = set().union(*split)
             extra = self.learn(set(new)) if new else {}
             for t, parts in zip(rows[a:b], split):
                 if extra:

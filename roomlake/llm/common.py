@@ -81,6 +81,29 @@ class Memo(dict):
         return new
 
 
+class Generations(Memo):
+    """A bounded word cache that, when full, keeps what it held as an older generation and takes words back from there."""
+
+    def __init__(self, limit: int, longest: int = 64):
+        super().__init__(limit, longest)
+        self.old: dict = {}
+
+    def missing(self, keys: set) -> list:
+        """The keys that neither generation holds, in a cache that has room for them."""
+        absent = [k for k in keys if k not in self]
+        if len(self) + len(absent) > self.limit and len(self):
+            self.old = dict(self)
+            self.clear()
+            absent = keys
+        new = []
+        for k in absent:
+            if k in self.old:
+                self[k] = self.old[k]
+            else:
+                new.append(k)
+        return new
+
+
 _IS_SEP = np.zeros(256, dtype=bool)
 _IS_SEP[list(SEPARATORS)] = True
 

@@ -79,6 +79,23 @@ def test_bpe_long_words(coder, tik):
         assert next(coder.texts([w]))[0] == ",".join(map(str, tik.encode_ordinary(w))).encode()
 
 
+@pytest.mark.parametrize("kind", ["random", "one letter", "two letters", "word", "accents", "mixed"])
+def test_bpe_very_long_words(coder, tik, kind):
+    rnd = random.Random(kind)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = {"random": "".join(rnd.choice(letters) for _ in range(50_000)), "one letter": "z" * 50_000, "two letters": "ab" * 20_000,
+            "word": "the" * 9_001, "accents": "éàñ" * 4_000,
+            "mixed": "".join(rnd.choice(["ing", "tion", "aab", "st", rnd.choice(letters) * rnd.randint(1, 90)]) for _ in range(2_000))}[kind]
+    (ids, decoded), = coder.texts([text])
+    assert [int(i) for i in ids.split(b",")] == tik.encode_ordinary(text) and decoded == text.encode()
+
+
+def test_bpe_a_million_letters_in_bounded_memory(coder, tik):
+    rnd = random.Random(9)                                   # the coder's database may hold 512 MB
+    text = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    assert [int(i) for i in next(coder.texts([text]))[0].split(b",")] == tik.encode_ordinary(text)
+
+
 def test_bpe_cache_overflow(coder, tik):
     limit, coder.cache.limit, coder.pieces.limit = coder.cache.limit, 30, 40
     try:
@@ -99,6 +116,17 @@ def test_bpe_round_trip(docs, no_docs, doc_rows, tik):
     assert bpe_round_trip(no_docs).collect() == []
 
 
+def test_word_ids_equal_library():
+    from roomlake.llm.packing import WordEncoder
+
+    rnd, own = random.Random(3), WordEncoder("word_bpe_49k.json")
+    letters = "aBcZé ÉßñŒ½²'’.,;:!?…\"-_09٣日本  \t\n\x1c\x85İ<|>ſs"
+    rows = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 40))) for _ in range(1500)]
+    for group in (rows[:500], *[[t] for t in rows[500:]], [t.replace("|", "") for t in rows], [], [""]):
+        for text, ids in zip(group, own.texts(group), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_pieces(docs, doc_rows):
     tok = Tokenizer.from_file(P.path("word_bpe_49k.json"))
     want = Counter()
