@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from roomlake.llm.common import SEPARATORS, Memo, chunks, cut, texts, tokenizer_path, word_bounds
 
-CACHE_WORDS = 300_000
-SLICE_CHARS = 4_000_000     # text whose words are numbered together
+CACHE_WORDS = 240_000
+SLICE_CHARS = 2_000_000     # text whose words are numbered together
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _ALNUM, _MARK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
