@@ -1,9 +1,9 @@
 """Phrase collocations: contiguous word phrases that occur together more often than their parts suggest.
 
-Texts are cut into shards (a few MB of one language); a shard's words are numbered by one global dictionary of the words
-that occur often enough.  Phrases are counted length by length: a phrase of n words is packed as (number of its first
-n - 1 words, number of its last word), two 32-bit numbers, since a frequent phrase has a frequent beginning and a frequent
-end.  A shard keeps its counts in counting quotient filters (``quotient.py``): the packed phrase is permuted invertibly,
+Texts are cut into shards (a few MB of one language).  A shard's distinct words are shuffled once: sorted by word, their
+counts are added up, the words that occur often enough get numbers, and the numbers go back to the shards.  Phrases are
+counted length by length: a phrase of n words is packed as (number of its first n - 1 words, number of its last word), in as
+many bits as there are numbers, since a frequent phrase has a frequent beginning and a frequent end.  A shard keeps its counts in counting quotient filters (``quotient.py``): the packed phrase is permuted invertibly,
 its leading bits choose the range, the filter holds quotients and whole remainders.  Ranges are even whatever the phrases
 are, a phrase that fills the corpus is one entry a shard, and each range merges its shards' sorted filters in one task
 of bounded size.  Frequent phrases get numbers of their own, which go back to the shards that hold them, for the
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,6 +32,7 @@ from roomlake.llm.common import cut, release
 
 SHARD_BYTES = 8 << 20          # text of one shard
 RANGE_WORDS = 1 << 21          # words of the corpus a range stands for
+HELD_ROWS = 1 << 20            # words of shards that a task gathers before it sends their numbers back
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 SPACES = b"\x20\x09"
 #: rows with large binary values: small row groups, so that readers and writers hold few of them
@@ -113,23 +115,42 @@ def _shards(shard_bytes: int):
     return run
 
 
-def _slices(shard: int, n: int, words: np.ndarray, grams: np.ndarray, bits: int,
+class Packing:
+    """How the phrases of one length are packed and dealt: bits of a key, of its last word, and of a range."""
+
+    def __init__(self, prefixes: int, words: int, range_bits: int):
+        self.word_bits = max(int(words).bit_length(), 1)
+        self.bits = self.word_bits + max(int(prefixes).bit_length(), 1)
+        if self.bits > 64:
+            raise OverflowError(f"{prefixes} beginnings and {words} words: phrases do not pack into 64 bits")
+        self.range_bits = min(range_bits, self.bits)
+
+    def keys(self, grams: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return cqf.permute((grams.astype(np.uint64) << np.uint64(self.word_bits)) | last.astype(np.uint64), self.bits)
+
+    def parts(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = cqf.restore(x, self.bits)
+        return (key >> np.uint64(self.word_bits)).astype(np.int64), (key & np.uint64((1 << self.word_bits) - 1)).astype(np.int64)
+
+
+def _slices(shard: int, n: int, words: np.ndarray, grams: np.ndarray, how: Packing,
             last: bool) -> Iterator[pa.RecordBatch]:
     """A shard's filters of its n-word phrases, and (but for the last length) its sequences for the next one."""
     whole = (grams[:-1] != 0) & (grams[1:] != 0)
     at = np.flatnonzero(whole[:max(len(grams) - n + 1, 0)])
     if not len(at):
         return
-    key = cqf.permute((grams[at].astype(np.uint64) << np.uint64(32)) | words[at + n - 1].astype(np.uint64))
-    x, counts = np.unique(key, return_counts=True)
-    bounds = np.searchsorted(cqf.range_of(x, bits), np.arange((1 << bits) + 1))
-    rows = [(shard, r, int(b - a), cqf.encode(x[a:b], counts[a:b], bits), None)
+    x, counts = np.unique(how.keys(grams[at], words[at + n - 1]), return_counts=True)
+    bounds = np.searchsorted(cqf.range_of(x, how.range_bits, how.bits), np.arange((1 << how.range_bits) + 1))
+    rows = [(shard, r, int(b - a), cqf.encode(x[a:b], counts[a:b], how.range_bits, how.bits), None)
             for r, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
     if not last:
         used = np.zeros(len(words), dtype=bool)        # words outside these phrases are not needed again
         for k in range(n):
             used[at + k] = True
-        rows.insert(0, (shard, -1, 0, _pack(np.where(used, words, 0)), _pack(np.where(whole_at(at, len(grams)), grams, 0))))
+        sequence = _pack(np.where(used, words, 0))
+        # pairs begin where two words meet: no second sequence
+        rows.insert(0, (shard, -1, 0, sequence, None if n == 2 else _pack(np.where(whole_at(at, len(grams)), grams, 0))))
     yield _batch(rows)
 
 
@@ -162,104 +183,168 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
         yield shard, rows
 
 
-def _number_words(bits: int, last: bool):
-    """Rows (shard, pos, id, seq), sequence first -> the shard's numbered words and filters of its word pairs."""
+def _count_words(min_count: int):
+    """Rows (lang, word, shard, pos, n) sorted by word -> numbers of the frequent words, and per shard where it holds them.
+
+    A word's rows (one a shard at most) are added up as they pass; those of the batch's last word wait for the next batch.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, known, rest = TaskContext.get().partitionId(), 0, None
+        held: list[tuple] = []                         # (shards, places, numbers) not sent yet
+
+        def send() -> Iterator[pa.RecordBatch]:
+            shard, pos, number = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            order = np.argsort(shard, kind="stable")
+            shard, pos, number = shard[order], pos[order], number[order]
+            cuts = np.append(np.flatnonzero(np.diff(shard, prepend=shard[0] - 1)), len(shard)).tolist()
+            packed = [_pack(np.stack([pos[a:b], number[a:b]]).astype(np.uint32)) for a, b in zip(cuts[:-1], cuts[1:])]
+            yield _word_batch(part, len(packed), shard=shard[cuts[:-1]], data=pa.array(packed, pa.binary()))
+
+        def numbered(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            nonlocal known
+            lang, word, shard, pos, n = (c.combine_chunks() for c in t.columns)
+            starts = np.flatnonzero(_changes(lang) | _changes(word))
+            total = np.add.reduceat(n.to_numpy(), starts)
+            frequent = total >= min_count
+            number = known + np.cumsum(frequent)
+            known += int(frequent.sum())
+            first = pa.array(starts[frequent])
+            yield _word_batch(part, len(first), lang=lang.take(first), word=word.take(first), a=total[frequent],
+                              number=number[frequent])
+            of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(n))))
+            rows = np.flatnonzero(frequent[of])
+            if len(rows):
+                held.append((shard.to_numpy()[rows], pos.to_numpy()[rows], number[of[rows]]))
+            if sum(len(h[0]) for h in held) >= HELD_ROWS:
+                yield from send()
+
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            rest = t if rest is None else pa.concat_tables([rest, t])
+            lang, word = (rest.column(i).combine_chunks() for i in (0, 1))
+            begins = np.flatnonzero(_changes(lang) | _changes(word))
+            if len(begins) > 1:
+                yield from numbered(rest.slice(0, begins[-1]))
+                rest = rest.slice(begins[-1])
+        if rest is not None and rest.num_rows:
+            yield from numbered(rest)
+        if held:
+            yield from send()
+    return run
+
+
+def _changes(column: pa.Array) -> np.ndarray:
+    """Rows that differ from the one before."""
+    out = np.ones(len(column), dtype=bool)
+    if len(column) > 1:
+        out[1:] = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+    return out
+
+
+_NUMBERS = "part int, lang string, word string, a long, number long, shard long, data binary"
+
+
+def _word_batch(part: int, n: int, **columns) -> pa.RecordBatch:
+    types = {"lang": pa.string(), "word": pa.string(), "a": pa.int64(), "number": pa.int64(), "shard": pa.int64(), "data": pa.binary()}
+    out = [pa.array(np.full(n, part), pa.int32())]
+    for name, t in types.items():
+        v = columns.get(name)
+        out.append(pa.nulls(n, t) if v is None else pa.array(v, t) if isinstance(v, np.ndarray) else v.cast(t))
+    return pa.RecordBatch.from_arrays(out, names=["part", *types])
+
+
+def _number_words(offsets: np.ndarray, how: Packing, last: bool):
+    """Rows (shard, part, data), the sequence first -> the shard's numbered words and filters of its word pairs."""
     def run(batches):
         for shard, rows in _by_shard(batches):
-            seq = rows[0].column(3)[0].as_py()
-            if seq is None:
-                continue
-            ids = _unpack(seq)
+            if rows[0].column(1)[0].as_py() != -1:
+                raise ValueError(f"shard {shard} has words but no sequence")
+            ids = _unpack(rows[0].column(2)[0].as_py())
             table = np.zeros(int(ids.max()) + 1, dtype=np.uint32)
             for r in rows:
-                pos = r.column(1).to_numpy(zero_copy_only=False)
-                got = pos >= 0
-                table[pos[got] + 1] = r.column(2).fill_null(0).to_numpy(zero_copy_only=False)[got].astype(np.uint32)
+                for part, data in zip(r.column(1).to_pylist(), r.column(2)):
+                    if part >= 0:
+                        pos, number = _unpack(data.as_py()).reshape(2, -1)
+                        table[pos.astype(np.int64) + 1] = number + np.uint32(offsets[part])
             words = table[ids]
-            yield from _slices(shard, 2, words, words, bits, last)
+            yield from _slices(shard, 2, words, words, how, last)
     return run
 
 
-def _merge_range(min_count: int):
+def _merge_range(min_count: int, how: Packing):
     """All shards' filters of one range -> its frequent phrases, and per shard those that it holds."""
     def run(table: pa.Table) -> pa.Table:
         range_id = table.column("range")[0].as_py()
         shards = table.column("shard").to_pylist()
         filters = [cqf.decode(d.as_py(), range_id) for d in table.column("data")]
         x, total, place = cqf.merge(filters)
-        number = np.cumsum(total >= min_count)         # from 1, within the range
         frequent = total >= min_count
-        rows = [(-1, range_id, int(frequent.sum()), cqf.encode(x[frequent], total[frequent], 0), None)]
+        number = np.cumsum(frequent)                   # from 1, within the range
+        rows = [(-1, range_id, int(frequent.sum()), cqf.encode(x[frequent], total[frequent], how.range_bits, how.bits), None)]
         at = 0
         for shard, (own, _) in zip(shards, filters):
             mine = place[at:at + len(own)]
             at += len(own)
             keep = frequent[mine]
-            if keep.any():
-                rows.append((shard, range_id, 0, _pack(own[keep]), _pack(number[mine[keep]].astype(np.uint32))))
+            if keep.any():                             # numbers rise with the keys: their steps fit the counters
+                steps = np.diff(number[mine[keep]], prepend=0)
+                rows.append((shard, range_id, 0, cqf.encode(own[keep], steps, how.range_bits, how.bits), None))
         return pa.Table.from_batches([_batch(rows)])
     return run
 
 
-def _number_phrases(n: int, offsets: np.ndarray, bits: int, last: bool):
+def _number_phrases(n: int, offsets: np.ndarray, before: Packing, how: Packing, last: bool):
     """A shard's sequences and its frequent (n - 1)-word phrases -> filters of its n-word phrases."""
     def run(batches):
         for shard, rows in _by_shard(batches):
             if rows[0].column(1)[0].as_py() != -1:
-                continue                               # cannot be: a shard with phrases has its sequence
-            words, grams = _unpack(rows[0].column(3)[0].as_py()), _unpack(rows[0].column(4)[0].as_py())
+                raise ValueError(f"shard {shard} has phrases but no sequence")
+            words, grams = _unpack(rows[0].column(3)[0].as_py()), rows[0].column(4)[0].as_py()
+            if grams is None:
+                grams = np.where(np.append(words[1:] != 0, False), words, 0)
+            else:
+                grams = _unpack(grams)
             keys, ids = [], []
             for r in rows:
-                for range_id, data, number in zip(*(r.column(c) for c in (1, 3, 4))):
-                    if range_id.as_py() >= 0:
-                        keys.append(_unpack(data.as_py(), np.uint64))
-                        ids.append(_unpack(number.as_py()).astype(np.int64) + offsets[range_id.as_py()])
+                for range_id, data in zip(r.column(1).to_pylist(), r.column(3)):
+                    if range_id >= 0:
+                        x, steps = cqf.decode(data.as_py(), range_id)
+                        keys.append(x)
+                        ids.append(np.cumsum(steps) + offsets[range_id])
             if not keys:
                 continue
             keys, ids = np.concatenate(keys), np.concatenate(ids)      # ranges in order: sorted
             at = np.flatnonzero(grams)
-            key = cqf.permute((grams[at].astype(np.uint64) << np.uint64(32)) | words[at + n - 2].astype(np.uint64))
+            key = before.keys(grams[at], words[at + n - 2])
             where = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             new = np.zeros(len(grams), dtype=np.uint32)
             new[at] = np.where(keys[where] == key, ids[where], 0)
-            yield from _slices(shard, n, words, new, bits, last)
+            yield from _slices(shard, n, words, new, how, last)
     return run
 
 
-def _list_phrases(offsets: np.ndarray):
+def _list_phrases(offsets: np.ndarray, how: Packing):
     """Frequent phrases of each range -> (id, prefix id, last word id, count)."""
     def run(batches):
         for batch in batches:
             for range_id, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                x, counts = cqf.decode(data.as_py())
-                key = cqf.restore(x)
+                x, counts = cqf.decode(data.as_py(), range_id)
+                prefix, last = how.parts(x)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(1, len(x) + 1) + offsets[range_id]), pa.array((key >> np.uint64(32)).astype(np.int64)),
-                    pa.array((key & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(counts)], names=["id", "prefix", "last", "a"])
+                    pa.array(np.arange(1, len(x) + 1) + offsets[range_id]), pa.array(prefix), pa.array(last), pa.array(counts)],
+                    names=["id", "prefix", "last", "a"])
     return run
 
 
-def _offsets(sizes: list, ranges: int, what: str) -> np.ndarray:
-    """Numbers before each range, from (range, size) rows."""
+def _offsets(sizes: list, ranges: int, what: str) -> tuple[np.ndarray, int]:
+    """(numbers given before each range, numbers given in all), from (range, size) rows."""
     n = np.zeros(ranges, dtype=np.int64)
     for r, size in sizes:
         n[r] = size
     if n.sum() >= 1 << 32:
         raise OverflowError(f"{n.sum()} frequent {what}: more than 32-bit numbers can name")
-    return np.concatenate([[0], np.cumsum(n)[:-1]])
-
-
-def _dictionary(words: DataFrame, min_count: int) -> DataFrame:
-    """Frequent words with dense numbers from 1: (lang, word, a, id)."""
-    spark = words.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    counted = (words.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= min_count)
-                    .withColumn("bucket", F.pmod(F.xxhash64("lang", "word"), F.lit(buckets)).cast("int")))
-    ranked = cut(counted.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("lang", "word"))),
-                 "phrase-dictionary")
-    before = _offsets(ranked.groupBy("bucket").count().collect(), buckets, "words")
-    starts = F.array(*[F.lit(int(b)) for b in before])
-    return ranked.select("lang", "word", "a", (F.get(starts, F.col("bucket")) + F.col("rank")).alias("id"))
+    return np.concatenate([[0], np.cumsum(n)[:-1]]), int(n.sum())
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 5,
@@ -275,34 +360,43 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     words = shards.where(F.col("word").isNotNull())
     totals = cut(words.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     total = totals.agg(F.sum("n")).first()[0] or 0
-    bits = max(0, int(-(-total // range_words) - 1).bit_length())
-    dictionary = _dictionary(words, min_count)
-    levels = [dictionary.select("lang", "id", F.lit(1).alias("size"), F.col("word").alias("phrase"), "a")]
+    range_bits = max(0, int(-(-total // range_words) - 1).bit_length())
+
+    numbers = cut(words.select("lang", "word", "shard", "pos", "n").repartition("lang", "word")
+                       .sortWithinPartitions("lang", "word").mapInArrow(_count_words(min_count), _NUMBERS), "phrase-words")
+    named = numbers.where(F.col("word").isNotNull())
+    sizes = named.groupBy("part").agg(F.max("number")).collect()                 # a row a partition
+    before, n_words = _offsets(sizes, max([p for p, _ in sizes], default=0) + 1, "words")
+    starts = F.array(*[F.lit(int(b)) for b in before])
+    number = (F.get(starts, F.col("part")) + F.col("number")).alias("id")
+    levels = [named.select("lang", number, F.lit(1).alias("size"), F.col("word").alias("phrase"), "a")]
 
     # word numbers go back to the shards; a shard's sequence sorts before them
-    numbered = (words.join(dictionary.select("lang", "word", "id"), ["lang", "word"])
-                     .select("shard", "pos", "id", F.lit(None).cast("binary").alias("seq")))
-    parts = shards.where(F.col("seq").isNotNull()).select("shard", "pos", F.lit(None).cast("long").alias("id"), "seq")
-    work = (parts.unionByName(numbered).repartition("shard").sortWithinPartitions("shard", "pos")
-                 .mapInArrow(_number_words(bits, max_words == 2), _SLICES))
+    placed = numbers.where(F.col("shard").isNotNull()).select("shard", "part", "data")
+    parts = shards.where(F.col("seq").isNotNull()).select("shard", F.lit(-1).alias("part"), F.col("seq").alias("data"))
+    how = Packing(n_words, n_words, range_bits)
+    work = (parts.unionByName(placed).repartition("shard").sortWithinPartitions("shard", "part")
+                 .mapInArrow(_number_words(before, how, max_words == 2), _SLICES))
     previous = [shards]
     for n in range(2, max_words + 1):
         work = cut(work, f"phrase-filters-{n}", **BLOBS)
         release(*previous)
-        merged = cut(work.where(F.col("range") >= 0).groupBy("range").applyInArrow(_merge_range(min_count), _SLICES),
+        merged = cut(work.where(F.col("range") >= 0).groupBy("range").applyInArrow(_merge_range(min_count, how), _SLICES),
                      f"phrase-merged-{n}", **BLOBS)
         found = merged.where(F.col("shard") == -1)
-        offsets = _offsets(found.select("range", "n").collect(), 1 << bits, "phrases")
-        rows = found.select("range", "data").mapInArrow(_list_phrases(offsets), "id long, prefix long, last long, a long")
-        before = levels[-1].select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("head"))
+        offsets, n_found = _offsets(found.select("range", "n").collect(), 1 << how.range_bits, "phrases")
+        rows = found.select("range", "data").mapInArrow(_list_phrases(offsets, how), "id long, prefix long, last long, a long")
+        head = levels[-1].select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("head"))
         tail = levels[0].select(F.col("id").alias("last"), F.col("phrase").alias("tail"))
-        levels.append(cut(rows.join(before, "prefix").join(tail, "last").select(
+        levels.append(cut(rows.join(head, "prefix").join(tail, "last").select(
             "lang", "id", F.lit(n).alias("size"), F.concat_ws(" ", "head", "tail").alias("phrase"), "a"), f"phrases-{n}"))
         previous = [work, merged]
         if n < max_words:
+            following = Packing(n_found, n_words, range_bits)
             back = work.where(F.col("range") == -1).unionByName(merged.where(F.col("shard") >= 0))
             work = (back.repartition("shard").sortWithinPartitions("shard", "range")
-                        .mapInArrow(_number_phrases(n + 1, offsets, bits, n + 1 == max_words), _SLICES))
+                        .mapInArrow(_number_phrases(n + 1, offsets, how, following, n + 1 == max_words), _SLICES))
+            how = following
     release(*previous)
     out = levels[0]
     for level in levels[1:]:

@@ -1,9 +1,9 @@
-"""Counting quotient filters over 64-bit keys, lossless: the sorted form that shards send and merge.
+"""Counting quotient filters, lossless: the sorted form in which shards send and merge counts of packed keys.
 
-A key is permuted (invertibly), so that its leading bits, the quotient, are spread evenly whatever the keys are;
-the rest, the remainder, is kept whole, so the key can be had back.  A filter holds one range of permuted keys (those
-with the same ``range_bits`` leading bits): run lengths of its quotients in unary, remainders in as few bytes as they
-need, and one byte a counter (eight more where it does not suffice).
+A key of ``bits`` bits is permuted invertibly, so that its leading bits, the quotient, are spread evenly whatever the
+keys are; the rest, the remainder, is kept whole, so the key can be had back.  A filter holds one range of permuted keys
+(those with the same ``range_bits`` leading bits): run lengths of its quotients in unary, remainders in as few bytes
+as they need, and one byte a counter (eight more where it does not suffice), compressed.
 """
 
 from __future__ import annotations
@@ -11,81 +11,80 @@ from __future__ import annotations
 import struct
 
 import numpy as np
+import zstandard
 
 _U = np.uint64
-_HEAD = struct.Struct("<QQBB")        # entries, counters beyond a byte, quotient bits, range bits
+_HEAD = struct.Struct("<QQQBBB")      # entries, counters beyond a byte, bytes of counters, quotient, range and key bits
 _MUL = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
-_INV = tuple(pow(m, -1, 1 << 64) for m in _MUL)
 
 
-def permute(key: np.ndarray) -> np.ndarray:
-    """A bijection of uint64 whose leading bits depend on every bit of the key."""
+def _mixed(x: np.ndarray, bits: int, factors) -> np.ndarray:
+    mask, half = _U((1 << bits) - 1), _U((bits + 1) // 2)
     with np.errstate(over="ignore"):
-        x = (key ^ (key >> _U(30))) * _U(_MUL[0])
-        x = (x ^ (x >> _U(27))) * _U(_MUL[1])
-    return x ^ (x >> _U(31))
+        x = x ^ (x >> half)               # its own inverse, as half the bits or more are shifted out
+        for f in factors:
+            x = (x * _U(f)) & mask
+            x = x ^ (x >> half)
+    return x
 
 
-def _unshift(x: np.ndarray, by: int) -> np.ndarray:
-    out = x
-    for _ in range(64 // by):
-        out = x ^ (out >> _U(by))
-    return out
+def permute(key: np.ndarray, bits: int = 64) -> np.ndarray:
+    """A bijection of the whole numbers below 2 ** bits whose leading bits depend on every bit of the key."""
+    return _mixed(key, bits, [m & ((1 << bits) - 1) for m in _MUL])
 
 
-def restore(x: np.ndarray) -> np.ndarray:
+def restore(x: np.ndarray, bits: int = 64) -> np.ndarray:
     """The key of a permuted value."""
-    with np.errstate(over="ignore"):
-        x = _unshift(x, 31) * _U(_INV[1])
-        x = _unshift(x, 27) * _U(_INV[0])
-    return _unshift(x, 30)
+    return _mixed(x, bits, [pow(m, -1, 1 << bits) for m in reversed(_MUL)])
 
 
-def range_of(x: np.ndarray, range_bits: int) -> np.ndarray:
-    return (x >> _U(64 - range_bits)).astype(np.int64) if range_bits else np.zeros(len(x), np.int64)
+def range_of(x: np.ndarray, range_bits: int, bits: int = 64) -> np.ndarray:
+    return (x >> _U(bits - range_bits)).astype(np.int64) if range_bits else np.zeros(len(x), np.int64)
 
 
-def encode(x: np.ndarray, counts: np.ndarray, range_bits: int = 0) -> bytes:
+def encode(x: np.ndarray, counts: np.ndarray, range_bits: int = 0, bits: int = 64) -> bytes:
     """A filter of sorted distinct permuted keys of one range, and their counts."""
     n = len(x)
-    q = min(max(n.bit_length() - 1, 0), 64 - range_bits)
-    low = x << _U(range_bits) if range_bits < 64 else x * _U(0)
-    quotient = (low >> _U(64 - q)).astype(np.int64) if q else np.zeros(n, np.int64)
+    q = min(max(n.bit_length() - 1, 0), bits - range_bits)
+    rest = bits - range_bits - q
+    quotient = (x >> _U(rest)).astype(np.int64) & ((1 << q) - 1) if q else np.zeros(n, np.int64)
     runs = np.bincount(quotient, minlength=1 << q)
-    bits = np.ones(n + (1 << q), dtype=np.uint8)
-    bits[np.cumsum(runs + 1) - 1] = 0
-    rest = 64 - range_bits - q
+    unary = np.ones(n + (1 << q), dtype=np.uint8)
+    unary[np.cumsum(runs + 1) - 1] = 0
     width = -(-rest // 8)
     remainder = x & _U((1 << rest) - 1)
     body = remainder.astype("<u8").view(np.uint8).reshape(n, 8)[:, :width]
     big = counts >= 255
-    return b"".join([_HEAD.pack(n, int(big.sum()), q, range_bits), np.packbits(bits).tobytes(), body.tobytes(),
-                     np.where(big, 255, counts).astype(np.uint8).tobytes(), counts[big].astype("<i8").tobytes()])
+    counters = zstandard.compress(np.where(big, 255, counts).astype(np.uint8).tobytes() + counts[big].astype("<i8").tobytes(), 1)
+    return b"".join([_HEAD.pack(n, int(big.sum()), len(counters), q, range_bits, bits), np.packbits(unary).tobytes(),
+                     body.tobytes(), counters])
 
 
 def decode(data: bytes, range_id: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """(sorted permuted keys, counts) of a filter."""
-    n, n_big, q, range_bits = _HEAD.unpack_from(data)
+    n, n_big, size_counters, q, range_bits, bits = _HEAD.unpack_from(data)
     if not n:
         return np.zeros(0, _U), np.zeros(0, np.int64)
     at = _HEAD.size
     size = -(-(n + (1 << q)) // 8)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n + (1 << q))
+    unary = np.unpackbits(np.frombuffer(data, np.uint8, size, at), count=n + (1 << q))
     at += size
-    quotient = (np.flatnonzero(bits) - np.arange(n)).astype(_U)      # zeros before each entry
-    rest = 64 - range_bits - q
+    quotient = (np.flatnonzero(unary) - np.arange(n)).astype(_U)     # zeros before each entry
+    rest = bits - range_bits - q
     width = -(-rest // 8)
     body = np.zeros((n, 8), dtype=np.uint8)
-    body[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(n, width)
+    if width:
+        body[:, :width] = np.frombuffer(data, np.uint8, n * width, at).reshape(n, width)
     at += n * width
     x = body.reshape(-1).view("<u8").astype(_U)
     if q:
         x |= quotient << _U(rest)
     if range_bits:
-        x |= _U(range_id) << _U(64 - range_bits)
-    counts = np.frombuffer(data, np.uint8, n, at).astype(np.int64)
+        x |= _U(range_id) << _U(bits - range_bits)
+    counters = zstandard.decompress(data[at:at + size_counters])
+    counts = np.frombuffer(counters, np.uint8, n).astype(np.int64)
     if n_big:
-        counts[counts == 255] = np.frombuffer(data, "<i8", n_big, at + n)
+        counts[counts == 255] = np.frombuffer(counters, "<i8", n_big, n)
     return x, counts
 
 

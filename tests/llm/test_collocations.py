@@ -41,22 +41,25 @@ def brute(rows, max_words, min_count, top):
     return out
 
 
-def test_filters_are_lossless():
+@pytest.mark.parametrize("bits", [64, 63, 40, 23, 13])
+def test_filters_are_lossless(bits):
     rnd = np.random.default_rng(2)
-    keys = np.unique(np.concatenate([rnd.integers(0, 1 << 63, 5000).astype(np.uint64), np.arange(300, dtype=np.uint64),
-                                     np.array([0, 2 ** 64 - 1, 2 ** 63], dtype=np.uint64)]))
-    assert (Q.restore(Q.permute(keys)) == keys).all()
-    for bits in (0, 3, 9):
-        x = np.sort(Q.permute(keys))
+    top = (1 << bits) - 1
+    keys = np.unique(np.concatenate([rnd.integers(0, min(top, 1 << 62), 5000).astype(np.uint64), np.arange(300, dtype=np.uint64),
+                                     np.array([0, top, 1 << (bits - 1)], dtype=np.uint64)]))
+    x = np.sort(Q.permute(keys, bits))
+    assert len(np.unique(x)) == len(keys) and x.max() <= top
+    assert (np.sort(Q.restore(x, bits)) == keys).all() and (Q.restore(Q.permute(keys, bits), bits) == keys).all()
+    for range_bits in (0, 3, 9):
         counts = rnd.integers(1, 400, len(x))
         counts[7] = 10 ** 15
-        ranges = Q.range_of(x, bits)
-        for r in range(1 << bits):
+        ranges = Q.range_of(x, range_bits, bits)
+        for r in range(1 << range_bits):
             own = ranges == r
-            got, n = Q.decode(Q.encode(x[own], counts[own], bits), r)
+            got, n = Q.decode(Q.encode(x[own], counts[own], range_bits, bits), r)
             assert (got == x[own]).all() and (n == counts[own]).all()
-    x = np.sort(Q.permute(keys))
-    assert len(Q.encode(x, np.ones(len(x), np.int64))) < 9 * len(x)          # 16 bytes as plain numbers
+    plain = len(Q.encode(x, np.ones(len(x), np.int64), 0, bits))
+    assert plain < (bits / 8 - 0.4) * len(x)                 # less than the keys alone
 
 
 def test_filters_merge():
