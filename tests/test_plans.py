@@ -96,3 +96,21 @@ def test_console_sink_runs(spark, tmp_path):
                       trigger={"availableNow": True})
     q.awaitTermination()
     assert q.lastProgress["numInputRows"] == 1
+
+
+def test_time_expressions_are_not_repeated(spark):
+    """Parsing binds its argument once: filters stay short even where the argument is an expression itself."""
+    from roomlake.plans.contract import QUERIES
+
+    plan = QUERIES["silver_readings"](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    longest = max(len(line) for line in plan.splitlines() if "Filter" in line)
+    assert longest < 5000 and plan.count("unix_seconds") < 40
+
+
+def test_nan_and_infinity_are_no_measures(spark):
+    from roomlake.functions.messages import parse_readings
+
+    line = '{"device_id":"d","event_time":"2024-01-01T00:00:00Z","temperature":%s}'
+    df = spark.createDataFrame([(line % v,) for v in ('"NaN"', '"Infinity"', '"-Infinity"', '21.5')], "value string")
+    got = [(r._corrupt, r.temperature) for r in parse_readings(df).collect()]
+    assert got == [(True, None)] * 3 + [(False, 21.5)]

@@ -57,3 +57,16 @@ def test_rule_with_a_threshold_of_its_own(spark, tmp_path):
     configs = latest_config(parse_configs(spark.read.text(f"{root}/c"), thresholds=("humidity_threshold",)))
     batch = sorted(tuple(r) for r in detect_breaches(join_config(readings, configs), rules, tie_cols=()).select(key).collect())
     assert live == batch and {"HUMID", "TEMP_WARNING"} <= {r[1] for r in live}
+
+
+def test_nan_meets_no_condition(spark):
+    """Batch and stream agree on missing values: neither NULL nor NaN is above or below anything."""
+    import numpy as np
+
+    nan = float("nan")
+    rows = [(29.0, 1.0), (nan, 1.0), (None, 1.0), (29.0, nan), (27.0, 1.0)]
+    df = spark.createDataFrame(rows, "temperature double, occupancy double")
+    for cond in (Compare("temperature", ">", 28.0), Compare("temperature", "<>", 1.0), Compare("temperature", ">", "occupancy"),
+                 Compare("temperature", "<", 28) | Compare("occupancy", "=", 1)):
+        cols = {c: np.array([nan if r[i] is None else r[i] for r in rows]) for i, c in enumerate(("temperature", "occupancy"))}
+        assert [r[0] for r in df.select(cond.column()).collect()] == cond.mask(cols).tolist()
