@@ -25,7 +25,7 @@ from roomlake.operators.breaches import detect_breaches, rule_matches
 from roomlake.operators.checks import run_checks
 from roomlake.operators.config import join_config, latest_config
 from roomlake.schemas import ALERT_MESSAGE, BRONZE_READING, MEASURES
-from roomlake.session import scratch_path, ship_package
+from roomlake.session import ensure_checkpoint_dir, scratch_path, ship_package
 from roomlake.settings import DEFAULT_RULES, with_timing
 from roomlake.sources import testdata
 from roomlake.sources.files import (read_bronze_readings, read_sensor_csv, read_threshold_csv,
@@ -305,10 +305,11 @@ def gold_slice_replace(spark, sf):
 
 
 def check_unique_not_null(spark, sf):
-    """CHK-1/2 on the five tables' primary keys (built in memory here)."""
-    sr = _silver(spark, sf)
-    sa = _silver_alerts(spark, sf)
-    roll = gold.hourly_device_rollup(sr)
+    """CHK-1/2 on the five tables' primary keys, each table made once."""
+    ensure_checkpoint_dir(spark)
+    sr = _silver(spark, sf).checkpoint()
+    sa = _silver_alerts(spark, sf).checkpoint()
+    roll = gold.hourly_device_rollup(sr).checkpoint()
     return run_checks({
         "silver_iot_sensor_readings": (sr, "pk_sensor_event_id"),
         "silver_threshold_breached_alerts": (sa, "pk_alert_event_id"),
