@@ -34,21 +34,20 @@ def _digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def expand(targets: DataFrame, lengths: list[int]) -> DataFrame:
-    """One row per expression of each (host, path).
+def expand(targets: DataFrame, host_lengths: list[int], path_lengths: list[int]) -> DataFrame:
+    """One row per expression of each (host, path) that a rule could be written as.
 
-    Host suffixes start at each label; path prefixes end after each ``/``, at
-    the whole path, and at ``lengths``: the lengths of those rule paths that
-    don't end in ``/``.
+    Host suffixes start at a label and have the length of some rule's host; path prefixes have the length of some
+    rule's path.  So a row has as many expressions as the rules have lengths at most, however many labels and
+    slashes it has.
     """
-    # one zero-based start per label, one end per prefix
-    starts = F.expr("filter(sequence(0, length(_host)), i -> i < length(_host) AND"
-                    " (i = 0 OR substring(_host, i, 1) = '.'))")
-    odd = "false" if not lengths else " OR ".join(f"e = {int(x)}" for x in sorted(set(lengths)))
-    ends = F.expr("filter(sequence(0, length(_path)), e -> "
-                  f"e = length(_path) OR (e > 0 AND substring(_path, e, 1) = '/') OR {odd})")
-    rows = targets.withColumn("_from", F.explode(starts)).withColumn("_upto", F.explode(ends))
-    return (rows.withColumn("_suffix", F.expr("substring(_host, _from + 1)"))
+    whole = lambda xs: F.array(*[F.lit(int(x)) for x in sorted(set(xs))]).cast("array<int>")
+    host, path = F.col("_host"), F.col("_path")
+    label = lambda n: (n == F.length(host)) | (F.substring(host, F.length(host) - n, F.lit(1)) == ".")
+    suffixes = F.filter(whole(host_lengths), lambda n: (n <= F.length(host)) & (n > 0) & label(n))
+    prefixes = F.filter(whole(path_lengths), lambda n: n <= F.length(path))
+    rows = targets.withColumn("_size", F.explode(suffixes)).withColumn("_upto", F.explode(prefixes))
+    return (rows.withColumn("_suffix", F.expr("right(_host, _size)"))
             .withColumn("_prefix", F.expr("substring(_path, 1, _upto)")))
 
 
@@ -75,9 +74,10 @@ def url_verdicts(urls: DataFrame, rules: DataFrame, *, url_col: str = "url", def
                      F.col("action").alias("_action")).distinct()
              .withColumn("_rd", _digest(F.concat_ws("\n", "_rh", "_rp")))
              .withColumn("_key", F.substring("_rd", 1, 2 * prefix_bytes)))
-    lengths = [r[0] for r in list_.where("_rp NOT LIKE '%/'").select(F.length("_rp")).distinct().collect()]
+    # a number per length that occurs: no more than the longest rule has characters
+    sizes = list_.agg(F.collect_set(F.length("_rh")), F.collect_set(F.length("_rp"))).first()
     pairs = parsed.select(F.col("host").alias("_host"), F.col("path").alias("_path")).distinct()
-    hits = (expand(pairs, lengths)
+    hits = (expand(pairs, *sizes)
             .withColumn("_d", _digest(F.concat_ws("\n", "_suffix", "_prefix")))
             .withColumn("_key", F.substring("_d", 1, 2 * prefix_bytes))
             .join(list_, "_key")

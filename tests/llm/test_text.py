@@ -80,6 +80,22 @@ def test_url_verdicts(spark):
     assert {r["verdict"] for r in url_verdicts(pages, rules.limit(0), default="block").collect()} == {"block"}
 
 
+def test_urls_of_many_slashes_and_labels(spark):
+    """What a URL expands to depends on the rules' lengths, not on its slashes or labels."""
+    from roomlake.llm.urls import expand
+
+    rules = spark.createDataFrame([("net", "/", "block"), ("b.net", "/////", "allow"), ("a.b.net", "//x", "block")],
+                                  "rule_host string, rule_path string, action string")
+    pages = spark.createDataFrame([(1, "http://c.b.net" + "/" * 100_000), (2, "http://" + "l." * 5_000 + "a.b.net//x" + "/y" * 5_000),
+                                   (3, "http://b.net////x"), (4, "http://xb.net/"), (5, "http://net"), (6, "http:///////")],
+                                  "page_id long, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_verdicts(pages, rules).collect()}
+    assert got == {1: ("b.net/////", "allow"), 2: ("a.b.net//x", "block"), 3: ("net/", "block"), 4: ("net/", "block"), 5: (None, "allow"),
+                   6: (None, "allow")}
+    pairs = spark.createDataFrame([("l." * 5_000 + "b.net", "/" * 100_000)], "_host string, _path string")
+    assert expand(pairs, [3, 5, 7], [1, 3, 5]).count() == 9
+
+
 def test_url_rules_without_final_slash(spark):
     pages = spark.createDataFrame([(1, "http://a.com/abcd/e"), (2, "http://a.com/ab"), (3, "http://a.com/a")], "page_id long, url string")
     rules = spark.createDataFrame([("com", "/ab", "block"), ("a.com", "/abc", "allow")], "rule_host string, rule_path string, action string")
