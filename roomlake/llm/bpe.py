@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from roomlake.llm.common import Generations, chunks, texts, tokenizer_path
 
-CACHE_WORDS = 300_000       # in each of two generations
+CACHE_WORDS = 450_000       # in each of two generations
 GROUP_CHARS = 6_000_000     # text whose new words are looked up together
 QUERY_WORDS = 40_000        # words per recursive query: bounds its rows
 QUERY_BYTES = 400_000       # and their bytes
