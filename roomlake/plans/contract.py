@@ -594,23 +594,35 @@ def _lake(spark, sf) -> tuple[str, "DataFrame"]:
     return root, seen
 
 
+def _totals(spark, parts: dict) -> DataFrame:
+    """(name, n, total) of each frame's rows and the sum of one of its columns.
+
+    Six million epoch milliseconds already pass 64 bits, so the sums are exact decimals; ``total`` leaves as long
+    wherever all of them fit one, as a decimal(38,0) beyond that.
+    """
+    rows = []
+    for name, (df, column) in parts.items():                 # a row each
+        got = df.agg(F.count(F.lit(1)).alias("n"), F.sum(column.cast("decimal(20,0)")).cast("decimal(38,0)").alias("total")).first()
+        rows.append((name, got.n, got.total))
+    if all(total is None or abs(total) < 2 ** 63 for _, _, total in rows):
+        return spark.createDataFrame([(name, n, None if total is None else int(total)) for name, n, total in rows],
+                                     "name string, n long, total long")
+    return spark.createDataFrame(rows, "name string, n long, total decimal(38,0)")
+
+
 def lakehouse_run(spark, sf):
     """JOB-2, SNK-1 (file twin) / SNK-3 / SRC-4, JOB-1: rows of the five tables, of both sinks, and what they add up to."""
     root, seen = _lake(spark, sf)
     t = lambda name: tables.read_table(spark, f"{root}/lake/{name}")
-    row = lambda name, df, total: df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"), total.alias("total"))
-    parts = [row("silver_readings", t("silver_iot_sensor_readings"), F.sum(F.unix_millis("event_ts"))),
-             row("silver_alerts", t("silver_threshold_breached_alerts"), F.sum("window_end_ms")),
-             row("gold_metrics", t("gold_sensor_hourly_metrics"), F.sum(F.unix_seconds("hour_ts"))),
-             row("gold_occupancy", t("gold_hourly_occupancy_rate"), F.sum(F.unix_seconds("hour_ts"))),
-             row("gold_breaches", t("gold_hourly_breach_counts"), F.sum("breach_count")),
-             row("sink_messages", spark.read.schema("key string, value string").json(f"{root}/messages"),
-                 F.sum(F.get_json_object("value", "$.window_start_ms").cast("long"))),
-             row("sink_rows", spark.read.schema(ALERT_MESSAGE).json(f"{seen}/*"), F.sum("window_start_ms"))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _totals(spark, {
+        "silver_readings": (t("silver_iot_sensor_readings"), F.unix_millis("event_ts")),
+        "silver_alerts": (t("silver_threshold_breached_alerts"), F.col("window_end_ms")),
+        "gold_metrics": (t("gold_sensor_hourly_metrics"), F.unix_seconds("hour_ts")),
+        "gold_occupancy": (t("gold_hourly_occupancy_rate"), F.unix_seconds("hour_ts")),
+        "gold_breaches": (t("gold_hourly_breach_counts"), F.col("breach_count")),
+        "sink_messages": (spark.read.schema("key string, value string").json(f"{root}/messages"),
+                          F.get_json_object("value", "$.window_start_ms").cast("long")),
+        "sink_rows": (spark.read.schema(ALERT_MESSAGE).json(f"{seen}/*"), F.col("window_start_ms"))})
 
 
 def stream_hourly_rollup_q(spark, sf):

@@ -21,3 +21,15 @@ def test_every_contract_query_matches_its_oracle(spark):
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "window_end_ms" in df.columns
+
+
+def test_totals_beyond_64_bits(spark):
+    """Sums of epoch milliseconds pass a long from about six million readings on."""
+    from pyspark.sql import functions as F
+    from roomlake.plans.contract import _totals
+
+    three, big = spark.range(3), F.lit(2 ** 62) + F.col("id")
+    assert [tuple(r) for r in _totals(spark, {"big": (three, big), "none": (three.where("false"), big)}).collect()] == \
+        [("big", 3, 3 * 2 ** 62 + 3), ("none", 0, None)]
+    small = _totals(spark, {"small": (three, F.col("id"))})
+    assert small.schema["total"].dataType.typeName() == "long" and small.first().total == 3
