@@ -7,11 +7,12 @@ devices and rules whose stored state differs (none, if readings came in event or
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roomlake.operators.breaches import detect_breaches
 from roomlake.settings import DEFAULT_RULES
+from roomlake.streaming.alerts import state_fields
 from roomlake.streaming.split import STATE
 
 COLUMNS = ["device_id", "rule", "last_reading_ms", "episode_start_ms", "last_alert_ms"]
@@ -25,12 +26,19 @@ def read_fold_state(spark: SparkSession, checkpoint: str, rules=DEFAULT_RULES, b
     r = spark.read.format("statestore")
     if batch_id is not None:
         r = r.option("batchId", batch_id)
-    state = F.col("value.groupState")
-    each = F.array(*[F.struct(F.lit(rule.name).alias("rule"), state["t_last"].alias("last_reading_ms"),
-                              state[f"s{i}"].alias("episode_start_ms"), state[f"x{i}"].alias("last_alert_ms"))
+    fields = state_fields(len(tuple(rules)))
+    # a state row holds a bucket of devices, their numbers one after another
+    one = r.load(checkpoint).select("value.groupState.*").select("nums", F.size("device_id").alias("n"),
+                                                                 F.posexplode("device_id").alias("at", "device_id"))
+
+    def number(name: str) -> Column:
+        v = F.get("nums", (F.col("at") * F.size("nums") / F.col("n")).cast("int") + fields.index(name))
+        return F.when(~F.isnan(v), v.cast("long"))
+
+    each = F.array(*[F.struct(F.lit(rule.name).alias("rule"), number("t_last").alias("last_reading_ms"),
+                              number(f"s{i}").alias("episode_start_ms"), number(f"x{i}").alias("last_alert_ms"))
                      for i, rule in enumerate(rules)])
-    return r.load(checkpoint).select(F.col("key.device_id").alias("device_id"), F.explode(each).alias("r")).select(
-        "device_id", "r.*")
+    return one.select("device_id", F.explode(each).alias("r")).select("device_id", "r.*")
 
 
 def expected_states(joined: DataFrame, rules=DEFAULT_RULES, tie_cols=(), **detector) -> DataFrame:

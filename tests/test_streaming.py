@@ -155,3 +155,35 @@ def test_random_arrival_order_equals_sequential_rule(spark, tmp_path, seed):
     got = run_batches(spark, tmp_path, batches, rules)
     want = sorted((a[0], a[2], a[4], a[3]) for a in brute_alerts(events, rules))
     assert got == want
+
+
+def test_devices_share_calls_and_state_rows(spark, tmp_path):
+    """Calls and state rows follow the buckets, not the devices; each device keeps its own config, episodes and cooldowns."""
+    import random
+
+    from brute import brute_alerts
+    from roomlake.settings import with_timing
+
+    rnd, root = random.Random(7), str(tmp_path)
+    rules = with_timing(DEFAULT_RULES, 120, 300)
+    cfgs = [dict(CFG, device_id=f"dev_{d}", user_id=f"user_{d}", temperature_warning_threshold=26.0 + d % 3) for d in range(40)]
+    events = [("config", c) for c in cfgs]
+    for sub in "rc":
+        os.makedirs(f"{root}/{sub}")
+    with open(f"{root}/c/0.json", "w") as f:
+        f.write("\n".join(config_msg(c, 0) for c in cfgs) + "\n")
+    for i in range(2):                                  # a restart between; devices without config (dev_40..) drop
+        rows = [reading(900 * i + 30 * k, temp=rnd.choice([25, 27, 29, 31]), occ=rnd.choice([0, 1]),
+                        light=rnd.choice([0.0, 50.0]), device=f"dev_{d}") for k in range(30) for d in range(0, 44, 3)]
+        events += [("reading", r) for r in rows]
+        rnd.shuffle(rows)
+        with open(f"{root}/r/{i}.json", "w") as f:
+            f.write("\n".join(reading_msg(r) for r in rows) + "\n")
+        alerts = stream_alerts(union_inputs(reading_stream(file_values(spark, f"{root}/r")),
+                                            config_stream(file_values(spark, f"{root}/c"))), rules, "event", buckets=3)
+        (alerts.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck")
+               .trigger(availableNow=True).start().awaitTermination())
+    got = sorted((r.user_id, r.rule, r.window_end_ms, r.window_start_ms) for r in spark.read.parquet(f"{root}/out").collect())
+    want = sorted((a[0], a[2], a[4], a[3]) for a in brute_alerts(events, rules))
+    assert want and got == want
+    assert spark.read.format("statestore").load(f"{root}/ck").count() == 3
