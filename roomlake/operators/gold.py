@@ -51,6 +51,25 @@ def _rollup_columns() -> list:
 
 #: readings of one device and hour above which they are rolled up in parts
 HOT_DEVICE_HOUR = 1_000_000
+#: hot device-hours up to which they are told from the others by a broadcast of their keys
+FEW_HOT = 100_000
+#: rows dealt to one task
+ROWS_PER_TASK = 500_000
+
+_AVERAGED = [*METRIC_MEASURES, "humidity_ratio", "occupancy"]
+
+
+def _partial_columns() -> list:
+    aggs = [f(F.col(m).cast("double")).alias(f"{n}_{m}") for m in _AVERAGED for n, f in (("sum", F.sum), ("n", F.count))]
+    return aggs + [f(m).alias(f"{n}_{m}") for m in METRIC_MEASURES for n, f in (("min", F.min), ("max", F.max))]
+
+
+def _merged_columns() -> list:
+    avg = lambda m: F.try_divide(F.sum(f"sum_{m}"), F.sum(f"n_{m}"))
+    aggs = []
+    for m in METRIC_MEASURES:
+        aggs += [avg(m).alias(f"avg_{m}"), F.min(f"min_{m}").alias(f"min_{m}"), F.max(f"max_{m}").alias(f"max_{m}")]
+    return aggs + [avg("humidity_ratio").alias("avg_humidity_ratio"), avg("occupancy").alias("occupancy_rate")]
 
 
 def rollup_from_bronze(bronze: DataFrame, hot_rows: int | None = HOT_DEVICE_HOUR, parts: int = 64) -> DataFrame:
@@ -60,19 +79,38 @@ def rollup_from_bronze(bronze: DataFrame, hot_rows: int | None = HOT_DEVICE_HOUR
     neither needs another exchange.  A device-hour with more than ``hot_rows`` readings would be one task: those
     (at most rows / ``hot_rows`` of them, found by one small aggregation) are dealt by parts of their event time too,
     which a key never leaves, and their partial roll-ups are merged (``hot_rows=None``: known to have none, no look).
+    A few are told from the others by a broadcast of their keys; where they are many, all device-hours are dealt by parts,
+    as a join would bring a hot one's rows together.  The look counts the rows as well, and the number of tasks
+    follows them, so that a task's share does not grow with the table.
     Same values as ``hourly_device_rollup`` over ``silver_readings``.
     """
     rows = readings_to_keep(bronze).withColumn("hour_ts", hour_ts("event_ts"))
     keys = ["device_id", "hour_ts"]
-    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > (hot_rows or 0)).select(*keys)
-    many = hot_rows is not None and bool(hot.take(1))
-    usual = rows.join(hot, keys, "left_anti") if many else rows
-    first = _keep_first(usual.repartition(*keys), [*keys, "event_ts"], READING_ORDER)
-    out = first.groupBy(*keys).agg(*_rollup_columns())
-    if many:
-        salted = rows.join(hot, keys, "left_semi").withColumn("part", F.pmod(F.xxhash64("event_ts"), F.lit(parts)))
-        first = _keep_first(salted.repartition(*keys, "part"), [*keys, "part", "event_ts"], READING_ORDER)
-        out = out.unionByName(first.groupBy(*keys).agg(*_rollup_columns()))       # partial sums, then merged
+    if hot_rows is None:
+        tasks, n_hot = [], 0
+    else:
+        counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        look = counts.agg(F.sum("n").alias("rows"), F.count_if(F.col("n") > hot_rows).alias("hot")).first()
+        least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        tasks, n_hot = [max(least, -(-(look.rows or 0) // ROWS_PER_TASK))], look.hot
+
+    def usual(part: DataFrame) -> DataFrame:
+        first = _keep_first(part.repartition(*tasks, *keys), [*keys, "event_ts"], READING_ORDER)
+        return first.groupBy(*keys).agg(*_rollup_columns())
+
+    def in_parts(part: DataFrame) -> DataFrame:
+        salted = part.withColumn("part", F.pmod(F.xxhash64("event_ts"), F.lit(parts)))
+        first = _keep_first(salted.repartition(*tasks, *keys, "part"), [*keys, "part", "event_ts"], READING_ORDER)
+        partial = first.groupBy(*keys, "part").agg(*_partial_columns())
+        return partial.repartition(*tasks, *keys).groupBy(*keys).agg(*_merged_columns())
+
+    if not n_hot:
+        out = usual(rows)
+    elif n_hot <= FEW_HOT:
+        hot = F.broadcast(counts.where(F.col("n") > hot_rows).select(*keys))
+        out = usual(rows.join(hot, keys, "left_anti")).unionByName(in_parts(rows.join(hot, keys, "left_semi")))
+    else:
+        out = in_parts(rows)
     return out.withColumn("pk_sensor_device_hour_id", surrogate_key(out, keys))
 
 

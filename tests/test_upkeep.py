@@ -45,6 +45,19 @@ def test_rollup_has_one_exchange(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_rollup_tasks_follow_the_rows(spark, monkeypatch):
+    """A task's share is bounded, and many hot device-hours are not brought together by a join."""
+    want = rounded(gold.hourly_device_rollup(silver.silver_readings(bronze(spark))))
+    monkeypatch.setattr(gold, "ROWS_PER_TASK", 100, raising=False)
+    monkeypatch.setattr(gold, "FEW_HOT", 5, raising=False)
+    least = bronze(spark).count() // 100
+    for hot in (0, 10 ** 6):
+        got = gold.rollup_from_bronze(bronze(spark), hot_rows=hot, parts=3)
+        assert got.rdd.getNumPartitions() >= least > 8
+        assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+        assert rounded(got.select(*gold.hourly_device_rollup(silver.silver_readings(bronze(spark))).columns)) == want
+
+
 def table(spark, path):
     tables.upsert(spark, path, silver.silver_readings(bronze(spark)), "pk_sensor_event_id", "event_date")
 
