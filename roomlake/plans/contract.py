@@ -365,7 +365,7 @@ def stream_alerts_q(spark, sf):
 
 
 def stream_alerts_split(spark, sf):
-    """JOIN-2, STR-2..6, STR-9 for hot devices: config history seeded in the JVM, four micro-batches with a restart
+    """JOIN-2, STR-2..6, STR-9 for hot devices: config history seeded in the JVM, four micro-batches with restarts
     between them, each folded by ranges of (device, time); equals the batch alerts."""
     from roomlake.streaming.jobs import file_values, reading_stream
     from roomlake.streaming.split import read_alerts, seed_configs, split_alert_query
@@ -377,12 +377,11 @@ def stream_alerts_split(spark, sf):
     lo, hi = (bounds.lo, bounds.hi) if bounds.lo is not None else (0, 0)
     quarter = F.floor((F.col("t") - lo) * 4 / F.lit(hi - lo + 1))
     for i in range(4):
-        # one file a micro-batch, as a rate-limited topic hands them out
-        reading_messages(r.where(quarter == i)).select("value").coalesce(1).write.text(f"{root}/in/{i}")
-        if i in (1, 3):
-            q = split_alert_query(spark, reading_stream(file_values(spark, f"{root}/in/*", max_files=1)), None, f"{root}/job",
-                                  f"{root}/ckpt", rules=CONTRACT_RULES, alert_time_from="event", trigger={"availableNow": True})
-            q.awaitTermination()
+        # a run a delivery, so that its files, one per task, make up one micro-batch
+        reading_messages(r.where(quarter == i)).select("value").write.text(f"{root}/in/{i}")
+        q = split_alert_query(spark, reading_stream(file_values(spark, f"{root}/in/*")), None, f"{root}/job",
+                              f"{root}/ckpt", rules=CONTRACT_RULES, alert_time_from="event", trigger={"availableNow": True})
+        q.awaitTermination()
     return read_alerts(spark, f"{root}/job")
 
 

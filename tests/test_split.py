@@ -144,3 +144,18 @@ def fold_peak(n):
 def test_fold_memory_is_flat():
     (few, small), (many, large) = fold_peak(100_000), fold_peak(1_000_000)
     assert many > 9 * few and large < 1.2 * small
+
+
+def test_split_deliveries_are_written_by_all_tasks(spark, monkeypatch, tmp_path):
+    """Four micro-batches, each of a whole quarter, which no single task wrote."""
+    from paths import SF001
+    from roomlake.plans import contract
+
+    rows = contract.testdata.readings
+    monkeypatch.setattr(contract.testdata, "readings", lambda s, sf: rows(s, sf).repartition(3))
+    monkeypatch.setattr(contract, "scratch_path", lambda s, name: str(tmp_path / name))
+    got = sorted(map(tuple, contract.QUERIES["stream_alerts_split"](spark, SF001).collect()))
+    root = tmp_path / "stream-split"
+    assert [len(list((root / "in" / str(i)).glob("part-*"))) for i in range(4)] == [3] * 4
+    assert sorted(int(p.name) for p in (root / "ckpt" / "commits").iterdir() if p.name.isdigit()) == [0, 1, 2, 3]
+    assert got == sorted(map(tuple, contract.QUERIES["threshold_alerts"](spark, SF001).collect()))
