@@ -394,10 +394,11 @@ def stream_silver_q(spark, sf):
     r = testdata.readings(spark, sf)
     for i, delta in enumerate((0.0, 0.5, 0.0)):               # the second delivery is the greater one
         reading_messages(r.withColumn("temperature", F.col("temperature") + F.lit(delta))).select("value") \
-            .coalesce(1).write.text(f"{root}/in/{i}")
-    q = stream_silver(reading_stream(file_values(spark, f"{root}/in/*", max_files=1)), f"{root}/silver", f"{root}/ckpt",
-                      {"availableNow": True})
-    q.awaitTermination()
+            .write.text(f"{root}/in/{i}")
+        # a run a delivery, so that its files, one per task, make up one micro-batch
+        q = stream_silver(reading_stream(file_values(spark, f"{root}/in/*")), f"{root}/silver", f"{root}/ckpt",
+                          {"availableNow": True})
+        q.awaitTermination()
     return _silver_out(tables.read_table(spark, f"{root}/silver"))
 
 
@@ -412,7 +413,7 @@ def stream_late_readings(spark, sf):
     lo, hi = (bounds.lo, bounds.hi) if bounds.lo is not None else (0, 0)
     due = F.floor((F.col("t") - lo) * 4 / F.lit(hi - lo + 1)) + F.when(F.col("event_id") % 97 == 0, 1).otherwise(0)
     for i in range(4):
-        reading_messages(r.where(F.least(due, F.lit(3)) == i)).select("value").coalesce(1).write.text(f"{root}/in/{i}")
+        reading_messages(r.where(F.least(due, F.lit(3)) == i)).select("value").write.text(f"{root}/in/{i}")
         q = late_readings_query(reading_stream(file_values(spark, f"{root}/in/*")), f"{root}/late", f"{root}/ckpt",
                                 trigger={"availableNow": True})
         q.awaitTermination()

@@ -151,3 +151,18 @@ def test_folders_that_changed_or_lack_times_are_read(spark, tmp_path):
     refresh_stats(spark, path)
     assert read_bronze_readings(spark, path, since_ms=since).where("device_id = 'y'").count() == 1
     assert refresh_stats(spark, str(tmp_path / "nothing")) == 0
+
+
+def test_silver_deliveries_are_written_by_all_tasks(spark, monkeypatch, tmp_path):
+    """Three micro-batches, each of a whole delivery, which no single task wrote."""
+    from paths import SF001
+    from roomlake.plans import contract
+
+    rows = contract.testdata.readings
+    monkeypatch.setattr(contract.testdata, "readings", lambda s, sf: rows(s, sf).repartition(3))
+    monkeypatch.setattr(contract, "scratch_path", lambda s, name: str(tmp_path / name))
+    got = sorted(map(tuple, contract.QUERIES["stream_silver"](spark, SF001).collect()))
+    root = tmp_path / "stream-silver"
+    assert [len(list((root / "in" / str(i)).glob("part-*"))) for i in range(3)] == [3] * 3
+    assert sorted(int(p.name) for p in (root / "ckpt" / "commits").iterdir() if p.name.isdigit()) == [0, 1, 2]
+    assert got == sorted(map(tuple, contract.QUERIES["silver_readings"](spark, SF001).collect()))
